@@ -57,7 +57,8 @@ def _delete(table: Column, pkv: Column, dialect: str) -> Column:
 def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame, dialect: str = "mysql",
                tz_offset: str | Column = "+00:00", escape_backslash: bool = False,
                specs: DataFrame | None = None) -> DataFrame:
-    """F12-F16 + P9: add ``dml`` (statement text, '' when dropped) and ``drop_reason``.
+    """F12-F16 + P9: add ``dml`` (statement text, '' when dropped), ``drop_reason`` and
+    ``pk_text`` (the rendered primary-key values joined by commas, e.g. for shadow keys).
 
     INSERT and UPDATE both render as upserts; DELETE renders a delete by primary key.
     ``tz_offset`` is the source database offset (a string, or a per-row Column such as a
@@ -84,7 +85,9 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
             .when(mod == "DELETE", _delete(table, F.col("_pkv"), dialect))
             .otherwise(_upsert(table, F.col("_pkv"), F.col("_cols"), dialect)))
     keep = [c for c in changes.columns if c not in ("_k", "_n")]
-    return d.select(*keep, F.col("src_table"), stmt.alias("dml"), reason.alias("drop_reason"))
+    pk_text = F.when(reason.isNull(), _join(F.col("_pkv"), "val", ","))
+    return d.select(*keep, F.col("src_table"), stmt.alias("dml"), reason.alias("drop_reason"),
+                    pk_text.alias("pk_text"))
 
 
 def replicable(rendered: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -49,3 +49,30 @@ def positions(df: DataFrame, order_cols, group_cols=(), position_col: str = "pos
         *[tagged[c] for c in tagged.columns if c not in ("_pid", "_mid")],
         (offsets["_off"] + tagged["_mid"] - offsets["_m0"] + F.lit(start)).alias(position_col))
     return out
+
+
+def prefix_max(df: DataFrame, value_col: str, order_cols, group_cols=(), out_col: str = "prior_max",
+               num_partitions: int | None = None) -> DataFrame:
+    """Maximum of ``value_col`` over the earlier rows of the same group (exclusive), in
+    ``order_cols`` order; NULL for a group's first row.
+
+    Same skew-safe plan as ``positions``: range partitioning on (group, order) splits a hot
+    group, a window inside (partition, group) gives the local running max, and a small
+    per-(partition, group) summary gives the carry-in from earlier partitions."""
+    order_cols = list(order_cols)
+    group_cols = list(group_cols)
+    keys = group_cols + order_cols
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()))
+    tagged = cut_lineage(tagged)
+    w_local = (Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = tagged.withColumn("_local", F.max(value_col).over(w_local))
+    summ = tagged.groupBy("_pid", *group_cols).agg(F.max(value_col).alias("_pmax"))
+    w_carry = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = broadcast_checked(summ.select("_pid", *group_cols, F.max("_pmax").over(w_carry).alias("_carry")))
+    cond = _null_safe_eq(local, carry, ["_pid"] + group_cols)
+    out = local.join(carry, cond, "inner")
+    return out.select(*[local[c] for c in df.columns],
+                      F.greatest(local["_local"], carry["_carry"]).alias(out_col))

@@ -21,6 +21,7 @@ def build_session(master: str | None = None, app: str = "riverbed", partitions:
     master = master or os.environ.get("RIVERBED_MASTER", "local[8]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

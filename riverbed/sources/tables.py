@@ -188,3 +188,64 @@ EVENTS_SESSION = {
                "PrimaryKeys": _pks("c10", "c11")},
     },
 }
+
+
+def typed_changes(events: DataFrame) -> DataFrame:
+    """Change records of table ``typed`` whose payload holds one field of every stream
+    type family (for typed extraction and value rendering). One record per event."""
+    eid = F.col("event_id")
+    et = F.col("event_type")
+    ts_text = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    payload = F.concat(
+        F.lit('{"f":'), _num_text(F.col("value")),
+        F.lit(',"b":'), F.when(F.col("value") > 100, F.lit("true")).otherwise(F.lit("false")),
+        F.lit(',"s":"'), et,
+        F.lit('","arr":["'), et, F.lit('","k'), (F.col("user_id") % 3).cast("string"),
+        F.lit('"],"hx":"'), F.lower(F.hex(et)),
+        F.lit('","by":"'), F.base64(et.cast("binary")),
+        F.lit('","t":"'), ts_text,
+        F.lit('","d":"'), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"),
+        F.lit('","j":'), F.col("props"),
+        F.lit(',"q":"it\'s '), et,
+        F.lit('","nul":null,"n":"'), _num_text(F.col("value")),
+        F.lit('"}'))
+    keys = F.concat(F.lit('{"id":"'), eid.cast("string"), F.lit('"}'))
+    commit = F.col("ts").cast("timestamp")
+    return events.select(
+        commit.alias("commit_ts"),
+        F.unix_seconds(commit).alias("commit_seconds"),
+        ((F.unix_micros(commit) % 1_000_000) * 1000).cast("int").alias("commit_nanos"),
+        F.lpad(eid.cast("string"), 12, "0").alias("server_txn_id"),
+        F.lit("00000000").alias("record_sequence"),
+        F.lit("typed").alias("table_name"),
+        keys.alias("keys_json"),
+        F.lit("{}").alias("old_values_json"),
+        payload.alias("new_values_json"),
+        F.when(et == "error", F.lit("DELETE")).when(et == "signup", F.lit("INSERT"))
+         .otherwise(F.lit("UPDATE")).alias("mod_type"),
+        F.lit(1).cast("bigint").alias("num_records_in_txn"),
+        F.lit("").alias("txn_tag"))
+
+
+TYPED_SESSION = {
+    "SpSchema": {
+        "t9": {"Name": "typed", "ColIds": [f"c{i}" for i in range(20, 33)], "ShardIdColumn": "",
+               "ColDefs": dict([
+                   _sp_col("c20", "id", "INT64"), _sp_col("c21", "f", "FLOAT64"), _sp_col("c22", "b", "BOOL"),
+                   _sp_col("c23", "s", "STRING"), _sp_col("c24", "arr", "STRING", True),
+                   _sp_col("c25", "hx", "STRING"), _sp_col("c26", "by", "BYTES"),
+                   _sp_col("c27", "t", "TIMESTAMP"), _sp_col("c28", "d", "DATE"), _sp_col("c29", "j", "JSON"),
+                   _sp_col("c30", "q", "STRING"), _sp_col("c31", "nul", "STRING"), _sp_col("c32", "n", "NUMERIC")]),
+               "PrimaryKeys": _pks("c20")},
+    },
+    "SrcSchema": {
+        "t9": {"Name": "typed_src", "ColIds": [f"c{i}" for i in range(20, 33)],
+               "ColDefs": dict([
+                   _src_col("c20", "id", "int"), _src_col("c21", "f", "double"), _src_col("c22", "b", "tinyint"),
+                   _src_col("c23", "s", "enum"), _src_col("c24", "arr", "set"), _src_col("c25", "hx", "binary"),
+                   _src_col("c26", "by", "blob"), _src_col("c27", "t", "datetime"), _src_col("c28", "d", "date"),
+                   _src_col("c29", "j", "json"), _src_col("c30", "q", "varchar"), _src_col("c31", "nul", "varchar"),
+                   _src_col("c32", "n", "decimal")]),
+               "PrimaryKeys": _pks("c20")},
+    },
+}
