@@ -19,7 +19,15 @@ from riverbed.session import broadcast_checked, cut_lineage
 
 
 def _null_safe_eq(left: DataFrame, right: DataFrame, cols) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+    """Null-safe equality on ``cols``; the right side carries them renamed ``_r_<col>``."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r_{c}"]) for c in cols])
+
+
+def _renamed(df: DataFrame, cols) -> DataFrame:
+    out = df
+    for c in cols:
+        out = out.withColumnRenamed(c, f"_r_{c}")
+    return out
 
 
 def positions(df: DataFrame, order_cols, group_cols=(), position_col: str = "position",
@@ -43,7 +51,7 @@ def positions(df: DataFrame, order_cols, group_cols=(), position_col: str = "pos
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *group_cols, "_m0",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    offsets = broadcast_checked(offsets)
+    offsets = broadcast_checked(_renamed(offsets, ["_pid"] + group_cols))
     cond = _null_safe_eq(tagged, offsets, ["_pid"] + group_cols)
     out = tagged.join(offsets, cond, "inner").select(
         *[tagged[c] for c in tagged.columns if c not in ("_pid", "_mid")],
@@ -71,7 +79,8 @@ def prefix_max(df: DataFrame, value_col: str, order_cols, group_cols=(), out_col
     local = tagged.withColumn("_local", F.max(value_col).over(w_local))
     summ = tagged.groupBy("_pid", *group_cols).agg(F.max(value_col).alias("_pmax"))
     w_carry = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = broadcast_checked(summ.select("_pid", *group_cols, F.max("_pmax").over(w_carry).alias("_carry")))
+    carry = summ.select("_pid", *group_cols, F.max("_pmax").over(w_carry).alias("_carry"))
+    carry = broadcast_checked(_renamed(carry, ["_pid"] + group_cols))
     cond = _null_safe_eq(local, carry, ["_pid"] + group_cols)
     out = local.join(carry, cond, "inner")
     return out.select(*[local[c] for c in df.columns],
