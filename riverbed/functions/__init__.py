@@ -1 +1,14 @@
 """Column functions: typed extraction from JSON payloads (X*) and value text for DML (F*)."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def pinned(c: Column) -> Column:
+    """Evaluate an expensive expression once per row.
+
+    Catalyst may copy a projected expression into every place that uses it (project
+    collapsing, filters pushed below the projection). For a JSON parse or a rendered
+    statement used many times that multiplies the work per row. A nondeterministic
+    identity (the partition id is never negative) stops both rewrites for this column only."""
+    return F.when(F.spark_partition_id() >= F.lit(0), c)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverbed.functions import pinned
 from riverbed.functions.render import DIALECTS, column_value
 from riverbed.operators.mapping import map_tables, table_specs
 from riverbed.operators.ordering import positions
@@ -72,7 +73,7 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
     pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash))
     cols = F.filter(F.transform("col_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash)),
                     lambda x: x["found"])
-    d = d.withColumn("_pkv", pkv).withColumn("_cols", cols)
+    d = d.withColumn("_pkv", pinned(pkv)).withColumn("_cols", pinned(cols))
     mod = F.col("mod_type")
     reason = (F.when(F.col("table_id").isNull(), F.lit(DROP_TABLE_NOT_MAPPED))
               .when(F.col("src_table").isNull(), F.lit(DROP_SOURCE_TABLE_MISSING))
@@ -81,12 +82,13 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
               .when(F.exists("pk_specs", lambda c: c["sp_col"].isNull()), F.lit(DROP_PK_NOT_MAPPED))
               .when(F.exists("_pkv", lambda x: ~x["found"]), F.lit(DROP_PK_ABSENT)))
     table = F.col("src_table")
-    stmt = (F.when(reason.isNotNull(), F.lit(""))
+    keep = [c for c in changes.columns if c not in ("_k", "_n")]
+    d = d.withColumn("_reason", pinned(reason))
+    stmt = (F.when(F.col("_reason").isNotNull(), F.lit(""))
             .when(mod == "DELETE", _delete(table, F.col("_pkv"), dialect))
             .otherwise(_upsert(table, F.col("_pkv"), F.col("_cols"), dialect)))
-    keep = [c for c in changes.columns if c not in ("_k", "_n")]
-    pk_text = F.when(reason.isNull(), _join(F.col("_pkv"), "val", ","))
-    return d.select(*keep, F.col("src_table"), stmt.alias("dml"), reason.alias("drop_reason"),
+    pk_text = F.when(F.col("_reason").isNull(), _join(F.col("_pkv"), "val", ","))
+    return d.select(*keep, F.col("src_table"), pinned(stmt).alias("dml"), F.col("_reason").alias("drop_reason"),
                     pk_text.alias("pk_text"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbed import model
+from riverbed.functions import pinned
 from riverbed.functions import values as V
 
 LOOP_TAG_PREFIX = "txBy="          # fixed value: transaction-tag prefix of loop-back writes
@@ -76,9 +77,9 @@ def with_payloads(df: DataFrame) -> DataFrame:
     """Parse keys/new-values JSON once into maps ``_k`` / ``_n`` (reused by later steps)."""
     out = df
     if "_k" not in df.columns:
-        out = out.withColumn("_k", V.parse("keys_json"))
+        out = out.withColumn("_k", pinned(V.parse("keys_json")))
     if "_n" not in df.columns:
-        out = out.withColumn("_n", V.parse("new_values_json"))
+        out = out.withColumn("_n", pinned(V.parse("new_values_json")))
     return out
 
 

@@ -21,7 +21,7 @@ from riverbed.operators.latest import apply_changes, latest_per_key
 from riverbed.operators.ordering import positions, prefix_max
 from riverbed.sources import tables as TB
 from riverbed.sources.changes import bound_changes
-from riverbed.sources.config import catalog_from_session, session_from_dict
+from riverbed.sources.config import cached_session
 from riverbed.sinks import messages as MSG
 from riverbed.sinks import state as ST
 from riverbed.streaming.windows import dedup_ids, window_start
@@ -44,7 +44,7 @@ def _changes(spark, sf, mode="forward_migration"):
 
 
 def _session(spark):
-    return session_from_dict(spark, TB.EVENTS_SESSION)
+    return cached_session(spark, TB.EVENTS_SESSION)
 
 
 def _typed(spark, sf):
@@ -364,7 +364,7 @@ def _typed_session(spark, only_pk=False):
         src["ColIds"] = ["c20"]
         src["Name"] = "typed_keys"
         sess = {"SpSchema": sess["SpSchema"], "SrcSchema": {"t9": src}}
-    return session_from_dict(spark, sess)
+    return cached_session(spark, sess)
 
 
 def f_dml_mysql_typed(spark, sf):

@@ -70,10 +70,18 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return f"{root}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage by writing the frame once as parquet into the shared checkpoint folder
+    and reading it back (a reliable copy: survives executor loss, and values computed by
+    non-deterministic expressions such as partition ids are fixed from then on).
+
+    ``DataFrame.checkpoint`` would compute the plan twice (once to count, once to write);
+    a table write computes it once. The partitioning is kept as one file per partition."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:

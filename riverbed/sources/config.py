@@ -76,6 +76,22 @@ def session_from_dict(spark: SparkSession, session: dict) -> tuple[DataFrame, Da
     return _session_frames(doc)
 
 
+def cached_session(spark: SparkSession, session: dict) -> tuple[DataFrame, DataFrame]:
+    """``session_from_dict`` with the two (tiny) mapping frames cached, so the size checks
+    and broadcasts of several operators reuse one computation."""
+    key = json.dumps(session, sort_keys=True)
+    hit = _SESSION_CACHE.get(key)
+    if hit is not None and hit[0].sparkSession is spark:
+        return hit
+    tm, cm = session_from_dict(spark, session)
+    out = (tm.cache(), cm.cache())
+    _SESSION_CACHE[key] = out
+    return out
+
+
+_SESSION_CACHE: dict = {}
+
+
 def read_shards(spark: SparkSession, path: str, source_type: str = "mysql") -> DataFrame:
     """Shard file (JSON array), sorted by logical shard id. A malformed file fails the
     read; a source type other than mysql/postgresql is an error."""
