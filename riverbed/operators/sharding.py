@@ -101,6 +101,8 @@ def shard_by_udf(df: DataFrame, factory, params: str = "", with_latency: bool =
     Python. With ``with_latency`` the per-call latency in ms is returned (G6)."""
     import json as _json
 
+    from riverbed.session import ship_package
+    ship_package(df.sparkSession)
     out_type = "struct<shard:string,latency_ms:double>"
 
     @F.pandas_udf(out_type)

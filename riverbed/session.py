@@ -19,6 +19,12 @@ def build_session(master: str | None = None, app: str = "riverbed", partitions:
                   extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster, pass the cluster's own master."""
     master = master or os.environ.get("RIVERBED_MASTER", "local[8]")
+    # Python processes started by the JVM (workers, the stateful-processor runner) inherit
+    # the environment: put the package root on their path before the JVM starts.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root] + paths)
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -92,3 +98,26 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riverbed`` importable in Python workers (stateful processors, pandas UDFs):
+    zip the package once and ``addPyFile`` it, which distributes it to every executor."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="riverbed-pkg-"), "riverbed.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -35,7 +35,8 @@ class GuardProcessor(StatefulProcessor):
         self.arrival_col = arrival_col
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_commit_ns", "v long")
+        from pyspark.sql.types import LongType, StructField, StructType
+        self.last = handle.getValueState("last_commit_ns", StructType([StructField("v", LongType(), True)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import pandas as pd
@@ -59,5 +60,7 @@ class GuardProcessor(StatefulProcessor):
 
 def guard_stream(df: DataFrame, key_cols, arrival_col: str, output_schema) -> DataFrame:
     """W9 streaming form (``transformWithStateInPandas`` keyed by table + primary key)."""
+    from riverbed.session import ship_package
+    ship_package(df.sparkSession)
     return df.groupBy(*key_cols).transformWithStateInPandas(
         GuardProcessor(arrival_col), output_schema, "append", "None")
