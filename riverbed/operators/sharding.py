@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from typing import Iterator, Tuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -106,7 +107,7 @@ def shard_by_udf(df: DataFrame, factory, params: str = "", with_latency: bool =
     out_type = "struct<shard:string,latency_ms:double>"
 
     @F.pandas_udf(out_type)
-    def _call(it):
+    def _call(it: Iterator[Tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         fn = factory(params)
         for tables, keys, news in it:
             shard, lat = [], []

@@ -63,9 +63,11 @@ def parse_buffer(df: DataFrame, value_col: str = "value", on_error: str = "fail"
     ]
     rest = [c for c in df.columns if c != value_col]
     if on_error == "fail":
-        checked = parsed.select(F.when(~ok, F.raise_error(F.concat(F.lit("Input record is not as expected: "),
-                                                                   F.col("_raw")))).alias("_chk"), "*")
-        return checked.select(*good_cols, *rest), None
+        # the check rides on a kept column, so column pruning cannot drop it
+        err = F.raise_error(F.concat(F.lit("Input record is not as expected: "), F.col("_raw")))
+        cols = [F.when(~ok, err).otherwise(F.col("_b.tableName")).alias("table_name") if i == 5 else c
+                for i, c in enumerate(good_cols)]
+        return parsed.select(*cols, *rest), None
     good = parsed.where(ok).select(*good_cols, *rest)
     bad = parsed.where(~ok).select(F.lit("parse_buffer").alias("stage"),
                                    F.lit("Input record is not as expected").alias("error"),
