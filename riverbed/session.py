@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 # while they stay under this many rows; above it the join falls back to a shuffle.
 BROADCAST_ROW_LIMIT = 100_000
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark: SparkSession) -> None:
+    """Stateful processors (``transformWithState``) need the RocksDB state store, which also
+    keeps large state off the JVM heap."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "") != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
 
 def build_session(master: str | None = None, app: str = "riverbed", partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -34,6 +44,7 @@ def build_session(master: str | None = None, app: str = "riverbed", partitions:
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.shuffle.partitions", str(partitions or 8))
+         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
          .config("spark.driver.memory", "8g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

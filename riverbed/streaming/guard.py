@@ -60,7 +60,8 @@ class GuardProcessor(StatefulProcessor):
 
 def guard_stream(df: DataFrame, key_cols, arrival_col: str, output_schema) -> DataFrame:
     """W9 streaming form (``transformWithStateInPandas`` keyed by table + primary key)."""
-    from riverbed.session import ship_package
+    from riverbed.session import ensure_rocksdb_state, ship_package
     ship_package(df.sparkSession)
+    ensure_rocksdb_state(df.sparkSession)
     return df.groupBy(*key_cols).transformWithStateInPandas(
         GuardProcessor(arrival_col), output_schema, "append", "None")

@@ -117,9 +117,10 @@ class OrderedReleaseProcessor(StatefulProcessor):
 def ordered_release(changes: DataFrame, interval: str = "1 second", emit: str = "all",
                     watermark_delay: str = "0 seconds", salt_buckets: int = 1) -> DataFrame:
     """Streaming ordered release. ``changes`` needs the BUFFER_COLUMNS (shard set)."""
-    from riverbed.session import ship_package
+    from riverbed.session import ensure_rocksdb_state, ship_package
     from riverbed.streaming.windows import size_micros
     ship_package(changes.sparkSession)
+    ensure_rocksdb_state(changes.sparkSession)
     interval_ms = size_micros(interval) // 1000 if interval.strip() not in ("0", "0 seconds") else 0
     d = changes.select(*BUFFER_COLUMNS).withWatermark("commit_ts", watermark_delay)
     if salt_buckets > 1:
