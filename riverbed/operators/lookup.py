@@ -76,6 +76,38 @@ def asof_lookup(probes: DataFrame, versions: DataFrame, key_cols, value_cols, la
                          *[best[c].alias(c) for c in value_cols])
 
 
+def asof_fill(df: DataFrame, key_cols, value_col: str, is_version: str, is_probe: str, out_col: str,
+              lag_seconds: int = 1, bucket_seconds: int = 86400,
+              order_cols=("commit_seconds", "commit_nanos", "server_txn_id", "record_sequence")) -> DataFrame:
+    """J4 on one frame: rows flagged ``is_version`` carry ``value_col``; every row flagged
+    ``is_probe`` gets, in ``out_col``, the value of the latest version row of its key with
+    commit <= (its commit - ``lag_seconds``). Other rows pass through (``out_col`` NULL).
+
+    Same plan as ``asof_lookup`` without the union: one time-ordered scan inside
+    (key, time bucket) partitions plus a per-(key, bucket) summary for the carry-in."""
+    key_cols = list(key_cols)
+    s, n, txn, seq = order_cols
+    d = (df.withColumn("_es", F.when(F.col(is_probe), F.col(s) - F.lit(lag_seconds)).otherwise(F.col(s)))
+         .withColumn("_kind", F.when(F.col(is_probe), F.lit(1)).otherwise(F.lit(0)))
+         .withColumn("_val", F.when(F.col(is_version), F.col(value_col)))
+         .withColumn("_bucket", F.floor(F.col("_es") / F.lit(bucket_seconds))))
+    w_in = (Window.partitionBy(*key_cols, "_bucket").orderBy("_es", n, "_kind", txn, seq)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    scanned = d.withColumn("_inb", F.when(F.col(is_probe), F.last("_val", ignorenulls=True).over(w_in)))
+
+    summary = (d.where(F.col(is_version)).groupBy(*key_cols, "_bucket")
+               .agg(F.max_by("_val", F.struct("_es", n, txn, seq)).alias("_sv")).withColumn("_m", F.lit(1)))
+    markers = (d.where(F.col(is_probe)).select(*key_cols, "_bucket").distinct()
+               .withColumn("_sv", F.lit(None).cast(summary.schema["_sv"].dataType)).withColumn("_m", F.lit(0)))
+    w_carry = Window.partitionBy(*key_cols).orderBy("_bucket", "_m").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (summary.unionByName(markers).withColumn("_carry", F.last("_sv", ignorenulls=True).over(w_carry))
+             .where(F.col("_m") == 0).select(*[F.col(k).alias(f"_c_{k}") for k in key_cols],
+                                             F.col("_bucket").alias("_c_bucket"), "_carry"))
+    cond = [scanned[k].eqNullSafe(carry[f"_c_{k}"]) for k in key_cols] + [scanned["_bucket"] == carry["_c_bucket"]]
+    joined = scanned.join(carry, cond, "left")
+    return joined.select(*df.columns, F.coalesce("_inb", "_carry").alias(out_col))
+
+
 def tables_without_shadow(tables: DataFrame, name_col: str = "table_name", prefix: str = SHADOW_PREFIX) -> DataFrame:
     """Data tables (not shadow tables themselves) that have no ``shadow_<name>`` yet."""
     data = tables.where(~F.col(name_col).startswith(prefix)).select(name_col)

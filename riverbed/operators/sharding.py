@@ -34,37 +34,43 @@ def _shard_table_map(table_map: DataFrame) -> DataFrame:
                                               F.col("shard_col").alias("_scol")))
 
 
-def shard_by_column(df: DataFrame, table_map: DataFrame, versions: DataFrame | None = None,
-                    lag: str = "1 second") -> tuple[DataFrame, DataFrame]:
+def shard_by_column(df: DataFrame, table_map: DataFrame, lookup_deletes: bool = True,
+                    lag_seconds: int = 1) -> DataFrame:
     """A2 (+A6): shard = value of the table's shard column, looked up in the keys JSON, then
     in the new values. A DELETE without the column takes it from the row version in force
-    one second before the commit (``versions``: changes carrying the column, see
-    ``lookup.asof_lookup``). Non-DELETE changes without it are dropped.
+    ``lag_seconds`` before its commit: the latest earlier change of the same table and key
+    that carried the column (as-of lookup over the same frame, ``lookup.asof_fill``).
+    Non-DELETE changes without it are dropped.
 
-    Returns (sharded, dropped)."""
+    Returns the changes with ``shard`` and ``drop_reason`` (NULL when sharded); use
+    ``split_dropped`` for two frames."""
+    from riverbed.operators.lookup import asof_fill
     d = with_payloads(df).join(_shard_table_map(table_map), F.col("table_name") == F.col("_t"), "left")
     col = F.col("_scol")
-    found = V.has(F.col("_k"), col) | V.has(F.col("_n"), col)
-    val = V.keys_first_text(F.col("_k"), F.col("_n"), col)
-    d = d.withColumn("shard", F.when(found, val)).withColumn("_found", F.coalesce(found, F.lit(False)))
-    base_cols = df.columns
-    direct = d.where(F.col("_found")).select(*base_cols, "shard")
-    need = d.where(~F.col("_found") & (F.col("mod_type") == "DELETE")).select(*base_cols, "_scol")
-    dropped = d.where(~F.col("_found") & (F.col("mod_type") != "DELETE")).select(
-        *base_cols, F.lit("shard column not in record").alias("drop_reason"))
-    if versions is None:
-        return direct, dropped.unionByName(need.drop("_scol").withColumn(
-            "drop_reason", F.lit("delete without shard column and no row versions")))
-    from riverbed.operators.lookup import asof_lookup
-    v = with_payloads(versions).join(_shard_table_map(table_map), F.col("table_name") == F.col("_t"))
-    v = v.select("table_name", "keys_json", "commit_seconds", "commit_nanos", "server_txn_id",
-                 "record_sequence", V.row_image_text(F.col("_k"), F.col("_n"), F.col("_scol")).alias("shard"))
-    v = v.where(F.col("shard").isNotNull())
-    looked = asof_lookup(need.drop("_scol"), v, ["table_name", "keys_json"], ["shard"], lag_seconds=1)
-    resolved = looked.where(F.col("shard").isNotNull())
-    unresolved = looked.where(F.col("shard").isNull()).drop("shard").withColumn(
-        "drop_reason", F.lit("no row version before delete"))
-    return direct.unionByName(resolved), dropped.unionByName(unresolved)
+    found = F.coalesce(V.has(F.col("_k"), col) | V.has(F.col("_n"), col), F.lit(False))
+    d = d.select(*df.columns, found.alias("_found"),
+                 F.when(found, V.keys_first_text(F.col("_k"), F.col("_n"), col)).alias("_direct"),
+                 V.row_image_text(F.col("_k"), F.col("_n"), col).alias("_image"),
+                 F.col("_tid"))
+    is_del = F.col("mod_type") == "DELETE"
+    d = (d.withColumn("_is_version", F.col("_tid").isNotNull() & F.col("_image").isNotNull())
+         .withColumn("_is_probe", ~F.col("_found") & is_del))
+    if lookup_deletes:
+        d = asof_fill(d, ["table_name", "keys_json"], "_image", "_is_version", "_is_probe", "_prior",
+                      lag_seconds=lag_seconds)
+    else:
+        d = d.withColumn("_prior", F.lit(None).cast("string"))
+    shard = F.when(F.col("_found"), F.col("_direct")).otherwise(F.col("_prior"))
+    reason = (F.when(F.col("_found"), F.lit(None).cast("string"))
+              .when(~is_del, F.lit("shard column not in record"))
+              .when(F.col("_prior").isNull(), F.lit("no row version before delete")))
+    return d.select(*df.columns, shard.alias("shard"), reason.alias("drop_reason"))
+
+
+def split_dropped(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a shard, dropped rows with their reason)."""
+    return (df.where(F.col("drop_reason").isNull()).drop("drop_reason"),
+            df.where(F.col("drop_reason").isNotNull()).drop("shard"))
 
 
 def shard_by_image(df: DataFrame, table_map: DataFrame, skip: str = DEFAULT_SKIP_SHARD) -> DataFrame:

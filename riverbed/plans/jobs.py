@@ -59,13 +59,10 @@ def stream_to_buffer_batch(records: DataFrame, table_map: DataFrame, topic: str,
                            filtration: str = "forward_migration", pretty: bool = False) -> DataFrame:
     """Q3 (batch): Kafka rows per change in per-shard order (``position``)."""
     ch = T.explode_mods(T.filter_changes(records, filtration))
-    versions = ch.where(F.col("mod_type") != "DELETE")
-    sharded, _ = S.shard_by_column(ch, table_map, versions=versions)
-    ordered = positions(sharded, model.ORDER_COLUMNS, ["shard"])
-    shards = sharded.select(F.col("shard").alias("logicalShardId")).distinct()
-    fr = MSG.kafka_frame(ordered, shards, topic, pretty=pretty)
-    return fr.join(ordered.select("server_txn_id", "record_sequence", "position"),
-                   ["server_txn_id", "record_sequence"])
+    sharded, _ = S.split_dropped(S.shard_by_column(ch, table_map))
+    ordered = positions(sharded, model.ORDER_COLUMNS, ["shard"])      # materialized once
+    shards = ordered.select(F.col("shard").alias("logicalShardId")).distinct()
+    return MSG.kafka_frame(ordered, shards, topic, pretty=pretty, extra_cols=["position"])
 
 
 def windowed_export_batch(records: DataFrame, table_map: DataFrame, size: str,

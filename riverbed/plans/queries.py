@@ -190,12 +190,9 @@ def a1_shard_mod(spark, sf):
 
 
 def a2_shard_column(spark, sf):
-    ch = _changes(spark, sf)
     tm, _ = _session(spark)
-    versions = ch.where(F.col("mod_type") != "DELETE")
-    sharded, dropped = S.shard_by_column(ch, tm, versions=versions)
-    return (sharded.select(*_ids(sharded), "shard", F.lit(None).cast("string").alias("drop_reason"))
-            .unionByName(dropped.select(*_ids(dropped), F.lit(None).cast("string").alias("shard"), "drop_reason")))
+    out = S.shard_by_column(_changes(spark, sf), tm)
+    return out.select(*_ids(out), "shard", "drop_reason")
 
 
 def a3_shard_image(spark, sf):

@@ -101,12 +101,27 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast-hint a configuration frame after proving its size bound.
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
-    The count is an action on a small config frame (session mapping, shard list). When the
-    frame is larger than ``max_rows`` the hint is left off and Spark plans a shuffle join.
-    """
+
+def _plan_size_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
+                      max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """Broadcast-hint a frame only after proving its size bound.
+
+    First Catalyst's size estimate of the plan is used (exact for cached and local frames,
+    an upper bound for most derived ones); when it does not prove the bound, the rows are
+    counted (one small job on a configuration frame). Above the bound no hint is added and
+    Spark plans a shuffle join instead."""
+    size = _plan_size_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

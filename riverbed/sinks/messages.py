@@ -35,7 +35,7 @@ def buffer_messages(df: DataFrame, pretty: bool = True) -> DataFrame:
     return df.select("*", F.to_json(buffer_record(df), opts).alias("value"))
 
 
-def kafka_frame(df: DataFrame, shards: DataFrame, topic: str, pretty: bool = True) -> DataFrame:
+def kafka_frame(df: DataFrame, shards: DataFrame, topic: str, pretty: bool = True, extra_cols=()) -> DataFrame:
     """K1: ``(topic, partition, key, value)`` rows for ``write.format("kafka")``: partition is
     the shard's position in shard-id order, key the shard id, value the message JSON."""
     from riverbed.operators.sharding import partition_numbers
@@ -43,7 +43,8 @@ def kafka_frame(df: DataFrame, shards: DataFrame, topic: str, pretty: bool = Tru
     m = buffer_messages(df, pretty)
     return (m.join(parts, m["shard"] == parts["_sid"], "left")
             .select(F.lit(topic).alias("topic"), F.col("partition").cast("int").alias("partition"),
-                    F.col("shard").alias("key"), F.col("value"), "server_txn_id", "record_sequence"))
+                    F.col("shard").alias("key"), F.col("value"), "server_txn_id", "record_sequence",
+                    *extra_cols))
 
 
 def ordered_topic_frame(df: DataFrame, pretty: bool = False) -> DataFrame:

@@ -37,7 +37,7 @@ def test_column_shard_and_delete_asof(spark):
             change("tableName", {"accountId": "Id3"}, {}, "DELETE", 200, seq="3"),
             change("tableName", {"accountId": "Id3"}, {"accountName": "x"}, "UPDATE", 300, seq="4")]
     df = spark.createDataFrame(rows, SCHEMA)
-    ok, dropped = S.shard_by_column(df, tm, versions=df.where("mod_type <> 'DELETE'"))
+    ok, dropped = S.split_dropped(S.shard_by_column(df, tm))
     got = sorted((r["record_sequence"], r["shard"]) for r in ok.collect())
     assert got == [("0", "shard1"), ("1", "shard2"), ("2", "shard1")]
     assert sorted(r["drop_reason"] for r in dropped.collect()) == ["no row version before delete",
