@@ -127,3 +127,14 @@ def validate_shard(df: DataFrame, shard_col: str = "shard", on_error: str = "fai
         F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("record"),
         F.current_timestamp().alias("failed_at"))
     return tagged.where(F.col("_err").isNull()).drop("_err"), bad
+
+
+def redistribute(df: DataFrame, num_partitions: int | None = None, key_cols=("table_name", "keys_json")) -> DataFrame:
+    """Spread changes over tasks between stages. The reference reshuffles at random,
+    which lets two changes of one key race; here the spread is by (table, key), so all
+    changes of a key stay in one task and keep their order, while a hot shard is still
+    spread over many tasks. ``key_cols=None`` gives the plain round-robin form."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not key_cols:
+        return df.repartition(n)
+    return df.repartition(n, *key_cols)
