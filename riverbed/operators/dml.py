@@ -111,7 +111,7 @@ def statement_batches(rendered: DataFrame, order_cols, shard_col: str = "shard",
             .agg(F.array_sort(F.collect_list(F.struct("position", "dml"))).alias("_s"))
             .select(shard_col, "batch_no",
                     F.try_element_at(F.col("_s"), F.lit(1))["position"].alias("first_position"),
-                    F.size("_s").alias("n_statements"),
+                    F.size("_s").cast("bigint").alias("n_statements"),
                     F.transform("_s", lambda x: x["dml"]).alias("statements")))
 
 

@@ -296,10 +296,10 @@ UNION ALL SELECT NULL, count(*), 'all' FROM img
 
 ORACLE["g5_lag_distribution"] = with_chg(IMAGE_SHARD + f""",
 lags AS (SELECT shard, CAST(floor((epoch_us({P_TS}) - epoch_us(commit_ts)) / 1000) AS BIGINT) AS lag_ms FROM img)
-SELECT shard, count(lag_ms) AS n, sum(lag_ms) AS sum_ms, min(lag_ms) AS min_ms, max(lag_ms) AS max_ms,
-  'shard' AS scope FROM lags GROUP BY shard
+SELECT shard, count(lag_ms) AS n, CAST(sum(lag_ms) AS BIGINT) AS sum_ms, min(lag_ms) AS min_ms,
+  max(lag_ms) AS max_ms, 'shard' AS scope FROM lags GROUP BY shard
 UNION ALL
-SELECT NULL, count(lag_ms), sum(lag_ms), min(lag_ms), max(lag_ms), 'all' FROM lags
+SELECT NULL, count(lag_ms), CAST(sum(lag_ms) AS BIGINT), min(lag_ms), max(lag_ms), 'all' FROM lags
 """)
 
 ORACLE["g7_min_file_start"] = with_chg(IMAGE_SHARD + f"""
