@@ -199,3 +199,9 @@ def keys_first_text(keys_m: Column, new_m: Column, key) -> Column:
 def row_image(keys_m: Column, new_m: Column) -> Column:
     """P5: the whole row image as one map, new values overriding keys."""
     return F.map_concat(F.map_filter(keys_m, lambda k, _: ~F.map_contains_key(new_m, k)), new_m)
+
+
+def row_payload(cols) -> Column:
+    """A stored (typed) row as a payload JSON object, NULL values kept, so that rows
+    read from a table feed the same extraction / shard functions as change payloads."""
+    return F.to_json(F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols]), {"ignoreNullFields": "false"})

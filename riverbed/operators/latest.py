@@ -63,6 +63,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, key_cols, value_cols, f
         raise ValueError("fold must be 'row' or 'column'")
 
     t = target.select(*key_cols, *[F.col(c).alias(f"_t_{c}") for c in value_cols]).withColumn("_in_t", F.lit(True))
+    # A target stored bucketed by the key (``save_bucketed``) is read already partitioned,
+    # so only the (much smaller) folded changes are shuffled into its layout.
     j = t.join(folded, key_cols, "full")
     had_change = F.col("_any_del").isNotNull()
     keep = ~had_change | (last_mod != "DELETE")
@@ -77,3 +79,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, key_cols, value_cols, f
                    .when(F.coalesce(present, F.lit(False)), val)
                    .otherwise(base).alias(c))
     return j.where(keep).select(*key_cols, *out)
+
+
+def save_bucketed(df: DataFrame, table: str, key_cols, buckets: int, mode: str = "overwrite") -> None:
+    """Store a target table bucketed and sorted by its key, so that applying changes
+    (F18) reads it without a shuffle; the next version is written the same way."""
+    (df.write.mode(mode).bucketBy(buckets, *key_cols).sortBy(*key_cols).saveAsTable(table))

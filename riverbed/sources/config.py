@@ -126,6 +126,24 @@ def catalog_from_frames(spark: SparkSession, tables: dict) -> DataFrame:
     return spark.createDataFrame(rows, model.CATALOG)
 
 
+def read_catalog_jdbc(spark: SparkSession, url: str, properties: dict, schema_name: str) -> DataFrame:
+    """S7 from a live database: columns, types and primary-key positions from
+    ``information_schema`` (MySQL / PostgreSQL), read with Spark's JDBC source."""
+    query = f"""(SELECT c.table_name, c.column_name, c.data_type AS spanner_type,
+                        c.ordinal_position AS ordinal, k.ordinal_position AS pk_ordinal
+                 FROM information_schema.columns c
+                 LEFT JOIN information_schema.key_column_usage k
+                   ON k.table_schema = c.table_schema AND k.table_name = c.table_name
+                  AND k.column_name = c.column_name AND k.constraint_name IN (
+                      SELECT constraint_name FROM information_schema.table_constraints t
+                      WHERE t.table_schema = c.table_schema AND t.table_name = c.table_name
+                        AND t.constraint_type = 'PRIMARY KEY')
+                 WHERE c.table_schema = '{schema_name}') AS cat"""
+    df = spark.read.jdbc(url, query, properties=properties)
+    return df.select("table_name", "column_name", "spanner_type", F.col("ordinal").cast("int"),
+                     F.col("pk_ordinal").cast("int"), F.lit(False).alias("pk_desc"))
+
+
 def catalog_from_session(column_map: DataFrame, table_map: DataFrame) -> DataFrame:
     """S7 from a session: stream-side tables, columns, types and PK order."""
     return (column_map.where(F.col("sp_col").isNotNull())

@@ -59,3 +59,27 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {r["k"]: (r["mod_type"], r["a"]) for r in latest_per_key(df, ["k"]).collect()}
     assert got == {1: ("UPDATE", 2), 2: ("DELETE", None)}
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    from riverbed.operators.latest import save_bucketed
+    spark.sql("DROP TABLE IF EXISTS rb_target_bucketed")
+    target = spark.createDataFrame([(i, i * 10, f"t{i}") for i in range(50)], "k int, a int, b string")
+    save_bucketed(target, "rb_target_bucketed", ["k"], 8)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    ch = spark.createDataFrame([(1, "UPDATE", 5, 0, "x", "0", 7, True, None, False)], SCHEMA)
+    out = apply_changes(spark.table("rb_target_bucketed"), ch, ["k"], ["a", "b"])
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Bucketed: true" in plan
+    # only the folded changes are shuffled; the stored target keeps its bucket layout
+    assert plan.count("Exchange hashpartitioning") == 1
+    got = {r["k"]: (r["a"], r["b"]) for r in out.collect()}
+    assert got[1] == (7, "t1") and len(got) == 50
+
+
+def test_row_payload(spark):
+    from pyspark.sql import functions as F
+    from riverbed.functions import values as V
+    df = spark.createDataFrame([(1, None, "s1")], "id int, name string, migration_shard_id string")
+    m = df.select(V.parse(V.row_payload(df.columns)).alias("m")).collect()[0]["m"]
+    assert m == {"id": "1", "name": None, "migration_shard_id": "s1"}
