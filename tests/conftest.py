@@ -16,6 +16,7 @@ def spark():
     ckpt = tempfile.mkdtemp(prefix="riverbed-test-ckpt-")
     s = build_session("local[4]", app="riverbed-tests", partitions=8,
                       extra={"spark.checkpoint.dir": ckpt,
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="riverbed-test-warehouse-"),
                              "spark.sql.streaming.stateStore.providerClass":
                                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
     yield s

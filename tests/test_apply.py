@@ -68,8 +68,13 @@ def test_bucketed_target_is_not_shuffled(spark):
     save_bucketed(target, "rb_target_bucketed", ["k"], 8)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     ch = spark.createDataFrame([(1, "UPDATE", 5, 0, "x", "0", 7, True, None, False)], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     out = apply_changes(spark.table("rb_target_bucketed"), ch, ["k"], ["a", "b"])
-    plan = out._jdf.queryExecution().sparkPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "Bucketed: true" in plan
     # only the folded changes are shuffled; the stored target keeps its bucket layout
     assert plan.count("Exchange hashpartitioning") == 1
