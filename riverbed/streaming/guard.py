@@ -58,8 +58,13 @@ class GuardProcessor(StatefulProcessor):
         pass
 
 
-def guard_stream(df: DataFrame, key_cols, arrival_col: str, output_schema) -> DataFrame:
-    """W9 streaming form (``transformWithStateInPandas`` keyed by table + primary key)."""
+def guard_stream(df: DataFrame, key_cols, arrival_col: str, output_schema=None) -> DataFrame:
+    """W9 streaming form (``transformWithStateInPandas`` keyed by table + primary key).
+    Output: the input columns plus ``applied``. The per-key state is the shadow table of
+    the stream: it is committed with the micro-batch, after the sink wrote it."""
+    if output_schema is None:
+        from pyspark.sql.types import BooleanType, StructField, StructType
+        output_schema = StructType(list(df.schema.fields) + [StructField("applied", BooleanType(), True)])
     from riverbed.session import ensure_rocksdb_state, ship_package
     ship_package(df.sparkSession)
     ensure_rocksdb_state(df.sparkSession)
