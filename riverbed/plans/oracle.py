@@ -561,3 +561,25 @@ SELECT shard, {ts_text("time_bucket(INTERVAL 1 hour, commit_ts)")} AS window_sta
   {MSG_JSON} AS record
 FROM img WHERE shard <> 'unknown'
 """)
+
+# ----------------------------------------------------------------------------- A7, O4, K10, K11
+ORACLE["a7_shard_udf"] = with_chg("""
+SELECT server_txn_id, record_sequence, table_name || '-' || CAST(user_id % 3 AS VARCHAR) AS shard, true AS timed
+FROM fwd
+""")
+
+ORACLE["o4_first_pull"] = with_chg(IMAGE_SHARD + """,
+pos AS (SELECT shard, server_txn_id, record_sequence,
+          row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id,
+                                                        record_sequence) AS position FROM img)
+SELECT * FROM pos WHERE position <= 2000
+""")
+
+ORACLE["k10_skip_rows"] = with_chg("""
+SELECT server_txn_id, record_sequence, table_name, 'skip' AS shard FROM fwd WHERE table_name = 'unmapped'
+""")
+
+ORACLE["k11_dead_letters"] = with_chg("""
+SELECT 'assign_shard' AS stage, 'shard column not in record' AS error, server_txn_id, record_sequence
+FROM fwd WHERE table_name <> 'unmapped' AND shard_id IS NULL
+""")

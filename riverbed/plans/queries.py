@@ -206,6 +206,21 @@ def a4_shard_constant(spark, sf):
     return ch.select(*_ids(ch), "shard")
 
 
+class TableBucketShard:
+    """Example user shard function (A7): ``<table>-<UserId mod n>``; ``n`` from the params."""
+
+    def __init__(self, params: str):
+        self.n = int(params or "3")
+
+    def __call__(self, table, record):
+        return f"{table}-{int(record.get('UserId', 0)) % self.n}"
+
+
+def a7_shard_udf(spark, sf):
+    ch = S.shard_by_udf(_changes(spark, sf), TableBucketShard, "3", with_latency=True)
+    return ch.select(*_ids(ch), "shard", (F.col("shard_latency_ms") >= 0).alias("timed"))
+
+
 # ----------------------------------------------------------------------------- joins J*
 def j1_map_tables(spark, sf):
     from riverbed.operators.mapping import map_tables
@@ -344,6 +359,16 @@ def o1_shard_order(spark, sf):
     return out.select("shard", *_ids(out), "position")
 
 
+PULL_CAP = 2000   # fixed value: messages per pull
+
+
+def o4_first_pull(spark, sf):
+    """The first pull of every shard — its first PULL_CAP changes in change order."""
+    out = positions(_image_sharded(spark, sf), model.ORDER_COLUMNS, ["shard"])
+    out = out.where(F.col("position") <= PULL_CAP)
+    return out.select("shard", *_ids(out), "position")
+
+
 def o3_partition_numbers(spark, sf):
     shards = TB.supplier_shards(TB.load(spark, sf, "supplier"))
     return S.partition_numbers(shards)
@@ -506,6 +531,21 @@ def k9_seen_insert(spark, sf):
     return out.select("id", ts_text("created_at").alias("created_at"))
 
 
+def k10_skip_rows(spark, sf):
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    sk = ch.where(F.col("shard") == S.DEFAULT_SKIP_SHARD)
+    return sk.select(*_ids(sk), "table_name", "shard")
+
+
+def k11_dead_letters(spark, sf):
+    from riverbed.sinks.files import dead_letters
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    bad = ch.where(F.col("shard_error").isNotNull()).select(*_ids(ch), "table_name", "shard_error")
+    dl = dead_letters(bad, "assign_shard", "shard_error")
+    return dl.select("stage", "error", F.get_json_object("record", "$.server_txn_id").alias("server_txn_id"),
+                     F.get_json_object("record", "$.record_sequence").alias("record_sequence"))
+
+
 def k12_windowed_export(spark, sf):
     from riverbed.sinks.files import windowed_content
     out = windowed_content(_image_sharded(spark, sf), "1h")
@@ -550,14 +590,15 @@ _NAMES = """
 s1_scan_range p1_filter_forward p1_filter_none p2_explode_mods p3_parse_buffer p5_row_image p6_primary_key
 p7_change_key p8_validate_shard p9_replicable
 x1_to_boolean x2_to_long x3_to_double x4_to_string x5_to_bytes x6_to_timestamp x7_to_date x8_to_numeric x9_presence
-a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant
+a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant a7_shard_udf
 j1_map_tables j3_shadow_filter j4_asof_lookup j5_tables_without_shadow j6_seen_ids j8_kafka_partition
 g1_latest_per_key g1_latest_reference_mode g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution
-g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_partition_numbers
+g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_partition_numbers o4_first_pull
 f_dml_mysql_typed f_dml_postgres_typed f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
 f17_connection_urls f18_apply_row f18_apply_column
 w8_window_start w9_guard_twin w11_dedup_ids
-k1_kafka_frame k2_ordered_topic k5_shadow_upsert k8_progress_init k9_seen_insert k12_windowed_export
+k1_kafka_frame k2_ordered_topic k5_shadow_upsert k8_progress_init k9_seen_insert k10_skip_rows
+k11_dead_letters k12_windowed_export
 q1_direct_replication q2_shadow_replication q3_stream_to_buffer q5_windowed_export q6_table_apply
 """.split()
 

@@ -61,9 +61,17 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints (None when unset)."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     return spark.conf.get("spark.checkpoint.dir", None)
@@ -76,8 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="riverbed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -132,8 +141,8 @@ _SHIPPED: set = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``riverbed`` importable in Python workers (stateful processors, pandas UDFs):
     zip the package once and ``addPyFile`` it, which distributes it to every executor."""
-    sc = spark.sparkContext
-    key = sc.applicationId
+    sc = _context(spark)
+    key = sc.applicationId if sc is not None else id(spark)
     if key in _SHIPPED:
         return
     import zipfile
@@ -145,5 +154,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(key)
