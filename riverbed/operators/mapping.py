@@ -16,7 +16,22 @@ from riverbed.session import broadcast_checked
 _SPEC = ["sp_col", "sp_type", "sp_is_array", "src_col", "src_type"]
 
 
+_SPECS_CACHE: dict = {}
+
+
 def table_specs(table_map: DataFrame, column_map: DataFrame) -> DataFrame:
+    """Specs per stream table (see ``_table_specs``); cached when both inputs are cached
+    configuration frames, so repeated renders reuse one small frame."""
+    if table_map.is_cached and column_map.is_cached:
+        key = (id(table_map), id(column_map))
+        hit = _SPECS_CACHE.get(key)
+        if hit is None:
+            hit = _SPECS_CACHE[key] = _table_specs(table_map, column_map).cache()
+        return hit
+    return _table_specs(table_map, column_map)
+
+
+def _table_specs(table_map: DataFrame, column_map: DataFrame) -> DataFrame:
     """J2 at load time: source columns joined to stream columns by column id.
 
     Result, one row per stream table: ``sp_table, table_id, src_table, src_pk_count,

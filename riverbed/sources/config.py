@@ -50,16 +50,15 @@ def _session_frames(doc: DataFrame) -> tuple[DataFrame, DataFrame]:
     column_map = sp_cols.join(src_cols, ["table_id", "col_id"], "full").select(
         *[c.split()[0] for c in model.COLUMN_MAP.split(", ")])
 
-    shard_names = sp.select(F.col("table_id").alias("s_tid"), F.explode("t.ColDefs").alias("cid", "d")).select(
-        "s_tid", "cid", F.col("d.Name").alias("shard_col"))
-    base = (sp.select("table_id", F.col("t.Name").alias("sp_table"),
-                      F.nullif(F.col("t.ShardIdColumn"), F.lit("")).alias("shard_col_id"))
+    shard_id = F.nullif(F.col("t.ShardIdColumn"), F.lit(""))
+    base = (sp.select("table_id", F.col("t.Name").alias("sp_table"), shard_id.alias("shard_col_id"),
+                      # the shard column id resolves to a name inside the same table document
+                      F.when(shard_id.isNotNull(), F.try_element_at(F.col("t.ColDefs"), shard_id)["Name"])
+                      .alias("shard_col"))
             .join(src.select("table_id", F.col("t.Name").alias("src_table"),
                              F.size(F.coalesce(F.col("t.PrimaryKeys"), F.array())).cast("int").alias("src_pk_count")),
                   "table_id", "left"))
-    table_map = (base.join(shard_names, (F.col("table_id") == F.col("s_tid")) & (F.col("shard_col_id") == F.col("cid")),
-                           "left")
-                 .select(*[c.split()[0] for c in model.TABLE_MAP.split(", ")]))
+    table_map = base.select(*[c.split()[0] for c in model.TABLE_MAP.split(", ")])
     return table_map, column_map
 
 
