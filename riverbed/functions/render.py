@@ -81,12 +81,19 @@ def source_text(t: Column, src_type: Column, tz: Column, dialect: str, escape_ba
 
 
 def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialect: str,
-                 escape_backslash: bool = False) -> Column:
+                 escape_backslash: bool = False, keys_names: Column | None = None,
+                 new_names: Column | None = None) -> Column:
     """Struct ``(col, found, val)`` for one column spec: found = present in keys or new
-    values; val = rendered text, ``NULL`` for JSON null, SQL NULL when absent."""
+    values; val = rendered text, ``NULL`` for JSON null, SQL NULL when absent.
+    ``keys_names`` / ``new_names``: the maps' key arrays computed once per row (saves a
+    key-array copy per column test)."""
     name = spec["sp_col"]
-    in_k = V.has(keys_m, name)
-    found = in_k | V.has(new_m, name)
+    if keys_names is not None and new_names is not None:
+        in_k = F.coalesce(F.array_contains(keys_names, name), F.lit(False))
+        found = in_k | F.coalesce(F.array_contains(new_names, name), F.lit(False))
+    else:
+        in_k = V.has(keys_m, name)
+        found = in_k | V.has(new_m, name)
     raw = F.when(in_k, V.text(keys_m, name)).otherwise(V.text(new_m, name))
     val = (F.when(~found, F.lit(None).cast("string"))
            .when(raw.isNull(), F.lit("NULL"))

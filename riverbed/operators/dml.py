@@ -69,9 +69,10 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
     tz = tz_offset if isinstance(tz_offset, Column) else F.lit(tz_offset)
     specs = specs if specs is not None else table_specs(table_map, column_map)
     d = with_payloads(map_tables(changes, specs))
-    k, n = F.col("_k"), F.col("_n")
-    pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash))
-    cols = F.filter(F.transform("col_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash)),
+    d = d.withColumn("_kn", pinned(F.map_keys("_k"))).withColumn("_nn", pinned(F.map_keys("_n")))
+    k, n, kn, nn = F.col("_k"), F.col("_n"), F.col("_kn"), F.col("_nn")
+    pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn))
+    cols = F.filter(F.transform("col_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn)),
                     lambda x: x["found"])
     d = d.withColumn("_pkv", pinned(pkv)).withColumn("_cols", pinned(cols))
     mod = F.col("mod_type")
