@@ -82,7 +82,8 @@ def source_text(t: Column, src_type: Column, tz: Column, dialect: str, escape_ba
 
 def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialect: str,
                  escape_backslash: bool = False, keys_names: Column | None = None,
-                 new_names: Column | None = None) -> Column:
+                 new_names: Column | None = None, keys_json: Column | None = None,
+                 new_json: Column | None = None) -> Column:
     """Struct ``(col, found, val)`` for one column spec: found = present in keys or new
     values; val = rendered text, ``NULL`` for JSON null, SQL NULL when absent.
     ``keys_names`` / ``new_names``: the maps' key arrays computed once per row (saves a
@@ -95,6 +96,10 @@ def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialec
         in_k = V.has(keys_m, name)
         found = in_k | V.has(new_m, name)
     raw = F.when(in_k, V.text(keys_m, name)).otherwise(V.text(new_m, name))
+    if keys_json is not None and new_json is not None:
+        # float text as written in the payload (BigDecimal text in the reference)
+        exact = F.when(in_k, V.number_text(keys_m, name, keys_json)).otherwise(V.number_text(new_m, name, new_json))
+        raw = F.when(spec["sp_type"].isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"), exact).otherwise(raw)
     val = (F.when(~found, F.lit(None).cast("string"))
            .when(raw.isNull(), F.lit("NULL"))
            .otherwise(source_text(stream_text(raw, spec), spec["src_type"], tz, dialect, escape_backslash)))

@@ -61,6 +61,22 @@ def text(m: Column, key) -> Column:
     return F.try_element_at(m, _key(key))
 
 
+_NUMBER = r"(-?[0-9][0-9]*(?:[.][0-9]+)?(?:[eE][-+]?[0-9]+)?)"
+
+
+def number_text(m: Column, key, json_text: Column | None) -> Column:
+    """Text of a field with numbers as written. The map parse goes through ``double`` for
+    numbers with a fraction, which can lose digits or switch to exponent form; in that case
+    (exponent in the text, or 17+ characters) the lexeme is taken from the JSON text."""
+    t = text(m, key)
+    if json_text is None:
+        return t
+    lossy = t.contains("E") | (F.length(t) >= 17)
+    pattern = F.concat(F.lit('"\\Q'), _key(key), F.lit('\\E"\\s*:\\s*' + _NUMBER))
+    lexeme = F.call_function("regexp_extract", json_text, pattern, F.lit(1))
+    return F.when(lossy & (lexeme != ""), lexeme).otherwise(t)
+
+
 def is_json_null(m: Column, key) -> Column:
     """X9 null test: present and JSON null."""
     return has(m, key) & text(m, key).isNull()
@@ -98,9 +114,10 @@ def to_double(m: Column, key, required: bool = False) -> Column:
     return _required(F.when(t.isNotNull(), parsed), m, required, key, "double")
 
 
-def to_string(m: Column, key, required: bool = False) -> Column:
-    """Scalar text; numbers keep every digit."""
-    return _required(text(m, key), m, required, key, "string")
+def to_string(m: Column, key, required: bool = False, json_text: Column | None = None) -> Column:
+    """Scalar text; numbers keep every digit (pass ``json_text`` for numbers with a
+    fraction beyond double precision)."""
+    return _required(number_text(m, key, json_text), m, required, key, "string")
 
 
 def to_bytes(m: Column, key, required: bool = False) -> Column:
@@ -140,10 +157,11 @@ def to_date(m: Column, key, required: bool = False) -> Column:
     return val
 
 
-def to_numeric(m: Column, key, required: bool = False) -> Column:
-    """decimal(38,9), rounded half up; numbers, numeric strings and exponent forms.
+def to_numeric(m: Column, key, required: bool = False, json_text: Column | None = None) -> Column:
+    """decimal(38,9), rounded half up; numbers, numeric strings and exponent forms
+    (pass ``json_text`` so that JSON numbers keep digits beyond double precision).
     Values wider than 38 digits give NULL (documented difference)."""
-    t = text(m, key)
+    t = number_text(m, key, json_text)
     return _required(t.try_cast("decimal(38,9)"), m, required, key, "numeric")
 
 
@@ -178,7 +196,11 @@ def extract(payload, key, stream_type: str, required: bool = False) -> Column:
     fn = _DISPATCH.get(stream_type)
     if fn is None:
         raise ValueError(f"unsupported stream type: {stream_type}")
-    m = payload if isinstance(payload, Column) else parse(payload)
+    if isinstance(payload, Column):
+        return fn(payload, key, required)
+    m = parse(payload)
+    if fn in (to_numeric, to_string):
+        return fn(m, key, required, F.col(payload))
     return fn(m, key, required)
 
 

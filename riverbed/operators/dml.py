@@ -71,8 +71,10 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
     d = with_payloads(map_tables(changes, specs))
     d = d.withColumn("_kn", pinned(F.map_keys("_k"))).withColumn("_nn", pinned(F.map_keys("_n")))
     k, n, kn, nn = F.col("_k"), F.col("_n"), F.col("_kn"), F.col("_nn")
-    pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn))
-    cols = F.filter(F.transform("col_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn)),
+    kj, nj = F.col("keys_json"), F.col("new_values_json")
+    pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn, kj, nj))
+    cols = F.filter(F.transform("col_specs",
+                                lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn, kj, nj)),
                     lambda x: x["found"])
     d = d.withColumn("_pkv", pinned(pkv)).withColumn("_cols", pinned(cols))
     mod = F.col("mod_type")

@@ -160,3 +160,14 @@ def test_connection_urls(spark):
     u = connection_urls(shards, "mysql").collect()[0]
     assert u["jdbc_url"] == "jdbc:mysql://h:3306/db?rewriteBatchedStatements=true"
     assert "password" not in connection_urls(shards, "postgresql").columns
+
+
+def test_float_text_as_written(spark):
+    s = singers(sp_cols=[("c5", "SingerId", "INT64"), ("c6", "Score", "FLOAT64")],
+                src_cols=[("c5", "SingerId", "int"), ("c6", "Score", "double")])
+    rows = [("Singers", KEY, '{"Score":123456789.0123456789}', "INSERT"),
+            ("Singers", KEY, '{"Score":12.0}', "INSERT")]
+    got = sorted(d for d, _ in render(spark, s, rows, "mysql"))
+    assert got == ["INSERT INTO Singers(SingerId,Score) VALUES (999,12.0) ON DUPLICATE KEY UPDATE  Score = 12.0",
+                   "INSERT INTO Singers(SingerId,Score) VALUES (999,123456789.0123456789) ON DUPLICATE KEY UPDATE  "
+                   "Score = 123456789.0123456789"]

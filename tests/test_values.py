@@ -97,3 +97,17 @@ def test_extract_dispatch(spark):
     assert one(spark, '{"a":"12"}', lambda m: V.extract(m, "a", "PG_INT8")) == 12
     with pytest.raises(ValueError):
         V.extract(F.col("m"), "a", "GEOGRAPHY")
+
+
+def test_numbers_keep_written_digits(spark):
+    def both(j, key="a"):
+        df = spark.createDataFrame([(j,)], "j string")
+        r = df.select(V.to_string(V.parse("j"), key, json_text=F.col("j")).alias("s"),
+                      V.to_numeric(V.parse("j"), key, json_text=F.col("j")).alias("n")).collect()[0]
+        return r["s"], r["n"]
+    assert both('{"a":123456789.0123456789}') == ("123456789.0123456789", Decimal("123456789.012345679"))
+    assert both('{"a":1.2334567890345654542E10}')[1] == Decimal("12334567890.345654542")
+    assert both('{"a":123345.67890345654542}')[1] == Decimal("123345.678903457")
+    assert both('{"b":{"a":1},"a":12.0}')[0] == "12.0"
+    s, _ = both('{"x":"\\"a\\":1.23456789012345678","a":0.5}')
+    assert s == "0.5"
