@@ -27,7 +27,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from riverbed import model
 
 BUFFER_COLUMNS = ["shard", "commit_ts", "commit_seconds", "commit_nanos", "server_txn_id", "record_sequence",
                   "table_name", "keys_json", "old_values_json", "new_values_json", "mod_type",

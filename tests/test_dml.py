@@ -2,7 +2,6 @@
 Column order is source column order here; statements are compared exactly."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from riverbed.operators.dml import render_dml, replicable, statement_batches, connection_urls
 from riverbed.sources.config import session_from_dict

@@ -2,7 +2,6 @@
 dead letters / skip location (K10, K11), ordered-topic publisher (K2), PK columns (J7),
 and plan shapes (pushdown, broadcast, partial aggregation)."""
 
-import datetime
 import json
 import os
 

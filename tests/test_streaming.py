@@ -4,14 +4,12 @@ Input files are written in commit (or arrival) order, one file per chunk, and en
 marker row far in the future so that the watermark passes every timer (with
 ``availableNow`` nothing else would move the watermark past the tail)."""
 
-import datetime
 import json
 import os
 import sqlite3
 
 from pyspark.sql import functions as F
 
-from riverbed import model
 from riverbed.operators import sharding as S
 from riverbed.operators import transforms as T
 from riverbed.sources import tables as TB
