@@ -71,3 +71,15 @@ def test_non_retryable_error_stops_shard(spark, tmpdir_path):
                                "commit_nanos int, server_txn_id string, record_sequence string, dml string")
     st = shard_summary(write_statements(df, make_connect(tmpdir_path), batch_size=1, num_partitions=1)).collect()[0]
     assert not st["ok"] and "no such table" in st["error"] and st["statements"] == 0
+
+
+def test_jdbc_append_embedded_derby(spark, tmpdir_path):
+    """K3 plain append through Spark's JDBC writer into an in-process Derby database."""
+    from riverbed.sinks.database import append_table_jdbc
+    url = f"jdbc:derby:memory:rb{abs(hash(tmpdir_path)) % 10**8};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "user_id int, name string")
+    append_table_jdbc(df, url, "ACCOUNTS", props)
+    append_table_jdbc(df.where("user_id = 2"), url, "ACCOUNTS", props)
+    back = spark.read.jdbc(url, "ACCOUNTS", properties=props)
+    assert sorted((r[0], r[1]) for r in back.collect()) == [(1, "a"), (2, "b"), (2, "b")]
