@@ -52,7 +52,7 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> dict:
 
     def q1_build(src):
         ch = S.shard_by_mod(T.explode_mods(T.filter_changes(src)), "UserId", 500)
-        return ordered_release(ch, "1 hour", "latest", salt_buckets=1)
+        return ordered_release(ch, "1 hour", "latest", key_groups=32)
 
     def q1_handle(batch, _):
         D.render_dml(batch, tm, cm, "mysql").select("shard", "dml").write.format("noop").mode("overwrite").save()

@@ -49,12 +49,16 @@ def direct_replication_stream(spark: SparkSession, source: DataFrame, table_map:
                               connect, interval: str = "1 second", watermark_delay: str = "0 seconds",
                               shard_count: int = S.DEFAULT_SHARD_COUNT, dialect: str = "mysql",
                               tz_offset: str = "+00:00", dead_letter_path: str | None = None,
-                              name: str = "direct-replication", available_now: bool = False, salt_buckets: int = 8):
+                              name: str = "direct-replication", available_now: bool = False, salt_buckets: int = 8,
+                              key_groups: int | None = None):
     """Q1: filter -> explode -> modulo shard -> ordered release (latest per key) -> DML ->
     per-shard writes, with fail-stop per shard (later changes of a failed shard go to the
     dead letters instead of being written out of order)."""
     ch = S.shard_by_mod(T.explode_mods(T.filter_changes(source)), "UserId", shard_count)
-    released = ordered_release(ch, interval, "latest", watermark_delay, salt_buckets)
+    # many shards (default 500): hash them into a bounded number of state keys
+    groups = key_groups or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    released = ordered_release(ch, interval, "latest", watermark_delay, salt_buckets,
+                               key_groups=groups if shard_count > groups else None)
     ckpt = stream_checkpoint(spark, name)
     failed = FailedShards(spark, ckpt + "-failed-shards")
 

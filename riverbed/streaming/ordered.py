@@ -113,15 +113,111 @@ class OrderedReleaseProcessor(StatefulProcessor):
         pass
 
 
+CHAIN_STRUCT = StructType([StructField("shard", StringType(), True), StructField("t", LongType(), True)])
+
+
+class GroupedReleaseProcessor(OrderedReleaseProcessor):
+    """Same release rule per shard, for a group holding many shards (shards hashed into a
+    bounded number of key groups). Each shard keeps its own timer chain (list state of
+    (shard, next timer)); the group registers one timer, the earliest chain. State calls
+    per micro-batch are per group, not per shard."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.chains = handle.getListState("chains", CHAIN_STRUCT)
+
+    def _chains(self) -> dict:
+        return {s: t for s, t in self.chains.get()} if self.chains.exists() else {}
+
+    def _arm(self, chains: dict) -> None:
+        self.chains.clear()
+        if chains:
+            self.chains.appendList(list(chains.items()))
+            nxt = min(chains.values())
+            cur = self.timer.get()[0] if self.timer.exists() else None
+            if cur != nxt:
+                if cur is not None:
+                    self.handle.deleteTimer(cur)
+                self.handle.registerTimer(nxt)
+                self.timer.update((nxt,))
+        elif self.timer.exists():
+            self.timer.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
+        if not batch:
+            return iter([])
+        self.buffer.appendList(batch)
+        chains = self._chains()
+        first = {}
+        for b in batch:
+            c = b[2] * 1000 + b[3] // 1_000_000
+            first[b[0]] = min(first.get(b[0], c), c)
+        new = {sh: c + self.interval_ms for sh, c in first.items() if sh not in chains}
+        if new:
+            chains.update(new)
+            self._arm(chains)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        w = timerValues.getCurrentWatermarkInMs()
+        i = self.interval_ms
+        chains = self._chains()
+        due = {sh: t for sh, t in chains.items() if t <= w}
+        held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()]
+        release, keep = [], []
+        fired = {}
+        for sh, t in due.items():
+            fired[sh] = (t, t + max(0, (w - t) // i) * i if i > 0 else max(t, w))
+        for r in held:
+            f = fired.get(r["shard"])
+            (release if f is not None and _commit_ms(r) < f[1] else keep).append(r)
+        self.buffer.clear()
+        if keep:
+            self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
+        kept_shards = {r["shard"] for r in keep}
+        for sh, (t, boundary) in fired.items():
+            if sh in kept_shards:
+                chains[sh] = boundary + i if i > 0 else min(_commit_ms(r) for r in keep if r["shard"] == sh) + 1
+            else:
+                chains.pop(sh)
+        self.timer.clear()
+        self._arm(chains)
+
+        def fired_at(r):
+            t = fired[r["shard"]][0]
+            c = _commit_ms(r)
+            return t if c < t or i == 0 else t + ((c - t) // i + 1) * i
+
+        release.sort(key=_order_key)
+        if self.emit == "latest":
+            last = {}
+            for r in release:
+                last[(r["shard"], fired_at(r), r["table_name"], r["keys_json"])] = r
+            release = sorted(last.values(), key=_order_key)
+        for r in release:
+            yield Row(**r, released_at_ms=fired_at(r))
+
+
 def ordered_release(changes: DataFrame, interval: str = "1 second", emit: str = "all",
-                    watermark_delay: str = "0 seconds", salt_buckets: int = 1) -> DataFrame:
-    """Streaming ordered release. ``changes`` needs the BUFFER_COLUMNS (shard set)."""
+                    watermark_delay: str = "0 seconds", salt_buckets: int = 1,
+                    key_groups: int | None = None) -> DataFrame:
+    """Streaming ordered release. ``changes`` needs the BUFFER_COLUMNS (shard set).
+
+    ``key_groups``: hash shards into this many state keys (fewer state round trips when
+    there are many shards); ``salt_buckets``: split each shard into sub-keys by (table, key)
+    hash (spreads a hot shard)."""
     from riverbed.session import ensure_rocksdb_state, ship_package
     from riverbed.streaming.windows import size_micros
     ship_package(changes.sparkSession)
     ensure_rocksdb_state(changes.sparkSession)
     interval_ms = size_micros(interval) // 1000 if interval.strip() not in ("0", "0 seconds") else 0
     d = changes.select(*BUFFER_COLUMNS).withWatermark("commit_ts", watermark_delay)
+    if key_groups:
+        # many shards per state key: per-shard timer chains inside the group
+        d = d.withColumn("_group", F.pmod(F.xxhash64("shard"), F.lit(key_groups)))
+        return d.groupBy("_group").transformWithState(GroupedReleaseProcessor(interval_ms, emit), OUTPUT_SCHEMA,
+                                                      "append", "EventTime")
     if salt_buckets > 1:
         d = d.withColumn("_salt", F.pmod(F.xxhash64("table_name", "keys_json"), F.lit(salt_buckets)))
         g = d.groupBy("shard", "_salt")

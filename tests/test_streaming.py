@@ -251,3 +251,22 @@ def test_progress_metrics(spark, tmpdir_path):
     q.awaitTermination(300)
     seen = [p["observedMetrics"]["changes"]["records"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(seen) == 1001
+
+
+def test_grouped_release_equals_per_shard(spark, tmpdir_path):
+    """Hashing shards into a few state keys keeps each shard's release boundaries."""
+    src_dir = os.path.join(tmpdir_path, "in")
+    land(spark, src_dir)
+    results = []
+    for i, groups in enumerate((None, 3)):
+        src = read_changes(spark, src_dir, start="2000-01-01 00:00:00", streaming=True, max_files_per_trigger=1)
+        ch = S.shard_by_mod(T.explode_mods(T.filter_changes(src)), "UserId", 7)
+        out = ordered_release(ch, "3 hours", "latest", key_groups=groups)
+        name = f"grouped_{i}"
+        q = (out.writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", os.path.join(tmpdir_path, f"ck{i}")).trigger(availableNow=True).start())
+        q.awaitTermination(600)
+        results.append(sorted(tuple(r) for r in spark.sql(
+            f"select server_txn_id, record_sequence, released_at_ms from {name} where table_name <> '__marker__'")
+            .collect()))
+    assert results[0] == results[1] and len(results[0]) > 0
