@@ -64,6 +64,7 @@ class OrderedReleaseProcessor(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("buffer", BUFFER_STRUCT)
         self.timer = handle.getValueState("timer", TIMER_STRUCT)
+        self.upto = handle.getValueState("released_upto", TIMER_STRUCT)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
@@ -85,17 +86,29 @@ class OrderedReleaseProcessor(StatefulProcessor):
         # up to the last due boundary in one call (a timer set inside this callback would
         # only fire in the next micro-batch).
         boundary = t + max(0, (w - t) // i) * i if i > 0 else max(t, w)
+        # The buffer is append-only: rows committed before ``released_upto`` were released by
+        # an earlier timer. (Rows below the watermark never reach the processor, so a new
+        # arrival is never behind a boundary that already fired.) Rewrite it only when more
+        # than half of it is released, so a kept row is not rewritten on every timer.
+        upto = self.upto.get()[0] if self.upto.exists() else None
         held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()]
-        release = sorted((r for r in held if _commit_ms(r) < boundary), key=_order_key)
-        keep = [r for r in held if _commit_ms(r) >= boundary]
-        self.buffer.clear()
-        if keep:
-            self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
+        live = held if upto is None else [r for r in held if _commit_ms(r) >= upto]
+        release = sorted((r for r in live if _commit_ms(r) < boundary), key=_order_key)
+        keep = [r for r in live if _commit_ms(r) >= boundary]
+        if not keep:
+            self.buffer.clear()
+            self.upto.clear()
+            self.timer.clear()
+        else:
+            if len(held) - len(keep) > len(keep):
+                self.buffer.clear()
+                self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
+                self.upto.clear()
+            else:
+                self.upto.update((boundary,))
             nxt = boundary + i if i > 0 else min(_commit_ms(r) for r in keep) + 1
             self.handle.registerTimer(nxt)
             self.timer.update((nxt,))
-        else:
-            self.timer.clear()
 
         def fired_at(r):
             c = _commit_ms(r)
