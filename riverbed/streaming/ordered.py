@@ -12,9 +12,11 @@ Grouping: by shard, optionally split into ``salt_buckets`` sub-groups by a hash
 per row (commit < timer), so the released set per watermark step is the same; the sink
 restores per-shard order by sorting each released micro-batch (``sortWithinPartitions``).
 
-Late rows (W7): Spark drops rows below the watermark before a stateful operator. Use
-``split_late`` in the writer of an upstream stage (or a generous watermark delay); the
-batch twin ``release_batch`` shows what a complete run releases.
+Late rows (W7): in event-time mode Spark drops rows below its late-row watermark (the
+previous batch's watermark) before the processor — lost rows. ``late="keep"`` runs without
+Spark's watermark (per-group high-water mark) and releases late rows with the next release,
+as the reference does. Rows that pass Spark's filter but are behind an already released
+boundary are emitted on arrival. ``split_late`` routes late rows to a dead-letter stage.
 """
 
 from __future__ import annotations
@@ -70,13 +72,28 @@ class OrderedReleaseProcessor(StatefulProcessor):
         batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
         if not batch:
             return iter([])
-        self.buffer.appendList(batch)
-        if not self.timer.exists():
-            first = min(b[2] * 1000 + b[3] // 1_000_000 for b in batch)
-            t = first + self.interval_ms
-            self.handle.registerTimer(t)
-            self.timer.update((t,))
-        return iter([])
+        # A row committed before a boundary that already fired is late: it goes out now
+        # (with this micro-batch) instead of waiting in the buffer, where it would look
+        # released.
+        upto = self.upto.get()[0] if self.upto.exists() else None
+        late = []
+        if upto is not None:
+            late = [b for b in batch if b[2] * 1000 + b[3] // 1_000_000 < upto]
+            batch = [b for b in batch if b[2] * 1000 + b[3] // 1_000_000 >= upto]
+        if batch:
+            self.buffer.appendList(batch)
+            if not self.timer.exists():
+                first = min(b[2] * 1000 + b[3] // 1_000_000 for b in batch)
+                t = first + self.interval_ms
+                self.handle.registerTimer(t)
+                self.timer.update((t,))
+        rows_out = sorted((dict(zip(BUFFER_COLUMNS, b)) for b in late), key=_order_key)
+        if self.emit == "latest":
+            last = {}
+            for r in rows_out:
+                last[(r["table_name"], r["keys_json"])] = r
+            rows_out = sorted(last.values(), key=_order_key)
+        return iter([Row(**r, released_at_ms=upto) for r in rows_out])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         t = expiredTimerInfo.getExpiryTimeInMs()
@@ -87,9 +104,9 @@ class OrderedReleaseProcessor(StatefulProcessor):
         # only fire in the next micro-batch).
         boundary = t + max(0, (w - t) // i) * i if i > 0 else max(t, w)
         # The buffer is append-only: rows committed before ``released_upto`` were released by
-        # an earlier timer. (Rows below the watermark never reach the processor, so a new
-        # arrival is never behind a boundary that already fired.) Rewrite it only when more
-        # than half of it is released, so a kept row is not rewritten on every timer.
+        # an earlier timer (late arrivals behind it are emitted on arrival, see above).
+        # Rewrite it only when more than half of it is released, so a kept row is not
+        # rewritten on every timer.
         upto = self.upto.get()[0] if self.upto.exists() else None
         held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()]
         live = held if upto is None else [r for r in held if _commit_ms(r) >= upto]
@@ -212,19 +229,94 @@ class GroupedReleaseProcessor(OrderedReleaseProcessor):
             yield Row(**r, released_at_ms=fired_at(r))
 
 
+HW_STRUCT = StructType([StructField("hw", LongType(), True), StructField("t", LongType(), True)])
+
+
+class KeepLateReleaseProcessor(OrderedReleaseProcessor):
+    """W7 ``late="keep"``: no Spark watermark, so no row is dropped. The group keeps its own
+    high-water mark (max commit seen - delay) and its timer chain in state; after each input
+    batch every boundary the high-water mark has passed is released. A late row (committed
+    before a boundary that already fired) stays in the buffer and goes out with the next
+    release, as in the reference. The high-water mark is per group: a shard that receives no
+    newer change keeps its last interval buffered until it does (Spark's event-time mode
+    flushes with the global watermark instead)."""
+
+    def __init__(self, interval_ms: int, emit: str = "all", delay_ms: int = 0):
+        super().__init__(interval_ms, emit)
+        self.delay_ms = max(0, int(delay_ms))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", BUFFER_STRUCT)
+        self.chain = handle.getValueState("chain", HW_STRUCT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
+        if not batch:
+            return iter([])
+        commits = [b[2] * 1000 + b[3] // 1_000_000 for b in batch]
+        hw, t = self.chain.get() if self.chain.exists() else (None, None)
+        hw = max(commits) if hw is None else max(hw, max(commits))
+        if t is None:
+            t = min(commits) + self.interval_ms
+        w = hw - self.delay_ms
+        i = self.interval_ms
+        if t > w:
+            self.buffer.appendList(batch)
+            self.chain.update((hw, t))
+            return iter([])
+        boundary = t + max(0, (w - t) // i) * i if i > 0 else max(t, w)
+        held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()] + \
+               [dict(zip(BUFFER_COLUMNS, b)) for b in batch]
+        release = sorted((r for r in held if _commit_ms(r) < boundary), key=_order_key)
+        keep = [r for r in held if _commit_ms(r) >= boundary]
+        self.buffer.clear()
+        if keep:
+            self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
+            nxt = boundary + i if i > 0 else min(_commit_ms(r) for r in keep) + 1
+            self.chain.update((hw, nxt))
+        else:
+            self.chain.update((hw, None))
+
+        def fired_at(r):
+            c = _commit_ms(r)
+            return t if c < t or i == 0 else t + ((c - t) // i + 1) * i
+
+        if self.emit == "latest":
+            last = {}
+            for r in release:
+                last[(fired_at(r), r["table_name"], r["keys_json"])] = r
+            release = sorted(last.values(), key=_order_key)
+        return iter([Row(**r, released_at_ms=fired_at(r)) for r in release])
+
+
 def ordered_release(changes: DataFrame, interval: str = "1 second", emit: str = "all",
                     watermark_delay: str = "0 seconds", salt_buckets: int = 1,
-                    key_groups: int | None = None) -> DataFrame:
+                    key_groups: int | None = None, late: str = "drop") -> DataFrame:
     """Streaming ordered release. ``changes`` needs the BUFFER_COLUMNS (shard set).
 
-    ``key_groups``: hash shards into this many state keys (fewer state round trips when
+    ``key_groups``: hash shards into this many state keys (fewer state keys and timers when
     there are many shards); ``salt_buckets``: split each shard into sub-keys by (table, key)
-    hash (spreads a hot shard)."""
+    hash (spreads a hot shard). ``late="drop"`` uses Spark's event-time watermark (rows
+    below it are dropped by Spark before the processor); ``late="keep"`` keeps a
+    high-water mark per group instead and releases late rows with the next release (W7)."""
     from riverbed.session import ensure_rocksdb_state, ship_package
     from riverbed.streaming.windows import size_micros
     ship_package(changes.sparkSession)
     ensure_rocksdb_state(changes.sparkSession)
     interval_ms = size_micros(interval) // 1000 if interval.strip() not in ("0", "0 seconds") else 0
+    if late not in ("drop", "keep"):
+        raise ValueError("late must be 'drop' or 'keep'")
+    if late == "keep":
+        delay_ms = size_micros(watermark_delay) // 1000 if watermark_delay.strip()[0] != "0" else 0
+        d = changes.select(*BUFFER_COLUMNS)
+        if salt_buckets > 1:
+            d = d.withColumn("_salt", F.pmod(F.xxhash64("table_name", "keys_json"), F.lit(salt_buckets)))
+            g = d.groupBy("shard", "_salt")
+        else:
+            g = d.groupBy("shard")
+        return g.transformWithState(KeepLateReleaseProcessor(interval_ms, emit, delay_ms), OUTPUT_SCHEMA,
+                                    "append", "None")
     d = changes.select(*BUFFER_COLUMNS).withWatermark("commit_ts", watermark_delay)
     if key_groups:
         # many shards per state key: per-shard timer chains inside the group

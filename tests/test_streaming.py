@@ -270,3 +270,33 @@ def test_grouped_release_equals_per_shard(spark, tmpdir_path):
             f"select server_txn_id, record_sequence, released_at_ms from {name} where table_name <> '__marker__'")
             .collect()))
     assert results[0] == results[1] and len(results[0]) > 0
+
+
+def test_late_rows_kept(spark, tmpdir_path):
+    """A chunk of changes arrives after newer ones were released. Spark's event-time mode
+    drops rows below its late-row watermark before the processor; late="keep" releases every
+    change (late ones with the next release)."""
+    recs = TB.event_changes(TB.load(spark, SF_SMALL, "events"))
+    from pyspark.sql import Window
+    recs = recs.withColumn("_c", F.ntile(5).over(Window.orderBy("commit_ts", "server_txn_id", "record_sequence")))
+    folder = os.path.join(tmpdir_path, "in")
+    for i in (1, 2, 4, 5, 3):            # chunk 3 arrives after later boundaries fired
+        recs.where(F.col("_c") == i).drop("_c").coalesce(1).write.mode("append").parquet(folder)
+    # one closing marker per shard: with late="keep" each shard's high-water mark is its own
+    uid = F.regexp_extract(F.col("mods")[0]["keys_json"], r'"UserId":"(\d+)"', 1).cast("long")
+    marker = (recs.drop("_c").withColumn("_s", uid % 4).dropDuplicates(["_s"]).drop("_s")
+              .withColumn("commit_ts", F.lit("2031-01-01").cast("timestamp"))
+              .withColumn("commit_seconds", F.unix_seconds("commit_ts")).withColumn("txn_tag", F.lit(""))
+              .withColumn("table_name", F.lit("__marker__")))
+    marker.write.mode("append").parquet(folder)
+    twin = release_batch(S.shard_by_mod(T.explode_mods(T.filter_changes(recs.drop("_c"))), "UserId", 4)).count()
+    counts = {}
+    for late in ("drop", "keep"):
+        src = read_changes(spark, folder, start="2000-01-01 00:00:00", streaming=True, max_files_per_trigger=1)
+        ch = S.shard_by_mod(T.explode_mods(T.filter_changes(src)), "UserId", 4)
+        out = ordered_release(ch, "2 hours", "all", late=late)
+        q = (out.writeStream.format("memory").queryName(f"late_{late}").outputMode("append")
+             .option("checkpointLocation", os.path.join(tmpdir_path, f"ck_{late}")).trigger(availableNow=True).start())
+        q.awaitTermination(600)
+        counts[late] = spark.sql(f"select count(*) c from late_{late} where table_name <> '__marker__'").collect()[0]["c"]
+    assert counts["keep"] == twin and counts["drop"] < twin
