@@ -100,7 +100,14 @@ def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialec
         # float text as written in the payload (BigDecimal text in the reference)
         exact = F.when(in_k, V.number_text(keys_m, name, keys_json)).otherwise(V.number_text(new_m, name, new_json))
         raw = F.when(spec["sp_type"].isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"), exact).otherwise(raw)
-    val = (F.when(~found, F.lit(None).cast("string"))
-           .when(raw.isNull(), F.lit("NULL"))
-           .otherwise(source_text(stream_text(raw, spec), spec["src_type"], tz, dialect, escape_backslash)))
+    # Lambdas are interpreted without common-subexpression elimination: bind each value once
+    # to a lambda variable instead of repeating its expression at every use.
+    val = _bind(raw, lambda r: F.when(r.isNull(), F.lit("NULL")).otherwise(
+        _bind(stream_text(r, spec), lambda t: source_text(t, spec["src_type"], tz, dialect, escape_backslash))))
+    val = F.when(~found, F.lit(None).cast("string")).otherwise(val)
     return F.struct(spec["src_col"].alias("col"), found.alias("found"), val.alias("val"))
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(v)`` with ``value`` evaluated once (a one-element ``transform``)."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
