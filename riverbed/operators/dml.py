@@ -108,7 +108,7 @@ def statement_batches(rendered: DataFrame, order_cols, shard_col: str = "shard",
     Positions come from the skew-safe ``positions`` (a hot shard is split over many tasks);
     batches hold at most ``batch_size`` statements, so no group grows with the data."""
     stmts = rendered.where(F.col("dml") != "").select(shard_col, *order_cols, "dml")
-    pos = positions(stmts, order_cols, [shard_col])
+    pos = positions(stmts, order_cols, [shard_col], materialize_input=True)
     pos = pos.withColumn("batch_no", F.floor((F.col("position") - 1) / F.lit(batch_size)))
     return (pos.groupBy(shard_col, "batch_no")
             .agg(F.array_sort(F.collect_list(F.struct("position", "dml"))).alias("_s"))

@@ -31,7 +31,8 @@ def _renamed(df: DataFrame, cols) -> DataFrame:
 
 
 def positions(df: DataFrame, order_cols, group_cols=(), position_col: str = "position",
-              start: int = 1, method: str = "range", num_partitions: int | None = None) -> DataFrame:
+              start: int = 1, method: str = "range", num_partitions: int | None = None,
+              materialize_input: bool = False) -> DataFrame:
     """Add ``position_col``: 0/1-based rank of each row inside its group by ``order_cols``
     (ties broken arbitrarily but consistently). ``method="window"`` is the plain
     ``row_number`` form for callers that know their groups are small."""
@@ -42,6 +43,10 @@ def positions(df: DataFrame, order_cols, group_cols=(), position_col: str = "pos
         return df.withColumn(position_col, F.row_number().over(w) + F.lit(start - 1))
     keys = group_cols + order_cols
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if materialize_input:
+        # the range partitioner samples its input in a separate pass; for an expensive
+        # input (e.g. rendered statements) write it once and let both passes read it
+        df = cut_lineage(df, "positions-input")
     tagged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())

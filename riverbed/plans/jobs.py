@@ -60,7 +60,7 @@ def stream_to_buffer_batch(records: DataFrame, table_map: DataFrame, topic: str,
     """Q3 (batch): Kafka rows per change in per-shard order (``position``)."""
     ch = T.explode_mods(T.filter_changes(records, filtration))
     sharded, _ = S.split_dropped(S.shard_by_column(ch, table_map))
-    ordered = positions(sharded, model.ORDER_COLUMNS, ["shard"])      # materialized once
+    ordered = positions(sharded, model.ORDER_COLUMNS, ["shard"], materialize_input=True)
     shards = ordered.select(F.col("shard").alias("logicalShardId")).distinct()
     return MSG.kafka_frame(ordered, shards, topic, pretty=pretty, extra_cols=["position"])
 
