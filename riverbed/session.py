@@ -3,7 +3,9 @@ and size-checked broadcasting of configuration frames."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,19 +71,30 @@ def _context(spark: SparkSession):
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints (None when unset)."""
-    sc = _context(spark)
-    d = sc.getCheckpointDir() if sc is not None else None
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset).
+
+    The setting itself is read, not ``SparkContext.getCheckpointDir()``: that one carries a
+    subfolder of this application, which a restarted job would not find again."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    return sc.getCheckpointDir() if sc is not None else None
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    return sc is not None and re.fullmatch(r"local(\[[^\]]*\])?", sc.master or "") is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (tests, local runs)
-    make a private scratch folder."""
+    """The cluster's checkpoint folder. A private scratch folder is made only where driver and
+    executors are one process (tests, local runs); on a cluster a missing setting is an error,
+    because executors would write to disks that nobody else can read."""
     d = checkpoint_root(spark)
     if not d:
+        if not _one_machine(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="riverbed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = _context(spark)
@@ -90,10 +103,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """Checkpoint location for a streaming query under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/streams/{name}-{uuid.uuid4().hex[:8]}"
+def stream_checkpoint(spark: SparkSession, name: str, path: str | None = None) -> str:
+    """Checkpoint location of a streaming job: ``path`` when given, else the job's name under
+    the shared checkpoint folder. It is stable: a job started again under the same name goes on
+    where it stopped. Two different jobs need two names."""
+    return path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
+#: Scratch tables of this process, by the session's application: (session, path).
+_SCRATCH: list = []
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -102,12 +120,35 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     non-deterministic expressions such as partition ids are fixed from then on).
 
     ``DataFrame.checkpoint`` would compute the plan twice (once to count, once to write);
-    a table write computes it once. The partitioning is kept as one file per partition."""
+    a table write computes it once. The partitioning is kept as one file per partition.
+    ``release_scratch`` removes the copies once the results that read them are written; those
+    left over go when the process ends."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not _SCRATCH:
+        atexit.register(release_scratch)
+    _SCRATCH.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession | None = None) -> int:
+    """Delete the scratch tables written so far (of ``spark``, or of all sessions); frames that
+    still read them become unusable. Returns how many were deleted."""
+    gone = 0
+    for entry in list(_SCRATCH):
+        owner, path = entry
+        if spark is not None and owner is not spark:
+            continue
+        _SCRATCH.remove(entry)
+        try:
+            sc = owner.sparkContext
+            where = sc._jvm.org.apache.hadoop.fs.Path(path)
+            gone += bool(where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True))
+        except Exception:  # noqa: BLE001  (the session has ended: nothing can be reached any more)
+            continue
+    return gone
 
 
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
