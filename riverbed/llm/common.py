@@ -42,22 +42,23 @@ def runs(batch: pa.RecordBatch, column: str, most: int = RUN_BYTES) -> Iterator[
 
 
 def arrow_pass(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], made: str,
-               keep: Iterable[str] = (), text: str = "text") -> DataFrame:
+               keep: Iterable[str] = (), text: str | None = "text", reads: Iterable[str] = ()) -> DataFrame:
     """One pass of ``work`` over the rows of ``df``, without a shuffle.
 
     ``work`` gets the columns of a run of rows as Python lists and returns those of ``made`` (a
-    schema in DDL); ``keep`` names the columns that are handed on untouched. When ``work``
-    returns a key ``"*"``, it is the list of row numbers that the result's rows come from:
+    schema in DDL); ``keep`` names the columns that are handed on untouched, which ``work`` sees
+    only if they are named in ``reads`` or are the text (runs of rows are cut by its size, if there is one). When ``work`` returns a key ``"*"``, it is the list of row numbers that the result's rows come from:
     rows can be dropped or repeated."""
     ship_package(df.sparkSession)
     keep = list(keep)
     fields = T._parse_datatype_string(made).fields if made else []
     types = {f.name: to_arrow_type(f.dataType) for f in fields}
+    unseen = set(keep) - {text, *reads}
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in runs(batch, text):
-                got = work({f.name: run.column(i).to_pylist() for i, f in enumerate(run.schema) if f.name == text or f.name not in keep})
+            for run in runs(batch, text) if text else [batch]:
+                got = work({f.name: run.column(i).to_pylist() for i, f in enumerate(run.schema) if f.name not in unseen})
                 kept = [run.column(run.schema.get_field_index(c)) for c in keep]
                 if "*" in got:
                     take = pa.array(got["*"], pa.int64())
