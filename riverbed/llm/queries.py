@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import bpe, langid, packing, pii, quality, toxicity
+from riverbed.llm import bpe, langid, neardup, packing, pii, quality, toxicity
 from riverbed.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
