@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import bpe, langid, neardup, packing, pii, quality, toxicity
+from riverbed.llm import bpe, editprint, langid, neardup, packing, pii, quality, secretscan, toxicity
 from riverbed.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.find(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edited_prints(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -43,9 +51,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_edit_fingerprints": op9_edit_fingerprints,
     "op10_language_id": op10_language_id,
 }
 
