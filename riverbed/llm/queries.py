@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import bpe, editprint, langid, neardup, packing, pii, quality, secretscan, toxicity
+from riverbed.llm import bpe, editprint, langid, maintext, neardup, packing, pii, quality, secretscan, toxicity
 from riverbed.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_main_text": op3_main_text,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_pii": op6_pii,
