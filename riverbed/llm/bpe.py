@@ -7,11 +7,16 @@ query joins them to the merge table and contracts each match's leftmost pair of
 no pair is left. A second query decodes: the ids join the vocabulary and an ordered aggregation
 puts their bytes together. Spark deals out the documents; nothing is shuffled.
 
+Matches longer than LONG bytes would take a step for each of their merges. For them a step
+contracts all occurrences of the pair that don't overlap, from the left, wherever that must give the
+same: when the merged token is no part of a pair of lesser rank, contracting one occurrence can't
+put another pair before the remaining ones.
+
 Matches that a worker has already encoded are remembered, up to CACHE_ENTRIES of them.
 
-Special cases: a null or empty text has no ids, an empty list's digest and empty bytes; a text with lone
-surrogates can't occur in Spark; very long texts are cut match by match, so memory follows the
-number of their distinct matches; repeated rows give equal rows."""
+Special cases: a null or empty text has no ids, an empty list's digest and empty bytes; very long
+texts are cut match by match, so memory follows the number of their distinct matches; repeated
+rows give equal rows."""
 
 from __future__ import annotations
 
@@ -27,9 +32,11 @@ from pyspark.sql import DataFrame
 from riverbed.llm.common import arrow_pass, pick
 
 #: Matches that a Python worker remembers, at most; beyond it, those of the run at hand stay.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 500_000
 #: Matches encoded by one recursive query, at most.
 QUERY_WORDS = 20_000
+#: Bytes of a match from which on a step contracts more than one pair of it.
+LONG = 64
 
 # White space by the Unicode property, which is what the rank files' own library goes by.
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,6 +58,27 @@ SELECT c.word, c.pos, c.token
 FROM contracted c JOIN (SELECT word, max(step) AS last FROM contracted GROUP BY word) f
   ON c.word = f.word AND c.step = f.last
 """
+CONTRACT_LONG = """
+WITH RECURSIVE contracted(step, word, pos, token) AS (
+  SELECT 0, word, pos, token FROM start_rows
+  UNION ALL
+  SELECT step + 1, word, pos, CASE WHEN chosen THEN least_merged ELSE token END
+  FROM (SELECT *, lag(chosen) OVER (PARTITION BY word ORDER BY pos) AS absorbed
+        FROM (SELECT *, hit AND CASE WHEN alone THEN nth = 1 ELSE row_number() OVER (PARTITION BY word, hit, place - nth ORDER BY pos) % 2 = 1 END AS chosen
+              FROM (SELECT *, row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS nth
+                    FROM (SELECT *, coalesce(merged = least_merged, false) AS hit
+                          FROM (SELECT p.*, m.merged, m.alone, min(m.merged) OVER (PARTITION BY p.word) AS least_merged
+                                FROM (SELECT step, word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following,
+                                             row_number() OVER (PARTITION BY word ORDER BY pos) AS place
+                                      FROM contracted) p
+                                LEFT JOIN merges m ON m.lefthand = p.token AND m.righthand = p.following) j
+                          WHERE least_merged IS NOT NULL) h) n) c) a
+  WHERE NOT coalesce(absorbed, false)
+)
+SELECT c.word, c.pos, c.token
+FROM contracted c JOIN (SELECT word, max(step) AS last FROM contracted GROUP BY word) f
+  ON c.word = f.word AND c.step = f.last
+"""
 ENCODED = "SELECT word, string_agg(token::VARCHAR, ',' ORDER BY pos) AS ids, count(*) AS n FROM fixpoint GROUP BY word ORDER BY word"
 DECODED = "SELECT f.word, string_agg(v.hexed, '' ORDER BY f.pos) AS hexed FROM fixpoint f JOIN vocabulary v USING (token) GROUP BY f.word ORDER BY f.word"
 
@@ -61,7 +89,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """All pairs of tokens whose concatenation is a token."""
+    """All pairs of tokens whose concatenation is a token. ``alone``: the merged token is part of
+    a pair of lesser rank than its own."""
     left, right, merged = [], [], []
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
@@ -70,8 +99,9 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
                 left.append(a)
                 right.append(b)
                 merged.append(rank)
+    early = {part for a, b, rank in zip(left, right, merged) for part in (a, b) if part >= rank}
     kind = pa.int32()
-    return pa.table({"lefthand": pa.array(left, kind), "righthand": pa.array(right, kind), "merged": pa.array(merged, kind)})
+    return pa.table({"lefthand": pa.array(left, kind), "righthand": pa.array(right, kind), "merged": pa.array(merged, kind), "alone": [m in early for m in merged]})
 
 
 class Codec:
@@ -88,12 +118,15 @@ class Codec:
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
         self.db.execute("SET memory_limit = '400MB'")
+        self.db.execute("SET temp_directory = ''")
         merges = merge_table(ranks)
         vocabulary = pa.table({"token": pa.array(list(ranks.values()), pa.int32()), "hexed": [t.hex() for t in ranks]})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
+        #: By match, and by chunk (a run of matches between spaces).
+        self.coded: dict[str, tuple[str, int, bytes]] = {}
         self.known: dict[str, tuple[str, int, bytes]] = {}
 
     def chunks(self, text: str) -> list[str]:
@@ -115,7 +148,7 @@ class Codec:
             token += [self.bytes_ids[b] for b in data]
         kind = pa.int32()
         self.db.register("start_rows", pa.table({"word": pa.array(word, kind), "pos": pa.array(pos, kind), "token": pa.array(token, kind)}))
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {CONTRACT}")
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {CONTRACT_LONG if max(map(len, words)) > LONG else CONTRACT}")
         ids = self.db.execute(ENCODED).fetchall()
         decoded = self.db.execute(DECODED).fetchall()
         self.db.unregister("start_rows")
@@ -125,20 +158,24 @@ class Codec:
         """Make every chunk known: encode the distinct matches of those that aren't yet."""
         here = set().union(*chunks)
         missing = sorted(here.difference(self.known))
+        matches = {c: self.match.findall(c) for c in missing}
+        distinct = {m for ms in matches.values() for m in ms}
         if len(self.known) + len(missing) > CACHE_ENTRIES:
             self.known = {c: v for c, v in self.known.items() if c in here}
-        matches = {c: self.match.findall(c) for c in missing}
-        distinct = sorted({m for ms in matches.values() for m in ms}, key=len)
-        coded: dict[str, tuple[str, int, bytes]] = {}
+        if len(self.coded) + len(distinct) > CACHE_ENTRIES:
+            self.coded = {m: v for m, v in self.coded.items() if m in distinct}
+        new = sorted(distinct.difference(self.coded), key=len)
         at = 0
-        while at < len(distinct):  # few matches together when they are long
-            stop = min(len(distinct), at + max(1, min(QUERY_WORDS, 400_000 // max(1, len(distinct[min(len(distinct), at + QUERY_WORDS) - 1])))))
-            part = distinct[at:stop]
-            coded.update(zip(part, self.contract(part), strict=True))
+        while at < len(new):  # few matches together when they are long, and long ones by themselves
+            stop, size = at, 0
+            while stop < len(new) and stop - at < QUERY_WORDS and (stop == at or size + len(new[stop]) <= 300_000 and (len(new[at]) > LONG) == (len(new[stop]) > LONG)):
+                size += len(new[stop])
+                stop += 1
+            self.coded.update(zip(new[at:stop], self.contract(new[at:stop]), strict=True))
             at = stop
         for c, ms in matches.items():
-            got = [coded[m] for m in ms]
-            self.known[c] = (",".join(g[0] for g in got), sum(g[1] for g in got), b"".join(g[2] for g in got))
+            got = [self.coded[m] for m in ms]
+            self.known[c] = got[0] if len(got) == 1 else (",".join(g[0] for g in got), sum(g[1] for g in got), b"".join(g[2] for g in got))
 
     def encode(self, texts: list[str | None]) -> list[tuple[int, str, bytes]]:
         """Per text: number of ids, ids joined by commas, decoded bytes."""
