@@ -63,12 +63,13 @@ def stream_text(raw: Column, spec: Column) -> Column:
     src_type = spec["src_type"]
     is_hex = (F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-fA-F]*$")
     unhexed = F.when(is_hex, F.unhex(raw).cast("string"))
-    b64 = F.try_to_binary(raw, F.lit("base64")).cast("string")
+    # bytes that aren't text get replacement characters; what isn't base64 has no text at all (NULL)
+    b64 = F.make_valid_utf8(V.base64_bytes(raw).cast("string"))
     return (F.when(sp_type == "BOOL", F.when(F.lower(raw).isin("true", "false"), F.lower(raw)).otherwise(raw))
             .when((sp_type == "STRING") & F.coalesce(spec["sp_is_array"], F.lit(False)),
                   F.array_join(F.from_json(raw, "array<string>"), ","))
             .when((sp_type == "STRING") & src_type.isin(*BINARY_TYPES), F.coalesce(unhexed, raw))
-            .when(sp_type == "BYTES", F.coalesce(b64, F.lit("")))
+            .when(sp_type == "BYTES", b64)
             .otherwise(raw))
 
 
@@ -82,10 +83,11 @@ def source_text(t: Column, src_type: Column, tz: Column, dialect: str, escape_ba
 
 def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialect: str,
                  escape_backslash: bool = False, keys_names: Column | None = None,
-                 new_names: Column | None = None, keys_json: Column | None = None,
-                 new_json: Column | None = None) -> Column:
+                 new_names: Column | None = None, keys_exact: Column | None = None,
+                 new_exact: Column | None = None) -> Column:
     """Struct ``(col, found, val)`` for one column spec: found = present in keys or new
-    values; val = rendered text, ``NULL`` for JSON null, SQL NULL when absent.
+    values; val = rendered text, ``NULL`` for JSON null, SQL NULL when absent or when the value can't be
+    decoded (found tells them apart).
     ``keys_names`` / ``new_names``: the maps' key arrays computed once per row (saves a
     key-array copy per column test)."""
     name = spec["sp_col"]
@@ -96,9 +98,9 @@ def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialec
         in_k = V.has(keys_m, name)
         found = in_k | V.has(new_m, name)
     raw = F.when(in_k, V.text(keys_m, name)).otherwise(V.text(new_m, name))
-    if keys_json is not None and new_json is not None:
-        # float text as written in the payload (BigDecimal text in the reference)
-        exact = F.when(in_k, V.number_text(keys_m, name, keys_json)).otherwise(V.number_text(new_m, name, new_json))
+    if keys_exact is not None and new_exact is not None:
+        # numbers as written in the payload
+        exact = F.when(in_k, V.text(keys_exact, name)).otherwise(V.text(new_exact, name))
         raw = F.when(spec["sp_type"].isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"), exact).otherwise(raw)
     # Lambdas are interpreted without common-subexpression elimination: bind each value once
     # to a lambda variable instead of repeating its expression at every use.

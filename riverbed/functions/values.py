@@ -61,20 +61,20 @@ def text(m: Column, key) -> Column:
     return F.try_element_at(m, _key(key))
 
 
-_NUMBER = r"(-?[0-9][0-9]*(?:[.][0-9]+)?(?:[eE][-+]?[0-9]+)?)"
+# From the end of the last match: everything that isn't a number, string literals as a whole; then a number.
+_NUMBERS = r'\G((?:[^"0-9-]++|"(?:[^"\\]++|\\.)*+")*+)(-?[0-9]++(?:\.[0-9]++)?(?:[eE][-+]?[0-9]++)?)'
 
 
-def number_text(m: Column, key, json_text: Column | None) -> Column:
-    """Text of a field with numbers as written. The map parse goes through ``double`` for
-    numbers with a fraction, which can lose digits or switch to exponent form; in that case
-    (exponent in the text, or 17+ characters) the lexeme is taken from the JSON text."""
-    t = text(m, key)
-    if json_text is None:
-        return t
-    lossy = t.contains("E") | (F.length(t) >= 17)
-    pattern = F.concat(F.lit('"\\Q'), _key(key), F.lit('\\E"\\s*:\\s*' + _NUMBER))
-    lexeme = F.call_function("regexp_extract", json_text, pattern, F.lit(1))
-    return F.when(lossy & (lexeme != ""), lexeme).otherwise(t)
+def exact(json_col) -> Column:
+    """Like ``parse``, with the numbers of the object as they are written: the parser behind ``parse`` reads a
+    number with a fraction as a double. Every number is put in quotes first (numbers inside string literals
+    are stepped over), so that its text is the value; nested objects are not for use in this form."""
+    return parse(F.regexp_replace(_c(json_col), _NUMBERS, '$1"$2"'))
+
+
+def number_text(m: Column, key, exact_m: Column | None) -> Column:
+    """Text of a field with numbers as written: from the map that ``exact`` gives, if there is one."""
+    return text(m if exact_m is None else exact_m, key)
 
 
 def is_json_null(m: Column, key) -> Column:
@@ -94,6 +94,14 @@ def _required(value: Column, m: Column, required: bool, key, what: str) -> Colum
     return F.when(missing, F.raise_error(msg)).otherwise(value)
 
 
+def _checked(value: Column, m: Column, required: bool, key, what: str) -> Column:
+    """As ``_required``, and a value that can't be read is an error as well."""
+    if not required:
+        return value
+    bad = F.raise_error(F.concat(F.lit(f"required {what} field can't be read: "), _key(key)))
+    return _required(F.when(value.isNull() & text(m, key).isNotNull(), bad).otherwise(value), m, required, key, what)
+
+
 def to_boolean(m: Column, key, required: bool = False) -> Column:
     """Only the text ``true`` counts as true; any other value is false."""
     t = text(m, key)
@@ -114,15 +122,24 @@ def to_double(m: Column, key, required: bool = False) -> Column:
     return _required(F.when(t.isNotNull(), parsed), m, required, key, "double")
 
 
-def to_string(m: Column, key, required: bool = False, json_text: Column | None = None) -> Column:
-    """Scalar text; numbers keep every digit (pass ``json_text`` for numbers with a
-    fraction beyond double precision)."""
-    return _required(number_text(m, key, json_text), m, required, key, "string")
+def to_string(m: Column, key, required: bool = False, exact_m: Column | None = None) -> Column:
+    """Scalar text; numbers as written with ``exact_m``, the payload's ``exact`` map (nested
+    objects and arrays are taken from ``m``)."""
+    plain = text(m, key)
+    value = plain if exact_m is None else F.when(plain.rlike(r"^\s*[\[{]"), plain).otherwise(number_text(m, key, exact_m))
+    return _required(value, m, required, key, "string")
 
 
 def to_bytes(m: Column, key, required: bool = False) -> Column:
-    """base64 text to binary; bad base64 gives NULL instead of an exception."""
-    return _required(F.try_to_binary(text(m, key), F.lit("base64")), m, required, key, "bytes")
+    """base64 text (standard or URL-safe alphabet, padded or not) to binary; bad base64 gives NULL, and
+    an error when ``required``."""
+    return _checked(base64_bytes(text(m, key)), m, required, key, "bytes")
+
+
+def base64_bytes(t: Column) -> Column:
+    standard = F.rtrim(F.translate(t, "-_", "+/"), F.lit("="))
+    padded = F.concat(standard, F.repeat(F.lit("="), F.pmod(-F.length(standard), F.lit(4))))
+    return F.when(F.length(standard) % 4 != 1, F.try_to_binary(padded, F.lit("base64")))
 
 
 _RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?$"
@@ -148,21 +165,22 @@ def timestamp_nanos(m: Column, key) -> Column:
 
 
 def to_date(m: Column, key, required: bool = False) -> Column:
-    """``yyyy-MM-dd``. Impossible dates such as 02-30 give NULL (documented difference)."""
+    """``yyyy-MM-dd``. Impossible dates such as 02-30 give NULL, and an error when
+    ``required`` (documented difference)."""
     t = text(m, key)
     ok = t.rlike(r"^\d{4}-\d{2}-\d{2}$")
     val = F.when(ok, F.try_to_date(t, "yyyy-MM-dd"))
     if required:
-        val = F.when(t.isNull() | ~ok, F.raise_error(F.concat(F.lit("not a date: "), _key(key)))).otherwise(val)
+        val = F.when(val.isNull(), F.raise_error(F.concat(F.lit("not a date: "), _key(key)))).otherwise(val)
     return val
 
 
-def to_numeric(m: Column, key, required: bool = False, json_text: Column | None = None) -> Column:
-    """decimal(38,9), rounded half up; numbers, numeric strings and exponent forms
-    (pass ``json_text`` so that JSON numbers keep digits beyond double precision).
-    Values wider than 38 digits give NULL (documented difference)."""
-    t = number_text(m, key, json_text)
-    return _required(t.try_cast("decimal(38,9)"), m, required, key, "numeric")
+def to_numeric(m: Column, key, required: bool = False, exact_m: Column | None = None) -> Column:
+    """decimal(38,9), rounded half up; numbers, numeric strings and exponent forms (with
+    ``exact_m``, the payload's ``exact`` map, JSON numbers keep all their digits).
+    Values wider than 38 digits give NULL, and an error when ``required`` (documented difference)."""
+    t = number_text(m, key, exact_m)
+    return _checked(t.try_cast("decimal(38,9)"), m, required, key, "numeric")
 
 
 def to_json_text(m: Column, key, required: bool = False) -> Column:
@@ -200,7 +218,7 @@ def extract(payload, key, stream_type: str, required: bool = False) -> Column:
         return fn(payload, key, required)
     m = parse(payload)
     if fn in (to_numeric, to_string):
-        return fn(m, key, required, F.col(payload))
+        return fn(m, key, required, exact(payload))
     return fn(m, key, required)
 
 

@@ -24,8 +24,16 @@ CHANGE = (
     "new_values_json string, mod_type string, num_records_in_txn bigint, txn_tag string"
 )
 
-# Total order of changes inside a shard: commit time, then server txn id, then record sequence.
+# Total order of changes inside a shard: commit time, then server txn id, then record sequence,
+# then the change's place among its record's mods (frames from ``explode_mods`` carry it).
 ORDER_COLUMNS = ["commit_seconds", "commit_nanos", "server_txn_id", "record_sequence"]
+MOD_POSITION = "mod_position"
+
+
+def order_columns(df) -> list[str]:
+    """The order columns that ``df`` has: the record order, and the place inside the record."""
+    return ORDER_COLUMNS + ([MOD_POSITION] if MOD_POSITION in df.columns else [])
+
 
 # Buffer message as published by the stream-to-buffer job (camelCase JSON).
 BUFFER_MESSAGE = (
@@ -45,7 +53,7 @@ TABLE_MAP = ("table_id string, sp_table string, src_table string, shard_col_id s
 COLUMN_MAP = ("table_id string, col_id string, sp_col string, sp_type string, sp_is_array boolean, "
               "sp_pk_ord int, src_col string, src_type string, src_pk_ord int, src_col_pos int")
 
-CATALOG = "table_name string, column_name string, spanner_type string, ordinal int, pk_ordinal int, pk_desc boolean"
+CATALOG = "table_name string, column_name string, stream_type string, ordinal int, pk_ordinal int, pk_desc boolean"
 
 DEAD_LETTER = "stage string, error string, record string, failed_at timestamp"
 

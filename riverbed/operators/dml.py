@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.functions import pinned
+from riverbed.functions import values as V
 from riverbed.functions.render import DIALECTS, column_value
 from riverbed.operators.mapping import map_tables, table_specs
 from riverbed.operators.ordering import positions
@@ -24,17 +25,18 @@ DROP_SOURCE_NO_PK = "source table has no primary key"
 DROP_UNSUPPORTED_MOD = "unsupported mod type"
 DROP_PK_NOT_MAPPED = "primary key column has no stream column"
 DROP_PK_ABSENT = "primary key value not in record"
+DROP_NOT_DECODED = "value can't be decoded"
 
 
 def _join(arr: Column, field: str, sep: str) -> Column:
     return F.array_join(F.transform(arr, lambda x: x[field]), sep)
 
 
-def _upsert(table: Column, pkv: Column, cols: Column, dialect: str) -> Column:
+def _upsert(table: Column, pkv: Column, cols: Column, dialect: str, if_absent: bool) -> Column:
     pk_names = _join(pkv, "col", ",")
     pk_vals = _join(pkv, "val", ",")
-    only_pk = F.concat(F.lit("INSERT INTO "), table, F.lit("("), pk_names, F.lit(") VALUES ("), pk_vals,
-                       F.lit(") ") if dialect == "mysql" else F.lit(")"))
+    only_pk = F.concat(F.lit("INSERT IGNORE INTO " if if_absent and dialect == "mysql" else "INSERT INTO "), table, F.lit("("), pk_names, F.lit(") VALUES ("), pk_vals,
+                       F.lit(") ") if dialect == "mysql" else F.lit(") ON CONFLICT DO NOTHING" if if_absent else ")"))
     head = F.concat(F.lit("INSERT INTO "), table, F.lit("("), pk_names, F.lit(","), _join(cols, "col", ","),
                     F.lit(") VALUES ("), pk_vals, F.lit(","), _join(cols, "val", ","), F.lit(") "))
     if dialect == "mysql":
@@ -57,12 +59,13 @@ def _delete(table: Column, pkv: Column, dialect: str) -> Column:
 
 def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame, dialect: str = "mysql",
                tz_offset: str | Column = "+00:00", escape_backslash: bool = False,
-               specs: DataFrame | None = None) -> DataFrame:
+               specs: DataFrame | None = None, insert_if_absent: bool = False) -> DataFrame:
     """F12-F16 + P9: add ``dml`` (statement text, '' when dropped), ``drop_reason`` and
     ``pk_text`` (the rendered primary-key values joined by commas, e.g. for shadow keys).
 
     INSERT and UPDATE both render as upserts; DELETE renders a delete by primary key.
-    ``tz_offset`` is the source database offset (a string, or a per-row Column such as a
+    ``insert_if_absent``: a row that has nothing but its key is inserted only if it isn't there, so that
+    the statement can be executed twice. ``tz_offset`` is the source database offset (a string, or a per-row Column such as a
     shard's offset)."""
     if dialect not in DIALECTS:
         raise ValueError(f"unsupported dialect: {dialect}")
@@ -71,7 +74,11 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
     d = with_payloads(map_tables(changes, specs))
     d = d.withColumn("_kn", pinned(F.map_keys("_k"))).withColumn("_nn", pinned(F.map_keys("_n")))
     k, n, kn, nn = F.col("_k"), F.col("_n"), F.col("_kn"), F.col("_nn")
-    kj, nj = F.col("keys_json"), F.col("new_values_json")
+    # numbers as written, parsed only for tables that have a column for them
+    numbers = F.exists(F.concat("pk_specs_types", "col_specs_types"), lambda t: t.isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"))
+    d = (d.withColumn("pk_specs_types", F.transform("pk_specs", lambda c: c["sp_type"])).withColumn("col_specs_types", F.transform("col_specs", lambda c: c["sp_type"]))
+         .withColumn("_kx", pinned(F.when(numbers, V.exact("keys_json")))).withColumn("_nx", pinned(F.when(numbers, V.exact("new_values_json")))))
+    kj, nj = F.col("_kx"), F.col("_nx")
     pkv = F.transform("pk_specs", lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn, kj, nj))
     cols = F.filter(F.transform("col_specs",
                                 lambda c: column_value(c, k, n, tz, dialect, escape_backslash, kn, nn, kj, nj)),
@@ -83,13 +90,14 @@ def render_dml(changes: DataFrame, table_map: DataFrame, column_map: DataFrame,
               .when(F.coalesce(F.col("src_pk_count"), F.lit(0)) == 0, F.lit(DROP_SOURCE_NO_PK))
               .when(~mod.isin("INSERT", "UPDATE", "DELETE") | mod.isNull(), F.lit(DROP_UNSUPPORTED_MOD))
               .when(F.exists("pk_specs", lambda c: c["sp_col"].isNull()), F.lit(DROP_PK_NOT_MAPPED))
-              .when(F.exists("_pkv", lambda x: ~x["found"]), F.lit(DROP_PK_ABSENT)))
+              .when(F.exists("_pkv", lambda x: ~x["found"]), F.lit(DROP_PK_ABSENT))
+              .when(F.exists("_pkv", lambda x: x["val"].isNull()) | ((mod != "DELETE") & F.exists("_cols", lambda x: x["val"].isNull())), F.lit(DROP_NOT_DECODED)))
     table = F.col("src_table")
     keep = [c for c in changes.columns if c not in ("_k", "_n")]
     d = d.withColumn("_reason", pinned(reason))
     stmt = (F.when(F.col("_reason").isNotNull(), F.lit(""))
             .when(mod == "DELETE", _delete(table, F.col("_pkv"), dialect))
-            .otherwise(_upsert(table, F.col("_pkv"), F.col("_cols"), dialect)))
+            .otherwise(_upsert(table, F.col("_pkv"), F.col("_cols"), dialect, insert_if_absent)))
     pk_text = F.when(F.col("_reason").isNull(), _join(F.col("_pkv"), "val", ","))
     return d.select(*keep, F.col("src_table"), pinned(stmt).alias("dml"), F.col("_reason").alias("drop_reason"),
                     pk_text.alias("pk_text"))

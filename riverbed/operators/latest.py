@@ -12,20 +12,21 @@ def order_struct(order_cols=model.ORDER_COLUMNS) -> Column:
     return F.struct(*[F.col(c) for c in order_cols])
 
 
-def latest_per_key(df: DataFrame, keys=("table_name", "keys_json"), order_cols=model.ORDER_COLUMNS) -> DataFrame:
-    """G1: the last change per key in (commit time, txn id, record sequence) order.
+def latest_per_key(df: DataFrame, keys=("table_name", "keys_json"), order_cols=None) -> DataFrame:
+    """G1: the last change per key in (commit time, txn id, record sequence, mod position) order.
 
     ``max_by`` is a partial aggregate: every map task keeps only its latest row per key
     before the shuffle, so a hot key costs one row per task, not a third of the data.
     Reference mode (latest per ``user_id`` inside a shard) is ``keys=("shard", "user_id")``."""
     keys = list(keys)
+    order_cols = order_cols or model.order_columns(df)
     rest = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order_struct(order_cols)).alias("_r"))
     return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key_cols, value_cols, fold: str = "row",
-                  order_cols=model.ORDER_COLUMNS, mod_col: str = "mod_type") -> DataFrame:
+                  order_cols=None, mod_col: str = "mod_type") -> DataFrame:
     """the table after executing the changes' upserts and deletes.
 
     ``changes`` holds typed key columns, ``mod_type``, the order columns and, for every
@@ -39,7 +40,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key_cols, value_cols, f
     """
     key_cols = list(key_cols)
     value_cols = list(value_cols)
-    o = order_struct(order_cols)
+    o = order_struct(order_cols or model.order_columns(changes))
     is_del = F.col(mod_col) == "DELETE"
     if fold == "row":
         folded = changes.groupBy(*key_cols).agg(

@@ -36,14 +36,15 @@ def asof_lookup(probes: DataFrame, versions: DataFrame, key_cols, value_cols, la
     key_cols = list(key_cols)
     value_cols = list(value_cols)
     s, n, txn, seq = order_cols
+    place = F.col("mod_position") if "mod_position" in versions.columns else F.lit(0)
     pcols = probes.columns
     v = versions.select(*key_cols, F.col(s).alias("_es"), F.col(n).alias("_en"), F.lit(0).alias("_kind"),
-                        F.col(txn).alias("_txn"), F.col(seq).alias("_seq"),
+                        F.col(txn).alias("_txn"), F.struct(F.col(seq).alias("s"), place.cast("int").alias("p")).alias("_seq"),
                         F.struct(*value_cols).alias("_val"),
                         F.lit(None).cast(probes.select(F.struct(*pcols)).schema[0].dataType).alias("_probe"))
     p = probes.select(*key_cols, (F.col(s) - F.lit(lag_seconds)).alias("_es"), F.col(n).alias("_en"),
                       F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("_txn"),
-                      F.lit(None).cast("string").alias("_seq"),
+                      F.lit(None).cast("struct<s:string,p:int>").alias("_seq"),
                       F.lit(None).cast(versions.select(F.struct(*value_cols)).schema[0].dataType).alias("_val"),
                       F.struct(*pcols).alias("_probe"))
     u = v.unionByName(p).withColumn("_bucket", F.floor(F.col("_es") / F.lit(bucket_seconds)))
@@ -76,36 +77,25 @@ def asof_lookup(probes: DataFrame, versions: DataFrame, key_cols, value_cols, la
                          *[best[c].alias(c) for c in value_cols])
 
 
-def asof_fill(df: DataFrame, key_cols, value_col: str, is_version: str, is_probe: str, out_col: str,
-              lag_seconds: int = 1, bucket_seconds: int = 86400,
-              order_cols=("commit_seconds", "commit_nanos", "server_txn_id", "record_sequence")) -> DataFrame:
-    """J4 on one frame: rows flagged ``is_version`` carry ``value_col``; every row flagged
-    ``is_probe`` gets, in ``out_col``, the value of the latest version row of its key with
-    commit <= (its commit - ``lag_seconds``). Other rows pass through (``out_col`` NULL).
+def asof_probes(df: DataFrame, key_cols, value_col: str, is_version, is_probe, out_col: str, lag_seconds: int = 1,
+                stored: DataFrame | None = None) -> DataFrame:
+    """J4 on one frame: the rows for which ``is_probe`` holds get, in ``out_col``, the value of the latest
+    version of their key with commit <= (their commit - ``lag_seconds``). Versions are the rows for which
+    ``is_version`` holds and the rows of ``stored`` (key columns, order columns and ``value_col``), e.g.
+    row versions written before the frame begins.
 
-    Same plan as ``asof_lookup`` without the union: one time-ordered scan inside
-    (key, time bucket) partitions plus a per-(key, bucket) summary for the carry-in."""
+    Only the probes, and the versions of their keys (a semi join), are shuffled; all other rows pass by."""
     key_cols = list(key_cols)
-    s, n, txn, seq = order_cols
-    d = (df.withColumn("_es", F.when(F.col(is_probe), F.col(s) - F.lit(lag_seconds)).otherwise(F.col(s)))
-         .withColumn("_kind", F.when(F.col(is_probe), F.lit(1)).otherwise(F.lit(0)))
-         .withColumn("_val", F.when(F.col(is_version), F.col(value_col)))
-         .withColumn("_bucket", F.floor(F.col("_es") / F.lit(bucket_seconds))))
-    w_in = (Window.partitionBy(*key_cols, "_bucket").orderBy("_es", n, "_kind", txn, seq)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = d.withColumn("_inb", F.when(F.col(is_probe), F.last("_val", ignorenulls=True).over(w_in)))
-
-    summary = (d.where(F.col(is_version)).groupBy(*key_cols, "_bucket")
-               .agg(F.max_by("_val", F.struct("_es", n, txn, seq)).alias("_sv")).withColumn("_m", F.lit(1)))
-    markers = (d.where(F.col(is_probe)).select(*key_cols, "_bucket").distinct()
-               .withColumn("_sv", F.lit(None).cast(summary.schema["_sv"].dataType)).withColumn("_m", F.lit(0)))
-    w_carry = Window.partitionBy(*key_cols).orderBy("_bucket", "_m").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summary.unionByName(markers).withColumn("_carry", F.last("_sv", ignorenulls=True).over(w_carry))
-             .where(F.col("_m") == 0).select(*[F.col(k).alias(f"_c_{k}") for k in key_cols],
-                                             F.col("_bucket").alias("_c_bucket"), "_carry"))
-    cond = [scanned[k].eqNullSafe(carry[f"_c_{k}"]) for k in key_cols] + [scanned["_bucket"] == carry["_c_bucket"]]
-    joined = scanned.join(carry, cond, "left")
-    return joined.select(*df.columns, F.coalesce("_inb", "_carry").alias(out_col))
+    probes = df.where(is_probe)
+    order = [c for c in ("commit_seconds", "commit_nanos", "server_txn_id", "record_sequence", "mod_position") if c in df.columns]
+    versions = df.where(is_version).select(*key_cols, *order, value_col)
+    if stored is not None:
+        extra = [F.lit(-1).alias(c) if c == "mod_position" and c not in stored.columns else F.col(c) for c in order]
+        versions = versions.unionByName(stored.select(*key_cols, *extra, value_col))
+    versions = versions.join(probes.select(*key_cols).distinct(), key_cols, "left_semi").withColumnRenamed(value_col, "_found_value")
+    found = asof_lookup(probes, versions, key_cols, ["_found_value"], lag_seconds).withColumnRenamed("_found_value", out_col)
+    rest = df.where(~F.coalesce(is_probe, F.lit(False))).withColumn(out_col, F.lit(None).cast(df.schema[value_col].dataType))
+    return rest.unionByName(found.select(*rest.columns))
 
 
 def tables_without_shadow(tables: DataFrame, name_col: str = "table_name", prefix: str = SHADOW_PREFIX) -> DataFrame:
@@ -131,4 +121,4 @@ def pk_columns(catalog: DataFrame, table: str | None = None) -> DataFrame:
     c = catalog.where(F.col("pk_ordinal").isNotNull())
     if table is not None:
         c = c.where(F.col("table_name") == table)
-    return c.select("table_name", "column_name", "spanner_type", "pk_ordinal", "pk_desc")
+    return c.select("table_name", "column_name", "stream_type", "pk_ordinal", "pk_desc")

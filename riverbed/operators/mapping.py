@@ -26,8 +26,9 @@ def table_specs(table_map: DataFrame, column_map: DataFrame) -> DataFrame:
         key = (id(table_map), id(column_map))
         hit = _SPECS_CACHE.get(key)
         if hit is None:
-            hit = _SPECS_CACHE[key] = _table_specs(table_map, column_map).cache()
-        return hit
+            # the entry holds its frames: their ids can't go to other frames meanwhile
+            hit = _SPECS_CACHE[key] = (table_map, column_map, _table_specs(table_map, column_map).cache())
+        return hit[2]
     return _table_specs(table_map, column_map)
 
 

@@ -23,13 +23,14 @@ def filter_changes(df: DataFrame, mode: str = "forward_migration") -> DataFrame:
 
 def explode_mods(df: DataFrame) -> DataFrame:
     """One row per mod, the envelope repeated; ``num_records_in_txn`` unchanged.
+    ``mod_position`` is the mod's place in its record (from 0), the last part of the change order.
     A record with no mods yields no row."""
     env = [c for c in model.ENVELOPE if c in df.columns]
     extra = [c for c in df.columns if c not in env and c not in ("mods", "row_type", "partition_token",
                                                                   "is_last_in_txn", "value_capture_type",
                                                                   "num_partitions_in_txn", "is_system_txn")]
-    out = df.select(*env, *extra, F.explode("mods").alias("_m"))
-    return out.select(*env, *extra, "_m.keys_json", "_m.old_values_json", "_m.new_values_json")
+    out = df.select(*env, *extra, F.posexplode("mods").alias(model.MOD_POSITION, "_m"))
+    return out.select(*env, *extra, model.MOD_POSITION, "_m.keys_json", "_m.old_values_json", "_m.new_values_json")
 
 
 def parse_buffer(df: DataFrame, value_col: str = "value", on_error: str = "fail") -> tuple[DataFrame, DataFrame | None]:

@@ -182,6 +182,20 @@ SELECT server_txn_id, record_sequence,
 FROM fwd
 """)
 
+# deletes of mapped tables take the shard of the version in force a second before
+IMAGE_ASOF = ASOF_SHARD + """,
+imgd AS (
+  SELECT f.*, CASE WHEN f.table_name = 'unmapped' THEN 'skip' WHEN f.mod_type = 'DELETE' THEN a.shard ELSE f.shard_id END AS shard,
+    CASE WHEN f.table_name <> 'unmapped' AND f.mod_type = 'DELETE' AND a.shard IS NULL THEN 'no row version before delete' END AS shard_error
+  FROM fwd f LEFT JOIN asof_res a ON a.server_txn_id = f.server_txn_id AND a.record_sequence = f.record_sequence)
+"""
+
+ORACLE["a6_image_deletes"] = with_chg(IMAGE_ASOF + "SELECT server_txn_id, record_sequence, shard, shard_error FROM imgd")
+
+ORACLE["a6_stored_versions"] = with_chg(IMAGE_ASOF + """
+SELECT server_txn_id, record_sequence, shard, shard_error FROM imgd WHERE commit_ts >= TIMESTAMP '2024-01-15 00:00:00'
+""")
+
 ORACLE["a4_shard_constant"] = with_chg("""
 SELECT server_txn_id, record_sequence,
   (SELECT 'shard' || lpad(CAST(min(s_suppkey) AS VARCHAR), 5, '0') FROM supplier) AS shard
@@ -262,6 +276,18 @@ ORACLE["g1_latest_per_key"] = with_chg(LATEST + """
 SELECT table_name, keys_json, server_txn_id, record_sequence, mod_type FROM ranked WHERE rn = 1
 """)
 
+ORACLE["g1_repeated_keys"] = """
+WITH m AS (
+  SELECT o_orderkey, '{"l_orderkey":"' || CAST(l_orderkey AS VARCHAR) || '"}' AS keys_json,
+    '{"l_quantity":' || CAST(l_quantity AS VARCHAR) || ',"l_returnflag":"' || l_returnflag || '"}' AS new_values_json,
+    row_number() OVER (PARTITION BY o_orderkey ORDER BY '{"l_orderkey":"' || CAST(l_orderkey AS VARCHAR) || '","l_linenumber":"' || CAST(l_linenumber AS VARCHAR) || '"}',
+      '{"l_quantity":' || CAST(l_quantity AS VARCHAR) || ',"l_returnflag":"' || l_returnflag || '"}', l_linenumber) AS place,
+    count(*) OVER (PARTITION BY o_orderkey) AS n
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+SELECT keys_json, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS server_txn_id, CAST(place - 1 AS INTEGER) AS mod_position, new_values_json
+FROM m WHERE place = n
+"""
+
 ORACLE["g1_latest_reference_mode"] = with_chg(""",
 ranked AS (
   SELECT *, CAST(user_id % 5 AS VARCHAR) AS shard, row_number() OVER (PARTITION BY user_id % 5, user_id
@@ -448,7 +474,22 @@ FROM tgt t FULL OUTER JOIN lat l ON t.user_id = l.user_id LEFT JOIN dels d ON d.
 WHERE l.user_id IS NULL OR l.mod_type <> 'DELETE'
 """)
 
-ORACLE["q6_table_apply"] = ORACLE["f18_apply_row"]
+ORACLE["q6_table_apply"] = with_chg(APPLY + """,
+act AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+          ORDER BY commit_seconds DESC, commit_nanos DESC, server_txn_id DESC, record_sequence DESC) AS rn
+        FROM fwd WHERE table_name = 'activity') WHERE rn = 1),
+tga AS (SELECT c_custkey AS user_id, c_acctbal AS amount FROM customer WHERE c_nationkey % 2 = 0)
+SELECT 'accounts' AS src_table, coalesce(t.user_id, l.user_id) AS user_id,
+  CASE WHEN l.user_id IS NULL THEN t.balance ELSE l.value END AS amount,
+  CASE WHEN l.user_id IS NULL THEN NULL ELSE json(l.props)::VARCHAR END AS doc, t.note AS note
+FROM tgt t FULL OUTER JOIN lat l ON t.user_id = l.user_id
+WHERE l.user_id IS NULL OR l.mod_type <> 'DELETE'
+UNION ALL
+SELECT 'activity_log', coalesce(t.user_id, l.user_id), CASE WHEN l.user_id IS NULL THEN t.amount ELSE l.value END,
+  CASE WHEN l.user_id IS NULL THEN NULL ELSE json(l.props)::VARCHAR END, CAST(NULL AS VARCHAR)
+FROM tga t FULL OUTER JOIN act l ON t.user_id = l.user_id
+WHERE l.user_id IS NULL OR l.mod_type <> 'DELETE'
+""")
 
 # ----------------------------------------------------------------------------- W*
 ORACLE["w8_window_start"] = f"""
@@ -467,7 +508,7 @@ SELECT server_txn_id, record_sequence, (prior IS NULL OR cns >= prior) AS kept F
 
 ORACLE["w11_dedup_ids"] = f"""
 SELECT user_id AS id, {ts_text('min(ts)')} AS created_at FROM events
-WHERE event_type IN ('signup', 'purchase') AND ts >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY
+WHERE ts >= TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAY
 GROUP BY user_id
 """
 
@@ -506,8 +547,7 @@ SELECT 'run-1' AS run_id, 'shard' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS
 """
 
 ORACLE["k9_seen_insert"] = f"""
-SELECT user_id AS id, {ts_text('min(ts)')} AS created_at FROM events
-WHERE event_type IN ('signup', 'purchase') GROUP BY user_id
+SELECT user_id AS id, {ts_text('min(ts)')} AS created_at FROM events GROUP BY user_id
 """
 
 ORACLE["k12_windowed_export"] = with_chg(IMAGE_SHARD + f"""
@@ -528,20 +568,34 @@ SELECT shard, (position - 1) // 50 AS batch_no, min(position) AS first_position,
 FROM pos GROUP BY shard, (position - 1) // 50
 """)
 
-ORACLE["q1_direct_replication"] = with_chg(f""",
-lat AS (SELECT *, CAST(user_id % 500 AS VARCHAR) AS shard, row_number() OVER (PARTITION BY user_id
+def _q1(partition: str) -> str:
+    return with_chg(f""",
+lat AS (SELECT *, CAST(user_id % 500 AS VARCHAR) AS shard, row_number() OVER (PARTITION BY {partition}
           ORDER BY commit_seconds DESC, commit_nanos DESC, server_txn_id DESC, record_sequence DESC) AS rn
         FROM fwd)
 SELECT shard, user_id, server_txn_id, record_sequence, {_events_dml('mysql')} AS dml
 FROM lat WHERE rn = 1 AND table_name <> 'unmapped'
 """)
 
-ORACLE["q2_shadow_replication"] = with_chg(SHADOW + f"""
-SELECT f.server_txn_id, f.record_sequence, f.shard_id AS shard, {_events_dml('postgresql')} AS dml
-FROM fwd f LEFT JOIN (SELECT user_id AS s_uid, processed_commit_ts FROM shadow) s
-  ON f.table_name = 'account' AND s.s_uid = f.user_id
-WHERE f.table_name <> 'unmapped' AND f.shard_id IS NOT NULL
-  AND (s.processed_commit_ts IS NULL OR s.processed_commit_ts <= f.commit_ts)
+
+ORACLE["q1_direct_replication"] = _q1("table_name, keys_json")
+ORACLE["q1_reference_mode"] = _q1("user_id")
+
+SHADOWED = IMAGE_ASOF + SHADOW + """,
+tested AS (
+  SELECT f.*, (s.processed_commit_ts IS NULL OR s.processed_commit_ts <= f.commit_ts) AS fresh
+  FROM imgd f LEFT JOIN (SELECT user_id AS s_uid, processed_commit_ts FROM shadow) s
+    ON f.table_name = 'account' AND s.s_uid = f.user_id
+  WHERE f.table_name <> 'unmapped')
+"""
+
+ORACLE["q2_shadow_replication"] = with_chg(SHADOWED + f"""
+SELECT server_txn_id, record_sequence, shard, {_events_dml('postgresql')} AS dml FROM tested WHERE shard_error IS NULL AND fresh
+""")
+
+ORACLE["q2_dead_letters"] = with_chg(SHADOWED + """
+SELECT server_txn_id, record_sequence, table_name, coalesce(shard_error, 'older than the last applied commit of its key') AS error
+FROM tested WHERE shard_error IS NOT NULL OR NOT fresh
 """)
 
 ORACLE["q3_stream_to_buffer"] = with_chg(ASOF_SHARD + f""",
@@ -549,19 +603,53 @@ sh AS (SELECT f.*, coalesce(f.shard_id, a.shard) AS shard FROM fwd f
        LEFT JOIN asof_res a ON a.server_txn_id = f.server_txn_id AND a.record_sequence = f.record_sequence
        WHERE coalesce(f.shard_id, a.shard) IS NOT NULL),
 parts AS (SELECT shard AS p_shard, row_number() OVER (ORDER BY shard) - 1 AS partition
-          FROM (SELECT DISTINCT shard FROM sh))
+          FROM (SELECT DISTINCT 'shard' || CAST(c_custkey % 4 AS VARCHAR) AS shard FROM customer))
 SELECT shard AS key, CAST(partition AS INTEGER) AS partition,
   row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id, record_sequence)
     AS position, {MSG_JSON} AS value
 FROM sh JOIN parts ON p_shard = shard
 """)
 
-ORACLE["q5_windowed_export"] = with_chg(IMAGE_SHARD + f"""
+ORACLE["q4_buffer_to_database"] = with_chg(f"""
+SELECT 'shard' || lpad(CAST(user_id % 100 + 1 AS VARCHAR), 5, '0') AS shard, server_txn_id, record_sequence, {_events_dml('mysql')} AS dml
+FROM fwd WHERE table_name <> 'unmapped'
+""")
+
+ORACLE["q5_windowed_export"] = with_chg(IMAGE_ASOF + f"""
 SELECT shard, {ts_text("time_bucket(INTERVAL 1 hour, commit_ts)")} AS window_start, server_txn_id, record_sequence,
   {MSG_JSON} AS record
-FROM img WHERE shard <> 'unknown'
+FROM imgd WHERE shard_error IS NULL
+""")
+
+ORACLE["f1_exact_numbers"] = with_chg("""
+SELECT server_txn_id, record_sequence, CASE WHEN mod_type = 'DELETE' THEN 'DELETE FROM accounts WHERE  user_id = ' || user_id
+  ELSE 'INSERT INTO accounts(user_id,balance,attrs) VALUES (' || user_id || ',' || event_id || '.01234567890123456789,''{"value":7,"t":"1, 2: 3"}'') '
+    || 'ON DUPLICATE KEY UPDATE  balance = ' || event_id || '.01234567890123456789, attrs = ''{"value":7,"t":"1, 2: 3"}''' END AS dml
+FROM fwd WHERE table_name = 'account'
+""")
+
+ORACLE["w1_release_all"] = with_chg(IMAGE_SHARD + """
+SELECT shard, server_txn_id, record_sequence,
+  row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id, record_sequence) AS position,
+  (commit_seconds // 21600 + 1) * 21600000 AS released_at_ms
+FROM img
+""")
+
+ORACLE["w2_release_latest"] = with_chg(IMAGE_SHARD + """,
+r AS (SELECT *, (commit_seconds // 21600 + 1) * 21600000 AS released_at_ms,
+        row_number() OVER (PARTITION BY shard, commit_seconds // 21600, table_name, keys_json
+          ORDER BY commit_seconds DESC, commit_nanos DESC, server_txn_id DESC, record_sequence DESC) AS rn FROM img)
+SELECT shard, table_name, keys_json, released_at_ms, server_txn_id, record_sequence FROM r WHERE rn = 1
 """)
 
+ORACLE["w10_redistribute"] = with_chg("SELECT server_txn_id, record_sequence, table_name, keys_json FROM fwd")
+
+ORACLE["k7_metadata"] = f"""
+SELECT event_type AS run_id, {ts_text("time_bucket(INTERVAL 1 hour, min(ts))")} AS start_ts, '1h' AS window_duration
+FROM events WHERE event_type <> 'signup' GROUP BY event_type
+UNION ALL SELECT 'signup', '2024-01-01 10:26:00.000000', '10s'
+"""
+
 # ----------------------------------------------------------------------------- A7, O4, K10, K11
 ORACLE["a7_shard_udf"] = with_chg("""
 SELECT server_txn_id, record_sequence, table_name || '-' || CAST(user_id % 3 AS VARCHAR) AS shard, true AS timed
@@ -572,7 +660,7 @@ ORACLE["o4_first_pull"] = with_chg(IMAGE_SHARD + """,
 pos AS (SELECT shard, server_txn_id, record_sequence,
           row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id,
                                                         record_sequence) AS position FROM img)
-SELECT * FROM pos WHERE position <= 2000
+SELECT * FROM pos WHERE position <= 100
 """)
 
 ORACLE["k10_skip_rows"] = with_chg("""

@@ -98,7 +98,7 @@ def p6_primary_key(spark, sf):
 
 
 def p7_change_key(spark, sf):
-    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0], lookup_deletes=False)
     ch = T.change_key(ch)
     return ch.select(*_ids(ch), "change_key")
 
@@ -196,10 +196,30 @@ def a2_shard_column(spark, sf):
 
 
 def a3_shard_image(spark, sf):
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0], lookup_deletes=False)
+    return ch.select(*_ids(ch), "shard", "shard_error")
+
+
+def a6_image_deletes(spark, sf):
+    """Image sharding, deletes by the row version in force a second before their commit."""
     ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
     return ch.select(*_ids(ch), "shard", "shard_error")
 
 
+VERSIONS_UNTIL = "2024-01-15 00:00:00"
+
+
+def a6_stored_versions(spark, sf):
+    """A6 from stored row versions: a scan that begins at VERSIONS_UNTIL finds the shards of rows that were
+    written before it in the versions kept from then."""
+    tm, _ = _session(spark)
+    ch = _changes(spark, sf)
+    begin = F.lit(VERSIONS_UNTIL).cast("timestamp")
+    stored = S.stored_versions(ch.where(F.col("commit_ts") < begin), tm)
+    out = S.shard_by_image(ch.where(F.col("commit_ts") >= begin), tm, stored=stored)
+    return out.select(*_ids(out), "shard", "shard_error")
+
+
 def a4_shard_constant(spark, sf):
     shards = TB.supplier_shards(TB.load(spark, sf, "supplier"))
     ch = S.shard_constant(_changes(spark, sf), shards)
@@ -292,6 +312,14 @@ def g1_latest_per_key(spark, sf):
     return lat.select("table_name", "keys_json", *_ids(lat), "mod_type")
 
 
+def g1_repeated_keys(spark, sf):
+    """G1 where a record changes a row several times: the last of its mods counts."""
+    recs = TB.order_records(TB.load(spark, sf, "orders"), TB.load(spark, sf, "lineitem"))
+    ch = T.explode_mods(recs).withColumn("keys_json", F.concat(F.lit('{"l_orderkey":"'), F.get_json_object("keys_json", "$.l_orderkey"), F.lit('"}')))
+    lat = latest_per_key(ch.repartition(7, "new_values_json"))
+    return lat.select("keys_json", "server_txn_id", "mod_position", "new_values_json")
+
+
 def g1_latest_reference_mode(spark, sf):
     ch = S.shard_by_mod(_changes(spark, sf), "UserId", 5)
     lat = latest_per_key(ch, ["shard", "user_id"])
@@ -299,7 +327,7 @@ def g1_latest_reference_mode(spark, sf):
 
 
 def _image_sharded(spark, sf):
-    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0], lookup_deletes=False)
     return ch.withColumn("shard", F.coalesce(F.col("shard"), F.lit("unknown")))
 
 
@@ -359,12 +387,13 @@ def o1_shard_order(spark, sf):
     return out.select("shard", *_ids(out), "position")
 
 
-PULL_CAP = 2000   # fixed value: messages per pull
+PULL_CAP = 100   # messages per pull here (a top-k per shard: small enough to leave most of them out)
 
 
 def o4_first_pull(spark, sf):
-    """The first pull of every shard — its first PULL_CAP changes in change order."""
-    out = positions(_image_sharded(spark, sf), model.ORDER_COLUMNS, ["shard"])
+    """The first pull of every shard — its first PULL_CAP changes in change order. A filter on
+    row_number lets every task keep the first PULL_CAP of a shard only, before the shuffle."""
+    out = positions(_image_sharded(spark, sf), model.ORDER_COLUMNS, ["shard"], method="window")
     out = out.where(F.col("position") <= PULL_CAP)
     return out.select("shard", *_ids(out), "position")
 
@@ -467,6 +496,29 @@ def w8_window_start(spark, sf):
                      ts_text(window_start(F.col("t"), "2h")).alias("w2h"))
 
 
+RELEASE_INTERVAL = "6 hours"
+
+
+def w1_release_all(spark, sf):
+    """W1 twin: all changes in the order of their shard, with the interval that releases them."""
+    from riverbed.streaming.ordered import commit_ms, interval_ms, release_batch
+    i = interval_ms(RELEASE_INTERVAL)
+    out = positions(release_batch(_image_sharded(spark, sf)), [*model.ORDER_COLUMNS, "mod_position"], ["shard"])
+    return out.select("shard", *_ids(out), "position", ((F.floor(commit_ms() / i) + 1) * i).alias("released_at_ms"))
+
+
+def w2_release_latest(spark, sf):
+    """W2 twin: per interval the latest change of each key."""
+    from riverbed.streaming.ordered import release_batch
+    out = release_batch(_image_sharded(spark, sf), "latest", RELEASE_INTERVAL)
+    return out.select("shard", "table_name", "keys_json", "released_at_ms", *_ids(out))
+
+
+def w10_redistribute(spark, sf):
+    out = T.redistribute(_changes(spark, sf))
+    return out.select(*_ids(out), "table_name", "keys_json")
+
+
 def _arrival(df):
     """Out-of-order arrival: event ids ending in the same digit arrive together, so later
     commits often arrive before earlier ones."""
@@ -483,7 +535,7 @@ def w9_guard_twin(spark, sf):
 
 
 def w11_dedup_ids(spark, sf):
-    ev = TB.load(spark, sf, "events").where(F.col("event_type").isin("signup", "purchase"))
+    ev = TB.load(spark, sf, "events")
     ids = ev.select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("created_at"))
     out = dedup_ids(ids, now="2024-02-10 00:00:00")
     return out.select("id", ts_text("created_at").alias("created_at"))
@@ -515,6 +567,15 @@ def k5_shadow_upsert(spark, sf):
     return nxt.select("table_name", "UserId", ts_text("processed_commit_ts").alias("processed_commit_ts"))
 
 
+def k7_metadata(spark, sf):
+    """K7: the runs' rows (here: a run per event type, from its first event) after one run starts anew."""
+    ev = TB.load(spark, sf, "events")
+    runs = ev.groupBy(F.col("event_type").alias("run_id")).agg(F.min(F.col("ts").cast("timestamp")).alias("t"))
+    runs = runs.select("run_id", window_start(F.col("t"), "1h").alias("start_ts"), F.lit("1h").alias("window_duration"))
+    out = ST.upsert_metadata(spark, runs, "signup", "2024-01-01T10:26:02.707Z", "10s")
+    return out.select("run_id", ts_text("start_ts").alias("start_ts"), "window_duration")
+
+
 def k8_progress_init(spark, sf):
     shards = TB.supplier_shards(TB.load(spark, sf, "supplier"))
     out = ST.init_progress(shards, SHADOW_RUN)
@@ -525,21 +586,21 @@ def k9_seen_insert(spark, sf):
     ev = TB.load(spark, sf, "events")
     old = ev.where(F.col("event_type") == "signup").select(F.col("user_id").alias("id"),
                                                            F.col("ts").cast("timestamp").alias("created_at"))
-    new = ev.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("id"),
-                                                             F.col("ts").cast("timestamp").alias("created_at"))
+    new = ev.where(F.col("event_type") != "signup").select(F.col("user_id").alias("id"),
+                                                           F.col("ts").cast("timestamp").alias("created_at"))
     out = ST.record_seen(old, new)
     return out.select("id", ts_text("created_at").alias("created_at"))
 
 
 def k10_skip_rows(spark, sf):
-    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0], lookup_deletes=False)
     sk = ch.where(F.col("shard") == S.DEFAULT_SKIP_SHARD)
     return sk.select(*_ids(sk), "table_name", "shard")
 
 
 def k11_dead_letters(spark, sf):
     from riverbed.sinks.files import dead_letters
-    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0])
+    ch = S.shard_by_image(_changes(spark, sf), _session(spark)[0], lookup_deletes=False)
     bad = ch.where(F.col("shard_error").isNotNull()).select(*_ids(ch), "table_name", "shard_error")
     dl = dead_letters(bad, "assign_shard", "shard_error")
     return dl.select("stage", "error", F.get_json_object("record", "$.server_txn_id").alias("server_txn_id"),
@@ -556,50 +617,105 @@ def k12_windowed_export(spark, sf):
 def q1_direct_replication(spark, sf):
     from riverbed.plans.jobs import direct_replication_batch
     tm, cm = _session(spark)
-    out = direct_replication_batch(_records(spark, sf), tm, cm, shard_count=500)
+    out, _ = direct_replication_batch(_records(spark, sf), tm, cm, shard_count=500)
     return out.select("shard", "user_id", *_ids(out), "dml")
 
 
-def q2_shadow_replication(spark, sf):
+def q1_reference_mode(spark, sf):
+    """Q1 with the reference's key: a user's changes supersede each other, whatever their table."""
+    from riverbed.plans.jobs import direct_replication_batch
+    tm, cm = _session(spark)
+    out, _ = direct_replication_batch(_records(spark, sf), tm, cm, shard_count=500, latest_by=("shard", "user_id"))
+    return out.select("shard", "user_id", *_ids(out), "dml")
+
+
+def _q2(spark, sf):
     from riverbed.plans.jobs import shadow_replication_batch
     tm, cm = _session(spark)
     shadow = _account_shadow(spark, sf).withColumnRenamed("UserId", "pk_value")
-    out, _ = shadow_replication_batch(_records(spark, sf), tm, cm, shadow, dialect="postgresql")
+    return shadow_replication_batch(_records(spark, sf), tm, cm, shadow.withColumn("pk_value", F.col("pk_value").cast("string")), dialect="postgresql")
+
+
+def q2_shadow_replication(spark, sf):
+    out, _, _ = _q2(spark, sf)
     return out.select(*_ids(out), "shard", "dml")
 
 
+def q2_dead_letters(spark, sf):
+    """What Q2 neither applies nor skips by rule, and why."""
+    _, _, dead = _q2(spark, sf)
+    return dead.select(*_ids(dead), "table_name", "error")
+
+
+def _event_shards(spark, sf):
+    """The shard file of the event stream's four shards, from the customers that have them."""
+    return TB.load(spark, sf, "customer").select(F.concat(F.lit("shard"), (F.col("c_custkey") % 4).cast("string")).alias("logicalShardId")).distinct()
+
+
 def q3_stream_to_buffer(spark, sf):
     from riverbed.plans.jobs import stream_to_buffer_batch
     tm, _ = _session(spark)
-    out = stream_to_buffer_batch(_records(spark, sf), tm, topic="changes")
+    out, _ = stream_to_buffer_batch(_records(spark, sf), tm, "changes", _event_shards(spark, sf))
     return out.select("key", "partition", "position", "value")
 
 
+def q4_buffer_to_database(spark, sf):
+    from riverbed.plans.jobs import buffer_to_database_batch
+    tm, cm = _session(spark)
+    messages = MSG.buffer_messages(_supplier_sharded(spark, sf), pretty=False).select("shard", "value")
+    out, _ = buffer_to_database_batch(messages, tm, cm)
+    return out.select("shard", *_ids(out), "dml")
+
+
 def q5_windowed_export(spark, sf):
     from riverbed.plans.jobs import windowed_export_batch
     tm, _ = _session(spark)
-    out = windowed_export_batch(_records(spark, sf), tm, "1h")
+    out, _ = windowed_export_batch(_records(spark, sf), tm, "1h")
     return out.select("shard", ts_text("window_start").alias("window_start"), *_ids(out), "record")
 
 
 def q6_table_apply(spark, sf):
-    return f18_apply_row(spark, sf)
+    """Q6: the change stream applied to every table that it is mapped to: the accounts, and the activity log
+    that begins with the customers of even nations."""
+    from riverbed.plans.jobs import table_apply_batch
+    customer = TB.load(spark, sf, "customer")
+    targets = {
+        "accounts": TB.accounts_target(customer),
+        "activity_log": customer.where(F.col("c_nationkey") % 2 == 0).select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("amount"), F.lit(None).cast("string").alias("props")),
+    }
+    tm, cm = _session(spark)
+    done = table_apply_batch(_records(spark, sf), tm, cm, targets)
+    acc, act = done["accounts"], done["activity_log"]
+    return (acc.select(F.lit("accounts").alias("src_table"), "user_id", F.col("balance").alias("amount"), F.col("attrs").alias("doc"), "note")
+            .unionByName(act.select(F.lit("activity_log").alias("src_table"), "user_id", "amount", F.col("props").alias("doc"), F.lit(None).cast("string").alias("note"))))
+
+
+def f1_exact_numbers(spark, sf):
+    """F1 with a long fraction, and a nested field of the same name before it."""
+    tm, cm = _session(spark)
+    ch = _changes(spark, sf).where(F.col("table_name") == "account")
+    eid = F.col("server_txn_id").cast("bigint") * 4 + F.col("record_sequence").cast("bigint")
+    ch = ch.withColumn("new_values_json", F.when(F.col("mod_type") == "DELETE", F.lit("{}")).otherwise(
+        F.concat(F.lit('{"props":{"value":7,"t":"1, 2: 3"},"value":'), eid.cast("string"), F.lit(".01234567890123456789}"))))
+    r = D.render_dml(ch, tm, cm, "mysql")
+    return r.select(*_ids(r), "dml")
 
 
 _NAMES = """
 s1_scan_range p1_filter_forward p1_filter_none p2_explode_mods p3_parse_buffer p5_row_image p6_primary_key
 p7_change_key p8_validate_shard p9_replicable
 x1_to_boolean x2_to_long x3_to_double x4_to_string x5_to_bytes x6_to_timestamp x7_to_date x8_to_numeric x9_presence
-a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant a7_shard_udf
+a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant a6_image_deletes a6_stored_versions a7_shard_udf
 j1_map_tables j3_shadow_filter j4_asof_lookup j5_tables_without_shadow j6_seen_ids j8_kafka_partition
-g1_latest_per_key g1_latest_reference_mode g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution
+g1_latest_per_key g1_latest_reference_mode g1_repeated_keys g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution
 g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_partition_numbers o4_first_pull
-f_dml_mysql_typed f_dml_postgres_typed f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
+f_dml_mysql_typed f_dml_postgres_typed f1_exact_numbers f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
 f17_connection_urls f18_apply_row f18_apply_column
-w8_window_start w9_guard_twin w11_dedup_ids
-k1_kafka_frame k2_ordered_topic k5_shadow_upsert k8_progress_init k9_seen_insert k10_skip_rows
+w1_release_all w2_release_latest w8_window_start w9_guard_twin w10_redistribute w11_dedup_ids
+k1_kafka_frame k2_ordered_topic k5_shadow_upsert k7_metadata k8_progress_init k9_seen_insert k10_skip_rows
 k11_dead_letters k12_windowed_export
-q1_direct_replication q2_shadow_replication q3_stream_to_buffer q5_windowed_export q6_table_apply
+q1_direct_replication q1_reference_mode q2_shadow_replication q2_dead_letters q3_stream_to_buffer q4_buffer_to_database
+q5_windowed_export q6_table_apply
 """.split()
 
 REGISTRY = {name: globals()[name] for name in _NAMES}

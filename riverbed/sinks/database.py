@@ -2,10 +2,10 @@
 status frame that drives fail-stop per shard (W4).
 
 Statements are routed to their shard's connection inside executor tasks. Each task gets
-whole keys (partitioning by shard + table + key), sorted in change order, so per-key order
-is kept while a hot shard is spread over many tasks. Execution is idempotent (upserts and
-deletes by primary key), so a re-run task after an executor loss converges to the same
-rows.
+whole keys, sorted in change order, so per-key order is kept while a shard is written by a stated
+number of tasks. Upserts and deletes by primary key are idempotent, so a re-run task after an executor
+loss converges to the same rows; a plain insert of a table that has nothing but its key is so only
+in the form that ``render_dml(insert_if_absent=True)`` gives it, which the jobs use.
 
 ``connect(shard_id)`` is the caller's DB-API connection factory (a real deployment opens a
 JDBC/driver connection from the shard frame; tests use ``sqlite3``).
@@ -22,6 +22,11 @@ from pyspark.sql import functions as F
 from riverbed import model
 
 STATUS_SCHEMA = "shard string, statements bigint, retries bigint, ok boolean, error string"
+REPORT_SCHEMA = (f"kind string, {STATUS_SCHEMA}, table_name string, keys_json string, commit_seconds bigint, commit_nanos int, "
+                 "server_txn_id string, record_sequence string, mod_position int, dml string")
+_ROW = ["table_name", "keys_json", "commit_seconds", "commit_nanos", "server_txn_id", "record_sequence", "mod_position", "dml"]
+#: Tasks that write to a shard at a time (each with a connection of its own); a shard's keys are dealt out over them.
+WRITERS_PER_SHARD = 2
 
 
 def _default_retryable(exc: Exception) -> bool:
@@ -29,39 +34,42 @@ def _default_retryable(exc: Exception) -> bool:
     return "operational" in name or "connection" in name or "timeout" in name
 
 
-def write_statements(rendered: DataFrame, connect, shard_col: str = "shard", order_cols=model.ORDER_COLUMNS,
-                     key_cols=("table_name", "keys_json"), batch_size: int = 1000, max_retries: int = 5,
-                     backoff_seconds: float = 1.0, is_retryable=_default_retryable,
-                     num_partitions: int | None = None) -> DataFrame:
-    """Execute ``dml`` per shard; returns a status frame ``(shard, statements, retries, ok,
-    error)`` with one row per (task, shard). Connection errors are retried with
-    exponential backoff up to ``max_retries``; other errors stop that shard in that task
-    (its later statements are not executed) and are reported, not raised."""
-    from riverbed.session import ship_package
+def write_and_report(rendered: DataFrame, connect, batch_size: int = 1000, max_retries: int = 5, backoff_seconds: float = 1.0,
+                     is_retryable=_default_retryable, writers_per_shard: int = WRITERS_PER_SHARD) -> DataFrame:
+    """Execute ``dml`` per shard; returns rows of two kinds: ``status``, one per (task, shard) with what was
+    executed, and ``unwritten``, one per statement that wasn't (the chunk that failed and all that follows in
+    that task and shard). Connection errors are retried with exponential backoff up to ``max_retries``.
+
+    Statements are dealt out by (shard, hash of the key modulo ``writers_per_shard``): a shard has at most
+    so many connections, whatever the number of tasks, and a key's changes stay in one task, in order. The
+    report is written once before it is read, so that no statement is executed a second time for it."""
+    from riverbed.session import cut_lineage, ship_package
     ship_package(rendered.sparkSession)
-    cols = [shard_col, *key_cols, *order_cols, "dml"]
-    stmts = rendered.where(F.col("dml") != "").select(*cols)
-    n = num_partitions or int(rendered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = stmts.repartition(n, shard_col, *key_cols).sortWithinPartitions(shard_col, *order_cols)
+    stmts = rendered.where(F.col("dml") != "")
+    if model.MOD_POSITION not in stmts.columns:
+        stmts = stmts.withColumn(model.MOD_POSITION, F.lit(0))
+    order = [*model.ORDER_COLUMNS, model.MOD_POSITION]
+    stmts = stmts.select("shard", *_ROW).withColumn("_writer", F.pmod(F.xxhash64("table_name", "keys_json"), F.lit(writers_per_shard)))
+    parts = stmts.repartition("shard", "_writer").sortWithinPartitions("shard", "_writer", *order).drop("_writer")
 
     def run(batches):
-        conns, stats = {}, {}
-        failed = set()
+        conns, stats, failed = {}, {}, {}
         for pdf in batches:
-            for shard, grp in pdf.groupby(shard_col, sort=False):
-                st = stats.setdefault(shard, {"statements": 0, "retries": 0, "error": None})
-                if shard in failed:
-                    continue
-                todo = grp["dml"].tolist()
-                for i in range(0, len(todo), batch_size):
-                    chunk = todo[i:i + batch_size]
+            unwritten = []
+            for shard, grp in pdf.groupby("shard", sort=False):
+                st = stats.setdefault(shard, {"statements": 0, "retries": 0})
+                for i in range(0, len(grp), batch_size):
+                    chunk = grp.iloc[i:i + batch_size]
                     attempt = 0
-                    while True:
+                    while shard not in failed:
                         try:
                             if shard not in conns:
+                                # a task's rows are sorted by shard: a connection to another one isn't needed any more
+                                for other in list(conns):
+                                    conns.pop(other).close()
                                 conns[shard] = connect(shard)
                             cur = conns[shard].cursor()
-                            for s in chunk:
+                            for s in chunk["dml"]:
                                 cur.execute(s)
                             conns[shard].commit()
                             st["statements"] += len(chunk)
@@ -76,21 +84,28 @@ def write_statements(rendered: DataFrame, connect, shard_col: str = "shard", ord
                                 st["retries"] += 1
                                 time.sleep(backoff_seconds * (2 ** (attempt - 1)))
                                 continue
-                            st["error"] = f"{type(e).__name__}: {e}"
-                            failed.add(shard)
-                            break
+                            failed[shard] = f"{type(e).__name__}: {e}"
                     if shard in failed:
-                        break
+                        unwritten.append(chunk.assign(kind="unwritten", error=failed[shard], statements=None, retries=None, ok=False))
+            if unwritten:
+                yield pd.concat(unwritten)[_REPORT]
         for c in conns.values():
             try:
                 c.close()
             except Exception:  # noqa: BLE001
                 pass
-        yield pd.DataFrame([{"shard": s, "statements": v["statements"], "retries": v["retries"],
-                             "ok": v["error"] is None, "error": v["error"]} for s, v in stats.items()],
-                           columns=["shard", "statements", "retries", "ok", "error"])
+        status = pd.DataFrame([{"kind": "status", "shard": s, **v, "ok": s not in failed, "error": failed.get(s)} for s, v in stats.items()], columns=_REPORT)
+        yield status.astype(object).where(status.notna(), None)
+
+    return cut_lineage(parts.mapInPandas(run, REPORT_SCHEMA), "write-report")
+
+
+_REPORT = [c.split()[0] for c in REPORT_SCHEMA.split(", ")]
+
 
-    return parts.mapInPandas(run, STATUS_SCHEMA)
+def write_statements(rendered: DataFrame, connect, **options) -> DataFrame:
+    """The status rows of ``write_and_report``: ``(shard, statements, retries, ok, error)``."""
+    return write_and_report(rendered, connect, **options).where("kind = 'status'").select(*[c.split()[0] for c in STATUS_SCHEMA.split(", ")])
 
 
 def shard_summary(status: DataFrame) -> DataFrame:

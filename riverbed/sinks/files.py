@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riverbed import model
 from riverbed.sinks.messages import buffer_record
 from riverbed.streaming.windows import duration
 
@@ -28,13 +29,16 @@ def write_dead_letters(dlq: DataFrame, path: str) -> None:
 def windowed_content(df: DataFrame, size: str, ts_col: str = "commit_ts") -> DataFrame:
     """K12 content: (shard, window_start, ids, record json) — one file set per shard and window."""
     return df.select("shard", F.window(F.col(ts_col), duration(size)).start.alias("window_start"),
-                     "server_txn_id", "record_sequence",
+                     *model.order_columns(df),
                      F.to_json(buffer_record(df), {"ignoreNullFields": "false"}).alias("record"))
 
 
-def write_windowed(df: DataFrame, path: str, size: str, ts_col: str = "commit_ts") -> None:
-    """JSON files partitioned by shard and window start; within a file, change order."""
+def write_windowed(df: DataFrame, path: str, size: str, ts_col: str = "commit_ts", mode: str = "append") -> None:
+    """JSON files partitioned by shard and window start, in change order. Rows are dealt out by
+    ranges of (shard, window, change order): a hot shard or window gets several files, the
+    names of which are in that order, and small ones share a task."""
     c = windowed_content(df, size, ts_col)
-    (c.repartition("shard", "window_start")
-     .sortWithinPartitions("shard", "window_start", "server_txn_id", "record_sequence")
-     .write.mode("append").partitionBy("shard", "window_start").json(path))
+    order = ["shard", "window_start", *model.order_columns(c)]
+    (c.repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy("shard", "window_start").json(path))

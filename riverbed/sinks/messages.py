@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverbed import model
 from riverbed.session import broadcast_checked
 
 PUBLISH_MAX_MESSAGES = 100          # fixed values: flush thresholds of the ordered publisher
@@ -43,8 +44,7 @@ def kafka_frame(df: DataFrame, shards: DataFrame, topic: str, pretty: bool = Tru
     m = buffer_messages(df, pretty)
     return (m.join(parts, m["shard"] == parts["_sid"], "left")
             .select(F.lit(topic).alias("topic"), F.col("partition").cast("int").alias("partition"),
-                    F.col("shard").alias("key"), F.col("value"), "server_txn_id", "record_sequence",
-                    *extra_cols))
+                    F.col("shard").alias("key"), F.col("value"), *model.order_columns(df), *extra_cols))
 
 
 def ordered_topic_frame(df: DataFrame, pretty: bool = False) -> DataFrame:
@@ -53,7 +53,7 @@ def ordered_topic_frame(df: DataFrame, pretty: bool = False) -> DataFrame:
     m = buffer_messages(df, pretty)
     return m.select(F.col("shard").alias("ordering_key"),
                     F.create_map(F.lit("shardId"), F.col("shard")).alias("attributes"),
-                    F.col("value").alias("data"), "server_txn_id", "record_sequence")
+                    F.col("value").alias("data"), *model.order_columns(df))
 
 
 def check_sink_options(sink_type: str, options: dict) -> None:
@@ -86,5 +86,5 @@ def publish_batches(frame: DataFrame, publish, max_messages: int = PUBLISH_MAX_M
             publish(buf)
 
     (frame.repartition("ordering_key")
-     .sortWithinPartitions("ordering_key", "server_txn_id", "record_sequence")
+     .sortWithinPartitions("ordering_key", *model.order_columns(frame))
      .foreachPartition(part))

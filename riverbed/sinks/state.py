@@ -26,12 +26,23 @@ def shadow_upsert(shadow: DataFrame, applied: DataFrame, key_cols, commit_col: s
     return shadow.select(*key_cols, ts_col).unionByName(new).groupBy(*key_cols).agg(F.max(ts_col).alias(ts_col))
 
 
+def spark_type(name: str) -> str:
+    """The Spark type of a catalog's type name: a stream type, or a Spark type as
+    ``catalog_from_frames`` writes it."""
+    if name in SPARK_TYPE:
+        return SPARK_TYPE[name]
+    try:
+        return Ty._parse_datatype_string(name).simpleString()
+    except Exception:  # noqa: BLE001  (a source database's own type name)
+        return "string"
+
+
 def shadow_schema(catalog_rows, table: str) -> Ty.StructType:
     """K6: shadow table schema: the table's PK columns in PK order + nullable
     ``processed_commit_ts``. ``catalog_rows`` are rows of the (small) catalog frame."""
     pks = sorted((r for r in catalog_rows if r["table_name"] == table and r["pk_ordinal"] is not None),
                  key=lambda r: r["pk_ordinal"])
-    fields = [Ty.StructField(r["column_name"], Ty._parse_datatype_string(SPARK_TYPE.get(r["spanner_type"], "string")),
+    fields = [Ty.StructField(r["column_name"], Ty._parse_datatype_string(spark_type(r["stream_type"])),
                              False) for r in pks]
     fields.append(Ty.StructField("processed_commit_ts", Ty.TimestampType(), True))
     return Ty.StructType(fields)
@@ -70,6 +81,25 @@ def init_progress(shards: DataFrame, run_id: str, shard_col: str = "logicalShard
 
 
 def record_seen(seen: DataFrame, new_ids: DataFrame, id_col: str = "id", ts_col: str = "created_at") -> DataFrame:
-    """K9: append ids; an id recorded twice keeps its first time."""
+    """K9: the table after recording ids; an id recorded twice keeps its first time."""
     return (seen.select(id_col, ts_col).unionByName(new_ids.select(id_col, ts_col))
             .groupBy(id_col).agg(F.min(ts_col).alias(ts_col)))
+
+
+def append_seen(path: str, new_ids: DataFrame, id_col: str = "id", ts_col: str = "created_at") -> None:
+    """K9 writer: append only. The stored ids are read for the anti join, never regrouped or written again."""
+    from riverbed.operators.lookup import unseen
+    new = new_ids.groupBy(id_col).agg(F.min(ts_col).alias(ts_col))
+    spark = new_ids.sparkSession
+    if spark.catalog.tableExists(path):
+        new = unseen(new, spark.table(path), id_col)
+    new.write.mode("append").saveAsTable(path)
+
+
+def save_version(df: DataFrame, table: str) -> None:
+    """Writer of a state table's next version (K5, K7, K8, G8): written under a new name first, so that the
+    version it was made from can still be read, then put in place of the old one."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").saveAsTable(f"{table}__next")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")

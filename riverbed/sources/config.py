@@ -29,7 +29,10 @@ BUFFER_TYPES = ("pubsub", "kafka")
 
 
 def _session_frames(doc: DataFrame) -> tuple[DataFrame, DataFrame]:
-    s = doc.select(F.from_json("value", SESSION_DOC).alias("s"))
+    # a document that can't be read must not pass for one without tables: every change would be dropped
+    parsed = F.from_json("value", SESSION_DOC, {"mode": "FAILFAST"})
+    empty = F.coalesce(F.size(parsed["SpSchema"]), F.lit(0)) == 0
+    s = doc.select(F.when(empty, F.raise_error(F.lit("session document has no stream tables"))).otherwise(parsed).alias("s"))
     sp = s.select(F.explode("s.SpSchema").alias("table_id", "t"))
     src = s.select(F.explode("s.SrcSchema").alias("table_id", "t"))
 
@@ -128,7 +131,7 @@ def catalog_from_frames(spark: SparkSession, tables: dict) -> DataFrame:
 def read_catalog_jdbc(spark: SparkSession, url: str, properties: dict, schema_name: str) -> DataFrame:
     """S7 from a live database: columns, types and primary-key positions from
     ``information_schema`` (MySQL / PostgreSQL), read with Spark's JDBC source."""
-    query = f"""(SELECT c.table_name, c.column_name, c.data_type AS spanner_type,
+    query = f"""(SELECT c.table_name, c.column_name, c.data_type AS stream_type,
                         c.ordinal_position AS ordinal, k.ordinal_position AS pk_ordinal
                  FROM information_schema.columns c
                  LEFT JOIN information_schema.key_column_usage k
@@ -139,7 +142,7 @@ def read_catalog_jdbc(spark: SparkSession, url: str, properties: dict, schema_na
                         AND t.constraint_type = 'PRIMARY KEY')
                  WHERE c.table_schema = '{schema_name}') AS cat"""
     df = spark.read.jdbc(url, query, properties=properties)
-    return df.select("table_name", "column_name", "spanner_type", F.col("ordinal").cast("int"),
+    return df.select("table_name", "column_name", "stream_type", F.col("ordinal").cast("int"),
                      F.col("pk_ordinal").cast("int"), F.lit(False).alias("pk_desc"))
 
 
@@ -148,7 +151,7 @@ def catalog_from_session(column_map: DataFrame, table_map: DataFrame) -> DataFra
     return (column_map.where(F.col("sp_col").isNotNull())
             .join(table_map.select("table_id", F.col("sp_table").alias("table_name")), "table_id")
             .select("table_name", F.col("sp_col").alias("column_name"),
-                    F.col("sp_type").alias("spanner_type"),
+                    F.col("sp_type").alias("stream_type"),
                     F.lit(None).cast("int").alias("ordinal"),
                     F.col("sp_pk_ord").alias("pk_ordinal"), F.lit(False).alias("pk_desc")))
 
@@ -171,7 +174,7 @@ def processing_contexts(shards: DataFrame, profile: DataFrame | None, buffer_typ
             raise ValueError("cluster profile must hold exactly one object")
         p = rows[0]
         from riverbed.operators.ordering import positions
-        out = positions(out, ["logicalShardId"], position_col="partition_id", start=0)
+        out = positions(out, ["logicalShardId"], position_col="partition_id", start=0, method="window")
         out = out.select("*", F.lit(p["bootstrapServer"]).alias("bootstrap_server"),
                          F.lit(p["dataTopic"]).alias("topic"))
     else:

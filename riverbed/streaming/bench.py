@@ -4,8 +4,8 @@ run with ``availableNow``; records per second of input."""
 
 from __future__ import annotations
 
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ from riverbed.sinks.messages import buffer_messages
 from riverbed.sources import tables as TB
 from riverbed.sources.changes import read_changes
 from riverbed.sources.config import cached_session
-from riverbed.streaming.ordered import ordered_release
+from riverbed.session import ensure_checkpoint_dir
+from riverbed.streaming.jobs import start
+from riverbed.streaming.ordered import ReleaseBuffer, in_order
 
 
 def land(spark: SparkSession, sf_dir: str, folder: str, chunks: int = 8) -> int:
@@ -35,37 +37,26 @@ def land(spark: SparkSession, sf_dir: str, folder: str, chunks: int = 8) -> int:
     return n
 
 
-def _run(spark, src_dir, ckpt, handler, build):
-    src = read_changes(spark, src_dir, start="2000-01-01 00:00:00", streaming=True, max_files_per_trigger=1)
-    out = build(src)
+def _run(spark, src_dir, ckpt, emit, prepare, write):
+    src = prepare(read_changes(spark, src_dir, start="2000-01-01 00:00:00", streaming=True, max_files_per_trigger=1))
+    buffer = ReleaseBuffer(spark, ckpt + "-buffer", "1 hour", emit)
     t0 = time.perf_counter()
-    q = (out.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-         .foreachBatch(handler).start())
+    q = start(src, lambda batch, batch_id: write(buffer.step(batch, batch_id)), "bench", available_now=True, checkpoint=ckpt)
     q.awaitTermination()
     return time.perf_counter() - t0
 
 
 def stream_rates(spark: SparkSession, sf_dir: str) -> dict:
-    folder = tempfile.mkdtemp(prefix="riverbed-bench-stream-")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-bench-{uuid.uuid4().hex[:8]}"
     n = land(spark, sf_dir, folder + "/in")
     tm, cm = cached_session(spark, TB.EVENTS_SESSION)
 
-    def q1_build(src):
-        ch = S.shard_by_mod(T.explode_mods(T.filter_changes(src)), "UserId", 500)
-        return ordered_release(ch, "1 hour", "latest", key_groups=32)
+    def noop(df):
+        df.write.format("noop").mode("overwrite").save()
 
-    def q1_handle(batch, _):
-        D.render_dml(batch, tm, cm, "mysql").select("shard", "dml").write.format("noop").mode("overwrite").save()
-
-    def q3_build(src):
-        ch = S.shard_by_image(T.explode_mods(T.filter_changes(src)), tm).where(F.col("shard_error").isNull())
-        return ordered_release(ch.drop("shard_error"), "1 hour", "all", salt_buckets=8)
-
-    def q3_handle(batch, _):
-        (buffer_messages(batch, pretty=False).repartition("shard").sortWithinPartitions("shard", "commit_seconds")
-         .select("shard", "value").write.format("noop").mode("overwrite").save())
-
-    t1 = _run(spark, folder + "/in", folder + "/ck1", q1_handle, q1_build)
-    t3 = _run(spark, folder + "/in", folder + "/ck3", q3_handle, q3_build)
+    t1 = _run(spark, folder + "/in", folder + "/ck1", "latest", lambda src: S.shard_by_mod(T.explode_mods(T.filter_changes(src)), "UserId", 500),
+              lambda out: noop(D.render_dml(out.drop("released_at_ms"), tm, cm, "mysql").select("shard", "dml")))
+    t3 = _run(spark, folder + "/in", folder + "/ck3", "all", lambda src: S.shard_by_image(T.explode_mods(T.filter_changes(src)), tm, lookup_deletes=False).where(F.col("shard_error").isNull()).drop("shard_error"),
+              lambda out: noop(in_order(buffer_messages(out, pretty=False)).select("shard", "value")))
     return {"q1_direct_replication_stream": round(n / t1, 1), "q3_stream_to_buffer_stream": round(n / t3, 1),
             "records": n, "seconds": {"q1": round(t1, 2), "q3": round(t3, 2)}}

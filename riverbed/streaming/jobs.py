@@ -1,171 +1,280 @@
 """Streaming jobs (Q1-Q5) on Structured Streaming: readStream -> operators -> foreachBatch.
 
-Each micro-batch is written once, then the checkpoint commits the source offsets (the
-reference acknowledges messages after the write). Jobs are restartable from the checkpoint
-under the cluster's shared checkpoint folder.
-"""
+Each micro-batch is written, then the checkpoint commits the source offsets (the reference
+acknowledges messages after the write). All that a job remembers lies under one folder: ``checkpoint``, or
+the job's name under the cluster's shared checkpoint folder. A job started again with the same folder goes on
+where it stopped: offsets, held changes, shadow rows, failed shards and the default start instant.
+
+Every change that enters a job is written, superseded by a later change of its key, held, skipped by
+rule (loop-back tag, skip shard) or in the dead letters. A job without ``dead_letter_path`` fails the batch
+instead of losing what should go there."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed import model
 from riverbed.operators import dml as D
+from riverbed.operators import lookup as L
 from riverbed.operators import sharding as S
 from riverbed.operators import transforms as T
+from riverbed.operators.latest import latest_per_key
 from riverbed.session import stream_checkpoint
-from riverbed.sinks.database import shard_summary, write_statements
-from riverbed.streaming.ordered import ordered_release
+from riverbed.sinks import state as ST
+from riverbed.sinks.database import write_and_report
+from riverbed.sinks.files import dead_letters, write_dead_letters
+from riverbed.streaming.ordered import ReleaseBuffer, in_order
+from riverbed.streaming.versions import VersionedTable
 
 
 def start(df: DataFrame, handler, name: str, trigger: str | None = "1 second", available_now: bool = False,
           checkpoint: str | None = None):
     """Run ``handler(batch_df, batch_id)`` per micro-batch (polling interval = trigger)."""
-    w = df.writeStream.queryName(name).option("checkpointLocation", checkpoint or stream_checkpoint(df.sparkSession, name))
+    w = df.writeStream.queryName(name).option("checkpointLocation", stream_checkpoint(df.sparkSession, name, checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.foreachBatch(handler).start()
 
 
-class FailedShards:
-    """W4 fail-stop memory: shards whose writes failed, kept as a small parquet table under
-    the checkpoint folder so that it survives restarts."""
+def start_instant(spark: SparkSession, name: str, checkpoint: str | None = None) -> str:
+    """The instant of a job's first start, for scans without a start of their own (S1): kept beside the
+    checkpoint, so that a restart begins where the first start did and its offsets lead on from there."""
+    from riverbed.sources.changes import launch_instant
+    path = stream_checkpoint(spark, name, checkpoint).rstrip("/") + "-start"
+    kept = VersionedTable(spark, path, "start string")
+    if not kept.exists(0):
+        kept.write(spark.createDataFrame([(launch_instant(),)], "start string"), 0)
+    return kept.before(1).first()["start"]
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
 
-    def current(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001  (no failures recorded yet)
-            return self.spark.createDataFrame([], "shard string, error string, batch_id long")
+class FailedShards:
+    """W4 fail-stop memory: shards whose writes failed, a table with a version per batch."""
 
-    def record(self, status: DataFrame, batch_id: int) -> None:
-        bad = status.where(~F.col("ok")).select("shard", "error", F.lit(batch_id).alias("batch_id"))
-        bad.write.mode("append").parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = VersionedTable(spark, path, "shard string, error string, batch_id bigint")
+        self.none = spark.createDataFrame([], self.table.schema)
+
+    def before(self, batch_id: int) -> DataFrame:
+        known = self.table.before(batch_id)
+        return self.none if known is None else known
+
+    def record(self, failed: DataFrame, batch_id: int) -> None:
+        self.table.write(self.before(batch_id).unionByName(failed.select("shard", "error", F.lit(batch_id).cast("bigint").alias("batch_id"))), batch_id)
+
+
+class RowVersions:
+    """The shard that each row had when it was last written (A6): what a delete's shard is looked up in, besides
+    its own batch. A table with a version per batch; of a key it has the versions of its last second, which may
+    be too young for a delete, and the one before. ``stored`` adds versions that are older than the job."""
+
+    def __init__(self, spark: SparkSession, path: str, stored: DataFrame | None):
+        self.table = VersionedTable(spark, path, "table_name string, keys_json string, commit_seconds bigint, commit_nanos int, server_txn_id string, "
+                                    "record_sequence string, mod_position int, shard_version string")
+        self.columns = [c.split()[0] for c in self.table.schema.split(", ")]
+        self.stored = stored
+
+    def before(self, batch_id: int) -> DataFrame | None:
+        known, stored = self.table.before(batch_id), self.stored
+        if known is not None or stored is None:
+            return known
+        if "mod_position" not in stored.columns:
+            stored = stored.withColumn("mod_position", F.lit(0))
+        return stored.select(*self.columns)
+
+    def add(self, sharded: DataFrame, batch_id: int) -> None:
+        new = sharded.where((F.col("mod_type") != "DELETE") & F.col("shard").isNotNull()).withColumnRenamed("shard", "shard_version").select(*self.columns)
+        known = self.before(batch_id)
+        rows = new if known is None else known.unionByName(new)
+        key = ["table_name", "keys_json"]
+        rows = rows.join(rows.groupBy(*key).agg(F.max("commit_seconds").alias("_last")), key)
+        young = F.col("commit_seconds") >= F.col("_last") - 1
+        self.table.write(rows.where(young).unionByName(latest_per_key(rows.where(~young))), batch_id)
+
+
+class DeadLetters:
+    """Rows that a job can't write. Without a path a row is an error of the batch."""
+
+    def __init__(self, path: str | None):
+        self.path = path
+
+    def put(self, rows: DataFrame, stage: str, error_col: str = "error") -> None:
+        if self.path:
+            write_dead_letters(dead_letters(rows, stage, error_col), self.path)
+        elif not rows.isEmpty():
+            first = rows.select(error_col).first()[0]
+            raise RuntimeError(f"{stage}: changes can't be written and there is no dead-letter path; first error: {first}")
+
+
+def _write(rendered: DataFrame, connect, dead: DeadLetters) -> tuple[DataFrame, DataFrame]:
+    """Write statements; what has none (P9) and what failed goes to the dead letters. Returns (failed
+    shards with their error, failed statements)."""
+    dead.put(rendered.where(F.col("drop_reason").isNotNull()).withColumn("error", F.col("drop_reason")).drop("drop_reason", "dml", "pk_text", "src_table"), "render")
+    report = write_and_report(rendered, connect)
+    status, unwritten = report.where("kind = 'status'"), report.where("kind = 'unwritten'")
+    dead.put(unwritten.drop("kind", "statements", "retries", "ok"), "write")
+    return status.where("NOT ok").groupBy("shard").agg(F.max("error").alias("error")), unwritten
 
 
 def direct_replication_stream(spark: SparkSession, source: DataFrame, table_map: DataFrame, column_map: DataFrame,
                               connect, interval: str = "1 second", watermark_delay: str = "0 seconds",
                               shard_count: int = S.DEFAULT_SHARD_COUNT, dialect: str = "mysql",
                               tz_offset: str = "+00:00", dead_letter_path: str | None = None,
-                              name: str = "direct-replication", available_now: bool = False, salt_buckets: int = 8,
-                              key_groups: int | None = None):
+                              name: str = "direct-replication", available_now: bool = False,
+                              checkpoint: str | None = None, filtration: str = "forward_migration"):
     """Q1: filter -> explode -> modulo shard -> ordered release (latest per key) -> DML ->
-    per-shard writes, with fail-stop per shard (later changes of a failed shard go to the
-    dead letters instead of being written out of order)."""
-    ch = S.shard_by_mod(T.explode_mods(T.filter_changes(source)), "UserId", shard_count)
-    # many shards (default 500): hash them into a bounded number of state keys
-    groups = key_groups or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    released = ordered_release(ch, interval, "latest", watermark_delay, salt_buckets,
-                               key_groups=groups if shard_count > groups else None)
-    ckpt = stream_checkpoint(spark, name)
-    failed = FailedShards(spark, ckpt + "-failed-shards")
+    per-shard writes, with fail-stop per shard: once a write of a shard has failed, its statements go to
+    the dead letters instead of being written out of order."""
+    folder = stream_checkpoint(spark, name, checkpoint)
+    buffer = ReleaseBuffer(spark, folder + "-buffer", interval, "latest", watermark_delay)
+    failed = FailedShards(spark, folder + "-failed-shards")
+    dead = DeadLetters(dead_letter_path)
+    ch = S.shard_by_mod(T.explode_mods(T.filter_changes(source, filtration)), "UserId", shard_count)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        r = D.render_dml(batch, table_map, column_map, dialect, tz_offset)
-        bad = failed.current().select("shard").distinct()
-        blocked = r.join(F.broadcast(bad), "shard", "left_semi")
-        todo = r.join(F.broadcast(bad), "shard", "left_anti")
-        if dead_letter_path:
-            from riverbed.sinks.files import dead_letters
-            dlq = dead_letters(blocked.withColumn("error", F.lit("shard stopped after a failed write")), "write")
-            dlq.write.mode("append").json(dead_letter_path)
-        status = shard_summary(write_statements(todo, connect)).cache()
-        failed.record(status, batch_id)
-        status.unpersist()
+        released = buffer.step(batch, batch_id).persist()  # read by the block test and by the writer
+        try:
+            r = D.render_dml(released.drop("released_at_ms"), table_map, column_map, dialect, tz_offset, insert_if_absent=True)
+            stopped = failed.before(batch_id).select("shard").distinct()
+            dead.put(r.join(stopped, "shard", "left_semi").withColumn("error", F.coalesce("drop_reason", F.lit("shard stopped after a failed write"))).drop("drop_reason"), "write")
+            now, _ = _write(r.join(stopped, "shard", "left_anti"), connect, dead)
+            failed.record(now, batch_id)
+        finally:
+            released.unpersist()
 
-    return start(released, handle, name, interval, available_now, ckpt)
+    return start(ch, handle, name, interval, available_now, folder)
+
+
+SHADOW_SCHEMA = "table_name string, pk_value string, processed_commit_ts timestamp"
 
 
 def shadow_replication_stream(spark: SparkSession, source: DataFrame, table_map: DataFrame, column_map: DataFrame,
                               connect, dialect: str = "mysql", tz_offset: str = "+00:00",
                               skip: str = S.DEFAULT_SKIP_SHARD, dead_letter_path: str | None = None,
                               interval: str = "1 second", name: str = "shadow-replication",
-                              available_now: bool = False):
-    """Q2: filter -> explode -> image shard (skip shard for unknown tables, dead letters for
-    records without a shard) -> out-of-order guard keyed by (table, key) whose state is the
-    shadow table (W9/J3/K5) -> DML -> per-shard writes. Changes older than the last applied
-    commit of their key go to the dead letters instead of overwriting newer data."""
-    from riverbed.sinks.files import dead_letters
-    from riverbed.streaming.guard import guard_stream
-    ch = S.shard_by_image(T.explode_mods(T.filter_changes(source)), table_map, skip)
-    # inside one micro-batch a key's changes are applied in commit order; across batches,
-    # anything older than the key's last applied commit is rejected
-    ch = ch.withColumn("arrival_order", F.col("commit_seconds") * F.lit(1_000_000_000) + F.col("commit_nanos"))
-    cols = ["shard", "shard_error", "arrival_order", *[c for c in model.CHANGE.split(", ")]]
-    guarded = guard_stream(ch.select(*[c.split()[0] for c in cols]), ["table_name", "keys_json"], "arrival_order")
+                              available_now: bool = False, checkpoint: str | None = None,
+                              shadow: DataFrame | None = None, stored: DataFrame | None = None,
+                              filtration: str = "forward_migration"):
+    """Q2: filter -> explode -> image shard (skip shard for unknown tables; deletes from row versions; dead
+    letters for records without a shard) -> shadow test -> DML -> per-shard writes -> next shadow version.
+
+    Changes of a micro-batch are written in commit order per key; across batches, what is older than the
+    last applied commit of its key goes to the dead letters. Only what was written advances the shadow."""
+    folder = stream_checkpoint(spark, name, checkpoint)
+    table = VersionedTable(spark, folder + "-shadow", SHADOW_SCHEMA)
+    versions = RowVersions(spark, folder + "-versions", stored)
+    dead = DeadLetters(dead_letter_path)
+    ch = S.shard_by_image(T.explode_mods(T.filter_changes(source, filtration)), table_map, skip, lookup_deletes=False)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.cache()
-        bad = batch.where(F.col("shard_error").isNotNull() | ~F.col("applied"))
-        if dead_letter_path:
-            reason = F.coalesce(F.col("shard_error"), F.lit("older than the last applied commit of its key"))
-            dead_letters(bad.withColumn("error", reason).drop("shard_error", "applied", "arrival_order"),
-                         "shadow_check").write.mode("append").json(dead_letter_path)
-        good = batch.where(F.col("shard_error").isNull() & F.col("applied") & (F.col("shard") != skip))
-        r = D.render_dml(good.drop("shard_error", "applied", "arrival_order"), table_map, column_map, dialect, tz_offset)
-        write_statements(r, connect).write.format("noop").mode("overwrite").save()
-        batch.unpersist()
-
-    return start(guarded, handle, name, interval, available_now)
+        batch = S.fill_delete_shards(batch, stored=versions.before(batch_id), skip=skip).persist()
+        try:
+            versions.add(batch.where(F.col("shard_error").isNull() & (F.col("shard") != skip)), batch_id)
+            known = table.before(batch_id)
+            if known is None:
+                known = spark.createDataFrame([], SHADOW_SCHEMA) if shadow is None else shadow.select("table_name", "pk_value", "processed_commit_ts")
+            dead.put(batch.where(F.col("shard_error").isNotNull()), "assign_shard", "shard_error")
+            good = batch.where(F.col("shard_error").isNull() & (F.col("shard") != skip)).drop("shard_error")
+            r = D.render_dml(good, table_map, column_map, dialect, tz_offset, insert_if_absent=True).withColumn("pk_value", F.col("pk_text"))
+            to_apply, older = L.shadow_filter(r, known, ["table_name", "pk_value"])
+            dead.put(older.withColumn("error", F.lit("older than the last applied commit of its key")), "shadow_check")
+            to_apply = to_apply.drop("_shadow_ts").persist()
+            _, unwritten = _write(to_apply, connect, dead)
+            ids = ["table_name", "keys_json", "server_txn_id", "record_sequence"]
+            written = to_apply.where(F.col("drop_reason").isNull()).join(unwritten.select(*ids).distinct(), ids, "left_anti")
+            table.write(ST.shadow_upsert(known, written, ["table_name", "pk_value"]), batch_id)
+            to_apply.unpersist()
+        finally:
+            batch.unpersist()
+
+    return start(ch, handle, name, interval, available_now, folder)
 
 
 def with_progress_metrics(df: DataFrame, name: str = "changes", shard_col: str | None = None) -> DataFrame:
     """G4/G5 live: counts and commit-time range observed per micro-batch; they appear in
     ``query.lastProgress["observedMetrics"][name]`` and in ``StreamingQueryListener``
-    events. (Per-shard totals come from ``metrics.record_counts`` on the written data.)"""
+    events. With ``shard_col`` also the shards, approximately: an observation can't count distinct values
+    exactly. (Per-shard totals come from ``metrics.record_counts`` on the written data.)"""
     aggs = [F.count(F.lit(1)).alias("records"), F.min("commit_ts").alias("earliest_commit_ts"),
             F.max("commit_ts").alias("latest_commit_ts")]
     if shard_col:
-        aggs.append(F.count_distinct(F.col(shard_col)).alias("shards"))
+        aggs.append(F.approx_count_distinct(F.col(shard_col)).alias("shards"))
     return df.observe(name, *aggs)
 
 
 def buffer_to_database_stream(spark: SparkSession, buffer: DataFrame, table_map: DataFrame, column_map: DataFrame,
                               connect, dialect: str = "mysql", tz_offset: str = "+00:00",
                               dead_letter_path: str | None = None, interval: str = "1 second",
-                              name: str = "buffer-to-database", available_now: bool = False):
+                              name: str = "buffer-to-database", available_now: bool = False,
+                              checkpoint: str | None = None):
     """Q4: ordered buffer (S2/S3 rows with ``shard`` + ``value``) -> parse (dead letters for
-    malformed messages) -> DML -> per-shard ordered writes."""
+    malformed messages) -> DML -> per-shard ordered writes, with fail-stop per shard as in Q1."""
+    folder = stream_checkpoint(spark, name, checkpoint)
+    failed = FailedShards(spark, folder + "-failed-shards")
+    dead = DeadLetters(dead_letter_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         good, bad = T.parse_buffer(batch, on_error="dlq")
-        if dead_letter_path and bad is not None:
-            bad.write.mode("append").json(dead_letter_path)
-        r = D.render_dml(good, table_map, column_map, dialect, tz_offset)
-        write_statements(r, connect).write.format("noop").mode("overwrite").save()
+        dead.put(bad.drop("stage", "failed_at"), "parse_buffer")
+        r = D.render_dml(good, table_map, column_map, dialect, tz_offset, insert_if_absent=True)
+        stopped = failed.before(batch_id).select("shard").distinct()
+        dead.put(r.join(stopped, "shard", "left_semi").withColumn("error", F.coalesce("drop_reason", F.lit("shard stopped after a failed write"))).drop("drop_reason"), "write")
+        now, _ = _write(r.join(stopped, "shard", "left_anti"), connect, dead)
+        failed.record(now, batch_id)
 
-    return start(buffer, handle, name, interval, available_now)
+    return start(buffer, handle, name, interval, available_now, folder)
 
 
 def stream_to_buffer_stream(spark: SparkSession, source: DataFrame, table_map: DataFrame, out_path: str,
                             interval: str = "1 second", watermark_delay: str = "0 seconds",
-                            name: str = "stream-to-buffer", available_now: bool = False, salt_buckets: int = 8):
-    """Q3: filter -> explode -> column shard -> ordered release (all) -> buffer messages,
-    written as JSON lines partitioned by shard (a Kafka writer takes the same frame)."""
+                            name: str = "stream-to-buffer", available_now: bool = False,
+                            dead_letter_path: str | None = None, checkpoint: str | None = None,
+                            stored: DataFrame | None = None, filtration: str = "forward_migration", write=None):
+    """Q3: filter -> explode -> column shard -> ordered release (all) -> buffer messages. ``write(frame,
+    batch_id)`` gets the ordered messages (e.g. ``messages.kafka_frame`` or ``publish_batches``); by default they
+    are written as JSON lines, a folder per shard and batch, in change order."""
     from riverbed.sinks.messages import buffer_messages
-    ch = T.explode_mods(T.filter_changes(source))
-    ch = S.shard_by_image(ch, table_map).where(F.col("shard_error").isNull()).drop("shard_error")
-    released = ordered_release(ch, interval, "all", watermark_delay, salt_buckets)
+    folder = stream_checkpoint(spark, name, checkpoint)
+    buffer = ReleaseBuffer(spark, folder + "-buffer", interval, "all", watermark_delay)
+    dead = DeadLetters(dead_letter_path)
+    versions = RowVersions(spark, folder + "-versions", stored)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        msgs = buffer_messages(batch, pretty=False).select("shard", *model.ORDER_COLUMNS, "value")
-        (msgs.repartition("shard").sortWithinPartitions("shard", *model.ORDER_COLUMNS)
-         .select("shard", "value").write.mode("append").partitionBy("shard").json(out_path))
-
-    return start(released, handle, name, interval, available_now)
+        filled = S.shard_by_column(batch, table_map, stored=versions.before(batch_id)).persist()
+        try:
+            good, lost = S.split_dropped(filled)
+            versions.add(good, batch_id)
+            dead.put(lost, "assign_shard", "drop_reason")
+            bad_id = T.shard_error(F.col("shard"))
+            dead.put(good.where(bad_id.isNotNull()).withColumn("error", bad_id), "assign_shard")
+            msgs = in_order(buffer_messages(buffer.step(good.where(bad_id.isNull()), batch_id), pretty=False))
+            if write is not None:
+                write(msgs, batch_id)
+                return
+            # a folder per batch: a batch that runs again overwrites what it wrote
+            (msgs.select("shard", "value").write.mode("overwrite").partitionBy("shard").json(f"{out_path}/batch={batch_id:012d}"))
+        finally:
+            filled.unpersist()
+
+    ch = T.explode_mods(T.filter_changes(source, filtration))
+    return start(ch, handle, name, interval, available_now, folder)
 
 
 def windowed_export_stream(spark: SparkSession, source: DataFrame, table_map: DataFrame, out_path: str,
                            size: str = "10s", interval: str = "1 second", name: str = "windowed-export",
-                           available_now: bool = False):
+                           available_now: bool = False, dead_letter_path: str | None = None,
+                           checkpoint: str | None = None, stored: DataFrame | None = None,
+                           filtration: str = "forward_migration"):
     """Q5: filter -> explode -> image shard -> files per shard and window."""
     from riverbed.sinks.files import write_windowed
-    ch = T.explode_mods(T.filter_changes(source))
-    ch = S.shard_by_image(ch, table_map).where(F.col("shard").isNotNull())
+    folder = stream_checkpoint(spark, name, checkpoint)
+    versions = RowVersions(spark, folder + "-versions", stored)
+    dead = DeadLetters(dead_letter_path)
+    ch = S.shard_by_image(T.explode_mods(T.filter_changes(source, filtration)), table_map, lookup_deletes=False)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_windowed(batch, out_path, size)
+        filled = S.fill_delete_shards(batch, stored=versions.before(batch_id))
+        versions.add(filled.where(F.col("shard_error").isNull() & (F.col("shard") != S.DEFAULT_SKIP_SHARD)), batch_id)
+        dead.put(filled.where(F.col("shard_error").isNotNull()), "assign_shard", "shard_error")
+        write_windowed(filled.where(F.col("shard_error").isNull()).drop("shard_error"), f"{out_path}/batch={batch_id:012d}", size, mode="overwrite")
+
+    return start(ch, handle, name, interval, available_now, folder)
 
-    return start(ch, handle, name, interval, available_now)

@@ -1,344 +1,105 @@
-"""Ordered release buffer (W1-W4, W6, W7) on ``transformWithState``.
+"""Ordered release buffer (W1-W4, W6, W7) for ``foreachBatch``.
 
-Per key group the processor appends incoming changes to a list state. The first change of
-an empty buffer arms an event-time timer at its commit time + ``interval``. When the
-watermark (commit-time based, W6) passes the timer, the buffered changes committed before
-the timer are released in change order — all of them (``emit="all"``) or the latest per
-(table, key) (``emit="latest"``) — the rest stay buffered and the timer re-arms at
-timer + interval while the buffer is not empty (W3).
+A micro-batch joins the rows that are still held. The high-water mark is the latest commit seen so
+far less ``delay``; the boundary is the last multiple of ``interval`` (counted from the epoch, so that all
+shards and all restarts share it) that the mark has passed. What was committed before the boundary is
+released in change order: everything (``emit="all"``) or, per interval, the latest change of each
+key (``emit="latest"``). The rest is held.
 
-Grouping: by shard, optionally split into ``salt_buckets`` sub-groups by a hash of
-(table, key) so that a hot shard is spread over many state partitions. Release is decided
-per row (commit < timer), so the released set per watermark step is the same; the sink
-restores per-shard order by sorting each released micro-batch (``sortWithinPartitions``).
+A row that comes late, behind a boundary that has been released, goes out with the batch that brings it: no
+row is ever dropped. The mark is one for the whole stream; a shard without new changes is released
+with the others.
 
-Late rows (W7): in event-time mode Spark drops rows below its late-row watermark (the
-previous batch's watermark) before the processor — lost rows. ``late="keep"`` runs without
-Spark's watermark (per-group high-water mark) and releases late rows with the next release,
-as the reference does. Rows that pass Spark's filter but are behind an already released
-boundary are emitted on arrival. ``split_late`` routes late rows to a dead-letter stage.
-"""
+All of it is DataFrame work: the held rows are a table whose version belongs to the batch
+(``versions``), "latest" is a partial aggregation, and a hot shard is split by ranges of its order. The
+layout depends on nothing but the data: no salts, no session settings."""
 
 from __future__ import annotations
 
-from typing import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampType)
 
+from riverbed import model
+from riverbed.operators.latest import latest_per_key
+from riverbed.streaming.versions import VersionedTable
+from riverbed.streaming.windows import size_micros
 
 BUFFER_COLUMNS = ["shard", "commit_ts", "commit_seconds", "commit_nanos", "server_txn_id", "record_sequence",
-                  "table_name", "keys_json", "old_values_json", "new_values_json", "mod_type",
+                  "mod_position", "table_name", "keys_json", "old_values_json", "new_values_json", "mod_type",
                   "num_records_in_txn", "txn_tag"]
 BUFFER_SCHEMA = (
     "shard string, commit_ts timestamp, commit_seconds bigint, commit_nanos int, server_txn_id string, "
-    "record_sequence string, table_name string, keys_json string, old_values_json string, "
+    "record_sequence string, mod_position int, table_name string, keys_json string, old_values_json string, "
     "new_values_json string, mod_type string, num_records_in_txn bigint, txn_tag string")
-OUTPUT_SCHEMA = BUFFER_SCHEMA + ", released_at_ms bigint"
-
-# Built without DDL parsing: the state runner process has no SparkContext to parse with.
-_TYPES = {"shard": StringType(), "commit_ts": TimestampType(), "commit_seconds": LongType(),
-          "commit_nanos": IntegerType(), "num_records_in_txn": LongType()}
-BUFFER_STRUCT = StructType([StructField(c, _TYPES.get(c, StringType()), True) for c in BUFFER_COLUMNS])
-TIMER_STRUCT = StructType([StructField("t", LongType(), True)])
-FLAG_STRUCT = StructType([StructField("failed", BooleanType(), True)])
-
-
-def _order_key(r):
-    return (r["commit_seconds"], r["commit_nanos"], r["server_txn_id"] or "", r["record_sequence"] or "")
-
-
-def _commit_ms(r) -> int:
-    return r["commit_seconds"] * 1000 + r["commit_nanos"] // 1_000_000
-
-
-class OrderedReleaseProcessor(StatefulProcessor):
-    def __init__(self, interval_ms: int, emit: str = "all"):
-        if emit not in ("all", "latest"):
-            raise ValueError("emit must be 'all' or 'latest'")
-        self.interval_ms = max(0, int(interval_ms))
-        self.emit = emit
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", BUFFER_STRUCT)
-        self.timer = handle.getValueState("timer", TIMER_STRUCT)
-        self.upto = handle.getValueState("released_upto", TIMER_STRUCT)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
-        if not batch:
-            return iter([])
-        # A row committed before a boundary that already fired is late: it goes out now
-        # (with this micro-batch) instead of waiting in the buffer, where it would look
-        # released.
-        upto = self.upto.get()[0] if self.upto.exists() else None
-        late = []
-        if upto is not None:
-            late = [b for b in batch if b[2] * 1000 + b[3] // 1_000_000 < upto]
-            batch = [b for b in batch if b[2] * 1000 + b[3] // 1_000_000 >= upto]
-        if batch:
-            self.buffer.appendList(batch)
-            if not self.timer.exists():
-                first = min(b[2] * 1000 + b[3] // 1_000_000 for b in batch)
-                t = first + self.interval_ms
-                self.handle.registerTimer(t)
-                self.timer.update((t,))
-        rows_out = sorted((dict(zip(BUFFER_COLUMNS, b)) for b in late), key=_order_key)
-        if self.emit == "latest":
-            last = {}
-            for r in rows_out:
-                last[(r["table_name"], r["keys_json"])] = r
-            rows_out = sorted(last.values(), key=_order_key)
-        return iter([Row(**r, released_at_ms=upto) for r in rows_out])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        w = timerValues.getCurrentWatermarkInMs()
-        i = self.interval_ms
-        # Every later boundary t + k*i that the watermark has passed is also due: release
-        # up to the last due boundary in one call (a timer set inside this callback would
-        # only fire in the next micro-batch).
-        boundary = t + max(0, (w - t) // i) * i if i > 0 else max(t, w)
-        # The buffer is append-only: rows committed before ``released_upto`` were released by
-        # an earlier timer (late arrivals behind it are emitted on arrival, see above).
-        # Rewrite it only when more than half of it is released, so a kept row is not
-        # rewritten on every timer.
-        upto = self.upto.get()[0] if self.upto.exists() else None
-        held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()]
-        live = held if upto is None else [r for r in held if _commit_ms(r) >= upto]
-        release = sorted((r for r in live if _commit_ms(r) < boundary), key=_order_key)
-        keep = [r for r in live if _commit_ms(r) >= boundary]
-        if not keep:
-            self.buffer.clear()
-            self.upto.clear()
-            self.timer.clear()
-        else:
-            if len(held) - len(keep) > len(keep):
-                self.buffer.clear()
-                self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
-                self.upto.clear()
-            else:
-                self.upto.update((boundary,))
-            nxt = boundary + i if i > 0 else min(_commit_ms(r) for r in keep) + 1
-            self.handle.registerTimer(nxt)
-            self.timer.update((nxt,))
-
-        def fired_at(r):
-            c = _commit_ms(r)
-            return t if c < t or i == 0 else t + ((c - t) // i + 1) * i
-
-        if self.emit == "latest":
-            last = {}
-            for r in release:
-                last[(fired_at(r), r["table_name"], r["keys_json"])] = r
-            release = sorted(last.values(), key=_order_key)
-        for r in release:
-            yield Row(**r, released_at_ms=fired_at(r))
-
-    def close(self) -> None:
-        pass
-
-
-CHAIN_STRUCT = StructType([StructField("shard", StringType(), True), StructField("t", LongType(), True)])
-
-
-class GroupedReleaseProcessor(OrderedReleaseProcessor):
-    """Same release rule per shard, for a group holding many shards (shards hashed into a
-    bounded number of key groups). Each shard keeps its own timer chain (list state of
-    (shard, next timer)); the group registers one timer, the earliest chain. State calls
-    per micro-batch are per group, not per shard."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.chains = handle.getListState("chains", CHAIN_STRUCT)
-
-    def _chains(self) -> dict:
-        return {s: t for s, t in self.chains.get()} if self.chains.exists() else {}
 
-    def _arm(self, chains: dict) -> None:
-        self.chains.clear()
-        if chains:
-            self.chains.appendList(list(chains.items()))
-            nxt = min(chains.values())
-            cur = self.timer.get()[0] if self.timer.exists() else None
-            if cur != nxt:
-                if cur is not None:
-                    self.handle.deleteTimer(cur)
-                self.handle.registerTimer(nxt)
-                self.timer.update((nxt,))
-        elif self.timer.exists():
-            self.timer.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
-        if not batch:
-            return iter([])
-        self.buffer.appendList(batch)
-        chains = self._chains()
-        first = {}
-        for b in batch:
-            c = b[2] * 1000 + b[3] // 1_000_000
-            first[b[0]] = min(first.get(b[0], c), c)
-        new = {sh: c + self.interval_ms for sh, c in first.items() if sh not in chains}
-        if new:
-            chains.update(new)
-            self._arm(chains)
-        return iter([])
+def commit_ms() -> Column:
+    return F.col("commit_seconds") * 1000 + F.floor(F.col("commit_nanos") / 1_000_000)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        w = timerValues.getCurrentWatermarkInMs()
-        i = self.interval_ms
-        chains = self._chains()
-        due = {sh: t for sh, t in chains.items() if t <= w}
-        held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()]
-        release, keep = [], []
-        fired = {}
-        for sh, t in due.items():
-            fired[sh] = (t, t + max(0, (w - t) // i) * i if i > 0 else max(t, w))
-        for r in held:
-            f = fired.get(r["shard"])
-            (release if f is not None and _commit_ms(r) < f[1] else keep).append(r)
-        self.buffer.clear()
-        if keep:
-            self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
-        kept_shards = {r["shard"] for r in keep}
-        for sh, (t, boundary) in fired.items():
-            if sh in kept_shards:
-                chains[sh] = boundary + i if i > 0 else min(_commit_ms(r) for r in keep if r["shard"] == sh) + 1
-            else:
-                chains.pop(sh)
-        self.timer.clear()
-        self._arm(chains)
 
-        def fired_at(r):
-            t = fired[r["shard"]][0]
-            c = _commit_ms(r)
-            return t if c < t or i == 0 else t + ((c - t) // i + 1) * i
-
-        release.sort(key=_order_key)
-        if self.emit == "latest":
-            last = {}
-            for r in release:
-                last[(r["shard"], fired_at(r), r["table_name"], r["keys_json"])] = r
-            release = sorted(last.values(), key=_order_key)
-        for r in release:
-            yield Row(**r, released_at_ms=fired_at(r))
-
-
-HW_STRUCT = StructType([StructField("hw", LongType(), True), StructField("t", LongType(), True)])
+def buffered(changes: DataFrame) -> DataFrame:
+    """The columns of the buffer; a change without a place in its record is its only one."""
+    if model.MOD_POSITION not in changes.columns:
+        changes = changes.withColumn(model.MOD_POSITION, F.lit(0))
+    return changes.select(*BUFFER_COLUMNS)
 
 
-class KeepLateReleaseProcessor(OrderedReleaseProcessor):
-    """W7 ``late="keep"``: no Spark watermark, so no row is dropped. The group keeps its own
-    high-water mark (max commit seen - delay) and its timer chain in state; after each input
-    batch every boundary the high-water mark has passed is released. A late row (committed
-    before a boundary that already fired) stays in the buffer and goes out with the next
-    release, as in the reference. The high-water mark is per group: a shard that receives no
-    newer change keeps its last interval buffered until it does (Spark's event-time mode
-    flushes with the global watermark instead)."""
+def interval_ms(text: str) -> int:
+    return size_micros(text) // 1000
 
-    def __init__(self, interval_ms: int, emit: str = "all", delay_ms: int = 0):
-        super().__init__(interval_ms, emit)
-        self.delay_ms = max(0, int(delay_ms))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", BUFFER_STRUCT)
-        self.chain = handle.getValueState("chain", HW_STRUCT)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        batch = [tuple(r[c] for c in BUFFER_COLUMNS) for r in rows]
-        if not batch:
-            return iter([])
-        commits = [b[2] * 1000 + b[3] // 1_000_000 for b in batch]
-        hw, t = self.chain.get() if self.chain.exists() else (None, None)
-        hw = max(commits) if hw is None else max(hw, max(commits))
-        if t is None:
-            t = min(commits) + self.interval_ms
-        w = hw - self.delay_ms
-        i = self.interval_ms
-        if t > w:
-            self.buffer.appendList(batch)
-            self.chain.update((hw, t))
-            return iter([])
-        boundary = t + max(0, (w - t) // i) * i if i > 0 else max(t, w)
-        held = [dict(zip(BUFFER_COLUMNS, r)) for r in self.buffer.get()] + \
-               [dict(zip(BUFFER_COLUMNS, b)) for b in batch]
-        release = sorted((r for r in held if _commit_ms(r) < boundary), key=_order_key)
-        keep = [r for r in held if _commit_ms(r) >= boundary]
-        self.buffer.clear()
-        if keep:
-            self.buffer.appendList([tuple(r[c] for c in BUFFER_COLUMNS) for r in keep])
-            nxt = boundary + i if i > 0 else min(_commit_ms(r) for r in keep) + 1
-            self.chain.update((hw, nxt))
-        else:
-            self.chain.update((hw, None))
-
-        def fired_at(r):
-            c = _commit_ms(r)
-            return t if c < t or i == 0 else t + ((c - t) // i + 1) * i
+class ReleaseBuffer:
+    """``step(batch, batch_id)`` returns what the batch releases, with ``released_at_ms`` (the end of
+    the interval that a change belongs to)."""
 
+    def __init__(self, spark: SparkSession, path: str, interval: str = "1 second", emit: str = "all",
+                 delay: str = "0 seconds"):
+        if emit not in ("all", "latest"):
+            raise ValueError("emit must be 'all' or 'latest'")
+        self.interval, self.delay, self.emit = max(1, interval_ms(interval)), interval_ms(delay), emit
+        self.held = VersionedTable(spark, f"{path}/held", BUFFER_SCHEMA)
+        self.mark = VersionedTable(spark, f"{path}/mark", "high_ms bigint")
+
+    def step(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        rows = buffered(batch)
+        before, mark = self.held.before(batch_id), self.mark.before(batch_id)
+        if before is not None:
+            rows = before.unionByName(rows)
+        high = rows.agg(F.max(commit_ms()).alias("high_ms"))
+        if mark is not None:
+            high = high.unionByName(mark).agg(F.max("high_ms").alias("high_ms"))
+        # one row; written, so that a second run of the batch uses the same mark
+        high_ms = self.mark.write(high, batch_id).first()["high_ms"]
+        boundary = 0 if high_ms is None else (high_ms - self.delay) // self.interval * self.interval
+        due = commit_ms() < boundary
+        self.held.write(rows.where(~due), batch_id)
+        out = rows.where(due).withColumn("released_at_ms", (F.floor(commit_ms() / self.interval) + 1) * self.interval)
         if self.emit == "latest":
-            last = {}
-            for r in release:
-                last[(fired_at(r), r["table_name"], r["keys_json"])] = r
-            release = sorted(last.values(), key=_order_key)
-        return iter([Row(**r, released_at_ms=fired_at(r)) for r in release])
+            out = latest_per_key(out, ["shard", "released_at_ms", "table_name", "keys_json"])
+        return out
 
+    def rest(self, batch_id: int) -> DataFrame:
+        """What is held after a batch."""
+        return self.held.before(batch_id + 1)
 
-def ordered_release(changes: DataFrame, interval: str = "1 second", emit: str = "all",
-                    watermark_delay: str = "0 seconds", salt_buckets: int = 1,
-                    key_groups: int | None = None, late: str = "drop") -> DataFrame:
-    """Streaming ordered release. ``changes`` needs the BUFFER_COLUMNS (shard set).
 
-    ``key_groups``: hash shards into this many state keys (fewer state keys and timers when
-    there are many shards); ``salt_buckets``: split each shard into sub-keys by (table, key)
-    hash (spreads a hot shard). ``late="drop"`` uses Spark's event-time watermark (rows
-    below it are dropped by Spark before the processor); ``late="keep"`` keeps a
-    high-water mark per group instead and releases late rows with the next release (W7)."""
-    from riverbed.session import ensure_rocksdb_state, ship_package
-    from riverbed.streaming.windows import size_micros
-    ship_package(changes.sparkSession)
-    ensure_rocksdb_state(changes.sparkSession)
-    interval_ms = size_micros(interval) // 1000 if interval.strip() not in ("0", "0 seconds") else 0
-    if late not in ("drop", "keep"):
-        raise ValueError("late must be 'drop' or 'keep'")
-    if late == "keep":
-        delay_ms = size_micros(watermark_delay) // 1000 if watermark_delay.strip()[0] != "0" else 0
-        d = changes.select(*BUFFER_COLUMNS)
-        if salt_buckets > 1:
-            d = d.withColumn("_salt", F.pmod(F.xxhash64("table_name", "keys_json"), F.lit(salt_buckets)))
-            g = d.groupBy("shard", "_salt")
-        else:
-            g = d.groupBy("shard")
-        return g.transformWithState(KeepLateReleaseProcessor(interval_ms, emit, delay_ms), OUTPUT_SCHEMA,
-                                    "append", "None")
-    d = changes.select(*BUFFER_COLUMNS).withWatermark("commit_ts", watermark_delay)
-    if key_groups:
-        # many shards per state key: per-shard timer chains inside the group
-        d = d.withColumn("_group", F.pmod(F.xxhash64("shard"), F.lit(key_groups)))
-        return d.groupBy("_group").transformWithState(GroupedReleaseProcessor(interval_ms, emit), OUTPUT_SCHEMA,
-                                                      "append", "EventTime")
-    if salt_buckets > 1:
-        d = d.withColumn("_salt", F.pmod(F.xxhash64("table_name", "keys_json"), F.lit(salt_buckets)))
-        g = d.groupBy("shard", "_salt")
-    else:
-        g = d.groupBy("shard")
-    return g.transformWithState(OrderedReleaseProcessor(interval_ms, emit), OUTPUT_SCHEMA, "append", "EventTime")
+def in_order(released: DataFrame) -> DataFrame:
+    """Ranges of (shard, change order), sorted: the form for writers that keep a shard's order."""
+    order = ["shard", *model.order_columns(released)]
+    return released.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def release_batch(changes: DataFrame, emit: str = "all", keys=("table_name", "keys_json")) -> DataFrame:
+def release_batch(changes: DataFrame, emit: str = "all", interval: str | None = None) -> DataFrame:
     """Batch twin of W1/W2 for a complete (closed) input: everything is released; with
-    ``emit="latest"`` only the latest change per key (per release, which for a closed
-    input means per key)."""
+    ``emit="latest"`` the latest change per key, of each interval if one is given."""
+    rows = buffered(changes)
     if emit == "all":
-        return changes.select(*BUFFER_COLUMNS)
-    from riverbed.operators.latest import latest_per_key
-    return latest_per_key(changes.select(*BUFFER_COLUMNS), ["shard", *keys])
+        return rows
+    if interval is None:
+        return latest_per_key(rows, ["shard", "table_name", "keys_json"])
+    i = interval_ms(interval)
+    rows = rows.withColumn("released_at_ms", (F.floor(commit_ms() / i) + 1) * i)
+    return latest_per_key(rows, ["shard", "released_at_ms", "table_name", "keys_json"])
 
 
 def split_late(df: DataFrame, high_water: str | None, delay: str = "0 seconds") -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from riverbed.operators import metrics as M
 from riverbed.sinks import state as ST
 from riverbed.sinks.messages import check_sink_options
 from riverbed.sources import config as C
-from tests.fixtures.sessions import sharded_accounts, singers
+from tests.fixtures.sessions import depot
 
 
 def write(tmp, name, obj):
@@ -21,13 +21,24 @@ def write(tmp, name, obj):
 
 
 def test_read_session_file(spark, tmpdir_path):
-    p = write(tmpdir_path, "session.json", sharded_accounts())
+    p = write(tmpdir_path, "session.json", depot())
     tm, cm = C.read_session(spark, p)
-    t = tm.collect()[0]
-    assert (t["sp_table"], t["src_table"], t["shard_col_id"], t["shard_col"], t["src_pk_count"]) == (
-        "tableName", "tableName", "c3", "migration_shard_id", 1)
-    cols = {r["col_id"]: r for r in cm.collect()}
-    assert cols["c3"]["src_col"] is None and cols["c1"]["sp_pk_ord"] == 1 and cols["c4"]["src_col_pos"] == 3
+    t = {r["sp_table"]: r for r in tm.collect()}
+    assert {k: (r["src_table"], r["shard_col"], r["src_pk_count"]) for k, r in t.items()} == {
+        "stock": ("depot_stock", "region", 2), "couriers": ("drivers", None, 1)}
+    cols = {r["sp_col"] or r["src_col"]: r for r in cm.collect()}
+    assert cols["region"]["src_col"] is None and cols["audited_by"]["sp_col"] is None
+    assert (cols["sku"]["sp_pk_ord"], cols["sku"]["src_pk_ord"], cols["qty"]["src_col_pos"]) == (2, 2, 3)
+
+
+@pytest.mark.parametrize("text", ["{", '{"SpSchema": 5}', "[]", "{}", ""])
+def test_session_file_that_cannot_be_read_is_an_error(spark, tmpdir_path, text):
+    p = os.path.join(tmpdir_path, "broken.json")
+    with open(p, "w") as f:
+        f.write(text)
+    with pytest.raises(Exception):
+        tm, _ = C.read_session(spark, p)
+        assert tm.collect()
 
 
 def test_read_shards_sorted_and_type_checked(spark, tmpdir_path):
@@ -64,11 +75,11 @@ def test_catalog_and_shadow_schema(spark):
     cat = C.catalog_from_frames(spark, {"t": (df, ["id"])})
     rows = cat.collect()
     assert [r["pk_ordinal"] for r in rows] == [1, None, None]
-    tm, cm = C.session_from_dict(spark, singers())
-    cat2 = C.catalog_from_session(cm, tm).collect()
-    schema = ST.shadow_schema(cat2, "Singers")
-    assert [f.name for f in schema.fields] == ["SingerId", "processed_commit_ts"]
-    assert ST.shadow_table_name("Singers") == "shadow_Singers"
+    assert [f.dataType.simpleString() for f in ST.shadow_schema(rows, "t").fields] == ["bigint", "timestamp"]
+    tm, cm = C.session_from_dict(spark, depot())
+    schema = ST.shadow_schema(C.catalog_from_session(cm, tm).collect(), "stock")
+    assert [(f.name, f.dataType.simpleString()) for f in schema.fields] == [("depot", "string"), ("sku", "bigint"), ("processed_commit_ts", "timestamp")]
+    assert ST.shadow_table_name("stock") == "shadow_stock"
 
 
 def test_sink_options():
@@ -102,3 +113,15 @@ def test_metadata_progress_seen(spark):
     new = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-03 00:00:00")], "id int, created_at string")
     assert sorted((r["id"], r["created_at"]) for r in ST.record_seen(seen, new).collect()) == [
         (1, "2024-01-01 00:00:00"), (2, "2024-01-03 00:00:00")]
+
+
+def test_state_tables_are_written(spark):
+    for t in ("seen_ids_t", "progress_t"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    ids = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id int, created_at string")
+    ST.append_seen("seen_ids_t", ids.limit(2))
+    ST.append_seen("seen_ids_t", ids)
+    assert sorted(map(tuple, spark.table("seen_ids_t").collect())) == [(1, "a"), (2, "c")]
+    ST.save_version(spark.createDataFrame([("r", 1)], "run string, n int"), "progress_t")
+    ST.save_version(spark.table("progress_t").selectExpr("run", "n + 1 AS n"), "progress_t")
+    assert [tuple(r) for r in spark.table("progress_t").collect()] == [("r", 2)]

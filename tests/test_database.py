@@ -12,7 +12,7 @@ from riverbed.functions import values as V
 from riverbed.operators import dml as D
 from riverbed.operators import transforms as T
 from riverbed.operators.latest import apply_changes
-from riverbed.sinks.database import shard_summary, write_statements
+from riverbed.sinks.database import shard_summary, write_and_report, write_statements
 from riverbed.sources import tables as TB
 from riverbed.sources.config import session_from_dict
 from tests.conftest import SF_SMALL
@@ -36,7 +36,7 @@ def test_writes_equal_column_fold(spark, tmpdir_path):
                                                            .cast("string"))).drop("_k", "_n")
     tm, cm = session_from_dict(spark, TB.EVENTS_SESSION)
     r = D.render_dml(ch, tm, cm, "postgresql")
-    status = shard_summary(write_statements(r, make_connect(tmpdir_path), num_partitions=4)).collect()
+    status = shard_summary(write_statements(r, make_connect(tmpdir_path), writers_per_shard=3)).collect()
     assert all(s["ok"] for s in status) and sum(s["statements"] for s in status) == ch.count()
     got = {}
     for s in ("s0", "s1"):
@@ -44,7 +44,7 @@ def test_writes_equal_column_fold(spark, tmpdir_path):
             for uid, bal, attrs, note in c.execute("SELECT user_id, balance, attrs, note FROM accounts"):
                 got[uid] = (round(bal, 6), attrs, note)
     n = T.with_payloads(ch)
-    typed = n.select(V.to_long(F.col("_k"), "UserId").alias("user_id"), "mod_type", *model.ORDER_COLUMNS,
+    typed = n.select(V.to_long(F.col("_k"), "UserId").alias("user_id"), "mod_type", *model.order_columns(n),
                      V.to_double(F.col("_n"), "value").alias("balance"), V.has(F.col("_n"), "value").alias("balance__present"),
                      V.text(F.col("_n"), "props").alias("attrs"), V.has(F.col("_n"), "props").alias("attrs__present"),
                      F.lit(None).cast("string").alias("note"), F.lit(False).alias("note__present"))
@@ -60,17 +60,53 @@ def test_retry_then_success(spark, tmpdir_path):
                                "shard string, table_name string, keys_json string, commit_seconds long, "
                                "commit_nanos int, server_txn_id string, record_sequence string, dml string")
     st = shard_summary(write_statements(df, make_connect(tmpdir_path, os.path.join(tmpdir_path, "flaky")),
-                                        backoff_seconds=0.01, num_partitions=1)).collect()[0]
+                                        backoff_seconds=0.01, writers_per_shard=1)).collect()[0]
     assert st["ok"] and st["retries"] == 1 and st["statements"] == 1
 
 
+ROWS = ("shard string, table_name string, keys_json string, commit_seconds long, commit_nanos int, server_txn_id string, "
+        "record_sequence string, dml string")
+
+
 def test_non_retryable_error_stops_shard(spark, tmpdir_path):
-    df = spark.createDataFrame([("s0", "x", "k", 1, 0, "a", "0", "INSERT INTO nope VALUES (1)"),
-                                ("s0", "x", "k", 2, 0, "a", "0", "INSERT INTO accounts(user_id) VALUES (5)")],
-                               "shard string, table_name string, keys_json string, commit_seconds long, "
-                               "commit_nanos int, server_txn_id string, record_sequence string, dml string")
-    st = shard_summary(write_statements(df, make_connect(tmpdir_path), batch_size=1, num_partitions=1)).collect()[0]
-    assert not st["ok"] and "no such table" in st["error"] and st["statements"] == 0
+    """An error that no retry mends: the statement and all that follow in the shard are unwritten, and said so."""
+    class NotThere(Exception):
+        pass
+
+    class Connection:
+        def cursor(self):
+            return self
+
+        def execute(self, s):
+            if s == "bad":
+                raise NotThere(s)
+
+        def commit(self):
+            pass
+
+        def close(self):
+            pass
+
+    data = [(shard, "x", "k", i, 0, "a", "0", "bad" if (shard, i) == ("s0", 3) else f"ok{i}") for shard in ("s0", "s1") for i in range(6)]
+    out = write_and_report(spark.createDataFrame(data, ROWS), lambda shard: Connection(), batch_size=1, writers_per_shard=1)
+    status = {r["shard"]: (r["ok"], r["statements"], r["retries"]) for r in shard_summary(out.where("kind = 'status'")).collect()}
+    assert status == {"s0": (False, 3, 0), "s1": (True, 6, 0)}
+    unwritten = out.where("kind = 'unwritten'").orderBy("commit_seconds").collect()
+    assert [(r["shard"], r["dml"]) for r in unwritten] == [("s0", "bad"), ("s0", "ok4"), ("s0", "ok5")] and "NotThere" in unwritten[0]["error"]
+
+
+def test_connections_follow_the_shards_not_the_tasks(spark, tmpdir_path):
+    opened = os.path.join(tmpdir_path, "opened")
+    os.makedirs(opened)
+
+    def connect(shard):
+        import uuid
+        open(os.path.join(opened, f"{shard}-{uuid.uuid4().hex}"), "w").close()
+        return sqlite3.connect(":memory:")
+
+    data = [(f"s{i % 5}", "x", f"k{i}", i, 0, "a", "0", "SELECT 1") for i in range(400)]
+    status = shard_summary(write_statements(spark.createDataFrame(data, ROWS).repartition(16), connect, writers_per_shard=2)).collect()
+    assert sum(s["statements"] for s in status) == 400 and len(os.listdir(opened)) <= 5 * 2
 
 
 def test_jdbc_append_embedded_derby(spark, tmpdir_path):

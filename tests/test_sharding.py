@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riverbed.operators import sharding as S
 from riverbed.operators.lookup import asof_lookup, shadow_filter, tables_without_shadow
 from riverbed.sources.config import session_from_dict
-from tests.fixtures.sessions import sharded_accounts
+from tests.fixtures.sessions import depot
 
 SCHEMA = ("table_name string, keys_json string, new_values_json string, mod_type string, commit_ts timestamp, "
           "commit_seconds long, commit_nanos int, server_txn_id string, record_sequence string")
@@ -27,33 +27,41 @@ def test_modulo_shard_keeps_sign(spark):
     assert out == [(-7, "-2"), (12, "2")]
 
 
-def test_column_shard_and_delete_asof(spark):
-    tm, _ = session_from_dict(spark, sharded_accounts())
-    rows = [change("tableName", {"accountId": "Id1"}, {"accountName": "abc", "migration_shard_id": "shard1"},
-                   "INSERT", 100),
-            change("tableName", {"accountId": "Id2"}, {"accountName": "abc", "migration_shard_id": "shard2"},
-                   "INSERT", 100, seq="1"),
-            change("tableName", {"accountId": "Id1"}, {}, "DELETE", 200, seq="2"),
-            change("tableName", {"accountId": "Id3"}, {}, "DELETE", 200, seq="3"),
-            change("tableName", {"accountId": "Id3"}, {"accountName": "x"}, "UPDATE", 300, seq="4")]
+def stock(sku, new, mod, secs, **more):
+    return change("stock", {"depot": "a", "sku": sku, **more}, new, mod, secs, seq=f"{sku}{secs:04d}")
+
+
+DELETES = [stock("1", {"region": "north", "qty": 1}, "INSERT", 100), stock("1", {"region": "south"}, "UPDATE", 110), stock("1", {}, "DELETE", 111),
+           stock("1", {}, "DELETE", 105), stock("1", {}, "DELETE", 300), stock("2", {}, "DELETE", 300), stock("3", {"qty": 5}, "UPDATE", 10),
+           stock("4", {}, "DELETE", 20, region="east")]
+
+
+def test_column_shard_takes_deletes_from_row_versions(spark):
+    tm, _ = session_from_dict(spark, depot())
+    got = {r["record_sequence"]: (r["shard"], r["drop_reason"]) for r in S.shard_by_column(spark.createDataFrame(DELETES, SCHEMA), tm).collect()}
+    # at 111 the version of 110 is a second old and counts; at 105 the one of 100
+    assert got == {"10100": ("north", None), "10110": ("south", None), "10111": ("south", None), "10105": ("north", None), "10300": ("south", None),
+                   "20300": (None, S.NO_VERSION), "30010": (None, S.NO_SHARD_COLUMN), "40020": ("east", None)}
+
+
+def test_image_shard_takes_deletes_from_row_versions(spark):
+    tm, _ = session_from_dict(spark, depot())
+    rows = DELETES + [change("vans", {"id": "1"}, {}, "DELETE", 5, seq="v"), stock("5", {"region": None}, "INSERT", 7), stock("6", {"region": "a/b"}, "INSERT", 7),
+                      stock("7", {"region": "new"}, "UPDATE", 7, region="old")]
     df = spark.createDataFrame(rows, SCHEMA)
-    ok, dropped = S.split_dropped(S.shard_by_column(df, tm))
-    got = sorted((r["record_sequence"], r["shard"]) for r in ok.collect())
-    assert got == [("0", "shard1"), ("1", "shard2"), ("2", "shard1")]
-    assert sorted(r["drop_reason"] for r in dropped.collect()) == ["no row version before delete",
-                                                                   "shard column not in record"]
-
-
-def test_image_shard_skip_and_constant(spark):
-    tm, _ = session_from_dict(spark, sharded_accounts())
-    df = spark.createDataFrame([change("tableName", {"accountId": "a", "migration_shard_id": "k"},
-                                       {"migration_shard_id": "n"}, "UPDATE", 1),
-                                change("other", {"id": "1"}, {}, "INSERT", 1),
-                                change("tableName", {"accountId": "b"}, {}, "DELETE", 1)], SCHEMA)
-    got = sorted(((r["table_name"], r["shard"], r["shard_error"]) for r in S.shard_by_image(df, tm).collect()),
-                 key=str)
-    assert got == sorted([("other", "skip", None), ("tableName", None, "shard column not in record"),
-                          ("tableName", "n", None)], key=str)
+    got = {r["record_sequence"]: (r["shard"], r["shard_error"]) for r in S.shard_by_image(df, tm).collect()}
+    assert got == {"10100": ("north", None), "10110": ("south", None), "10111": ("south", None), "10105": ("north", None), "10300": ("south", None),
+                   "20300": (None, S.NO_VERSION), "30010": (None, S.NO_SHARD_COLUMN), "40020": ("east", None), "v": ("skip", None),
+                   "50007": (None, "shard id is null"), "60007": ("a/b", "shard id contains '/'"), "70007": ("new", None)}
+    # a scan that begins later finds what was stored before
+    early, late = df.where("commit_seconds <= 110"), df.where("commit_seconds > 110")
+    stored = S.stored_versions(early, tm)
+    after = {r["record_sequence"]: r["shard"] for r in S.shard_by_image(late, tm, stored=stored).collect()}
+    assert after == {"10111": "south", "10300": "south", "20300": None}
+
+
+def test_constant_shard(spark):
+    df = spark.createDataFrame(DELETES, SCHEMA)
     shards = spark.createDataFrame([("shardB",), ("shardA",)], "logicalShardId string")
     assert {r["shard"] for r in S.shard_constant(df, shards).collect()} == {"shardA"}
     assert S.shard_mode(shards) == "multi"

@@ -17,12 +17,15 @@ from riverbed.sinks.messages import ordered_topic_frame, publish_batches
 from riverbed.sources.changes import kafka_options, kafka_rows_to_buffer, read_buffer_files, read_changes
 from riverbed.sources.config import catalog_from_session, session_from_dict
 from riverbed.streaming.ordered import split_late
-from tests.fixtures.sessions import singers
+from tests.fixtures.sessions import depot
 
 
 def test_kafka_options_and_framing(spark):
     opts = kafka_options({"bootstrapServer": "b:9092", "dataTopic": "t"}, {"shardA": 0, "shardB": 1})
     assert json.loads(opts["assign"]) == {"t": [0, 1]} and opts["startingOffsets"] == "earliest"
+    assert "maxOffsetsPerTrigger" not in opts
+    capped = kafka_options({"bootstrapServer": "b:9092", "dataTopic": "t"}, {"shardA": 0, "shardB": 1}, max_per_shard=2000)
+    assert capped["maxOffsetsPerTrigger"] == "4000"
     rows = spark.createDataFrame([(bytearray(b"shardA"), bytearray(b'{"x":1}'), 0, 5)],
                                  "key binary, value binary, partition int, offset long")
     r = kafka_rows_to_buffer(rows).collect()[0]
@@ -83,9 +86,9 @@ def test_publish_batches(spark):
 
 
 def test_pk_columns(spark):
-    tm, cm = session_from_dict(spark, singers(src_pk=("c5", "c6"), sp_pk=("c5", "c6")))
-    rows = pk_columns(catalog_from_session(cm, tm), "Singers").orderBy("pk_ordinal").collect()
-    assert [r["column_name"] for r in rows] == ["SingerId", "FirstName"]
+    tm, cm = session_from_dict(spark, depot())
+    rows = pk_columns(catalog_from_session(cm, tm), "stock").orderBy("pk_ordinal").collect()
+    assert [(r["column_name"], r["stream_type"]) for r in rows] == [("depot", "STRING"), ("sku", "INT64")]
 
 
 def test_scan_pushdown_and_pruning(spark, tmpdir_path):
@@ -98,10 +101,47 @@ def test_scan_pushdown_and_pruning(spark, tmpdir_path):
 
 
 def test_mapping_is_broadcast_and_latest_is_partial(spark):
-    tm, _ = session_from_dict(spark, singers())
-    ch = spark.createDataFrame([("Singers", "{}", 1, 0, "a", "0")],
+    tm, _ = session_from_dict(spark, depot())
+    ch = spark.createDataFrame([("stock", "{}", 1, 0, "a", "0")],
                                "table_name string, keys_json string, commit_seconds long, commit_nanos int, "
                                "server_txn_id string, record_sequence string")
     assert "BroadcastHashJoin" in map_tables(ch, tm)._jdf.queryExecution().executedPlan().toString()
     plan = latest_per_key(ch)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_default_start_is_one_instant(spark):
+    """What is committed after the scan was set up belongs to it, however much later it is read."""
+    import time
+
+    from riverbed.sources.changes import bound_changes
+    df = bound_changes(spark.range(1).select(F.current_timestamp().alias("commit_ts")))
+    time.sleep(0.2)
+    assert df.count() == 1
+    assert bound_changes(spark.range(1).select((F.current_timestamp() - F.expr("INTERVAL 1 hour")).alias("commit_ts"))).count() == 0
+
+
+def test_ordered_output_follows_the_commit_time(spark, tmpdir_path):
+    """Transaction ids that run against the commit times: the commit time decides."""
+    df = spark.createDataFrame([(f"s{i % 2}", i, f"{99 - i:04d}") for i in range(30)], "shard string, i int, server_txn_id string")
+    df = (df.withColumn("commit_seconds", F.lit(1_700_000_000).cast("long") + F.col("i")).withColumn("commit_ts", F.timestamp_seconds("commit_seconds")).withColumn("commit_nanos", F.lit(0))
+          .withColumn("record_sequence", F.lit("0")).withColumn("table_name", F.lit("t")).withColumn("keys_json", F.lit("{}")).withColumn("old_values_json", F.lit("{}"))
+          .withColumn("new_values_json", F.concat(F.lit('{"i":'), "i", F.lit("}"))).withColumn("mod_type", F.lit("INSERT")).withColumn("num_records_in_txn", F.lit(1).cast("long")).withColumn("txn_tag", F.lit("")))
+    out = os.path.join(tmpdir_path, "sent")
+    os.makedirs(out)
+
+    def publish(batch):
+        for key, _, data in batch:
+            with open(os.path.join(out, key), "a") as f:
+                f.write(json.loads(data)["mods"][0]["newValuesJson"] + "\n")
+
+    publish_batches(ordered_topic_frame(df.orderBy(F.rand(1))), publish, max_messages=4)
+    for s in (0, 1):
+        with open(os.path.join(out, f"s{s}")) as f:
+            assert [json.loads(x)["i"] for x in f] == list(range(s, 30, 2))
+    from riverbed.sinks.files import write_windowed
+    files = os.path.join(tmpdir_path, "windows")
+    write_windowed(df.orderBy(F.rand(2)), files, "1h")
+    for base, _, names in os.walk(files):
+        lines = [json.loads(json.loads(x)["record"])["commitTimestamp"]["seconds"] for n in sorted(names) if n.endswith(".json") for x in open(os.path.join(base, n))]
+        assert lines == sorted(lines)

@@ -102,8 +102,8 @@ def test_extract_dispatch(spark):
 def test_numbers_keep_written_digits(spark):
     def both(j, key="a"):
         df = spark.createDataFrame([(j,)], "j string")
-        r = df.select(V.to_string(V.parse("j"), key, json_text=F.col("j")).alias("s"),
-                      V.to_numeric(V.parse("j"), key, json_text=F.col("j")).alias("n")).collect()[0]
+        r = df.select(V.to_string(V.parse("j"), key, exact_m=V.exact("j")).alias("s"),
+                      V.to_numeric(V.parse("j"), key, exact_m=V.exact("j")).alias("n")).collect()[0]
         return r["s"], r["n"]
     assert both('{"a":123456789.0123456789}') == ("123456789.0123456789", Decimal("123456789.012345679"))
     assert both('{"a":1.2334567890345654542E10}')[1] == Decimal("12334567890.345654542")
