@@ -159,6 +159,10 @@ def _bin(p: Column) -> Column:
     return F.least(F.floor(-F.ln(F.greatest(p, F.lit(1e-300))) * FINE), F.lit(LAST)).cast("int")
 
 
+def _long_enough(least: int):
+    return lambda span: F.length(span["token"]) >= least  # one parameter: a second one would be the position
+
+
 def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``__base`` (base spans by start, then kind) and ``__candidates`` (judged tokens
     that no base span touches)."""
@@ -166,7 +170,7 @@ def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     for name, pattern, _ in KINDS:
         rows = rows.withColumn(f"__{name}", _parts(F.col("__clean"), pattern))
     rows = rows.withColumn("__tokens", _parts(F.col("__clean"), CANDIDATE)).select(*keep, "__tokens", *[f"__{k}" for k, _, _ in KINDS])
-    found = [F.filter(_spans(F.col(f"__{name}"), i), lambda s, least=least: F.length(s["token"]) >= least) for i, (name, _, least) in enumerate(KINDS)]
+    found = [F.filter(_spans(F.col(f"__{name}"), i), _long_enough(least)) for i, (name, _, least) in enumerate(KINDS)]
     rows = rows.select(*keep, F.array_sort(F.concat(*found)).alias("__base"), _spans(F.col("__tokens"), len(KINDS)).alias("__tokens"))
     free = F.filter(F.col("__tokens"), lambda c: ~F.exists(F.col("__base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     rows = rows.withColumn("__candidates", free).drop("__tokens")
