@@ -40,6 +40,10 @@ SAMPLE_CANDIDATES = 200
 #: Neighbours further apart than this many code points share no chain potential.
 NEAR = 40
 ROUNDS = 12
+#: Most that the shape of a candidate counts against a label, and the pairs of equal kind that skip links
+#: are taken to join before any is counted.
+SURE = 4.0
+PRIOR_PAIRS = 100.0
 
 _AT = re.compile("@")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -169,6 +173,8 @@ class Field:
             return [c.base for c in cs]
         edges += [(i, i + 1, self.chain) for i in range(len(cs) - 1) if cs[i + 1].start - cs[i].end <= NEAR]
         scores = np.array([shape(c.text) for c in cs], float) @ self.unary
+        # a candidate that no pattern has found was fitted as "other": the shape alone is only so sure of it
+        scores = np.maximum(scores - scores.max(1, keepdims=True), -SURE)
         for i, c in enumerate(cs):
             if c.base != OTHER:
                 scores[i] = -50.0
@@ -223,7 +229,7 @@ def fit(rows: list[tuple[int, int, str, int]]) -> Field:
     chain /= chain.sum()
     chain = np.log(chain) - np.log(chain.sum(1, keepdims=True)) - np.log(chain.sum(0, keepdims=True))
     found = skip[:OTHER, :OTHER] + skip[:OTHER, :OTHER].T
-    agree = (np.diag(found) + 20.0) / (found.sum(1) + 22.0)
+    agree = (np.diag(found) + PRIOR_PAIRS) / (found.sum(1) + PRIOR_PAIRS)
     same = np.log(agree / (1 - agree))
     out = np.zeros((k, k))
     out[np.arange(OTHER), np.arange(OTHER)] = same
