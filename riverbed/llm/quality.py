@@ -28,7 +28,7 @@ from riverbed.session import cut_lineage
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-RULES = ("symbols", "bare", "upper", "shout", "repeats", "lines", "variety", "word_length")
+RULES = ("symbols", "marked", "bare", "upper", "shout", "repeats", "lines", "variety", "word_length")
 #: What a rule is taken to do before it has seen a document: rows good, bad; columns votes bad, abstain, good.
 PRIOR = np.array([[0.005, 0.145, 0.85], [0.35, 0.25, 0.40]])
 #: Weight of the prior, as a share of the corpus.
@@ -40,6 +40,7 @@ FALSE_ALARMS = 0.005
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
+_MARKS = re.compile(r"[#*$%&|<>]+")
 
 
 def repeated(words: list[bytes]) -> int:
@@ -81,6 +82,7 @@ class Measured:
     lines: int
     letters: int
     upper: int
+    marks: int
     bare: int
     shouts: int
     distinct: int
@@ -106,6 +108,7 @@ def measure(text: str | None) -> Measured:
         lines=lines,
         letters=letters,
         upper=upper,
+        marks=len(_MARKS.findall(text)),
         bare=sum(1 for w in words if len(w) < 4 and not any(48 <= b < 58 or b > 64 and b not in b"[\\]^_`{|}~" for b in w)),
         shouts=text.count("!!") + text.count("??"),
         distinct=len(set(words)),
@@ -123,6 +126,7 @@ def votes(m: Measured) -> tuple[int, ...]:
     alarm = lambda bad: -1 if bad else 0
     return (
         _vote(m.n_symbols / max(1, m.word_chars), 0.02, 0.08),
+        alarm(m.marks >= 0.30 * n),
         alarm(m.bare >= 0.25 * n),
         0 if m.letters < 40 else _vote(m.upper / m.letters, 0.20, 0.50),
         alarm(m.shouts >= 0.20 * n),
@@ -225,7 +229,7 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     model = fitted(rows)
     verdicts = rows.sparkSession.createDataFrame(
         [(c, model.posterior(unpack(c))) for c in range(3 ** len(RULES))], "pattern int, quality double")
-    return (rows.join(F.broadcast(verdicts), "pattern")  # 3**8 rows
+    return (rows.join(F.broadcast(verdicts), "pattern")  # 3**9 rows
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)).drop("pattern"))
 
 

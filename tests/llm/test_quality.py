@@ -39,10 +39,10 @@ def test_junk_goes_and_prose_stays(spark):
 
 
 def test_label_model_recovers_what_rules_do():
-    good, bad = quality.pattern((1, 0, 1, 0, 1, 0, 0, 0)), quality.pattern((-1, -1, 1, 0, 1, 0, 0, 0))
+    good, bad = quality.pattern((1, 0, 0, 1, 0, 1, 0, 0, 0)), quality.pattern((-1, -1, 0, 1, 0, 1, 0, 0, 0))
     model = quality.fit({good: 900, bad: 100})
     assert model.posterior(quality.unpack(good)) > 0.95 and model.posterior(quality.unpack(bad)) < 0.05
-    assert quality.unpack(quality.pattern((1, 0, -1, 1, 0, -1, 0, 1))) == (1, 0, -1, 1, 0, -1, 0, 1)
+    assert quality.unpack(quality.pattern((1, 0, -1, 1, 0, -1, 0, 1, 0))) == (1, 0, -1, 1, 0, -1, 0, 1, 0)
 
 
 def test_empty_table(spark):
