@@ -84,6 +84,6 @@ def test_bucketed_target_is_not_shuffled(spark):
 
 def test_row_payload(spark):
     from riverbed.functions import values as V
-    df = spark.createDataFrame([(1, None, "s1")], "id int, name string, migration_shard_id string")
+    df = spark.createDataFrame([(1, None, "s1")], "id int, name string, region string")
     m = df.select(V.parse(V.row_payload(df.columns)).alias("m")).collect()[0]["m"]
-    assert m == {"id": "1", "name": None, "migration_shard_id": "s1"}
+    assert m == {"id": "1", "name": None, "region": "s1"}
