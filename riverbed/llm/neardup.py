@@ -9,10 +9,11 @@ Two texts keep the same dart in a coordinate with the probability of their weigh
 
 Signatures are banded. Copies count once. In a bucket every text is compared with the bucket's
 least text (the hub), exactly, on whole texts: as many pairs as members. Classes are the connected
-components of the links found. A bucket that still holds several classes is gone through again:
-members are put in a new order and each is compared with the WINDOW that follow it, unless they are
-of one class already; smaller buckets are compared completely that way. That is repeated until a
-round finds no link. So the comparisons grow with the members, never with their square.
+components of the links found. Where a bucket still holds several classes, its members meet in groups of
+GROUP_ROWS at most, about, and are compared there completely, as far as they are of different classes; a
+group tells only the links that join classes, fewer than it has members. A larger bucket is dealt out to
+groups anew until a turn finds no link. So what is written and shuffled grows with the members, and the comparisons
+with the members times GROUP_ROWS.
 
 Words are what stands between ASCII white space. A text of fewer than five words is one shingle;
 an empty or null text has none and is a copy of the other empty ones only. Repeated rows are copies of each
@@ -23,7 +24,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import arrow_pass, mix64, pick
@@ -33,10 +35,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 26 bands of 5 coordinates miss a pair of similarity 0.8 with probability 3e-5.
 BANDS, ROWS = 26, 5
-#: Neighbours that a member of a bucket with several classes is compared with in a round.
-WINDOW = 24
-#: Members of such a bucket that are put in order together, about.
-GROUP_ROWS = 500
+#: Members of a bucket with several classes that are compared with each other in one group, about.
+GROUP_ROWS = 256
 #: Bytes that are hashed at a time (up to the end of a word).
 SEGMENT = 1 << 20
 
@@ -180,53 +180,98 @@ def text_key(text="text"):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
+def _regions(columns: dict[str, list]) -> dict[str, list]:
+    return {"regions": [regions(t).tobytes() for t in columns["text"]]}
+
+
 def _compare(columns: dict[str, list]) -> dict[str, list]:
     known: dict[bytes, np.ndarray] = {}
     out = []
-    for a, b, ta, tb in zip(columns["a"], columns["b"], columns["text_a"], columns["text_b"]):
-        for key, t in ((a, ta), (b, tb)):
-            if key not in known:
-                if sum(map(len, known.values())) > 4_000_000:
-                    known.clear()
-                known[key] = regions(t)
-        out.append(similarity(known[a], known[b]) if a in known else similarity(regions(ta), known[b]))
+    for a, b, ra, rb in zip(columns["a"], columns["b"], columns["regions_a"], columns["regions_b"]):
+        if a not in known:  # pairs of one hub stand together
+            known = {a: np.frombuffer(ra, np.uint64)}
+        out.append(similarity(known[a], np.frombuffer(rb, np.uint64)))
     return {"similarity": out}
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their similarity. ``texts``: key, text. A hub with many partners is a
-    hot key on the left of a plain equi-join, which adaptive execution splits."""
-    with_b = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    return arrow_pass(both.select("a", "b", "text_a", "text_b"), _compare, "similarity double", keep=("a", "b"), text="text_a", reads=("a", "b"))
+    """``pairs`` (a, b) with their similarity. ``texts``: key and regions of each text, so that a text is
+    taken apart once and not for each of its pairs. A hub with many partners is a hot key on the left of
+    a plain equi-join, which adaptive execution splits."""
+    with_b = pairs.join(texts.select(F.col("key").alias("b"), F.col("regions").alias("regions_b")), "b")
+    both = with_b.join(texts.select(F.col("key").alias("a"), F.col("regions").alias("regions_a")), "a")
+    return arrow_pass(both.select("a", "b", "regions_a", "regions_b"), _compare, "similarity double", keep=("a", "b"), text="regions_b", reads=("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a, b): key, label (the least key of its component).
-    Labels go along the links and jump to their label's label; each step is a written table."""
-    both = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = cut_lineage(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
+    Labels go along the links and jump to their label's label; each step is a written table. The rows are
+    narrow: an eighth of the shuffle's partitions hold them."""
+    few = max(16, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        return cut_lineage(df.coalesce(few), name)
+
+    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = cut(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
     while True:
         told = (both.join(labels.select(F.col("key").alias("b"), "label"), "b").groupBy(F.col("a").alias("key")).agg(F.min("label").alias("told")))
         near = labels.join(told, "key").select("key", F.col("label").alias("old"), F.least("label", "told").alias("label"))
         jump = labels.select(F.col("key").alias("label"), F.col("label").alias("beyond"))
-        new = cut_lineage(near.join(jump, "label", "left").select("key", "old", F.least("label", F.coalesce("beyond", "label")).alias("label")), "labels")
+        new = cut(near.join(jump, "label", "left").select("key", "old", F.least("label", F.coalesce("beyond", "label")).alias("label")), "labels")
         if new.where("label <> old").isEmpty():
             return new.select("key", "label")
         labels = new.select("key", "label")
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Pairs to compare in buckets that hold several classes. ``members``: band, n, key."""
-    named = (members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
-    open_bands = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", "n")
-    rows = named.join(cut_lineage(open_bands, "open"), "band")
+def _group_links(least: float):
+    """The links that join classes within one group of a bucket's members (key, label, regions): each member
+    is compared with all that follow it and are of another class by then; what joins no classes isn't told."""
+    def work(table: pa.Table) -> pa.Table:
+        keys, labels = table.column("key").to_pylist(), table.column("label").to_pylist()
+        sets = [np.frombuffer(r, np.uint64) for r in table.column("regions").to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+        of = np.array([number[x] for x in labels])
+        whole, first = np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        found = []
+        for i in range(len(keys) - 1):
+            fits = np.minimum(sizes[i], sizes[i + 1:]) >= least * np.maximum(sizes[i], sizes[i + 1:])
+            if not (fits & (of[i + 1:] != of[i])).any():
+                continue
+            rest = whole[first[i + 1]:]
+            at = np.searchsorted(sets[i], rest)
+            both = np.add.reduceat((sets[i][np.minimum(at, sizes[i] - 1)] == rest).astype(np.int64), first[i + 1:] - first[i + 1])
+            alike = both >= least * (sizes[i] + sizes[i + 1:] - both)
+            for j in np.flatnonzero(alike) + i + 1:
+                if of[j] != of[i]:
+                    found.append((keys[i], keys[j]))
+                    of[of == of[j]] = of[i]
+        return pa.table({"a": pa.array([min(f) for f in found], pa.binary()), "b": pa.array([max(f) for f in found], pa.binary())})
+
+    return work
+
+
+def _unsettled(members: DataFrame, texts: DataFrame, labels: DataFrame, turn: int, least: float) -> DataFrame:
+    """Links within buckets that hold several classes. ``members``: band, key. A bucket of more than GROUP_ROWS
+    members is dealt out to groups of about that size, anew in each turn; after the first turn only these
+    are gone through again."""
+    named = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    several = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    several = several.where(F.col("n") > (GROUP_ROWS if turn > 1 else 1)).select("band", "n")
     salt = F.pmod(F.xxhash64("key", "band", F.lit(turn)), F.ceil(F.col("n") / GROUP_ROWS))
-    order = Window.partitionBy("band", "salt").orderBy(F.xxhash64("key", F.lit(turn)), "key")
-    # how many neighbours follow is a constant; a bucket of WINDOW + 1 members is compared completely
-    near = F.collect_list(F.struct("key", "label")).over(order.rowsBetween(1, WINDOW))
-    pairs = rows.withColumn("salt", salt).withColumn("others", near).select("key", "label", F.explode("others").alias("other")).where("label <> other.label")
-    return pairs.select(F.least("key", "other.key").alias("a"), F.greatest("key", "other.key").alias("b")).distinct()
+    rows = named.join(cut_lineage(several, "open"), "band").withColumn("salt", salt).drop("n").join(texts, "key")
+    return rows.groupBy("band", "salt").applyInArrow(_group_links(least), "a binary, b binary").distinct()
+
+
+def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (key, label) after more links: components of the classes that they join."""
+    one, two = (labels.select(F.col("key").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+    joined = found.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b").distinct()
+    classes = components(joined)
+    renamed = classes.select(F.col("key").alias("label"), F.col("label").alias("now"))
+    old = labels.join(renamed, "label", "left").select("key", F.coalesce("now", "label").alias("label"))
+    return cut_lineage(old.unionByName(classes.join(labels.select("key"), "key", "left_anti")), "labels")
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -239,23 +284,19 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     pairs = cut_lineage(members.where("hub <> key").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
     needed = members.select("key").distinct()
     texts = pick(docs, text="string").select(text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = cut_lineage(texts.join(broadcast_checked(cut_lineage(needed, "needed")), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
+    texts = cut_lineage(texts.join(broadcast_checked(cut_lineage(needed, "needed")), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+                        .transform(lambda df: arrow_pass(df, _regions, "regions binary", keep=("key",))), "texts")
     members = members.select("band", "key")
 
     tested = cut_lineage(compared(pairs, texts), "compared")
-    links = tested.where(F.col("similarity") >= least).select("a", "b")
-    labels = components(links)
+    labels = components(tested.where(F.col("similarity") >= least).select("a", "b"))
     turn = 0
     while True:
         turn += 1
-        more = _unsettled(members, labels, turn).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        now = cut_lineage(compared(more, texts), "compared")
-        found = now.where(F.col("similarity") >= least).select("a", "b")
+        found = cut_lineage(_unsettled(members, texts, labels, turn, least), "found")
         if found.isEmpty():
             break
-        tested = tested.unionByName(now)
-        links = links.union(found)
-        labels = components(links)
+        labels = merged(labels, found)
 
     keys = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     keys = cut_lineage(keys, "keys")
