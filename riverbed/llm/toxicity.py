@@ -6,7 +6,8 @@ training, those probabilities come from models that haven't seen the row (out-of
 will for a new text; for prediction, from the models fitted on all training rows.
 
 The features are picked on the training rows by how much more often they stand in texts of a
-category than in others. A word's features depend on the word alone, so that a worker computes
+category than in others: Spark counts the texts per feature, and only the picked ones of a text reach
+the driver, where the small models are fitted. A word's features depend on the word alone, so that a worker computes
 them once per distinct word (up to CACHE_WORDS) and a text's scores are sums over its words.
 
 The models are fitted on a bounded sample of labelled documents (SAMPLE_DOCS); prediction
@@ -19,6 +20,7 @@ probability is 0."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,12 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import arrow_pass, hash_order, pick
+from riverbed.session import cut_lineage
 
 #: Labelled documents that the models are fitted on, at most.
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 8000
 #: Features per category, at most.
 FEATURES = 1500
 FOLDS = 4
+#: A feature stands in at least so many texts of a category, and is at least so many times as frequent there.
+LEAST_TEXTS, LEAST_RATIO = 3, 4.0
+#: Features that a step counts before it hands the counts on.
+STEP_FEATURES = 150_000
 CACHE_WORDS = 400_000
 THRESHOLD = 0.5
 #: Words that tell two finer categories from the general label where a text is labelled toxic.
@@ -87,22 +94,30 @@ class Chain:
         return out
 
 
+def strength(hit: int, texts: int, n1: int, n0: int) -> float:
+    """The z score of a feature that stands in ``hit`` of ``n1`` texts of a category and in ``texts`` of
+    all; 0 if it is too rare or not typical enough."""
+    p1, p0 = (hit + 0.5) / (n1 + 1), (texts - hit + 0.5) / (n0 + 1)
+    if hit < LEAST_TEXTS or p1 < LEAST_RATIO * p0:
+        return 0.0
+    p = texts / (n1 + n0)
+    return (p1 - p0) / float(np.sqrt(p * (1 - p) * (1 / max(1, n1) + 1 / max(1, n0)) + 1e-12))
+
+
+def strongest(counts: dict[str, tuple[int, int]], n1: int, n0: int) -> list[str]:
+    """``counts``: feature -> (texts of the category, texts of all)."""
+    scored = sorted((-strength(hit, texts, n1, n0), f) for f, (hit, texts) in counts.items())
+    return [f for z, f in scored[:FEATURES] if z < 0]
+
+
 def _pick_features(docs: list[dict[str, float]], y: np.ndarray) -> list[str]:
-    """Features of at least three texts of the category that are at least four times as frequent
-    there as elsewhere, those of the largest z score first."""
     of: dict[str, list[int]] = {}
     for d, t in zip(docs, y):
         for f in d:
-            of.setdefault(f, [0, 0])[int(t)] += 1
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    scored = []
-    for f, (clean, hit) in of.items():
-        if hit >= 3:
-            p1, p0 = (hit + 0.5) / (n1 + 1), (clean + 0.5) / (n0 + 1)
-            if p1 >= 4 * p0:
-                p = (hit + clean) / (n1 + n0)
-                scored.append((-(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12), f))
-    return [f for _, f in sorted(scored)[:FEATURES]]
+            c = of.setdefault(f, [0, 0])
+            c[0] += int(t)
+            c[1] += 1
+    return strongest({f: (a, b) for f, (a, b) in of.items()}, int(y.sum()), int((1 - y).sum()))
 
 
 def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int, rounds: int = 150, ridge: float = 1e-3) -> np.ndarray:
@@ -131,14 +146,16 @@ def _scores(w: np.ndarray, rows, cols, values, dense, n: int, width: int) -> np.
     return z + (np.bincount(rows, values * w[cols], n) if len(rows) else 0)
 
 
-def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
+def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np.ndarray, names: list[str] | None = None) -> Chain:
     """``texts``: feature -> value per training row; ``targets``: category -> 0/1 per row, in the
-    order of the chain; ``folds``: the fold of each row."""
+    order of the chain; ``folds``: the fold of each row; ``names``: the features to use, if they are
+    picked already."""
     categories = tuple(targets)
     if not texts:
         return Chain(categories, {}, (0.0,) * len(categories), ((),) * len(categories))
     n = len(texts)
-    names = sorted({f for y in targets.values() for f in _pick_features(texts, y)})
+    if names is None:
+        names = sorted({f for y in targets.values() for f in _pick_features(texts, y)})
     index = {f: i for i, f in enumerate(names)}
     rows, cols, values = [], [], []
     for i, d in enumerate(texts):
@@ -171,14 +188,33 @@ def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np
     return Chain(categories, {f: tuple(table[i]) for f, i in index.items() if np.abs(table[i]).max() > 1e-4}, tuple(bias), tuple(earlier))
 
 
-def row_features(text: str | None, fit_words: bool = True) -> dict[str, float]:
-    counts: dict[str, int] = {}
-    for w in words(text):
-        counts[w] = counts.get(w, 0) + 1
-    out: dict[str, float] = {}
-    for w, n in counts.items():
-        for f in features(w):
-            out[f] = out.get(f, 0.0) + 1.0 + float(np.log(n))
+def targets_of(found: set[str], toxic: int) -> tuple[int, ...]:
+    """The categories of a labelled text, in the order of CATEGORIES."""
+    return int(bool(toxic) and not found.isdisjoint(INSULTS)), int(bool(toxic) and not found.isdisjoint(CONTEMPT)), int(bool(toxic))
+
+
+def _count(columns: dict[str, list]) -> dict[str, list]:
+    """Texts per feature, all and of each category; the feature "" stands for the texts themselves."""
+    out: dict[str, list] = {k: [] for k in ("feature", "texts", *CATEGORIES)}
+    counts = [Counter() for _ in range(1 + len(CATEGORIES))]
+
+    def hand_on() -> None:
+        for f in counts[0]:
+            out["feature"].append(f)
+            for name, c in zip(("texts", *CATEGORIES), counts):
+                out[name].append(c[f])
+        for c in counts:
+            c.clear()
+
+    for text, toxic in zip(columns["text"], columns["toxic"]):
+        found = set(words(text))
+        here = {f for w in found for f in features(w)} | {""}
+        for c, yes in zip(counts, (1, *targets_of(found, toxic))):
+            if yes:
+                c.update(here)
+        if len(counts[0]) > STEP_FEATURES:
+            hand_on()
+    hand_on()
     return out
 
 
@@ -186,35 +222,41 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """``labels``: doc_id, toxic (0 or 1)."""
     marks = pick(labels, doc_id="long", toxic="int").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     lot = hash_order("doc_id", 3)
-    few = marks.orderBy(lot, "doc_id").limit(sample_docs)
-    texts = pick(docs, doc_id="long", text="string").where("text IS NOT NULL")
-
-    def work(columns: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("words", "counts")}
-        for t in columns["text"]:
-            counts: dict[str, int] = {}
-            for w in words(t):
-                counts[w] = counts.get(w, 0) + 1
-            out["words"].append(list(counts))
-            out["counts"].append(list(counts.values()))
+    few = cut_lineage(marks.orderBy(lot, "doc_id").limit(sample_docs), "labelled")
+    # sample_docs rows at most; their texts are written once
+    rows = cut_lineage(pick(docs, doc_id="long", text="string").where("text IS NOT NULL").join(F.broadcast(few), "doc_id"), "labelled-texts")
+    counted = arrow_pass(rows.select("text", "toxic"), _count, "feature string, texts long, " + ", ".join(f"{c} long" for c in CATEGORIES))
+    sums = cut_lineage(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("texts", *CATEGORIES)]), "features")
+    total = sums.where("feature = ''").first()
+    if total is None:
+        return fit([], {c: np.zeros(0) for c in CATEGORIES}, np.zeros(0, np.int64))
+    names: set[str] = set()
+    for c in CATEGORIES:
+        n1, n0 = total[c], total["texts"] - total[c]
+        typical = (F.col(c) >= LEAST_TEXTS) & ((F.col(c) + 0.5) / (n1 + 1) >= LEAST_RATIO * (F.col("texts") - F.col(c) + 0.5) / (n0 + 1)) & (F.col("feature") != "")
+        kept = sums.where(typical).orderBy(F.desc(c), "feature").limit(20 * FEATURES).collect()
+        names.update(strongest({r["feature"]: (r[c], r["texts"]) for r in kept}, n1, n0))
+    chosen = frozenset(names)
+
+    def sparse(columns: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {k: [] for k in ("targets", "names", "values")}
+        for text, toxic in zip(columns["text"], columns["toxic"]):
+            counts = Counter(words(text))
+            d: dict[str, float] = {}
+            for w, n in counts.items():
+                for f in features(w):
+                    if f in chosen:
+                        d[f] = d.get(f, 0.0) + 1.0 + float(np.log(n))
+            out["targets"].append(list(targets_of(set(counts), toxic)))
+            out["names"].append(list(d))
+            out["values"].append(list(d.values()))
         return out
 
-    joined = texts.join(few, "doc_id")
-    got = arrow_pass(joined, work, "words array<string>, counts array<int>", keep=("doc_id", "toxic"), reads=()).toLocalIterator()
-    rows, y, insult, contempt, folds = [], [], [], [], []
-    for r in got:
-        d: dict[str, float] = {}
-        for w, n in zip(r["words"], r["counts"]):
-            for f in features(w):
-                d[f] = d.get(f, 0.0) + 1.0 + float(np.log(n))
-        here = set(r["words"])
-        rows.append(d)
-        y.append(r["toxic"])
-        insult.append(int(r["toxic"] and not here.isdisjoint(INSULTS)))
-        contempt.append(int(r["toxic"] and not here.isdisjoint(CONTEMPT)))
-        folds.append(r["doc_id"] % FOLDS)
-    targets = dict(zip(CATEGORIES, (np.array(v, float) for v in (insult, contempt, y))))
-    return fit(rows, targets, np.array(folds, np.int64))
+    got = arrow_pass(rows, sparse, "targets array<int>, names array<string>, values array<double>", keep=("doc_id", "toxic"), reads=("toxic",)).collect()
+    got.sort(key=lambda r: (r["doc_id"], r["names"]))
+    y = np.array([r["targets"] for r in got], float)
+    folds = np.array([r["doc_id"] % FOLDS for r in got], np.int64)
+    return fit([dict(zip(r["names"], r["values"])) for r in got], dict(zip(CATEGORIES, y.T)), folds, sorted(chosen))
 
 
 def predict(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:
