@@ -12,8 +12,9 @@ least text (the hub), exactly, on whole texts: as many pairs as members. Classes
 components of the links found. Where a bucket still holds several classes, its members meet in groups of
 GROUP_ROWS at most, about, and are compared there completely, as far as they are of different classes; a
 group tells only the links that join classes, fewer than it has members. A larger bucket is dealt out to
-groups anew until a turn finds no link. So what is written and shuffled grows with the members, and the comparisons
-with the members times GROUP_ROWS.
+groups anew until a turn finds no link, which settles most of it. What is left of the larger buckets is settled exactly: two texts of
+the least similarity share one of their rarest regions (prefix filter), so that texts of different classes which
+share one are compared, in pairs of chunks where they are more than GROUP_ROWS.
 
 Words are what stands between ASCII white space. A text of fewer than five words is one shingle;
 an empty or null text has none and is a copy of the other empty ones only. Repeated rows are copies of each
@@ -25,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import arrow_pass, mix64, pick
@@ -37,6 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 #: Members of a bucket with several classes that are compared with each other in one group, about.
 GROUP_ROWS = 256
+#: Cells in which regions are counted, so that the rare ones come first.
+CELLS = 1 << 16
 #: Bytes that are hashed at a time (up to the end of a word).
 SEGMENT = 1 << 20
 
@@ -252,18 +255,83 @@ def _group_links(least: float):
     return work
 
 
+def _several(members: DataFrame, labels: DataFrame, more_than: int) -> tuple[DataFrame, DataFrame]:
+    """(``members`` with their label; band and n of the buckets of ``more_than`` members that hold several classes)."""
+    named = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    several = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    return named, several.where(F.col("n") > more_than).select("band", "n")
+
+
 def _unsettled(members: DataFrame, texts: DataFrame, labels: DataFrame, turn: int, least: float) -> DataFrame:
     """Links within buckets that hold several classes. ``members``: band, key. A bucket of more than GROUP_ROWS
     members is dealt out to groups of about that size, anew in each turn; after the first turn only these
     are gone through again."""
-    named = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    several = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    several = several.where(F.col("n") > (GROUP_ROWS if turn > 1 else 1)).select("band", "n")
+    named, several = _several(members, labels, GROUP_ROWS if turn > 1 else 1)
     salt = F.pmod(F.xxhash64("key", "band", F.lit(turn)), F.ceil(F.col("n") / GROUP_ROWS))
     rows = named.join(cut_lineage(several, "open"), "band").withColumn("salt", salt).drop("n").join(texts, "key")
     return rows.groupBy("band", "salt").applyInArrow(_group_links(least), "a binary, b binary").distinct()
 
 
+def _cells(columns: dict[str, list]) -> dict[str, list]:
+    cell, n = np.unique(np.concatenate([np.frombuffer(r, np.uint64) for r in columns["regions"]]) % np.uint64(CELLS), return_counts=True)
+    return {"cell": cell.astype(np.int64), "n": n}
+
+
+def rarest(units: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, int]:
+    """The regions that stand first in the order of ``counts`` (per cell), so many that two texts of similarity ``least``
+    share one: they have least * size regions in common at least, and the first of these has so many from it on. For the
+    shorter of the two, it stands among fewer, whose number comes second: the other's size is its own at least."""
+    order = np.lexsort((units, counts[(units % np.uint64(CELLS)).astype(np.int64)]))
+    n, short = len(units), 2 * least / (1 + least)
+    return units[order[:n - int(np.ceil(least * n - 1e-9)) + 1]], n - int(np.ceil(short * n - 1e-9)) + 1
+
+
+def _rare_links(members: DataFrame, texts: DataFrame, labels: DataFrame, least: float) -> DataFrame | None:
+    """All links between classes in buckets of more than GROUP_ROWS members, or None if there is no such bucket.
+
+    Members that share one of their rarest regions make a group (groups of the same members count once), where it is
+    among the fewer ones (first) of one. A group of more than GROUP_ROWS is dealt into chunks of half of that, which meet in
+    pairs, without those that need no comparison: two of its largest class (top), and two that don't have it first."""
+    named, several = _several(members, labels, GROUP_ROWS)
+    several = cut_lineage(several, "large")
+    if several.isEmpty():
+        return None
+    left = named.join(several.select("band"), "band").select("key", "label").distinct()
+    left = cut_lineage(left.join(texts, "key"), "left")
+    counts = np.zeros(CELLS, np.int64)
+    for r in arrow_pass(left.select("regions"), _cells, "cell long, n long", text="regions").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r["cell"]] = r["n"]
+
+    def work(columns: dict[str, list]) -> dict[str, list]:
+        got = [rarest(np.frombuffer(r, np.uint64), counts, least) for r in columns["regions"]]
+        return {"*": np.repeat(np.arange(len(got)), [len(g) for g, _ in got]), "rare": np.concatenate([g.view(np.int64) for g, _ in got]),
+                "first": np.concatenate([np.arange(len(g)) < n for g, n in got])}
+
+    rows = cut_lineage(arrow_pass(left, work, "rare long, first boolean", keep=("key", "label"), text="regions"), "rare")
+    half = GROUP_ROWS // 2
+    xors = [F.bit_xor(F.xxhash64("key", "first", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    of_class = rows.groupBy("rare", "label").agg(F.count("*").alias("n"), F.count_if("first").alias("firsts"), *xors)
+    groups = of_class.groupBy("rare").agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("firsts").alias("firsts"), F.max(F.struct("n", "firsts", "label")).alias("top"),
+                                          *[F.bit_xor(x).alias(x) for x in ("x1", "x2")])
+    groups = groups.where("classes > 1 AND firsts > 0").groupBy("x1", "x2", "n", "firsts", "top").agg(F.min("rare").alias("rare"))
+    # chunks in this order: top without first, top with first, others with first, others without
+    sizes = ["top.n - top.firsts", "top.firsts", "firsts - top.firsts", "n - top.n - firsts + top.firsts"]
+    ends = [F.expr("+".join(f"ceil(({x}) / {half})" for x in sizes[:k + 1])).alias(f"e{k}") for k in range(4)]
+    groups = cut_lineage(groups.select("rare", (F.col("n") <= GROUP_ROWS).alias("small"), F.col("top.label").alias("top"), F.lit(0).cast("long").alias("e"), *ends), "groups")
+    top, lot, first = F.col("label") == F.col("top"), F.xxhash64("key", "rare"), F.col("first")
+
+    def by_kind(*of: Column) -> Column:
+        return F.when(top & ~first, of[0]).when(top, of[1]).when(first, of[2]).otherwise(of[3])
+
+    start, end = by_kind(*map(F.col, ("e", "e0", "e1", "e2"))), by_kind(*map(F.col, ("e0", "e1", "e2", "e3")))
+    lo, hi = by_kind(*map(F.col, ("e1", "e1", "e", "e0"))), by_kind(*map(F.col, ("e2", "e3", "e3", "e2"))) - 1
+    me = F.when(F.col("small"), F.lit(-1)).otherwise(start + F.pmod(lot, end - start))
+    meets = F.when(F.col("small"), F.array(F.lit(-2).cast("long"))).when(lo <= hi, F.sequence(lo, hi))
+    dealt = rows.join(groups, "rare").withColumn("me", me.cast("long")).withColumn("other", F.explode(meets)).where("me <> other")
+    dealt = dealt.select("rare", F.least("me", "other").alias("lo"), F.greatest("me", "other").alias("hi"), "key", "label")
+    return dealt.join(texts, "key").groupBy("rare", "lo", "hi").applyInArrow(_group_links(least), "a binary, b binary").distinct()
+
+
 def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
     """``labels`` (key, label) after more links: components of the classes that they join."""
     one, two = (labels.select(F.col("key").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
@@ -297,6 +365,9 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         if found.isEmpty():
             break
         labels = merged(labels, found)
+    found = _rare_links(members, texts, labels, least)
+    if found is not None and not (found := cut_lineage(found, "found")).isEmpty():
+        labels = merged(labels, found)
 
     keys = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     keys = cut_lineage(keys, "keys")

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 from riverbed.llm import neardup
 from tests.llm.fixtures import DOCS, empty, frame, prose, rows
 
@@ -89,6 +90,42 @@ def test_many_near_copies_are_one_class(spark):
     assert {(r.class_id, r.class_size) for r in got} == {(0, 600)}
 
 
+def test_single_pairs_in_a_large_bucket(spark, monkeypatch):
+    """A template family of 3,000 texts, unlike each other (0.75), of which over 1,000 meet in a bucket: each planted pair is found."""
+    monkeypatch.setattr(neardup, "GROUP_ROWS", 16)
+    trunk = " ".join(f"t{i}" for i in range(172))
+    own = lambda i: " ".join(f"o{i}x{k}" for k in range(28))
+    data = [(i, f"{trunk} {own(i)}", "en", "s", 1) for i in range(3000)]
+    data += [(10_000 + i, " ".join(data[i][1].split()[:180] + own(10_000 + i).split()[:20]), "en", "s", 1) for i in range(5, 3000, 75)]
+    assert neardup.similarity(*(neardup.regions(data[i][1]) for i in (5, 3000))) >= 0.8
+    keys = Counter(b for r in data for b in neardup.band_keys(neardup.regions(r[1])).tolist())
+    assert max(keys.values()) > 1000
+    assert neardup.similarity(*(neardup.regions(data[i][1]) for i in (0, 1))) < 0.8
+    got = neardup.find(frame(spark, data)).collect()
+    assert {(r.doc_id, r.class_id, r.class_size) for r in got} == {(i, i % 10_000, 2 if i % 10_000 % 75 == 5 else 1) for i, *_ in data}
+
+
+def test_large_groups_of_common_regions(spark, monkeypatch):
+    """Texts put together of few common passages, so that no region is rare: chunks of a group meet in pairs."""
+    r = random.Random(8)
+    passages = [prose(7000 + i, 30) for i in range(14)]
+    data = [(i, " ".join(passages[k] for k in sorted(r.sample(range(14), 9))) + f" end{i}", "en", "s", 1) for i in range(60)]
+    data += [(500 + i, edited(data[0][1], 1, i), "en", "s", 1) for i in range(20)]
+    want = brute(data)
+    monkeypatch.setattr(neardup, "GROUP_ROWS", 8)
+    got = neardup.find(frame(spark, data)).collect()
+    assert Counter((g.doc_id, g.class_id, g.class_size) for g in got) == want
+    # without the turns before it, too: all links between texts that are classes of their own
+    keys = spark.createDataFrame([(i, bytearray(neardup.hashlib.md5(t.encode()).digest()), t) for i, t, *_ in data], "doc_id long, key binary, text string")
+    texts = neardup.arrow_pass(keys, neardup._regions, "regions binary", keep=("key",)).cache()
+    members = keys.selectExpr("1L AS band", "key")
+    labels = spark.createDataFrame([], "key binary, label binary")
+    classes = neardup.components(neardup._rare_links(members, texts, labels, 0.8))
+    named = keys.join(classes, "key", "left").selectExpr("doc_id", "coalesce(label, key) AS label")
+    firsts = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"))
+    assert Counter((g.doc_id, g.class_id, g.n) for g in named.join(firsts, "label").collect()) == want
+
+
 def test_coordinates_agree_as_often_as_texts_are_alike():
     r = random.Random(2)
     for n, m in ((300, 60), (40, 10), (3000, 900)):
