@@ -5,7 +5,8 @@ field over the document's candidates, which are the base spans and every other t
 or an @: a unary potential from a multinomial logistic model of the token's shape, a chain
 potential between neighbours, and a skip potential between distant candidates that repeat or
 resemble each other (equal digits, a common tail of digits, an equal e-mail name). Loopy belief
-propagation makes the labels of a document agree; a candidate whose most probable label isn't
+propagation, in sweeps until the messages stay, makes the labels of a document agree. A candidate that skip
+links don't join to a base span, directly or over others, stays "other", whatever else the document holds. A candidate whose most probable label isn't
 "other" becomes a span of that kind. Base spans are evidence and stay as they are. So a number
 that is written with its country code once and without it elsewhere is found in both places.
 
@@ -39,7 +40,9 @@ SAMPLE_DOCS = 2000
 SAMPLE_CANDIDATES = 200
 #: Neighbours further apart than this many code points share no chain potential.
 NEAR = 40
-ROUNDS = 12
+#: Sweeps over a document's links, at most (messages that go round in circles may not settle), and those
+#: after which messages move halfway only.
+SWEEPS, UNDAMPED = 200, 20
 #: Most that the shape of a candidate counts against a label, and the pairs of equal kind that skip links
 #: are taken to join before any is counted.
 SURE = 4.0
@@ -165,38 +168,68 @@ class Field:
     skip: np.ndarray
 
     def labels(self, cs: list[Candidate]) -> list[int]:
-        """The most probable label of each candidate by loopy message passing (sum-product)."""
-        free = [i for i, c in enumerate(cs) if c.base == OTHER]
-        edges = [(i, j, self.skip) for i, j in links(cs)]
-        touched = {i for e in edges for i in e[:2]}
-        if not free or not touched.intersection(free):  # nothing that a distant candidate speaks for
-            return [c.base for c in cs]
-        edges += [(i, i + 1, self.chain) for i in range(len(cs) - 1) if cs[i + 1].start - cs[i].end <= NEAR]
-        scores = np.array([shape(c.text) for c in cs], float) @ self.unary
+        """The most probable label of each candidate by loopy message passing (sum-product).
+
+        Base spans are evidence. A candidate that skip links don't join to one, over others or directly, stays "other" and counts as such."""
+        label = np.array([c.base for c in cs], int)
+        skips = links(cs)
+        root = list(range(len(cs)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for i, j in skips:
+            root[find(j)] = find(i)
+        told = {find(i) for i, c in enumerate(cs) if c.base != OTHER}
+        free = [i for i, c in enumerate(cs) if c.base == OTHER and find(i) in told]
+        if not free:
+            return label.tolist()
+        at = {i: k for k, i in enumerate(free)}
+        scores = np.array([shape(cs[i].text) for i in free], float) @ self.unary
         # a candidate that no pattern has found was fitted as "other": the shape alone is only so sure of it
         scores = np.maximum(scores - scores.max(1, keepdims=True), -SURE)
-        for i, c in enumerate(cs):
-            if c.base != OTHER:
-                scores[i] = -50.0
-                scores[i, c.base] = 0.0
-        a, b = np.array([e[0] for e in edges]), np.array([e[1] for e in edges])
-        pots = np.array([e[2] for e in edges])
-        source, target = np.concatenate([a, b]), np.concatenate([b, a])
-        pots = np.concatenate([pots, pots.transpose(0, 2, 1)])
-        back = np.concatenate([np.arange(len(a), 2 * len(a)), np.arange(len(a))])
-        messages = np.zeros((len(source), OTHER + 1))
-        belief = scores
-        for _ in range(ROUNDS):
-            belief = scores.copy()
-            np.add.at(belief, target, messages)
-            out = (belief[source] - messages[back])[:, :, None] + pots
-            top = out.max(1)
-            out = top + np.log(np.exp(out - top[:, None, :]).sum(1))
-            out -= out.max(1, keepdims=True)
-            messages = 0.5 * messages + 0.5 * out
-        belief = scores.copy()
-        np.add.at(belief, target, messages)
-        return [c.base if c.base != OTHER else int(k) for c, k in zip(cs, belief.argmax(1))]
+        near = [(i, i + 1) for i in range(len(cs) - 1) if cs[i + 1].start - cs[i].end <= NEAR]
+        edges = []
+        for i, j, pot in [(i, j, self.skip) for i, j in skips] + [(i, j, self.chain) for i, j in near]:
+            if i in at and j in at:
+                edges.append((at[i], at[j], pot))
+            elif i in at:
+                scores[at[i]] += pot[:, label[j]]
+            elif j in at:
+                scores[at[j]] += pot[label[i]]
+        label[free] = beliefs(scores, edges).argmax(1)
+        return label.tolist()
+
+
+def beliefs(scores: np.ndarray, edges: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
+    """Log beliefs after sweeps forward and backward over ``edges`` (a < b, potential) until the messages stay
+    as they are: on a chain or tree in that order one sweep is exact, at linear cost."""
+    belief = scores.copy()
+    order = sorted(range(len(edges)), key=lambda e: edges[e][:2])
+    back = sorted(range(len(edges)), key=lambda e: (-edges[e][1], -edges[e][0]))
+    messages = np.zeros((2, len(edges), OTHER + 1))
+    for sweep in range(SWEEPS):
+        moved = 0.0
+        for way, turn in ((0, order), (1, back)):
+            for e in turn:
+                a, b, pot = edges[e]
+                if way:
+                    a, b, pot = b, a, pot.T
+                out = (belief[a] - messages[1 - way, e])[:, None] + pot
+                top = out.max(0)
+                out = top + np.log(np.exp(out - top).sum(0))
+                out -= out.max()
+                if sweep >= UNDAMPED:
+                    out = 0.5 * (out + messages[way, e])
+                step = out - messages[way, e]
+                belief[b] += step
+                messages[way, e] = out
+                moved = max(moved, float(np.abs(step).max()))
+        if moved < 1e-6:
+            break
+    return belief
 
 
 def fit(rows: list[tuple[int, int, str, int]]) -> Field:

@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 from riverbed.llm import pii
 from tests.llm.fixtures import empty, frame, prose, rows
 
@@ -78,6 +79,19 @@ def test_message_passing_equals_enumeration():
     assert got[0] == 3 and got[1] == total[1].argmax() and got[2] == total[2].argmax()
 
 
+def test_long_chains_take_the_label_and_those_without_evidence_do_not():
+    model = pii.fit([(i, 50 * k, t, b) for i in range(40) for k, (t, b) in enumerate([(f"+1201{3141592 + i}", 3), ("2024", pii.OTHER), (f"55{i}12", pii.OTHER)])])
+    numbers = [pii.Candidate(0, 13, 3, "+12013141592")] + [pii.Candidate(500 * i, 500 * i + 10, pii.OTHER, "2013141592") for i in range(1, 31)]
+    assert model.labels(numbers) == [3] * 31
+    years = [pii.Candidate(500 * i + 200, 500 * i + 204, pii.OTHER, "2024") for i in range(30)]
+    assert model.labels(years) == [pii.OTHER] * 30
+    both = sorted(numbers + years, key=lambda c: c.start)
+    assert model.labels(both) == [pii.OTHER if c.text == "2024" else 3 for c in both]
+    # unsure shapes and strong links, as a fitted field has them: the whole chain agrees, no evidence means other
+    sure = pii.Field(np.tile([-4.0, -4, -4, -4, 0], (pii.N_FEATURES, 1)) / pii.N_FEATURES, 0 * model.chain, np.diag([8.0, 8, 8, 8, 1]))
+    assert sure.labels(numbers) == [3] * 31 and sure.labels(numbers[1:]) == [pii.OTHER] * 30 and sure.labels(years) == [pii.OTHER] * 30
+
+
 def test_links_grow_with_the_tokens():
     cs = [pii.Candidate(10 * i, 10 * i + 8, pii.OTHER, "12345678") for i in range(5000)]
     assert len(pii.links(cs)) == 4999
