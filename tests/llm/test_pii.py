@@ -92,6 +92,15 @@ def test_long_chains_take_the_label_and_those_without_evidence_do_not():
     assert sure.labels(numbers) == [3] * 31 and sure.labels(numbers[1:]) == [pii.OTHER] * 30 and sure.labels(years) == [pii.OTHER] * 30
 
 
+def test_a_label_does_not_depend_on_unlinked_tokens():
+    model = pii.fit([])
+    model.unary[0, 3] = 9.0  # any shape speaks for a phone
+    lone = [pii.Candidate(0, 13, 3, "+12013141592"), pii.Candidate(500, 507, pii.OTHER, "5551234")]
+    pair = [pii.Candidate(1000, 1010, pii.OTHER, "2013141592"), pii.Candidate(1500, 1504, pii.OTHER, "2024"), pii.Candidate(2000, 2004, pii.OTHER, "2024")]
+    assert model.labels(lone) == [3, pii.OTHER]
+    assert model.labels(lone + pair) == [3, pii.OTHER, 3, pii.OTHER, pii.OTHER]
+
+
 def test_links_grow_with_the_tokens():
     cs = [pii.Candidate(10 * i, 10 * i + 8, pii.OTHER, "12345678") for i in range(5000)]
     assert len(pii.links(cs)) == 4999
