@@ -18,7 +18,6 @@ are numbered in any order among equals; an empty table gives an empty result."""
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -29,78 +28,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import arrow_pass, pick
+from riverbed.llm.wordids import word_ids
 from riverbed.session import broadcast_checked, cut_lineage
 
 CAPACITY = 2048
 #: Pieces that are numbered together, about; sets the number of salts of a length.
 GROUP_ROWS = 20_000
-#: Words whose ids a Python worker remembers, at most.
-CACHE_WORDS = 500_000
-
-_STATE: dict = {}
-# Letters that lower-casing and composition treat alike everywhere, and marks that aren't letters, digits or white space.
-_LETTERS = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?#$%&*|)(\"/-]*)")
-
-
-class WordIds:
-    """Ids by words between spaces and line ends: the tokenizer drops white space and none of its
-    matches spans any, so that a text's ids are its words' ids one after another.
-
-    Most new words are letters with some marks behind them. There the letters, in lower case, are
-    one match and the marks another one, so that words that differ in case or marks share their
-    letters' ids, and the letters need none of the tokenizer's own preparation."""
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.bare = Tokenizer.from_file(path)
-        self.bare.encode_special_tokens = True
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.known: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-
-    def look_up(self, tokenizer, memory: dict[str, bytes], wanted: set[str]) -> None:
-        missing = list(wanted.difference(memory))
-        if len(memory) + len(missing) > CACHE_WORDS:
-            for w in [w for w in memory if w not in wanted]:
-                del memory[w]
-        for at in range(0, len(missing), 10_000):
-            part = missing[at:at + 10_000]
-            for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memory[w] = np.asarray(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers, a closing 0 among them."""
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        here = set().union(*cut)
-        parted = {w: (m[1].lower(), m[2]) for w in here.difference(self.known) if (m := _LETTERS.fullmatch(w))}
-        self.look_up(self.bare, self.letters, {a for a, _ in parted.values()})
-        whole = {w for w in here if w not in parted}
-        marks = {b for _, b in parted.values()}
-        self.look_up(self.tokenizer, self.known, whole | marks)
-        for w, (a, b) in parted.items():
-            self.known[w] = self.letters[a] + self.known[b]
-        return [b"".join(map(self.known.__getitem__, words)) + b"\0\0\0\0" for words in cut]
-
-
-def _words(path: str) -> WordIds:
-    if path not in _STATE:
-        _STATE[path] = WordIds(path)
-    return _STATE[path]
-
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32."""
     def work(columns: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {k: [] for k in ("*", "piece", "start", "length", "ids_crc32")}
-        for i, ids in enumerate(_words(path).encode(columns["text"])):
-            for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                part = ids[at:at + 4 * capacity]
-                for name, value in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part))):
+        ids, ends = word_ids(path).encode(columns["text"], 0)
+        begin = 0
+        for i, end in enumerate(ends.tolist()):
+            for k, at in enumerate(range(begin, end, capacity)):
+                part = ids[at:min(at + capacity, end)]
+                for name, value in zip(out, (i, k, at - begin, len(part), zlib.crc32(part))):
                     out[name].append(value)
+            begin = end
         return out
 
     return arrow_pass(pick(docs, doc_id="long", text="string"), work, "piece int, start long, length long, ids_crc32 long", keep=("doc_id",))

@@ -26,7 +26,6 @@ def check_places(got, capacity):
 
 def test_pieces_and_places(spark):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     got = packing.pack(frame(spark, extra=True), PATH).collect()
     want = Counter()
     for i, text, *_ in rows():
@@ -68,16 +67,5 @@ def test_hot_length_is_numbered_in_groups(spark, monkeypatch):
     assert len(got) == 520
 
 
-def test_words_part_as_whole_texts_do():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    own = packing.WordIds(PATH)
-    r = random.Random(3)
-    alphabet = list("aBcdEéÀßÿµªº's.,!|#$&*-\"<>0123½ \n\t\x1c\xa0İſΣσ中😀e\u0301")
-    texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(80))) for _ in range(3000)] + ["<|endoftext|> a", "ÇA va!", "don't"]
-    for text, ids in zip(texts, own.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids + [0]
-
-
 def test_empty_table(spark):
     assert packing.pack(empty(spark), PATH).count() == 0
