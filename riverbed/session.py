@@ -124,13 +124,19 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     ``release_scratch`` removes the copies once the results that read them are written; those
     left over go when the process ends."""
     spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder, for files that ``release_scratch`` removes."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
     if not _SCRATCH:
         atexit.register(release_scratch)
     _SCRATCH.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def release_scratch(spark: SparkSession | None = None) -> int:
