@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import bpe, editprint, langid, maintext, neardup, packing, pii, quality, secretscan, toxicity
+from riverbed.llm import bpe, editprint, hardneg, langid, maintext, neardup, packing, pii, prefixtrie, quality, secretscan, tokenfiles, toxicity
 from riverbed.llm.common import table
 
 
@@ -51,6 +51,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -62,8 +74,14 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_edit_fingerprints": op9_edit_fingerprints,
     "op10_language_id": op10_language_id,
+    "op11_token_files": op11_token_files,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-#: None of these can be written as one SQL statement with the same rows (label model, compression);
+#: The others can't be written as one SQL statement with the same rows (label model, compression, tokenizers);
 #: tests/llm holds them against plain versions instead.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_prefix_trie": prefixtrie.TRIE_SQL,
+    "op13_hard_negatives": hardneg.MINE_SQL,
+}
