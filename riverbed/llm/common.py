@@ -17,6 +17,8 @@ from riverbed.session import broadcast_checked, ship_package
 #: Code points or bytes of text that one Python step holds at a time; a batch is cut into runs
 #: of rows of about this size, so that memory follows it and not the length of a batch.
 RUN_BYTES = 8 << 20
+#: Bytes of an Arrow batch between Spark and Python: without it a batch is 10,000 rows, however long.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,14 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches by bytes for the passes of this session, unless it has a smaller bound already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = spark.conf.get(key)
+    if have.rstrip("b").isdigit() and int(have.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def runs(batch: pa.RecordBatch, column: str, most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose ``column`` holds about ``most`` bytes each (one row at least)."""
     at = batch.schema.get_field_index(column)
@@ -42,14 +52,15 @@ def runs(batch: pa.RecordBatch, column: str, most: int = RUN_BYTES) -> Iterator[
 
 
 def arrow_pass(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], made: str,
-               keep: Iterable[str] = (), text: str | None = "text", reads: Iterable[str] = ()) -> DataFrame:
+               keep: Iterable[str] = (), text: str | None = "text", reads: Iterable[str] = (), run_bytes: int = RUN_BYTES) -> DataFrame:
     """One pass of ``work`` over the rows of ``df``, without a shuffle.
 
     ``work`` gets the columns of a run of rows as Python lists and returns those of ``made`` (a
     schema in DDL); ``keep`` names the columns that are handed on untouched, which ``work`` sees
-    only if they are named in ``reads`` or are the text (runs of rows are cut by its size, if there is one). When ``work`` returns a key ``"*"``, it is the list of row numbers that the result's rows come from:
+    only if they are named in ``reads`` or are the text (runs of rows are cut by its size, ``run_bytes``, if there is one). When ``work`` returns a key ``"*"``, it is the list of row numbers that the result's rows come from:
     rows can be dropped or repeated."""
     ship_package(df.sparkSession)
+    bounded_batches(df.sparkSession)
     keep = list(keep)
     fields = T._parse_datatype_string(made).fields if made else []
     types = {f.name: to_arrow_type(f.dataType) for f in fields}
@@ -57,7 +68,7 @@ def arrow_pass(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in runs(batch, text) if text else [batch]:
+            for run in runs(batch, text, run_bytes) if text else [batch]:
                 got = work({f.name: run.column(i).to_pylist() for i, f in enumerate(run.schema) if f.name not in unseen})
                 kept = [run.column(run.schema.get_field_index(c)) for c in keep]
                 if "*" in got:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.llm.common import arrow_pass, pick
-from riverbed.llm.wordids import word_ids
+from riverbed.llm.wordids import RUN_BYTES, word_ids
 from riverbed.session import broadcast_checked, cut_lineage
 
 CAPACITY = 2048
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             begin = end
         return out
 
-    return arrow_pass(pick(docs, doc_id="long", text="string"), work, "piece int, start long, length long, ids_crc32 long", keep=("doc_id",))
+    return arrow_pass(pick(docs, doc_id="long", text="string"), work, "piece int, start long, length long, ids_crc32 long", keep=("doc_id",), run_bytes=RUN_BYTES)
 
 
 @dataclass(frozen=True)

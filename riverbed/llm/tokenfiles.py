@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from riverbed.llm import simple8b
-from riverbed.llm.common import arrow_pass, pick
+from riverbed.llm.common import bounded_batches, pick, runs
 from riverbed.llm.simple8b import BLOCK, Blocks
-from riverbed.llm.wordids import word_ids
+from riverbed.llm.wordids import RUN_BYTES, word_ids
 from riverbed.session import scratch_path, ship_package
 
 MAGIC = b"S8BTOK01"
@@ -145,11 +145,30 @@ class Written(WriterCommitMessage):
     file: dict | None
 
 
+def given_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch one after another, and how many each document has."""
+    ids = batch.column("ids")
+    if ids.null_count:
+        raise ValueError("ids must not be null")
+    ends = np.frombuffer(ids.buffers()[1], np.int64 if pa.types.is_large_binary(ids.type) else np.int32)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64)
+    return np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].view("<u4"), np.diff(ends) // 4
+
+
 class Writer(DataSourceArrowWriter):
-    """Columns doc_id and ids (little-endian unsigned 32-bit); the partitions are in order, and so are their rows."""
+    """Columns doc_id and either ids (little-endian unsigned 32-bit) or, with a tokenizer's file, text, which the task
+    encodes. The partitions are in order, and so are their rows."""
 
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, tokenizer: str | None, end_id: int) -> None:
+        self.path, self.tokenizer, self.end_id = path, tokenizer, end_id
+
+    def coded(self, batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        if self.tokenizer is None:
+            ids, tokens = given_ids(batch)
+            yield batch.column("doc_id").to_pylist(), tokens, ids
+            return
+        for run in runs(batch, "text", RUN_BYTES):
+            ids, ends = word_ids(self.tokenizer).encode(run.column("text").to_pylist(), self.end_id)
+            yield run.column("doc_id").to_pylist(), np.diff(ends, prepend=0), ids
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = place(self.path)
@@ -162,13 +181,8 @@ class Writer(DataSourceArrowWriter):
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(f"{folder}/{name}")
                 writer = FileWriter(out)
-            ids = batch.column("ids")
-            if ids.null_count:
-                raise ValueError("ids must not be null")
-            kind = np.int64 if pa.types.is_large_binary(ids.type) else np.int32
-            ends = np.frombuffer(ids.buffers()[1], kind)[ids.offset:ids.offset + len(ids) + 1].astype(np.int64)
-            data = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].view("<u4")
-            writer.add(batch.column("doc_id").to_pylist(), np.diff(ends) // 4, data)
+            for doc_ids, tokens, ids in self.coded(batch):
+                writer.add(doc_ids, tokens, ids)
         if writer is None:
             return Written(None)
         writer.close()
@@ -275,7 +289,7 @@ class Simple8bSource(DataSource):
         fs, folder = place(self.options["path"])
         if fs.get_file_info(f"{folder}/{LISTING}").type != pafs.FileType.NotFound:
             raise ValueError(f"{folder} holds token files already")
-        return Writer(self.options["path"])
+        return Writer(self.options["path"], self.options.get("tokenizer"), int(self.options.get("end_id", END_ID)))
 
 
 def in_order(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -291,16 +305,11 @@ def in_order(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, range_bytes: int = RANGE_BYTES) -> None:
     """Encode every text, with ``end_id`` behind it, and write the files below ``path``, a folder that driver and
     executors share."""
-    ship_package(docs.sparkSession)
-
-    def work(columns: dict[str, list]) -> dict[str, list]:
-        ids, ends = word_ids(tokenizer).encode(columns["text"], end_id)
-        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return {"ids": [data[a:b] for a, b in zip(cuts, cuts[1:])]}
-
-    docs.sparkSession.dataSource.register(Simple8bSource)
-    rows = arrow_pass(in_order(docs, range_bytes), work, "ids binary", keep=("doc_id",))
-    rows.write.format("simple8b").mode("append").save(path)
+    spark = docs.sparkSession
+    ship_package(spark)
+    bounded_batches(spark)
+    spark.dataSource.register(Simple8bSource)
+    in_order(docs, range_bytes).write.format("simple8b").option("tokenizer", tokenizer).option("end_id", end_id).mode("append").save(path)
 
 
 def read(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:

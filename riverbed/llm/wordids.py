@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 #: Runs of letters that a Python worker remembers, at most (about 150 bytes each), and the longest of them.
 MEMORY_WORDS = 400_000
 MEMORY_LENGTH = 64
+#: Bytes of text that are cut into words together; what is held beside them is about forty times as much.
+RUN_BYTES = 2 << 20
 #: Words given to the tokenizer as one text.
 TOGETHER = 64
 

@@ -96,5 +96,15 @@ def test_uncommitted_and_broken_files(spark, tmpdir_path):
         tokenfiles.read(spark, path).collect()
 
 
+def test_ids_of_another_encoder(spark, tmpdir_path):
+    """Ids can be given instead of texts, of any 32 bits."""
+    path = os.path.join(tmpdir_path, "files")
+    ids = [np.random.default_rng(i).integers(0, 1 << 32, 5 * i, np.uint64).astype("<u4").tobytes() for i in range(40)]
+    spark.dataSource.register(tokenfiles.Simple8bSource)
+    spark.createDataFrame(list(enumerate(ids)), "doc_id long, ids binary").coalesce(1).write.format("simple8b").mode("append").save(path)
+    got = sorted(tokenfiles.read(spark, path, ids=True).collect())
+    assert [bytes(g.ids) for g in got] == ids and [g.n_tokens for g in got] == [5 * i for i in range(40)]
+
+
 def test_empty_table(spark):
     assert tokenfiles.round_trip(empty(spark), PATH).collect() == []
