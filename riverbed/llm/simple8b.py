@@ -40,64 +40,90 @@ class Blocks:
     n_escapes: np.ndarray
 
 
-def _words(rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _widths(rows: np.ndarray) -> np.ndarray:
+    """Bits of integers of sixty bits at most. (Rounding matters beyond 53 bits only, where one selector is left.)"""
+    return np.minimum(np.frexp(rows.astype(np.float64))[1], 60).astype(np.uint8)
+
+
+def _choices(widths: np.ndarray) -> np.ndarray:
+    """For each place the selector that holds most of what begins there. ``widths`` has _PAD zeros behind each row.
+    The widest of each run of n is the wider one of two shorter runs that cover it."""
+    length = widths.shape[1] - _PAD
+    widest, have = {1: widths}, 1
+    choice = np.full((len(widths), length), len(BITS) - 1, np.uint8)
+    for s in range(len(BITS) - 2, -1, -1):
+        n = int(COUNTS[s])
+        while 2 * have <= n:  # runs of powers of two
+            run = widest[have]
+            widest[2 * have] = np.maximum(run[:, :run.shape[1] - have], run[:, have:])
+            have *= 2
+        run, shift = widest[have], n - have
+        most = np.maximum(run[:, :length], run[:, shift:shift + length])
+        choice[most <= BITS[s]] = s
+    return choice
+
+
+def _words(rows: np.ndarray, widths: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of blocks of integers of at most sixty bits, and their number by block. ``rows`` has a block in each
-    row, of which the first ``sizes`` are meant and the others are zero."""
-    n, length = rows.shape
-    choice = np.full((n, length), len(BITS) - 1, np.uint8)
-    for s in range(len(BITS) - 2, -1, -1):  # the selector that holds most is looked at last
-        over = np.zeros((n, length + 1), np.int32)
-        np.cumsum(rows >= (_U(1) << _U(BITS[s])), axis=1, out=over[:, 1:])
-        to = np.minimum(np.arange(length) + COUNTS[s], length)
-        choice[over[:, to] == over[:, :-1]] = s
-    at, words, order = np.zeros(n, np.int64), [], []
+    row, of which the first ``sizes`` are meant and the others are zero, and so has ``widths``; _PAD zeros follow."""
+    n, stride = rows.shape
+    choice = _choices(widths)
+    at, words = np.zeros(n, np.int64), []
     live = np.flatnonzero(sizes > 0)
-    padded = np.concatenate([rows, np.zeros((n, _PAD), _U)], axis=1).ravel()
-    stride = length + _PAD
     while len(live):
-        selector = choice[live, at[live]]
-        words.append((live, at[live], selector))
-        at[live] += COUNTS[selector]
-        live = live[at[live] < sizes[live]]
+        here = at[live]
+        selector = choice[live, here]
+        words.append((live, here, selector))
+        here = here + COUNTS[selector]
+        at[live] = here
+        live = live[here < sizes[live]]
     if not words:
         return np.zeros(0, _U), np.zeros(n, np.int64)
     block, place, selector = (np.concatenate(x) for x in zip(*words))
-    order = np.argsort(block, kind="stable")  # steps are ascending places of a block
+    order = np.argsort(block.astype(np.uint16) if n < 1 << 16 else block, kind="stable")  # steps are ascending places of a block
     block, place, selector = block[order], place[order], selector[order]
-    out = selector.astype(_U) << _U(60)
+    out, flat, first = selector.astype(_U) << _U(60), rows.ravel(), block * stride + place
     for s in np.unique(selector).tolist():
         if BITS[s]:
             here = np.flatnonzero(selector == s)
-            taken = padded[(block[here] * stride + place[here])[:, None] + np.arange(COUNTS[s])]
-            out[here] |= np.bitwise_or.reduce(taken << (np.arange(COUNTS[s]) * BITS[s]).astype(_U), axis=1)
+            start, packed = first[here], np.zeros(len(here), _U)
+            for k in range(COUNTS[s]):
+                packed |= flat[start + k] << _U(k * BITS[s])
+            out[here] |= packed
     return out, np.bincount(block, minlength=n)
 
 
 def encode(values: np.ndarray) -> Blocks:
     """All integers of ``values`` (unsigned, up to 64 bits), in blocks of BLOCK; the last may be shorter."""
-    values = np.ascontiguousarray(values, _U)
     n = -(-len(values) // BLOCK)
-    rows = np.zeros((n, BLOCK), _U)
-    rows.ravel()[:len(values)] = values
+    rows = np.zeros((n, BLOCK + _PAD), _U)
+    whole = len(values) // BLOCK
+    rows[:whole, :BLOCK] = values[:whole * BLOCK].reshape(whole, BLOCK)
+    rows[whole:, :len(values) - whole * BLOCK] = values[whole * BLOCK:]
     sizes = np.minimum(BLOCK, len(values) - np.arange(n) * BLOCK)
-    limit = np.full(n, 60)
     least = rows >= (_U(1) << _U(60))
+    escaped, values = least.copy(), rows
+    if least.any():
+        rows = np.where(least, _U(0), rows)
+    widths = _widths(rows)
+    words, n_words = _words(rows, widths, sizes)
+    limit, most = np.full(n, 60), widths.max(axis=1, initial=0)
+    held = lambda width: COUNTS[np.searchsorted(BITS, width)]
     for bits in sorted({int(b) for b in BITS if 0 < b < 60}, reverse=True):  # the narrowest that all but few have
-        over = np.count_nonzero(rows >= (_U(1) << _U(bits)), axis=1)
-        limit[(over > 0) & (over <= RARE * sizes)] = bits
-    escaped = least.copy()
-    words, n_words = _words(np.where(least, _U(0), rows), sizes)
+        wide = np.count_nonzero(widths > bits, axis=1)
+        # an escape saves at most one word and what its own word holds less: with less than half of it it can't pay
+        limit[(wide > 0) & (wide <= RARE * sizes) & (2 * held(most) <= held(bits))] = bits
     narrow = np.flatnonzero(limit < 60)
     if len(narrow):  # both ways; the shorter one stands
-        wide = rows[narrow] >= (_U(1) << limit[narrow].astype(_U))[:, None]
-        other, n_other = _words(np.where(wide, _U(0), rows[narrow]), sizes[narrow])
-        gain = 8 * (n_words[narrow] - n_other) - 10 * (wide.sum(axis=1) - least[narrow].sum(axis=1))
+        wide = widths[narrow] > limit[narrow][:, None]
+        other, n_other = _words(np.where(wide, _U(0), rows[narrow]), np.where(wide, np.uint8(0), widths[narrow]), sizes[narrow])
+        gain = 8 * (n_words[narrow] - n_other) - 10 * wide.sum(axis=1)
         parts, others = np.split(words, np.cumsum(n_words)[:-1]), np.split(other, np.cumsum(n_other)[:-1])
         for k in np.flatnonzero(gain > 0).tolist():
-            parts[narrow[k]], escaped[narrow[k]] = others[k], wide[k]
+            parts[narrow[k]], escaped[narrow[k]] = others[k], wide[k] | escaped[narrow[k]]
         words, n_words = np.concatenate(parts), np.array([len(p) for p in parts])
     block, place = np.nonzero(escaped)
-    return Blocks(words, n_words, place.astype(np.uint16), rows[block, place], np.bincount(block, minlength=n))
+    return Blocks(words, n_words, place.astype(np.uint16), values[block, place], np.bincount(block, minlength=n))
 
 
 def decode(blocks: Blocks, sizes: np.ndarray) -> np.ndarray:
