@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverbed.session import cut_lineage
+
 SHADOW_PREFIX = "shadow_"          # fixed value: name prefix of shadow tables
 
 
@@ -84,18 +86,26 @@ def asof_probes(df: DataFrame, key_cols, value_col: str, is_version, is_probe, o
     ``is_version`` holds and the rows of ``stored`` (key columns, order columns and ``value_col``), e.g.
     row versions written before the frame begins.
 
-    Only the probes, and the versions of their keys (a semi join), are shuffled; all other rows pass by."""
+    What the lookup needs (keys, order and value of probes and versions) is written once; the versions of the probes' keys
+    (a semi join) are scanned with the probes, and only the probes are joined with what was found: all other rows pass by."""
     key_cols = list(key_cols)
-    probes = df.where(is_probe)
     order = [c for c in ("commit_seconds", "commit_nanos", "server_txn_id", "record_sequence", "mod_position") if c in df.columns]
-    versions = df.where(is_version).select(*key_cols, *order, value_col)
+    ids = [*key_cols, *order]
+    probe, version = (F.coalesce(c, F.lit(False)) for c in (is_probe, is_version))
+    kind = df.schema[value_col].dataType
+    rest = df.where(~probe).withColumn(out_col, F.lit(None).cast(kind))
+    narrow = cut_lineage(df.where(probe | version).select(*ids, F.col(value_col).alias("_found_value"), probe.alias("_p"), version.alias("_v")), "probes")
+    probes = narrow.where("_p").select(*ids).distinct()
+    if probes.isEmpty():
+        return rest
+    versions = narrow.where("_v").select(*ids, "_found_value")
     if stored is not None:
         extra = [F.lit(-1).alias(c) if c == "mod_position" and c not in stored.columns else F.col(c) for c in order]
-        versions = versions.unionByName(stored.select(*key_cols, *extra, value_col))
-    versions = versions.join(probes.select(*key_cols).distinct(), key_cols, "left_semi").withColumnRenamed(value_col, "_found_value")
-    found = asof_lookup(probes, versions, key_cols, ["_found_value"], lag_seconds).withColumnRenamed("_found_value", out_col)
-    rest = df.where(~F.coalesce(is_probe, F.lit(False))).withColumn(out_col, F.lit(None).cast(df.schema[value_col].dataType))
-    return rest.unionByName(found.select(*rest.columns))
+        versions = versions.unionByName(stored.select(*key_cols, *extra, F.col(value_col).alias("_found_value")))
+    versions = versions.join(probes.select(*key_cols).distinct(), key_cols, "left_semi")
+    found = asof_lookup(probes, versions, key_cols, ["_found_value"], lag_seconds).select(*[F.col(c).alias(f"_f_{c}") for c in ids], F.col("_found_value").alias(out_col))
+    same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in ids]
+    return rest.unionByName(df.where(probe).join(found, same, "left").select(*rest.columns))
 
 
 def tables_without_shadow(tables: DataFrame, name_col: str = "table_name", prefix: str = SHADOW_PREFIX) -> DataFrame:

@@ -1,28 +1,27 @@
 """Ordered release buffer (W1-W4, W6, W7) for ``foreachBatch``.
 
-A micro-batch joins the rows that are still held. The high-water mark is the latest commit seen so
-far less ``delay``; the boundary is the last multiple of ``interval`` (counted from the epoch, so that all
-shards and all restarts share it) that the mark has passed. What was committed before the boundary is
+A micro-batch moves the event clock (``clock``); what was committed before the clock's boundary is
 released in change order: everything (``emit="all"``) or, per interval, the latest change of each
 key (``emit="latest"``). The rest is held.
 
 A row that comes late, behind a boundary that has been released, goes out with the batch that brings it: no
-row is ever dropped. The mark is one for the whole stream; a shard without new changes is released
+row is ever dropped. The clock is one for the whole stream; a shard without new changes is released
 with the others.
 
-All of it is DataFrame work: the held rows are a table whose version belongs to the batch
-(``versions``), "latest" is a partial aggregation, and a hot shard is split by ranges of its order. The
-layout depends on nothing but the data: no salts, no session settings."""
+Held rows are a log in folders by the interval that releases them: a row is written once, when it comes, and read
+once, when its interval is due; a batch reads the folders between two boundaries and no others. "latest" is a partial
+aggregation, and a hot shard is split by ranges of its order. The layout depends on nothing but the data: no
+salts, no session settings."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed import model
 from riverbed.operators.latest import latest_per_key
-from riverbed.streaming.versions import VersionedTable
-from riverbed.streaming.windows import size_micros
+from riverbed.streaming.clock import EventClock, commit_ms, span_ms
+from riverbed.streaming.versions import PartitionedLog
 
 BUFFER_COLUMNS = ["shard", "commit_ts", "commit_seconds", "commit_nanos", "server_txn_id", "record_sequence",
                   "mod_position", "table_name", "keys_json", "old_values_json", "new_values_json", "mod_type",
@@ -33,10 +32,6 @@ BUFFER_SCHEMA = (
     "new_values_json string, mod_type string, num_records_in_txn bigint, txn_tag string")
 
 
-def commit_ms() -> Column:
-    return F.col("commit_seconds") * 1000 + F.floor(F.col("commit_nanos") / 1_000_000)
-
-
 def buffered(changes: DataFrame) -> DataFrame:
     """The columns of the buffer; a change without a place in its record is its only one."""
     if model.MOD_POSITION not in changes.columns:
@@ -45,7 +40,11 @@ def buffered(changes: DataFrame) -> DataFrame:
 
 
 def interval_ms(text: str) -> int:
-    return size_micros(text) // 1000
+    return span_ms(text)
+
+
+def interval_end(interval: int):
+    return (F.floor(commit_ms() / interval) + 1) * interval
 
 
 class ReleaseBuffer:
@@ -53,34 +52,34 @@ class ReleaseBuffer:
     the interval that a change belongs to)."""
 
     def __init__(self, spark: SparkSession, path: str, interval: str = "1 second", emit: str = "all",
-                 delay: str = "0 seconds"):
+                 delay: str = "0 seconds", idle: str = "0 seconds", **clock):
         if emit not in ("all", "latest"):
             raise ValueError("emit must be 'all' or 'latest'")
-        self.interval, self.delay, self.emit = max(1, interval_ms(interval)), interval_ms(delay), emit
-        self.held = VersionedTable(spark, f"{path}/held", BUFFER_SCHEMA)
-        self.mark = VersionedTable(spark, f"{path}/mark", "high_ms bigint")
-
-    def step(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        rows = buffered(batch)
-        before, mark = self.held.before(batch_id), self.mark.before(batch_id)
+        self.interval, self.emit = max(1, interval_ms(interval)), emit
+        self.clock = EventClock(spark, f"{path}/clock", interval, delay, idle, **clock)
+        self.held = PartitionedLog(spark, f"{path}/held", BUFFER_SCHEMA, "due_ms")
+
+    def step(self, batch: DataFrame, batch_id: int, records: DataFrame | None = None) -> DataFrame:
+        """``records``: all rows that came with the batch, from before any filter; they move the clock. Without them
+        the batch's own rows do."""
+        past, boundary = self.clock.step(batch if records is None else records, batch_id)
+        self.held.drop([v for v in self.held.values() if v <= past])  # released by batches that are committed
+        rows = buffered(batch).withColumn("due_ms", interval_end(self.interval))
+        self.held.append(rows.where(F.col("due_ms") > boundary), batch_id)
+        out = rows.where(F.col("due_ms") <= boundary).drop("due_ms")
+        before = self.held.read([v for v in self.held.values() if past < v <= boundary], batch_id)
         if before is not None:
-            rows = before.unionByName(rows)
-        high = rows.agg(F.max(commit_ms()).alias("high_ms"))
-        if mark is not None:
-            high = high.unionByName(mark).agg(F.max("high_ms").alias("high_ms"))
-        # one row; written, so that a second run of the batch uses the same mark
-        high_ms = self.mark.write(high, batch_id).first()["high_ms"]
-        boundary = 0 if high_ms is None else (high_ms - self.delay) // self.interval * self.interval
-        due = commit_ms() < boundary
-        self.held.write(rows.where(~due), batch_id)
-        out = rows.where(due).withColumn("released_at_ms", (F.floor(commit_ms() / self.interval) + 1) * self.interval)
+            out = out.unionByName(before)
+        out = out.withColumn("released_at_ms", interval_end(self.interval))
         if self.emit == "latest":
             out = latest_per_key(out, ["shard", "released_at_ms", "table_name", "keys_json"])
         return out
 
     def rest(self, batch_id: int) -> DataFrame:
         """What is held after a batch."""
-        return self.held.before(batch_id + 1)
+        boundary = self.clock._boundary(self.clock.table.read(batch_id))
+        held = self.held.read([v for v in self.held.values() if v > boundary], batch_id + 1)
+        return self.held.spark.createDataFrame([], BUFFER_SCHEMA) if held is None else held
 
 
 def in_order(released: DataFrame) -> DataFrame:
@@ -97,8 +96,7 @@ def release_batch(changes: DataFrame, emit: str = "all", interval: str | None =
         return rows
     if interval is None:
         return latest_per_key(rows, ["shard", "table_name", "keys_json"])
-    i = interval_ms(interval)
-    rows = rows.withColumn("released_at_ms", (F.floor(commit_ms() / i) + 1) * i)
+    rows = rows.withColumn("released_at_ms", interval_end(interval_ms(interval)))
     return latest_per_key(rows, ["shard", "released_at_ms", "table_name", "keys_json"])
 
 

@@ -329,10 +329,6 @@ def test_shadow_replication_stream_never_goes_back(spark, tmpdir_path):
         for r in batch:
             if r["table_name"] != "unmapped" and r["mod_type"] != "DELETE":
                 versions.setdefault((r["table_name"], r["keys_json"]), []).append((place(r), json.loads(r["new_values_json"])["shard_id"]))
-        for key, known in versions.items():  # the job keeps a row's versions of its last second, and the one before
-            last = max(known)[0][0]
-            old = [v for v in known if v[0][0] < last - 1]
-            versions[key] = [v for v in known if v[0][0] >= last - 1] + ([max(old)] if old else [])
     got = dead(spark, dlq)
     assert {k for k, v in got.items() if v.startswith("older")} == refused and refused
     assert {k for k, v in got.items() if v == S.NO_VERSION} == unsharded
