@@ -10,18 +10,21 @@ puts their bytes together. Spark deals out the documents; nothing is shuffled.
 Matches longer than LONG bytes would take a step for each of their merges. For them a step
 contracts all occurrences of the pair that don't overlap, from the left, wherever that must give the
 same: when the merged token is no part of a pair of lesser rank, contracting one occurrence can't
-put another pair before the remaining ones.
+put another pair before the remaining ones. Such a query makes a bounded number of steps, and the next one goes on with
+what it leaves, so that memory follows the length of a match and not the number of its merges.
 
 Matches that a worker has already encoded are remembered, up to CACHE_ENTRIES of them.
 
 Special cases: a null or empty text has no ids, an empty list's digest and empty bytes; very long
 texts are cut match by match, so memory follows the number of their distinct matches; repeated
-rows give equal rows."""
+rows give equal rows; there are no ties (a pair's rank is its own, and the leftmost of equal pairs goes first); an empty
+table gives none; columns besides doc_id and text are ignored."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import duckdb
 import pyarrow as pa
@@ -34,30 +37,33 @@ from riverbed.llm.common import arrow_pass, pick
 #: Matches that a Python worker remembers, at most; beyond it, those of the run at hand stay.
 CACHE_ENTRIES = 500_000
 #: Matches encoded by one recursive query, at most.
-QUERY_WORDS = 20_000
+QUERY_WORDS = 40_000
+#: Rows that a query over long matches may gather over its steps: it makes fewer steps the longer they are.
+LONG_ROWS = 2_000_000
 #: Bytes of a match from which on a step contracts more than one pair of it.
 LONG = 64
 
 # White space by the Unicode property, which is what the rank files' own library goes by.
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+# A space at most and letters: one match by most patterns.
+_PLAIN = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+
 CONTRACT = """
 WITH RECURSIVE contracted(step, word, pos, token) AS (
   SELECT 0, word, pos, token FROM start_rows
   UNION ALL
-  SELECT c.step + 1, c.word, c.pos,
-         CASE WHEN c.pos = (least_pair.key & 4294967295) THEN (least_pair.key >> 32)::INTEGER ELSE c.token END
-  FROM (SELECT *, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS before FROM contracted) c
-  JOIN (SELECT word, min((m.merged::BIGINT << 32) | pos) AS key
-        FROM (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM contracted) p
-        JOIN merges m ON m.lefthand = p.token AND m.righthand = p.following
-        GROUP BY word) least_pair USING (word)
-  WHERE c.before IS NULL OR c.before <> (least_pair.key & 4294967295)
+  (WITH p AS MATERIALIZED (SELECT *, lead(token) OVER w AS following, lag(pos) OVER w AS before FROM contracted WINDOW w AS (PARTITION BY word ORDER BY pos)),
+        least_pair AS (SELECT p.word, min((m.merged::BIGINT << 32) | p.pos) AS key
+                       FROM p JOIN merges m ON m.lefthand = p.token AND m.righthand = p.following GROUP BY p.word)
+   SELECT p.step + 1, p.word, p.pos, CASE WHEN p.pos = (key & 4294967295) THEN (key >> 32)::INTEGER ELSE p.token END
+   FROM p JOIN least_pair USING (word) WHERE p.before IS NULL OR p.before <> (key & 4294967295))
 )
 SELECT c.word, c.pos, c.token
 FROM contracted c JOIN (SELECT word, max(step) AS last FROM contracted GROUP BY word) f
   ON c.word = f.word AND c.step = f.last
 """
+#: ``{steps}``: as many steps as a query makes; what it leaves off with is the next one's start.
 CONTRACT_LONG = """
 WITH RECURSIVE contracted(step, word, pos, token) AS (
   SELECT 0, word, pos, token FROM start_rows
@@ -70,12 +76,12 @@ WITH RECURSIVE contracted(step, word, pos, token) AS (
                           FROM (SELECT p.*, m.merged, m.alone, min(m.merged) OVER (PARTITION BY p.word) AS least_merged
                                 FROM (SELECT step, word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following,
                                              row_number() OVER (PARTITION BY word ORDER BY pos) AS place
-                                      FROM contracted) p
+                                      FROM contracted WHERE step < {steps}) p
                                 LEFT JOIN merges m ON m.lefthand = p.token AND m.righthand = p.following) j
                           WHERE least_merged IS NOT NULL) h) n) c) a
   WHERE NOT coalesce(absorbed, false)
 )
-SELECT c.word, c.pos, c.token
+SELECT c.word, c.pos, c.token, f.last
 FROM contracted c JOIN (SELECT word, max(step) AS last FROM contracted GROUP BY word) f
   ON c.word = f.word AND c.step = f.last
 """
@@ -115,6 +121,8 @@ class Codec:
         # a space before a character that isn't white space always begins a match
         self.cut = regex.compile(f" (?=[^{_SPACE}])")
         self.plain = regex.compile(f" (?=[{_SPACE}])")
+        # whether letters with a space at most are one match by this pattern
+        self.one = all(self.match.findall(x) == [x] for x in (" a", "A", " abc", "ABcd", "abCD", " \xc9a\xdf", "x\xf8Y"))
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
         self.db.execute("SET memory_limit = '400MB'")
@@ -148,17 +156,32 @@ class Codec:
             token += [self.bytes_ids[b] for b in data]
         kind = pa.int32()
         self.db.register("start_rows", pa.table({"word": pa.array(word, kind), "pos": pa.array(pos, kind), "token": pa.array(token, kind)}))
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {CONTRACT_LONG if max(map(len, words)) > LONG else CONTRACT}")
+        if max(map(len, words)) > LONG:
+            self.contract_long(max(1, LONG_ROWS // len(token)))
+        else:
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {CONTRACT}")
         ids = self.db.execute(ENCODED).fetchall()
         decoded = self.db.execute(DECODED).fetchall()
         self.db.unregister("start_rows")
         return [(a, n, bytes.fromhex(d)) for (_, a, n), (_, d) in zip(ids, decoded, strict=True)]
 
+    def contract_long(self, steps: int) -> None:
+        """From ``start_rows`` to the fixpoint, ``steps`` steps at a time."""
+        query = CONTRACT_LONG.format(steps=steps)
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {query}")
+        while self.db.execute("SELECT coalesce(max(last), 0) FROM fixpoint").fetchall()[0][0] >= steps:
+            self.db.unregister("start_rows")
+            self.db.execute("CREATE OR REPLACE TEMP TABLE reached AS SELECT word, pos, token FROM fixpoint")
+            self.db.execute("CREATE OR REPLACE TEMP VIEW start_rows AS SELECT * FROM reached")
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {query}")
+        self.db.execute("DROP VIEW IF EXISTS start_rows")
+
     def learn(self, chunks: list[list[str]]) -> None:
         """Make every chunk known: encode the distinct matches of those that aren't yet."""
         here = set().union(*chunks)
         missing = sorted(here.difference(self.known))
-        matches = {c: self.match.findall(c) for c in missing}
+        plain = _PLAIN.fullmatch
+        matches = {c: [c] if self.one and plain(c) else self.match.findall(c) for c in missing}
         distinct = {m for ms in matches.values() for m in ms}
         if len(self.known) + len(missing) > CACHE_ENTRIES:
             self.known = {c: v for c, v in self.known.items() if c in here}

@@ -36,6 +36,24 @@ def test_random_strings():
         assert ids == ",".join(map(str, want)) and n == len(want) and decoded == t.encode()
 
 
+def test_long_matches():
+    """One match, on both sides of the length from which a step contracts more; and more letters than one query's steps settle."""
+    lib, own = library(), bpe.Codec(PATH, public_tokenizers.PATTERN)
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéß") for _ in range(n)) for n in (1, 63, 64, 65, 66, 500, 4_000)] + ["ab" * 3000, "a" * 5000, "é" * 777, "!" * 2000 + "?" * 3]
+    for t, (n, ids, decoded) in zip(texts, own.encode(texts)):
+        want = lib.encode_ordinary(t)
+        assert ids == ",".join(map(str, want)) and n == len(want) and decoded == t.encode()
+
+
+def test_steps_of_a_query_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "LONG_ROWS", 300)
+    lib, own = library(), bpe.Codec(PATH, public_tokenizers.PATTERN)
+    r = random.Random(9)
+    texts = ["".join(r.choice("abcde") for _ in range(n)) for n in (70, 90, 150, 200)] + ["short ones too"]
+    assert [ids for _, ids, _ in own.encode(texts)] == [",".join(map(str, lib.encode_ordinary(t))) for t in texts]
+
+
 def test_small_cache_gives_the_same(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 10)
     own = bpe.Codec(PATH, public_tokenizers.PATTERN)
