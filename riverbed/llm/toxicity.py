@@ -5,6 +5,9 @@ and word beginnings of a text and over the probabilities of the categories befor
 training, those probabilities come from models that haven't seen the row (out-of-fold), as they
 will for a new text; for prediction, from the models fitted on all training rows.
 
+The categories come from the labels: low quality, then explicit (toxic with one of the words that are most typical of
+toxic texts, which are counted, not listed), then toxic, whose evidence includes both.
+
 The features are picked on the training rows by how much more often they stand in texts of a
 category than in others: Spark counts the texts per feature, and only the picked ones of a text reach
 the driver, where the small models are fitted. A word's features depend on the word alone, so that a worker computes
@@ -14,8 +17,10 @@ The models are fitted on a bounded sample of labelled documents (SAMPLE_DOCS); p
 reads every document whole.
 
 Special cases: a null or empty text has only the models' constant terms as evidence; a document
-with several label rows counts with the largest label; without labelled documents every
-probability is 0."""
+with several label rows counts as toxic and of low quality if one of them says so; labels without quality say nothing of it; without
+labelled documents every probability is 0; a very long text is counted word by word, and what is held follows its distinct words; ties
+among features are settled by their names; repeated rows are judged alike; an empty table gives none; columns that aren't named are
+ignored."""
 
 from __future__ import annotations
 
@@ -31,7 +36,7 @@ from riverbed.llm.common import arrow_pass, hash_order, pick
 from riverbed.session import cut_lineage
 
 #: Labelled documents that the models are fitted on, at most.
-SAMPLE_DOCS = 8000
+SAMPLE_DOCS = 20_000
 #: Features per category, at most.
 FEATURES = 1500
 FOLDS = 4
@@ -41,11 +46,10 @@ LEAST_TEXTS, LEAST_RATIO = 3, 4.0
 STEP_FEATURES = 150_000
 CACHE_WORDS = 400_000
 THRESHOLD = 0.5
-#: Words that tell two finer categories from the general label where a text is labelled toxic.
-#: Fixed values.
-INSULTS = ("clown", "idiot", "loser", "moron", "stupid")
-CONTEMPT = ("disgusting", "pathetic", "scum", "trash", "worthless")
-CATEGORIES = ("insult", "contempt", "toxic")
+CATEGORIES = ("low_quality", "explicit", "toxic")
+#: Of them, those that are counted (the labels'); the words most typical of toxic texts that make one explicit.
+COUNTED = ("low_quality", "toxic")
+MARK_WORDS = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -153,7 +157,6 @@ def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np
     categories = tuple(targets)
     if not texts:
         return Chain(categories, {}, (0.0,) * len(categories), ((),) * len(categories))
-    n = len(texts)
     if names is None:
         names = sorted({f for y in targets.values() for f in _pick_features(texts, y)})
     index = {f: i for i, f in enumerate(names)}
@@ -164,7 +167,12 @@ def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np
                 rows.append(i)
                 cols.append(index[f])
                 values.append(v)
-    rows, cols, values = np.array(rows, np.int64), np.array(cols, np.int64), np.array(values, float)
+    return fit_sparse(np.array(rows, np.int64), np.array(cols, np.int64), np.array(values, float), len(texts), targets, folds, names)
+
+
+def fit_sparse(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, n: int, targets: dict[str, np.ndarray], folds: np.ndarray, names: list[str]) -> Chain:
+    """``values`` of the features ``cols`` (places in ``names``) in the texts ``rows`` of ``n``."""
+    categories = tuple(targets)
     weights, bias, earlier = [], [], []
     before = np.zeros((n, 0))  # out-of-fold probabilities of the categories so far
     for y in targets.values():
@@ -185,31 +193,25 @@ def fit(texts: list[dict[str, float]], targets: dict[str, np.ndarray], folds: np
             out[here] = (1 / (1 + np.exp(-np.clip(z, -30, 30))))[here]
         before = np.column_stack([before, out])
     table = np.array(weights).T
-    return Chain(categories, {f: tuple(table[i]) for f, i in index.items() if np.abs(table[i]).max() > 1e-4}, tuple(bias), tuple(earlier))
-
-
-def targets_of(found: set[str], toxic: int) -> tuple[int, ...]:
-    """The categories of a labelled text, in the order of CATEGORIES."""
-    return int(bool(toxic) and not found.isdisjoint(INSULTS)), int(bool(toxic) and not found.isdisjoint(CONTEMPT)), int(bool(toxic))
+    return Chain(categories, {f: tuple(table[i]) for i, f in enumerate(names) if np.abs(table[i]).max() > 1e-4}, tuple(bias), tuple(earlier))
 
 
 def _count(columns: dict[str, list]) -> dict[str, list]:
-    """Texts per feature, all and of each category; the feature "" stands for the texts themselves."""
-    out: dict[str, list] = {k: [] for k in ("feature", "texts", *CATEGORIES)}
-    counts = [Counter() for _ in range(1 + len(CATEGORIES))]
+    """Texts per feature, all and of each counted category; the feature "" stands for the texts themselves."""
+    out: dict[str, list] = {k: [] for k in ("feature", "texts", *COUNTED)}
+    counts = [Counter() for _ in range(1 + len(COUNTED))]
 
     def hand_on() -> None:
         for f in counts[0]:
             out["feature"].append(f)
-            for name, c in zip(("texts", *CATEGORIES), counts):
+            for name, c in zip(("texts", *COUNTED), counts):
                 out[name].append(c[f])
         for c in counts:
             c.clear()
 
-    for text, toxic in zip(columns["text"], columns["toxic"]):
-        found = set(words(text))
-        here = {f for w in found for f in features(w)} | {""}
-        for c, yes in zip(counts, (1, *targets_of(found, toxic))):
+    for text, low, toxic in zip(columns["text"], columns["low_quality"], columns["toxic"]):
+        here = {f for w in set(words(text)) for f in features(w)} | {""}
+        for c, yes in zip(counts, (1, low, toxic)):
             if yes:
                 c.update(here)
         if len(counts[0]) > STEP_FEATURES:
@@ -219,44 +221,49 @@ def _count(columns: dict[str, list]) -> dict[str, list]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Chain:
-    """``labels``: doc_id, toxic (0 or 1)."""
-    marks = pick(labels, doc_id="long", toxic="int").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    """``labels``: doc_id, toxic (0 or 1), and quality (0 or 1), if there is one."""
+    marks = (pick(labels, doc_id="long", toxic="int", quality="int").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
+             .agg(F.max("toxic").alias("toxic"), F.coalesce(F.max((F.col("quality") == 0).cast("int")), F.lit(0)).alias("low_quality")))
     lot = hash_order("doc_id", 3)
     few = cut_lineage(marks.orderBy(lot, "doc_id").limit(sample_docs), "labelled")
     # sample_docs rows at most; their texts are written once
     rows = cut_lineage(pick(docs, doc_id="long", text="string").where("text IS NOT NULL").join(F.broadcast(few), "doc_id"), "labelled-texts")
-    counted = arrow_pass(rows.select("text", "toxic"), _count, "feature string, texts long, " + ", ".join(f"{c} long" for c in CATEGORIES))
-    sums = cut_lineage(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("texts", *CATEGORIES)]), "features")
+    counted = arrow_pass(rows.select("text", "toxic", "low_quality"), _count, "feature string, texts long, " + ", ".join(f"{c} long" for c in COUNTED))
+    sums = cut_lineage(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("texts", *COUNTED)]), "features")
     total = sums.where("feature = ''").first()
     if total is None:
         return fit([], {c: np.zeros(0) for c in CATEGORIES}, np.zeros(0, np.int64))
-    names: set[str] = set()
-    for c in CATEGORIES:
+    picked: dict[str, list[str]] = {}
+    for c in COUNTED:
         n1, n0 = total[c], total["texts"] - total[c]
         typical = (F.col(c) >= LEAST_TEXTS) & ((F.col(c) + 0.5) / (n1 + 1) >= LEAST_RATIO * (F.col("texts") - F.col(c) + 0.5) / (n0 + 1)) & (F.col("feature") != "")
         kept = sums.where(typical).orderBy(F.desc(c), "feature").limit(20 * FEATURES).collect()
-        names.update(strongest({r["feature"]: (r[c], r["texts"]) for r in kept}, n1, n0))
-    chosen = frozenset(names)
+        picked[c] = strongest({r["feature"]: (r[c], r["texts"]) for r in kept}, n1, n0)
+    names = sorted(set().union(*picked.values()))
+    index = {f: i for i, f in enumerate(names)}
+    explicit = frozenset([f[:-1] for f in picked["toxic"] if f.endswith("$")][:MARK_WORDS])
 
     def sparse(columns: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in ("targets", "names", "values")}
+        out: dict[str, list] = {k: [] for k in ("explicit", "cols", "values")}
         for text, toxic in zip(columns["text"], columns["toxic"]):
             counts = Counter(words(text))
-            d: dict[str, float] = {}
+            d: dict[int, float] = {}
             for w, n in counts.items():
                 for f in features(w):
-                    if f in chosen:
-                        d[f] = d.get(f, 0.0) + 1.0 + float(np.log(n))
-            out["targets"].append(list(targets_of(set(counts), toxic)))
-            out["names"].append(list(d))
+                    if f in index:
+                        d[index[f]] = d.get(index[f], 0.0) + 1.0 + float(np.log(n))
+            out["explicit"].append(int(bool(toxic) and not explicit.isdisjoint(counts)))
+            out["cols"].append(list(d))
             out["values"].append(list(d.values()))
         return out
 
-    got = arrow_pass(rows, sparse, "targets array<int>, names array<string>, values array<double>", keep=("doc_id", "toxic"), reads=("toxic",)).collect()
-    got.sort(key=lambda r: (r["doc_id"], r["names"]))
-    y = np.array([r["targets"] for r in got], float)
-    folds = np.array([r["doc_id"] % FOLDS for r in got], np.int64)
-    return fit([dict(zip(r["names"], r["values"])) for r in got], dict(zip(CATEGORIES, y.T)), folds, sorted(chosen))
+    # sample_docs rows of a few numbers each
+    got = arrow_pass(rows, sparse, "explicit int, cols array<int>, values array<float>", keep=("doc_id", "toxic", "low_quality"), reads=("toxic",)).toArrow().sort_by("doc_id").combine_chunks()
+    n, cols, values = got.num_rows, got.column("cols").combine_chunks(), got.column("values").combine_chunks()
+    at = np.repeat(np.arange(n), np.diff(cols.offsets.to_numpy()))
+    targets = {c: got.column(c).to_numpy().astype(float) for c in CATEGORIES}
+    folds = got.column("doc_id").to_numpy() % FOLDS
+    return fit_sparse(at, cols.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(float), n, targets, folds, names)
 
 
 def predict(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:

@@ -3,6 +3,8 @@ from riverbed.llm import toxicity
 from tests.llm.fixtures import empty, frame, prose, rows
 
 LABELS = "doc_id long, toxic int"
+INSULTS = ("dolt", "oaf", "twit", "lout")
+CONTEMPT = ("rotten", "vile", "foul")
 
 
 def data(n=160):
@@ -12,8 +14,8 @@ def data(n=160):
         toxic = i % 5 == 0
         if toxic:
             w = text.split(" ")
-            w.insert(7, toxicity.INSULTS[i % 4])
-            w.insert(30, toxicity.CONTEMPT[i % 3])
+            w.insert(7, INSULTS[i % 4])
+            w.insert(30, CONTEMPT[i % 3])
             text = " ".join(w)
         out.append((i, text, "en", "s", 1))
         labels.append((i, int(toxic)))
@@ -24,7 +26,24 @@ def test_unseen_toxic_texts_are_found_and_clean_ones_left_alone(spark):
     docs, labels = data()
     got = {r.doc_id: r for r in toxicity.classify(frame(spark, docs, extra=True), spark.createDataFrame(labels[:100], LABELS)).collect()}
     assert [got[i].toxic for i in range(160)] == [i % 5 == 0 for i in range(160)]
-    assert all(0 <= p <= 1 for r in got.values() for p in (r.p_insult, r.p_contempt, r.p_toxic))
+    assert all(0 <= p <= 1 for r in got.values() for p in (r.p_low_quality, r.p_explicit, r.p_toxic))
+
+
+def test_quality_labels_are_a_category_of_their_own(spark):
+    docs, labels = data()
+    docs = [(i, t + " ### junk mark" * (3 if i % 7 == 3 else 0), *rest) for i, t, *rest in docs]
+    marks = spark.createDataFrame([(i, x, int(i % 7 != 3)) for i, x in labels], LABELS + ", quality int")
+    got = {r.doc_id: r for r in toxicity.classify(frame(spark, docs), marks.where("doc_id < 110")).collect()}
+    assert [got[i].toxic for i in range(160)] == [i % 5 == 0 for i in range(160)]
+    assert [got[i].p_low_quality >= 0.5 for i in range(160)] == [i % 7 == 3 for i in range(160)]
+    assert [got[i].p_explicit >= 0.5 for i in range(160)] == [i % 5 == 0 for i in range(160)]
+
+
+def test_the_sample_is_bounded(spark):
+    docs, labels = data()
+    marks = spark.createDataFrame(labels, LABELS)
+    a, b = (toxicity.learn(frame(spark, docs), marks, n) for n in (160, 10_000))
+    assert a.weights == b.weights and toxicity.learn(frame(spark, docs), marks, 40).weights != a.weights
 
 
 def test_later_models_use_the_probabilities_of_earlier_ones():
