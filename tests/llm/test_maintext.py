@@ -58,6 +58,37 @@ def test_long_pages_stay_linear():
     assert time.process_time() - began < 60
 
 
+def test_names_on_wrappers_and_names_that_only_sound_like_furniture():
+    body = f"<h1>Title</h1><p>{P[0]}</p><p class='lead share-price'>{P[1]}</p><p>{P[2]}</p>"
+    want = ["Title", P[0], P[1], P[2]]
+    for page in (f'<body class="single-post has-sidebar">{body}</body>', f'<body class="single-post has-sidebar"><main><article>{body}</article></main></body>',
+                 f'<div id=page class="site header-fixed"><article>{body}</article></div>', f'<article class="post-social">{body}</article>',
+                 f'<form action="/x"><div class="header"><main>{body}</main></div></form>', f'<div class="widget"><article>{body}</article></div>',
+                 f'<body class="sidebar"><div>{body}</div></body>'):
+        assert text(page).split("\n\n") == want, page
+    for name in ("sidebar", "site-footer", "cookie-notice", "commentList", "page-header ad"):
+        assert text(f'<article>{body}</article><div class="{name}"><p>{P[3]}</p></div>').split("\n\n") == want, name
+    long_talk = "".join(f"<article><p>{P[i % 8]} {i}</p></article>" for i in range(40))
+    assert text(f'<main><article>{body}</article></main><section id="comments">{long_talk}</section>').split("\n\n") == want
+
+
+def test_hidden_inline_text_and_long_attributes():
+    assert text(f"<article><p>{P[0]} <span hidden>not shown</span>end</p></article>") == f"{P[0]} end"
+    assert text(f"<article><p>{P[0]}</p><p style='display:none'>{P[1]}</p></article>") == P[0]
+    for n in (8_000, 8_192, 8_193, 100_000):
+        assert text(f'<article><p data-x="{"<b>" * (n // 3)}" title=\'a>b\'>{P[0]}</p></article>') == P[0]
+    assert text(f"<article><p>{P[0]} <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p><xmp>a <b> &amp; c</xmp></article>") == f"{P[0]} x=1.\n\na <b> &amp; c"
+
+
+def test_deep_nesting_stays_linear():
+    import time
+    for tag in ("div", "span", "ul><li", "b"):
+        page = f"<article><p>{P[0]}</p></article>" + f"<{tag}>x" * 100_000 + "</i></p>" * 50_000
+        began = time.process_time()
+        assert text(page).startswith(P[0])
+        assert time.process_time() - began < 60, tag
+
+
 def test_minimum_cut_equals_enumeration():
     r = random.Random(6)
     for _ in range(150):
@@ -93,7 +124,7 @@ def test_whole_table(spark):
 
 def test_model_is_fitted_on_marked_blocks():
     x = np.vstack([maintext.shape(maintext.blocks(FULL))] * 5)
-    y = np.array([0.0 if b.marks & 5 else 1.0 for b in maintext.blocks(FULL)] * 5)
+    y = np.array([0.0 if b.kind or b.named else 1.0 for b in maintext.blocks(FULL)] * 5)
     w = maintext.fit(x, y)
     assert ((x @ w > 0) == (y == 1)).mean() >= ((x @ maintext.DEFAULT > 0) == (y == 1)).mean()
     assert (maintext.fit(x, np.ones(len(x))) == maintext.DEFAULT).all()
