@@ -24,6 +24,7 @@ from riverbed.sources.changes import bound_changes
 from riverbed.sources.config import cached_session
 from riverbed.sinks import messages as MSG
 from riverbed.sinks import state as ST
+from riverbed.session import spread
 from riverbed.streaming.windows import dedup_ids, window_start
 
 PROCESSING_TS = "2024-02-01 00:00:00"   # fixed "now" for lag metrics, so results are stable
@@ -39,8 +40,13 @@ def _records(spark, sf):
     return TB.event_changes(TB.load(spark, sf, "events"))
 
 
+def _spread_records(spark, sf):
+    """For queries whose work is in the rows, not in the scan."""
+    return TB.event_changes(spread(TB.load(spark, sf, "events")))
+
+
 def _changes(spark, sf, mode="forward_migration"):
-    return T.explode_mods(T.filter_changes(_records(spark, sf), mode))
+    return T.explode_mods(T.filter_changes(_spread_records(spark, sf), mode))
 
 
 def _session(spark):
@@ -48,7 +54,7 @@ def _session(spark):
 
 
 def _typed(spark, sf):
-    return TB.typed_changes(TB.load(spark, sf, "events"))
+    return TB.typed_changes(spread(TB.load(spark, sf, "events")))
 
 
 def _ids(df):
@@ -617,7 +623,7 @@ def k12_windowed_export(spark, sf):
 def q1_direct_replication(spark, sf):
     from riverbed.plans.jobs import direct_replication_batch
     tm, cm = _session(spark)
-    out, _ = direct_replication_batch(_records(spark, sf), tm, cm, shard_count=500)
+    out, _ = direct_replication_batch(_spread_records(spark, sf), tm, cm, shard_count=500)
     return out.select("shard", "user_id", *_ids(out), "dml")
 
 
@@ -625,7 +631,7 @@ def q1_reference_mode(spark, sf):
     """Q1 with the reference's key: a user's changes supersede each other, whatever their table."""
     from riverbed.plans.jobs import direct_replication_batch
     tm, cm = _session(spark)
-    out, _ = direct_replication_batch(_records(spark, sf), tm, cm, shard_count=500, latest_by=("shard", "user_id"))
+    out, _ = direct_replication_batch(_spread_records(spark, sf), tm, cm, shard_count=500, latest_by=("shard", "user_id"))
     return out.select("shard", "user_id", *_ids(out), "dml")
 
 
@@ -633,7 +639,7 @@ def _q2(spark, sf):
     from riverbed.plans.jobs import shadow_replication_batch
     tm, cm = _session(spark)
     shadow = _account_shadow(spark, sf).withColumnRenamed("UserId", "pk_value")
-    return shadow_replication_batch(_records(spark, sf), tm, cm, shadow.withColumn("pk_value", F.col("pk_value").cast("string")), dialect="postgresql")
+    return shadow_replication_batch(_spread_records(spark, sf), tm, cm, shadow.withColumn("pk_value", F.col("pk_value").cast("string")), dialect="postgresql")
 
 
 def q2_shadow_replication(spark, sf):
@@ -655,7 +661,7 @@ def _event_shards(spark, sf):
 def q3_stream_to_buffer(spark, sf):
     from riverbed.plans.jobs import stream_to_buffer_batch
     tm, _ = _session(spark)
-    out, _ = stream_to_buffer_batch(_records(spark, sf), tm, "changes", _event_shards(spark, sf))
+    out, _ = stream_to_buffer_batch(_spread_records(spark, sf), tm, "changes", _event_shards(spark, sf))
     return out.select("key", "partition", "position", "value")
 
 
@@ -670,7 +676,7 @@ def q4_buffer_to_database(spark, sf):
 def q5_windowed_export(spark, sf):
     from riverbed.plans.jobs import windowed_export_batch
     tm, _ = _session(spark)
-    out, _ = windowed_export_batch(_records(spark, sf), tm, "1h")
+    out, _ = windowed_export_batch(_spread_records(spark, sf), tm, "1h")
     return out.select("shard", ts_text("window_start").alias("window_start"), *_ids(out), "record")
 
 
@@ -684,7 +690,7 @@ def q6_table_apply(spark, sf):
         "activity_log": customer.where(F.col("c_nationkey") % 2 == 0).select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("amount"), F.lit(None).cast("string").alias("props")),
     }
     tm, cm = _session(spark)
-    done = table_apply_batch(_records(spark, sf), tm, cm, targets)
+    done = table_apply_batch(_spread_records(spark, sf), tm, cm, targets)
     acc, act = done["accounts"], done["activity_log"]
     return (acc.select(F.lit("accounts").alias("src_table"), "user_id", F.col("balance").alias("amount"), F.col("attrs").alias("doc"), "note")
             .unionByName(act.select(F.lit("activity_log").alias("src_table"), "user_id", "amount", F.col("props").alias("doc"), F.lit(None).cast("string").alias("note"))))

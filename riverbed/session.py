@@ -157,6 +157,15 @@ def release_scratch(spark: SparkSession | None = None) -> int:
     return gone
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its scan has fewer partitions than there are: a file of one row group is one
+    task, however much work its rows are later. A scan of many partitions is left as it is."""
+    sc = _context(df.sparkSession)
+    if sc is None or df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    return df.repartition(sc.defaultParallelism)
+
+
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 
