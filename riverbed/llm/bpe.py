@@ -34,8 +34,10 @@ from pyspark.sql import DataFrame
 
 from riverbed.llm.common import arrow_pass, pick
 
-#: Matches that a Python worker remembers, at most; beyond it, those of the run at hand stay.
-CACHE_ENTRIES = 500_000
+#: Matches that a Python worker remembers, at most (about 300 bytes each); beyond it, those of the run at hand stay.
+CACHE_ENTRIES = 900_000
+#: Chunks of text between spaces that it remembers, whose matches are among those.
+CACHE_CHUNKS = 400_000
 #: Matches encoded by one recursive query, at most.
 QUERY_WORDS = 40_000
 #: Rows that a query over long matches may gather over its steps: it makes fewer steps the longer they are.
@@ -183,7 +185,7 @@ class Codec:
         plain = _PLAIN.fullmatch
         matches = {c: [c] if self.one and plain(c) else self.match.findall(c) for c in missing}
         distinct = {m for ms in matches.values() for m in ms}
-        if len(self.known) + len(missing) > CACHE_ENTRIES:
+        if len(self.known) + len(missing) > CACHE_CHUNKS:
             self.known = {c: v for c, v in self.known.items() if c in here}
         if len(self.coded) + len(distinct) > CACHE_ENTRIES:
             self.coded = {m: v for m, v in self.coded.items() if m in distinct}

@@ -56,6 +56,7 @@ def test_steps_of_a_query_are_bounded(monkeypatch):
 
 def test_small_cache_gives_the_same(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 10)
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 7)
     own = bpe.Codec(PATH, public_tokenizers.PATTERN)
     texts = [t for _, t, *_ in rows()]
     whole = own.encode(texts)
