@@ -2,22 +2,23 @@
 
 Plain patterns give base spans (e-mail, IP address, payment card, phone). Around them stands a
 field over the document's candidates, which are the base spans and every other token with a digit
-or an @: a unary potential from a multinomial logistic model of the token's shape, a chain
+or an @ (three to six short groups of digits with a space between them are one token): a unary potential from a multinomial logistic model of the token's shape, a chain
 potential between neighbours, and a skip potential between distant candidates that repeat or
-resemble each other (equal digits, a common tail of digits, an equal e-mail name). Loopy belief
+resemble each other (equal digits, one's digits the end of the other's, an equal e-mail name). Loopy belief
 propagation, in sweeps until the messages stay, makes the labels of a document agree. A candidate that skip
 links don't join to a base span, directly or over others, stays "other", whatever else the document holds. A candidate whose most probable label isn't
 "other" becomes a span of that kind. Base spans are evidence and stay as they are. So a number
 that is written with its country code once and without it elsewhere is found in both places.
 
-Candidates that resemble each other are linked in a chain, each to the next of its kind in the
-text: the number of links follows the number of candidates, however often one repeats.
+Candidates that repeat are linked in a chain, each to the next of its kind in the text, and two different numbers of which
+one ends with the other where they first stand: the number of links follows the number of candidates, however often one repeats.
 
 The potentials are fitted piecewise on a bounded sample of documents (SAMPLE_DOCS), with the
 base spans as labels.
 
 Special cases: a null or empty text has no spans and the digest of an empty list; repeated rows
-give equal rows; without any base span in the sample the model adds nothing."""
+give equal rows; of two spans with equal start the earlier kind comes first; long texts are searched whole; an empty
+table gives no rows; further columns of any name are left out; without any base span in the sample the model adds nothing."""
 
 from __future__ import annotations
 
@@ -36,17 +37,21 @@ KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 #: Documents with a candidate that the potentials are fitted on, at most.
 SAMPLE_DOCS = 2000
-#: Candidates of one of these documents that count, at most.
-SAMPLE_CANDIDATES = 200
+#: Candidates of one of these documents that count, at most, and code points of a candidate: both bound what the driver
+#: gathers for the fit, so that no document outweighs the others; every candidate takes part in the labelling.
+SAMPLE_CANDIDATES, SAMPLE_CHARS = 200, 200
 #: Neighbours further apart than this many code points share no chain potential.
 NEAR = 40
 #: Sweeps over a document's links, at most (messages that go round in circles may not settle), and those
-#: after which messages move halfway only.
+#: after which messages move halfway only. Where they haven't settled by then, the last beliefs count.
 SWEEPS, UNDAMPED = 200, 20
 #: Most that the shape of a candidate counts against a label, and the pairs of equal kind that skip links
 #: are taken to join before any is counted.
 SURE = 4.0
 PRIOR_PAIRS = 100.0
+#: Digits of a number that skip links are made for, and the longest end of a number that another one may be: the
+#: most digits that a card number has.
+LEAST_DIGITS, MOST_DIGITS = 7, 19
 
 _AT = re.compile("@")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -55,7 +60,8 @@ _NAME_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\s,;:|<>\"'()\[\]{}=]*[0-9@][^\s,;:|<>\"'()\[\]{}=]*")
+_GROUPS = r"(?<![0-9A-Za-z.@+-])[0-9]{2,4}(?:[\x20.-][0-9]{2,4}){2,5}(?![0-9A-Za-z@])(?![\x20.-][0-9])"
+_TOKEN = re.compile(_GROUPS + r"|[^\s,;:|<>\"'()\[\]{}=]*[0-9@][^\s,;:|<>\"'()\[\]{}=]*")
 _DIGITS = re.compile("[0-9]+")
 _EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -141,21 +147,26 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[Candidate]:
 
 
 def links(cs: list[Candidate]) -> list[tuple[int, int]]:
-    """Skip edges: each candidate and the next that repeats or resembles it."""
+    """Skip edges: each candidate and the next that repeats it, and once for two different numbers of which one ends with the other."""
     edges: set[tuple[int, int]] = set()
     last: dict[tuple, int] = {}
+    first: dict[str, int] = {}
     for i, c in enumerate(cs):
         digits = "".join(_DIGITS.findall(c.text))
         keys = [("same", c.text.lower())]
         if "@" in c.text:
             keys.append(("name", c.text.lower().partition("@")[0]))
-        elif len(digits) >= 7 and not any(map(str.isalpha, c.text)):
+        elif len(digits) >= LEAST_DIGITS and not any(map(str.isalpha, c.text)):
             keys.append(("digits", digits))
-            keys.append(("tail", digits[-7:]))
+            first.setdefault(digits, i)
         for key in keys:
             if key in last:
                 edges.add((last[key], i))
             last[key] = i
+    for digits, i in first.items():
+        for n in range(LEAST_DIGITS, min(len(digits), MOST_DIGITS + 1)):
+            if (j := first.get(digits[-n:])) is not None:
+                edges.add((min(i, j), max(i, j)))
     return sorted(edges)
 
 
@@ -275,7 +286,7 @@ def _sample_rows(columns: dict[str, list]) -> dict[str, list]:
     for i, t in enumerate(columns["text"]):
         text = t or ""
         for c in candidates(text, base_spans(text))[:SAMPLE_CANDIDATES]:
-            for name, value in zip(out, (i, c.start, c.text[:200], c.base)):
+            for name, value in zip(out, (i, c.start, c.text[:SAMPLE_CHARS], c.base)):
                 out[name].append(value)
     return out
 

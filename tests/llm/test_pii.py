@@ -101,6 +101,29 @@ def test_a_label_does_not_depend_on_unlinked_tokens():
     assert model.labels(lone + pair) == [3, pii.OTHER, 3, pii.OTHER, pii.OTHER]
 
 
+def test_numbers_are_alike_where_one_ends_with_the_other():
+    of = lambda *texts: pii.links([pii.Candidate(100 * i, 100 * i + len(t), pii.OTHER, t) for i, t in enumerate(texts)])
+    assert of("+1 201 3141592", "2013141592") == [(0, 1)] == of("2013141592", "+1 201 3141592")
+    assert of("+1 201 3141592", "993141592") == [] == of("993141592", "+1 201 3141592")
+    assert of("+1 201 3141592", "993141592", "201-314-1592", "3141592") == [(0, 2), (0, 3), (1, 3), (2, 3)]
+
+
+def test_spaced_numbers_are_candidates():
+    text = "call +1 201 314 1592 or 201 314 1592, in 2020 not 993141592 x1 22 333"
+    got = [c.text for c in pii.candidates(text, pii.base_spans(text))]
+    assert got == ["+1 201 314 1592", "201 314 1592", "2020", "993141592", "x1", "22", "333"]
+    model = pii.fit([(i, 50 * k, t, b) for i in range(40) for k, (t, b) in enumerate([(f"+1201{3141592 + i}", 3), ("2024", pii.OTHER), (f"55{i}12", pii.OTHER)])])
+    base, spans = pii.scan(text, model)
+    at = text.index("or 201") + 3
+    assert set(spans) - set(base) == {(3, at, at + 12)}
+
+
+def test_many_candidates_in_a_text():
+    text = " ".join(f"+1 201 {1000000 + i} n{i}@x.org {2011000000 + i}" for i in range(4000))
+    base, spans = pii.scan(text, pii.fit([]))
+    assert len(base) == 8000 and len(spans) >= len(base)
+
+
 def test_links_grow_with_the_tokens():
     cs = [pii.Candidate(10 * i, 10 * i + 8, pii.OTHER, "12345678") for i in range(5000)]
     assert len(pii.links(cs)) == 4999
