@@ -10,7 +10,7 @@ count per pattern: one partial aggregation over all documents, a bounded number
 driver, and exact sums over every document.
 
 Special cases: a null or empty text has no words, every measure is 0 and its base verdict is
-failed; repeated rows are judged one by one, each counts; without documents the model is its
+failed; repeated rows are judged one by one, each counts (equal texts get equal verdicts); long texts are measured whole; without documents the model is its
 prior. Columns besides the ones named are ignored by :func:`judge` and handed on by
 :func:`keep_good`."""
 
@@ -37,6 +37,8 @@ PRIOR_GOOD = 0.90
 #: Most that a rule may vote bad on good documents. The rules are written for that; the bound keeps
 #: estimation from explaining a whole kind of junk, on which one rule only speaks, as good.
 FALSE_ALARMS = 0.005
+#: Words of a stretch; how varied a text's words are is told within its stretches, so that a long text counts like a short one.
+STRETCH = 1000
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -111,7 +113,7 @@ def measure(text: str | None) -> Measured:
         marks=len(_MARKS.findall(text)),
         bare=sum(1 for w in words if len(w) < 4 and not any(48 <= b < 58 or b > 64 and b not in b"[\\]^_`{|}~" for b in w)),
         shouts=text.count("!!") + text.count("??"),
-        distinct=len(set(words)),
+        distinct=sum(len(set(words[i:i + STRETCH])) for i in range(0, len(words), STRETCH)),
     )
 
 
@@ -132,7 +134,7 @@ def votes(m: Measured) -> tuple[int, ...]:
         alarm(m.shouts >= 0.20 * n),
         0 if m.n_words < 20 else _vote(m.n_repeat_words / n, 0.10, 0.40),
         alarm(m.lines >= 4 and m.n_dup_lines >= 0.40 * m.lines),
-        alarm(50 <= m.n_words < 5000 and m.distinct < 0.10 * n),
+        alarm(m.n_words >= 50 and m.distinct < 0.10 * n),
         alarm(m.n_words and not 2.5 <= m.word_chars / n <= 14),
     )
 

@@ -45,6 +45,15 @@ def test_label_model_recovers_what_rules_do():
     assert quality.unpack(quality.pattern((1, 0, -1, 1, 0, -1, 0, 1, 0))) == (1, 0, -1, 1, 0, -1, 0, 1, 0)
 
 
+def test_variety_does_not_depend_on_length():
+    at = quality.RULES.index("variety")
+    vote = lambda words: quality.votes(quality.measure(" ".join(words)))[at]
+    few = [f"word{i * i % 61}" for i in range(20_000)]
+    assert [vote(few[:n]) for n in (1000, 4999, 5000, 5001, 20_000)] == [-1] * 5
+    varied = [f"w{i * 7919 % 400}" for i in range(20_000)]  # 400 words in all: a fiftieth of the text, two fifths of a stretch
+    assert [vote(varied[:n]) for n in (1000, 4999, 5000, 20_000)] == [0] * 4
+
+
 def test_empty_table(spark):
     assert quality.judge(empty(spark)).count() == 0
     assert quality.keep_good(empty(spark)).count() == 0
