@@ -16,7 +16,8 @@ For search, bands of sampled bits find candidates, in which likeness is then ver
 
 Special cases: null counts as empty; empty texts are like each other (1) and unlike any other (0);
 equal texts have equal fingerprints; documents with equal ids are in the order of their texts; a null id
-comes first; a single document is its own next one."""
+comes first; a single document is its own next one; an empty table gives no rows; long texts are walked
+through whole, at linear cost; further columns of any name are left out."""
 
 from __future__ import annotations
 
@@ -36,9 +37,9 @@ from riverbed.session import cut_lineage, ship_package
 
 STATES = 4096
 SAMPLES = 512
-#: Bands of a fingerprint and bits in each; a band's bits are drawn from the first SAMPLES / 2,
-#: which every fingerprint above level 0 has.
-BANDS, BITS = 24, 16
+#: Bands of a segment of a fingerprint, bits in each band, bits in a segment. Every whole segment has bands of its own, so that an edit
+#: costs those of the segments that it reaches; a fingerprint above level 0 has at least two segments, a shorter one than SEGMENT is one.
+BANDS, BITS, SEGMENT = 24, 16, 128
 #: Documents per range of ids that is gone through in order, about.
 RANGE_ROWS = 20_000
 LIKENESS = 0.8
@@ -143,22 +144,23 @@ def likeness(one: str, two: str) -> float:
     return max(0.0, (2 * agree - short) / long)
 
 
-def bands(print_: str) -> list[int]:
+_DRAWN = mix64(np.arange(BANDS * BITS, dtype=np.uint64))
+
+
+def bands(print_: str) -> np.ndarray:
     """Keys of bit-sampled bands, at the fingerprint's level and the next, so that texts on either
     side of a change of level meet."""
     level, bits = parse(print_)
-    if not len(bits):
-        return []
-    out = []
-    for to in (level, level + 1):
-        at = np.zeros(SAMPLES, np.uint64)
-        here = coarser(level, bits, to)[:SAMPLES]
-        at[:len(here)] = here
-        place = mix64(np.arange(BANDS * BITS, dtype=np.uint64)) % np.uint64(max(1, min(SAMPLES // 4, len(here))))
-        drawn = at[place.astype(np.int64)].reshape(BANDS, BITS)
-        key = (drawn << np.arange(BITS, dtype=np.uint64)[None]).sum(1).astype(np.uint64)
-        out += mix64(key * np.uint64(4096) + np.arange(BANDS, dtype=np.uint64) * np.uint64(64) + np.uint64(to)).view(np.int64).tolist()
-    return out
+    out = [np.zeros(0, np.int64)]
+    for to in (level, level + 1) if len(bits) else ():
+        here = coarser(level, bits, to)
+        width = min(SEGMENT, len(here))
+        parts = here[:len(here) // width * width].reshape(-1, width)
+        drawn = parts[:, (_DRAWN % np.uint64(width)).astype(np.int64)].reshape(-1, BITS)
+        value = np.packbits(drawn, axis=1).view(">u2").astype(np.uint64).ravel()
+        place = np.arange(len(value), dtype=np.uint64)  # segment and band
+        out.append(mix64((value << np.uint64(32)) + place * np.uint64(64) + np.uint64(to)).view(np.int64))
+    return np.concatenate(out)
 
 
 def _result(row: tuple, following: tuple) -> dict:
@@ -175,7 +177,7 @@ def _result(row: tuple, following: tuple) -> dict:
     other = embed(np.concatenate([points[:stay], rest]), walk)
     return {"doc_id": doc_id, "n_chars": n, "edited_sha256": hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), "fingerprint": own,
             "edited_fingerprint": other, "near_edited": likeness(own, other), "near_next": likeness(own, next_own),
-            "shared_bands": len(set(bands(own)).intersection(bands(other)))}
+            "shared_bands": len(np.intersect1d(bands(own), bands(other)))}
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, shared_bands int"
@@ -205,7 +207,7 @@ def edited_prints(docs: DataFrame) -> DataFrame:
     """Per document: its fingerprint, that of its edited text (the second half replaced by the
     beginning of the next document), and likenesses.
 
-    The documents are dealt out by ranges of ids, each sorted and gone through once. A range ends
+    The documents are dealt out by ranges of ids, one to a task, each sorted and gone through once. A range ends
     with a copy of the next range's first document."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -230,7 +232,7 @@ def edited_prints(docs: DataFrame) -> DataFrame:
     firsts = spark.createDataFrame([(int(b), (i - 1) % len(bounds)) for i, b in enumerate(bounds)], "key long, range int")
     heads = (rows.withColumn("key", key).join(F.broadcast(firsts), "key").groupBy("range", "key").agg(F.min("text").alias("text"))
              .select("range", F.lit(True).alias("head"), F.when(F.col("key") > -(1 << 63), F.col("key")).alias("doc_id"), "text"))
-    ordered = dealt.unionByName(heads).repartition(len(bounds), "range").sortWithinPartitions("range", "head", "doc_id", "text")
+    ordered = dealt.unionByName(heads).repartitionById(len(bounds), "range").sortWithinPartitions("range", "head", "doc_id", "text")
     return ordered.mapInArrow(_in_order, RESULT)
 
 
@@ -238,7 +240,7 @@ def prints(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint, bands."""
     def work(columns: dict[str, list]) -> dict[str, list]:
         got = [fingerprint(t) for t in columns["text"]]
-        return {"fingerprint": got, "bands": [bands(p) for p in got]}
+        return {"fingerprint": got, "bands": [bands(p).tolist() for p in got]}
 
     return arrow_pass(pick(docs, doc_id="long", text="string"), work, "fingerprint string, bands array<long>", keep=("doc_id",))
 

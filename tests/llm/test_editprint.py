@@ -82,6 +82,31 @@ def test_levels_are_nested():
     assert (editprint.coarser(*fine, fine[0] + 1)[:len(above)] == fine[1][np.searchsorted(steps, above)]).all()
 
 
+def test_every_segment_has_bands():
+    """Characters changed in one place of a text leave the bands of the other segments."""
+    for where in (0.02, 0.5, 0.95):
+        met = 0
+        for seed in range(60):
+            t = prose(seed, 250)
+            at = int(where * len(t))
+            met += bool(np.intersect1d(editprint.bands(editprint.fingerprint(t)), editprint.bands(editprint.fingerprint(t[:at] + "QXZ" + t[at + 3:]))).size)
+        assert met >= 54, (where, met)
+    assert editprint.bands(editprint.fingerprint("")).size == 0 and editprint.bands(editprint.fingerprint("ab")).size
+    strange = [set(editprint.bands(editprint.fingerprint(prose(9000 + i, 250))).tolist()) for i in range(40)]
+    assert sum(len(a & b) > 0 for i, a in enumerate(strange) for b in strange[:i]) < 80
+
+
+def test_a_range_is_a_task(spark):
+    data = [(i, prose(i, 20), "en", "s", 1) for i in range(400)]
+    from pyspark.sql import functions as F
+    got = editprint.edited_prints(frame(spark, data)).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    ids = {}
+    for r in got:
+        ids.setdefault(r.part, []).append(r.doc_id)
+    assert len(got) == 400 and max(map(len, ids.values())) <= 40
+    assert all(max(x) - min(x) + 1 == len(x) for x in ids.values())  # neighbours only
+
+
 def test_near_classes_find_small_edits(spark):
     data = []
     for i in range(15):
