@@ -12,3 +12,8 @@ def pinned(c: Column) -> Column:
     statement used many times that multiplies the work per row. A nondeterministic
     identity (the partition id is never negative) stops both rewrites for this column only."""
     return F.when(F.spark_partition_id() >= F.lit(0), c)
+
+
+def bind(value: Column, body) -> Column:
+    """``body(v)`` with ``value`` evaluated once (a one-element ``transform``), however often the body uses it."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))

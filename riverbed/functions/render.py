@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riverbed.functions import bind
 from riverbed.functions import values as V
 
 # Source (MySQL / PostgreSQL) type names rendered as quoted, escaped text.
@@ -104,12 +105,7 @@ def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialec
         raw = F.when(spec["sp_type"].isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"), exact).otherwise(raw)
     # Lambdas are interpreted without common-subexpression elimination: bind each value once
     # to a lambda variable instead of repeating its expression at every use.
-    val = _bind(raw, lambda r: F.when(r.isNull(), F.lit("NULL")).otherwise(
-        _bind(stream_text(r, spec), lambda t: source_text(t, spec["src_type"], tz, dialect, escape_backslash))))
+    val = bind(raw, lambda r: F.when(r.isNull(), F.lit("NULL")).otherwise(
+        bind(stream_text(r, spec), lambda t: source_text(t, spec["src_type"], tz, dialect, escape_backslash))))
     val = F.when(~found, F.lit(None).cast("string")).otherwise(val)
     return F.struct(spec["src_col"].alias("col"), found.alias("found"), val.alias("val"))
-
-
-def _bind(value: Column, body) -> Column:
-    """``body(v)`` with ``value`` evaluated once (a one-element ``transform``)."""
-    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riverbed.functions import bind
+
 # Stream type names: GoogleSQL and PostgreSQL spellings of the nine families.
 BOOL_TYPES = ("BOOL", "PG_BOOL")
 INT_TYPES = ("INT64", "PG_INT8")
@@ -178,11 +180,63 @@ def to_date(m: Column, key, required: bool = False) -> Column:
 def to_numeric(m: Column, key, required: bool = False, exact_m: Column | None = None) -> Column:
     """decimal(38,9), rounded half up; numbers, numeric strings and exponent forms (with
     ``exact_m``, the payload's ``exact`` map, JSON numbers keep all their digits).
-    Values wider than 38 digits give NULL, and an error when ``required`` (documented difference)."""
+    A decimal holds 38 digits: wider values give NULL, and an error when ``required``; ``to_numeric_text`` has them."""
     t = number_text(m, key, exact_m)
     return _checked(t.try_cast("decimal(38,9)"), m, required, key, "numeric")
 
 
+_NUMBER = r"^\s*([-+]?)([0-9]*)(?:\.([0-9]*))?(?:[eE]([-+]?[0-9]+))?\s*$"
+#: Exponents beyond this give NULL: a few characters must not become a text of any length.
+MOST_EXPONENT = 100_000
+_SCALE = 9
+
+
+def numeric_text(t: Column) -> Column:
+    """A number's text, of any width, as plain text with nine digits after the point, rounded half up (away from zero); NULL for
+    what is no number. Rounding works on the digits: the first ones that stay are counted up by one, nines at their end becoming zeros."""
+    group = lambda i: F.regexp_extract(t, _NUMBER, i)
+    read = F.struct(group(1).alias("sign"), group(2).alias("whole"), group(3).alias("part"),
+                    F.when(group(4) == "", F.lit(0)).otherwise(group(4).try_cast("int")).alias("exp"))
+
+    def shifted(r: Column) -> Column:
+        digits, point = F.concat(r["whole"], r["part"]), F.length(r["whole"]) + r["exp"]
+        whole = F.when(point > 0, F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0"))).otherwise("")
+        # further than a place behind the last one that counts, zeros make no difference
+        part = (F.when(point >= 0, F.substring(digits, point + 1, F.length(digits)))
+                .otherwise(F.concat(F.repeat(F.lit("0"), F.least(-point, F.lit(_SCALE + 1))), digits)))
+        ok = (F.length(digits) > 0) & (F.abs(r["exp"]) <= MOST_EXPONENT)
+        return F.when(ok, F.struct(r["sign"].alias("sign"), whole.alias("whole"), part.alias("part")))
+
+    def rounded(r: Column) -> Column:
+        kept = F.concat(r["whole"], F.rpad(F.substring(r["part"], 1, _SCALE), _SCALE, "0"))
+        up = F.substring(r["part"], _SCALE + 1, 1).isin(*"56789")
+        return F.when(r.isNotNull(), F.struct(r["sign"].alias("sign"), kept.alias("kept"), F.when(up, F.rtrim(kept, F.lit("9"))).alias("head")))
+
+    def counted(r: Column) -> Column:
+        head, nines = r["head"], F.length(r["kept"]) - F.length(r["head"])
+        last = F.substring(head, F.length(head), F.lit(1)).try_cast("int")
+        up = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.coalesce(last, F.lit(0)) + 1, F.repeat(F.lit("0"), nines))
+        return F.when(r.isNotNull(), F.struct(r["sign"].alias("sign"), F.when(head.isNull(), r["kept"]).otherwise(up).alias("digits")))
+
+    def written(r: Column) -> Column:
+        n = F.length(r["digits"]) - _SCALE
+        whole = F.ltrim(F.substring(r["digits"], F.lit(1), n), F.lit("0"))
+        text_ = F.concat(F.when(whole == "", F.lit("0")).otherwise(whole), F.lit("."), F.substring(r["digits"], n + 1, F.lit(_SCALE)))
+        minus = (r["sign"] == "-") & (F.ltrim(r["digits"], F.lit("0")) != "")
+        return F.concat(F.when(minus, F.lit("-")).otherwise(""), text_)
+
+    wide = bind(bind(bind(bind(read, shifted), rounded), counted), written)
+    return F.when(t.rlike(_NUMBER), wide)
+
+
+def to_numeric_text(m: Column, key, required: bool = False, exact_m: Column | None = None) -> Column:
+    """X8 for numbers of any width: the value of ``to_numeric`` as text, and what is too wide for a decimal as well. Digits are
+    gone through only for the latter."""
+    t = number_text(m, key, exact_m)
+    value = bind(t, lambda s: F.coalesce(s.try_cast("decimal(38,9)").cast("string"), numeric_text(s)))
+    return _checked(value, m, required, key, "numeric")
+
+
 def to_json_text(m: Column, key, required: bool = False) -> Column:
     return _required(text(m, key), m, required, key, "json")
 

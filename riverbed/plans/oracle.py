@@ -140,6 +140,30 @@ SELECT server_txn_id, CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,9)) AS VARC
   CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,9)) AS VARCHAR) AS f FROM typ
 """
 
+ORACLE["x8_wide_numeric"] = """
+WITH written AS (
+  SELECT event_id, CASE WHEN event_id % 2 = 1 THEN '-' ELSE '' END AS sign,
+    CASE WHEN event_id % 35 = 0 THEN repeat('9', 55)
+         ELSE '7' || lpad(CAST(event_id AS VARCHAR), 18, '0') || lpad(CAST(user_id AS VARCHAR), 18, '0') || lpad(CAST(event_id AS VARCHAR), 18, '0') END AS w,
+    CASE WHEN event_id % 5 = 0 THEN '999999999500'
+         ELSE lpad(CAST(user_id % 1000000000 AS VARCHAR), 9, '0') || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') END AS p,
+    CASE WHEN event_id % 3 = 0 THEN 3 ELSE 0 END AS e
+  FROM events),
+moved AS (SELECT event_id, sign, w || substr(p, 1, e) AS w, rpad(substr(p, e + 1), 12, '0') AS p FROM written),
+numbers AS (
+  SELECT event_id, sign, CAST(left(w, length(w) - 36) AS HUGEINT) AS hi, CAST(right(w, 36) AS HUGEINT) AS lo,
+    (CAST(p AS BIGINT) + 500) // 1000 AS nine
+  FROM moved),
+carried AS (
+  SELECT event_id, sign, hi, lo + (nine = 1000000000)::INT AS lo, nine % 1000000000 AS nine FROM numbers),
+whole AS (
+  SELECT event_id, sign, hi + (lo = CAST('1' || repeat('0', 36) AS HUGEINT))::INT AS hi, lo, nine FROM carried)
+SELECT event_id,
+  sign || CAST(CAST(hi AS HUGEINT) AS VARCHAR) || CASE WHEN lo = CAST('1' || repeat('0', 36) AS HUGEINT) THEN repeat('0', 36) ELSE lpad(CAST(lo AS VARCHAR), 36, '0') END
+    || '.' || lpad(CAST(nine AS VARCHAR), 9, '0') AS n, n AS s
+FROM whole
+"""
+
 ORACLE["x9_presence"] = TYPED + """
 SELECT server_txn_id, true AS has_nul, true AS nul_is_null, false AS has_zz, false AS s_is_null FROM typ
 """

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riverbed import model
+from riverbed.functions import pinned
 from riverbed.functions import values as V
 from riverbed.operators import dml as D
 from riverbed.operators import lookup as L
@@ -182,6 +183,11 @@ def x8_to_numeric(spark, sf):
                     V.to_numeric(F.col("m"), "f").cast("string").alias("f"))
 
 
+def x8_wide_numeric(spark, sf):
+    t = TB.wide_numbers(TB.load(spark, sf, "events")).select("event_id", pinned(V.parse("j")).alias("m"), pinned(V.exact("j")).alias("x"))
+    return t.select("event_id", V.to_numeric_text(F.col("m"), "n", exact_m=F.col("x")).alias("n"), V.to_numeric_text(F.col("m"), "s").alias("s"))
+
+
 def x9_presence(spark, sf):
     t = _typed_payload(spark, sf)
     m = F.col("m")
@@ -710,7 +716,7 @@ def f1_exact_numbers(spark, sf):
 _NAMES = """
 s1_scan_range p1_filter_forward p1_filter_none p2_explode_mods p3_parse_buffer p5_row_image p6_primary_key
 p7_change_key p8_validate_shard p9_replicable
-x1_to_boolean x2_to_long x3_to_double x4_to_string x5_to_bytes x6_to_timestamp x7_to_date x8_to_numeric x9_presence
+x1_to_boolean x2_to_long x3_to_double x4_to_string x5_to_bytes x6_to_timestamp x7_to_date x8_to_numeric x8_wide_numeric x9_presence
 a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant a6_image_deletes a6_stored_versions a7_shard_udf
 j1_map_tables j3_shadow_filter j4_asof_lookup j5_tables_without_shadow j6_seen_ids j8_kafka_partition
 g1_latest_per_key g1_latest_reference_mode g1_repeated_keys g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution

@@ -227,6 +227,18 @@ def typed_changes(events: DataFrame) -> DataFrame:
         F.lit("").alias("txn_tag"))
 
 
+def wide_numbers(events: DataFrame) -> DataFrame:
+    """Payloads with a number of 67 digits per event, in ``j``: 55 before the point (all nines for every 35th event), 12 behind it
+    (for every fifth, nines and a half), a sign for odd ids, and an exponent of 3 for every third."""
+    eid = F.col("event_id")
+    pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    whole = F.when(eid % 35 == 0, F.repeat(F.lit("9"), F.lit(55))).otherwise(
+        F.concat(F.lit("7"), pad(eid, 18), pad(F.col("user_id"), 18), pad(eid, 18)))
+    part = F.when(eid % 5 == 0, F.lit("999999999500")).otherwise(F.concat(pad(F.col("user_id") % 1_000_000_000, 9), pad(eid % 1000, 3)))
+    number = F.concat(F.when(eid % 2 == 1, F.lit("-")).otherwise(""), whole, F.lit("."), part, F.when(eid % 3 == 0, F.lit("E3")).otherwise(""))
+    return events.select("event_id", F.concat(F.lit('{"n":'), number, F.lit(',"s":"'), number, F.lit('"}')).alias("j"))
+
+
 TYPED_SESSION = {
     "SpSchema": {
         "t9": {"Name": "typed", "ColIds": [f"c{i}" for i in range(20, 33)], "ShardIdColumn": "",

@@ -53,6 +53,31 @@ def test_numeric(spark):
     assert one(spark, '{"a":null}', lambda m: V.to_numeric(m, "a")) is None
 
 
+def test_numeric_text_of_any_width(spark):
+    """Against Python's decimals, at the widths of both paths."""
+    from decimal import ROUND_HALF_UP, localcontext
+
+    def plain(t):
+        with localcontext() as ctx:
+            ctx.prec = 400
+            d = Decimal(t).quantize(Decimal("1E-9"), rounding=ROUND_HALF_UP)
+            return format(abs(d) if d == 0 else d, "f")
+
+    texts = ["0", "-0", "0.0000000004", "-0.0000000005", "0.0000000005", "9.9999999995", "1", "+1.5", ".5", "5.", "007.25", "1e3", "1E-3", "-12.5e-12", "1e40",
+             "4e-10", "5e-10", "9" * 67, "-" + "9" * 67 + ".9999999995", "1" * 29 + ".1", "1" * 30 + ".1", "0" * 60 + "3.25", "1." + "0" * 70 + "5", "1.23456789" + "0" * 40 + "E45",
+             "123456789012345678901234567890123456789012345678901234567890.1234567885", "9" * 29 + ".9999999999", "7e-400"]
+    bad = ["", "abc", "1.2.3", "--1", "e5", ".", "1e", "1e200000", "1e99999999999", "NaN", "Infinity", "0x10"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + bad)] + [(-1, None)], "i int, t string")
+    got = {r["i"]: r for r in df.select("i", V.numeric_text(F.col("t")).alias("wide"),
+                                        V.to_numeric_text(F.create_map(F.lit("a"), F.col("t")), "a").alias("n")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["wide"] == got[i]["n"] == plain(t), t
+    assert all(r["wide"] is None and r["n"] is None for i, r in got.items() if i >= len(texts) or i < 0)
+    assert V.to_numeric_text and one(spark, '{"a":%s}' % ("8" * 67), lambda m: V.to_numeric(m, "a")) is None
+    with pytest.raises(Exception):
+        one(spark, '{"a":"x"}', lambda m: V.to_numeric_text(m, "a", required=True))
+
+
 def test_bytes(spark):
     assert one(spark, '{"a":"YWJj"}', lambda m: V.to_bytes(m, "a")) == bytearray(b"abc")
 
