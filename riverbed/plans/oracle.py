@@ -557,6 +557,21 @@ sh AS (SELECT *, 'shard' || lpad(CAST(user_id % 100 + 1 AS VARCHAR), 5, '0') AS
 SELECT shard AS ordering_key, shard AS shard_attr, {MSG_JSON} AS data, server_txn_id, record_sequence FROM sh
 """)
 
+TOPIC = f""",
+sh AS (SELECT *, 'shard' || lpad(CAST(user_id % 100 + 1 AS VARCHAR), 5, '0') AS shard FROM fwd),
+topic AS (
+  SELECT shard, {MSG_JSON} AS data,
+    row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id, record_sequence) AS position
+  FROM sh)"""
+
+ORACLE["k2_topic_messages"] = with_chg(TOPIC + """
+SELECT shard AS ordering_key, position, shard AS shard_attr, data FROM topic
+""")
+
+ORACLE["s3_capped_pull"] = with_chg(TOPIC + """
+SELECT shard, data AS value FROM topic WHERE position <= 100
+""")
+
 ORACLE["k5_shadow_upsert"] = with_chg(SHADOW + f""",
 applied AS (
   SELECT f.user_id, f.commit_ts FROM fwd f LEFT JOIN shadow s ON s.user_id = f.user_id

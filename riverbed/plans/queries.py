@@ -25,7 +25,8 @@ from riverbed.sources.changes import bound_changes
 from riverbed.sources.config import cached_session
 from riverbed.sinks import messages as MSG
 from riverbed.sinks import state as ST
-from riverbed.session import spread
+from riverbed.sinks.topic import buffer_rows, read_topic, write_topic
+from riverbed.session import scratch_path, spread
 from riverbed.streaming.windows import dedup_ids, window_start
 
 PROCESSING_TS = "2024-02-01 00:00:00"   # fixed "now" for lag metrics, so results are stable
@@ -570,6 +571,23 @@ def k2_ordered_topic(spark, sf):
     return fr.select("ordering_key", F.col("attributes")["shardId"].alias("shard_attr"), "data", *_ids(fr))
 
 
+def _topic(spark, sf):
+    path = scratch_path(spark, "topic")
+    write_topic(MSG.ordered_topic_frame(_supplier_sharded(spark, sf)), path)
+    return path
+
+
+def k2_topic_messages(spark, sf):
+    """K2: every message written to an ordered topic and read back, with its position in its shard."""
+    got = read_topic(spark, _topic(spark, sf))
+    return got.select("ordering_key", "position", F.col("attributes")["shardId"].alias("shard_attr"), "data")
+
+
+def s3_capped_pull(spark, sf):
+    """S3: what the first pull of a subscription takes of every shard."""
+    return buffer_rows(read_topic(spark, _topic(spark, sf), max_messages=PULL_CAP))
+
+
 def k5_shadow_upsert(spark, sf):
     ch = T.primary_key(_changes(spark, sf).where(F.col("table_name") == "account"), [("UserId", "INT64")])
     ch = ch.withColumn("UserId", F.col("pk.UserId"))
@@ -724,7 +742,7 @@ g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_par
 f_dml_mysql_typed f_dml_postgres_typed f1_exact_numbers f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
 f17_connection_urls f18_apply_row f18_apply_column
 w1_release_all w2_release_latest w8_window_start w9_guard_twin w10_redistribute w11_dedup_ids
-k1_kafka_frame k2_ordered_topic k5_shadow_upsert k7_metadata k8_progress_init k9_seen_insert k10_skip_rows
+k1_kafka_frame k2_ordered_topic k2_topic_messages s3_capped_pull k5_shadow_upsert k7_metadata k8_progress_init k9_seen_insert k10_skip_rows
 k11_dead_letters k12_windowed_export
 q1_direct_replication q1_reference_mode q2_shadow_replication q2_dead_letters q3_stream_to_buffer q4_buffer_to_database
 q5_windowed_export q6_table_apply

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +71,27 @@ def check_sink_options(sink_type: str, options: dict) -> None:
         raise ValueError(f"{sink_type} sink needs: {', '.join(missing)}")
 
 
+def flushes(messages: Iterable, size: Callable, max_messages: int = PUBLISH_MAX_MESSAGES, max_bytes: int = PUBLISH_MAX_BYTES,
+            max_delay_ms: float = PUBLISH_MAX_DELAY_MS, clock: Callable = time.monotonic) -> Iterator[list]:
+    """Runs of messages as the publisher flushes them: full by number or by size (with the message that fills it), or when the
+    first one has waited ``max_delay_ms`` as the next one comes."""
+    buf, held, since = [], 0, 0.0
+    for m in messages:
+        now = clock()
+        if buf and (now - since) * 1000 >= max_delay_ms:
+            yield buf
+            buf, held = [], 0
+        if not buf:
+            since = now
+        buf.append(m)
+        held += size(m)
+        if len(buf) >= max_messages or held >= max_bytes:
+            yield buf
+            buf, held = [], 0
+    if buf:
+        yield buf
+
+
 def publish_batches(frame: DataFrame, publish, max_messages: int = PUBLISH_MAX_MESSAGES,
                     max_bytes: int = PUBLISH_MAX_BYTES) -> None:
     """K2 writer: per partition (ordered by shard, then change order), hand messages to the
@@ -75,15 +99,9 @@ def publish_batches(frame: DataFrame, publish, max_messages: int = PUBLISH_MAX_M
     ``max_messages`` / ``max_bytes``. Any error fails the task (Spark retries it; publishes
     must be idempotent by message id on the receiving side)."""
     def part(rows):
-        buf, size = [], 0
-        for r in rows:
-            buf.append((r["ordering_key"], dict(r["attributes"]), r["data"]))
-            size += len(r["data"] or "")
-            if len(buf) >= max_messages or size >= max_bytes:
-                publish(buf)
-                buf, size = [], 0
-        if buf:
-            publish(buf)
+        messages = ((r["ordering_key"], dict(r["attributes"]), r["data"]) for r in rows)
+        for flush in flushes(messages, lambda m: len(m[2] or ""), max_messages, max_bytes):
+            publish(flush)
 
     (frame.repartition("ordering_key")
      .sortWithinPartitions("ordering_key", *model.order_columns(frame))

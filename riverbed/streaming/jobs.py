@@ -331,11 +331,13 @@ def stream_to_buffer_stream(spark: SparkSession, source: DataFrame | ChangeSourc
                             name: str = "stream-to-buffer", available_now: bool = False,
                             dead_letter_path: str | None = None, checkpoint: str | None = None,
                             stored: DataFrame | None = None, filtration: str = "forward_migration", write=None,
-                            idle: str | None = None, retain: str | None = None):
+                            idle: str | None = None, retain: str | None = None, topic: bool = False):
     """Q3: filter -> explode -> column shard -> ordered release (all) -> buffer messages. ``write(frame,
-    batch_id)`` gets the ordered messages (e.g. ``messages.kafka_frame`` or ``publish_batches``); by default they
+    batch_id)`` gets the ordered messages (e.g. ``messages.kafka_frame`` or ``publish_batches``); with ``topic`` they go
+    to the ordered topic at ``out_path`` (K2), a batch once; by default they
     are written as JSON lines, a folder per shard and batch, in change order."""
     from riverbed.sinks.messages import buffer_messages
+    from riverbed.sinks.topic import topic_rows, write_topic
     folder = stream_checkpoint(spark, name, checkpoint)
     buffer = ReleaseBuffer(spark, folder + "-buffer", interval, "all", watermark_delay, _idle(idle, available_now))
     dead = DeadLetters(dead_letter_path)
@@ -353,6 +355,8 @@ def stream_to_buffer_stream(spark: SparkSession, source: DataFrame | ChangeSourc
             msgs = in_order(buffer_messages(buffer.step(good.where(bad_id.isNull()), batch_id, records), pretty=False))
             if write is not None:
                 write(msgs, batch_id)
+            elif topic:
+                write_topic(topic_rows(msgs), out_path, batch_id)
             else:  # a folder per batch: a batch that runs again overwrites what it wrote
                 (msgs.select("shard", "value").write.mode("overwrite").partitionBy("shard").json(f"{out_path}/batch={batch_id:012d}"))
             dead.flush(batch_id)

@@ -227,6 +227,37 @@ def test_stream_to_buffer_equals_the_batch_job(spark, tmpdir_path):
     assert set(dead(spark, dlq)) - marker == set(ids(lost)) - marker
 
 
+def test_stream_to_topic_and_from_it(spark, tmpdir_path):
+    """Q3 into an ordered topic and Q4 from a subscription to it: positions are the batch job's, a pull is capped, every message arrives in order."""
+    from riverbed.plans.jobs import stream_to_buffer_batch
+    from riverbed.sinks.topic import buffer_rows, read_topic, subscribe
+    folder, out, dlq = (os.path.join(tmpdir_path, x) for x in ("in", "topic", "dlq"))
+    recs = land(spark, folder)
+    tm, _ = session_from_dict(spark, TB.EVENTS_SESSION)
+    run(J.stream_to_buffer_stream, spark, scan(spark, folder), tm, out, interval="2 hours", dead_letter_path=dlq, checkpoint=os.path.join(tmpdir_path, "ck"), topic=True)
+    shards = spark.createDataFrame([(f"shard{i}",) for i in range(4)], "logicalShardId string")
+    batch, _ = stream_to_buffer_batch(recs, tm, "t", shards)
+    want = {(r["key"], r["position"]): json.loads(r["value"]) for r in batch.collect()}
+    got = {(r["ordering_key"], r["position"]): json.loads(r["data"]) for r in read_topic(spark, out).collect()}
+    assert got == want
+    pulled = {}
+
+    def handle(frame, _):
+        rows = frame.orderBy("ordering_key", "position").collect()
+        for r in rows:
+            pulled.setdefault(r["ordering_key"], []).append(r["position"])
+        assert max((sum(r["ordering_key"] == k for r in rows) for k in pulled), default=0) <= 150
+
+    messages = subscribe(spark, out, "all", 150)
+    assert buffer_rows(messages).columns == ["shard", "value"] and messages.isStreaming
+    q = messages.writeStream.option("checkpointLocation", os.path.join(tmpdir_path, "ck2")).trigger(processingTime="0 seconds").foreachBatch(handle).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert {(k, p) for k, ps in pulled.items() for p in ps} == set(want) and all(ps == sorted(ps) for ps in pulled.values())
+
+
 def test_guard_stream_matches_twin(spark, tmpdir_path):
     from riverbed.streaming.guard import guard_batch, guard_stream
     recs = TB.event_changes(TB.load(spark, SF_SMALL, "events"))
