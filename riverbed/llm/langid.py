@@ -7,7 +7,8 @@ dictionary's part in the result the same for long texts, whose own history would
 
 Special cases: a null text, and one without a letter, is ``und`` with score 0; texts without any
 learned language (no labelled text at all) are ``und`` as well; equal sizes are settled by the
-smaller size at a higher level, then by the languages' names. Repeated rows are judged alike."""
+smaller size at a higher level, then by the languages' names. Repeated rows are judged alike. A long text is compressed
+block by block, whole; an empty table gives none; further columns may have any name and are ignored."""
 
 from __future__ import annotations
 

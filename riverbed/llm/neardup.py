@@ -18,7 +18,8 @@ share one are compared, in pairs of chunks where they are more than GROUP_ROWS.
 
 Words are what stands between ASCII white space. A text of fewer than five words is one shingle;
 an empty or null text has none and is a copy of the other empty ones only. Repeated rows are copies of each
-other. Ties: the class is named after its least doc_id (null if it has no other), which is the one that is kept."""
+other. Ties: the class is named after its least doc_id (null if it has no other), which is the one that is kept.
+A long text is hashed in segments and compared whole; an empty table has no classes; further columns may have any name."""
 
 from __future__ import annotations
 
@@ -387,9 +388,13 @@ def find(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns: the one with the least doc_id."""
     _, members = near_classes(docs)
-    named = [F.col("key").alias("__key"), F.col("label").alias("__label"), F.col("class_id").alias("__class")]
-    marked = docs.withColumn("__key", text_key()).join(broadcast_checked(members.select(*named)), "__key", "left")
-    alone = marked.where("__label IS NULL").select(*docs.columns)
+    mark = "__"
+    while any(c.lower().startswith(mark) for c in docs.columns):  # the documents may have columns of any name
+        mark += "_"
+    key, label, class_id = (mark + n for n in ("key", "label", "class"))
+    named = [F.col("key").alias(key), F.col("label").alias(label), F.col("class_id").alias(class_id)]
+    marked = docs.withColumn(key, text_key()).join(broadcast_checked(members.select(*named)), key, "left")
+    alone = marked.where(F.col(label).isNull()).select(*docs.columns)
     # repeated rows and repeated ids of one class: only one of them stays
-    least = marked.where("__label IS NOT NULL AND doc_id <=> __class").dropDuplicates(["__label"])
+    least = marked.where(F.col(label).isNotNull() & F.col("doc_id").eqNullSafe(F.col(class_id))).dropDuplicates([label])
     return alone.unionByName(least.select(*docs.columns))

@@ -14,7 +14,8 @@ groups: rank within (length, salt) plus the groups before it, so that a length t
 all pieces have isn't one task's work.
 
 Special cases: a null or empty text is one piece that holds only the closing id; repeated rows and ties
-are numbered in any order among equals; an empty table gives an empty result."""
+are numbered in any order among equals; a long text is cut into pieces, none of it is dropped; an empty table gives an
+empty result; columns besides doc_id and text are ignored."""
 
 from __future__ import annotations
 

@@ -149,3 +149,11 @@ def test_long_texts_are_hashed_in_segments(monkeypatch):
     whole = neardup.word_hashes(text)
     monkeypatch.setattr(neardup, "SEGMENT", 1000)
     assert (neardup.word_hashes(text) == whole).all() and len(whole) == len(text.split())
+
+
+def test_columns_of_the_names_that_marks_have(spark):
+    from pyspark.sql import functions as F
+    docs = frame(spark, [(i, prose(i % 3, 60), "en", "s", 1) for i in range(9)])
+    odd = docs.withColumn("__key", F.lit("k")).withColumn("__label", F.lit(None).cast("string")).withColumn("__class", F.col("doc_id")).withColumn("___x", F.lit(1))
+    got = neardup.keep_one(odd)
+    assert got.columns == odd.columns and sorted(r.doc_id for r in got.collect()) == [0, 1, 2]
