@@ -14,6 +14,13 @@ def pinned(c: Column) -> Column:
     return F.when(F.spark_partition_id() >= F.lit(0), c)
 
 
+def pinned_apart(c: Column) -> Column:
+    """``pinned`` for a long expression (hundreds of branches). Whole-stage code puts a projection into one method, and the JVM
+    never compiles a method of more than 8,000 bytes of code. A condition with a lambda (one element, a comparison) keeps the
+    projection out of the stage's method: its code is then cut into small ones."""
+    return F.when(F.exists(F.array(F.spark_partition_id()), lambda p: p >= F.lit(0)), c)
+
+
 def bind(value: Column, body) -> Column:
     """``body(v)`` with ``value`` evaluated once (a one-element ``transform``), however often the body uses it."""
     return F.try_element_at(F.transform(F.array(value), body), F.lit(1))

@@ -25,6 +25,9 @@ BINARY_TYPES = ("binary", "varbinary")
 
 DIALECTS = ("mysql", "postgresql")
 
+#: Stream types whose numbers are taken as they are written.
+NUMBER_TYPES = (*V.FLOAT_TYPES, *V.NUMERIC_TYPES)
+
 
 def escape(t: Column, escape_backslash: bool = False) -> Column:
     """drop NUL characters, double single quotes; optionally double backslashes."""
@@ -58,19 +61,33 @@ def local_time(ts: Column, offset: str) -> Column:
     return F.from_utc_timestamp(ts, offset)
 
 
+def bool_text(raw: Column) -> Column:
+    return F.when(F.lower(raw).isin("true", "false"), F.lower(raw)).otherwise(raw)
+
+
+def array_text(raw: Column) -> Column:
+    return F.array_join(F.from_json(raw, "array<string>"), ",")
+
+
+def hex_text(raw: Column) -> Column:
+    """Text for a binary source column: what its hex digits spell, or the text itself where it isn't hex."""
+    is_hex = (F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-fA-F]*$")
+    return F.coalesce(F.when(is_hex, F.unhex(raw).cast("string")), raw)
+
+
+def bytes_text(raw: Column) -> Column:
+    """Bytes that aren't text get replacement characters; what isn't base64 has no text at all (NULL)."""
+    return F.make_valid_utf8(V.base64_bytes(raw).cast("string"))
+
+
 def stream_text(raw: Column, spec: Column) -> Column:
     """Text of a present, non-null JSON value by stream type."""
     sp_type = spec["sp_type"]
     src_type = spec["src_type"]
-    is_hex = (F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-fA-F]*$")
-    unhexed = F.when(is_hex, F.unhex(raw).cast("string"))
-    # bytes that aren't text get replacement characters; what isn't base64 has no text at all (NULL)
-    b64 = F.make_valid_utf8(V.base64_bytes(raw).cast("string"))
-    return (F.when(sp_type == "BOOL", F.when(F.lower(raw).isin("true", "false"), F.lower(raw)).otherwise(raw))
-            .when((sp_type == "STRING") & F.coalesce(spec["sp_is_array"], F.lit(False)),
-                  F.array_join(F.from_json(raw, "array<string>"), ","))
-            .when((sp_type == "STRING") & src_type.isin(*BINARY_TYPES), F.coalesce(unhexed, raw))
-            .when(sp_type == "BYTES", b64)
+    return (F.when(sp_type == "BOOL", bool_text(raw))
+            .when((sp_type == "STRING") & F.coalesce(spec["sp_is_array"], F.lit(False)), array_text(raw))
+            .when((sp_type == "STRING") & src_type.isin(*BINARY_TYPES), hex_text(raw))
+            .when(sp_type == "BYTES", bytes_text(raw))
             .otherwise(raw))
 
 
@@ -102,10 +119,31 @@ def column_value(spec: Column, keys_m: Column, new_m: Column, tz: Column, dialec
     if keys_exact is not None and new_exact is not None:
         # numbers as written in the payload
         exact = F.when(in_k, V.text(keys_exact, name)).otherwise(V.text(new_exact, name))
-        raw = F.when(spec["sp_type"].isin("FLOAT64", "PG_FLOAT8", "NUMERIC", "PG_NUMERIC"), exact).otherwise(raw)
+        raw = F.when(spec["sp_type"].isin(*NUMBER_TYPES), exact).otherwise(raw)
     # Lambdas are interpreted without common-subexpression elimination: bind each value once
     # to a lambda variable instead of repeating its expression at every use.
     val = bind(raw, lambda r: F.when(r.isNull(), F.lit("NULL")).otherwise(
         bind(stream_text(r, spec), lambda t: source_text(t, spec["src_type"], tz, dialect, escape_backslash))))
     val = F.when(~found, F.lit(None).cast("string")).otherwise(val)
     return F.struct(spec["src_col"].alias("col"), found.alias("found"), val.alias("val"))
+
+
+def value_text(raw: Column, sp_type: str | None, is_array: bool | None, src_type: str | None, tz: Column, dialect: str,
+               escape_backslash: bool = False) -> Column:
+    """F1-F11 of a present, non-null value whose types are known when the plan is made: the one branch of ``stream_text``
+    and ``source_text`` that they choose."""
+    if sp_type == "BOOL":
+        t = bool_text(raw)
+    elif sp_type == "STRING" and is_array:
+        t = array_text(raw)
+    elif sp_type == "STRING" and src_type in BINARY_TYPES:
+        t = hex_text(raw)
+    elif sp_type == "BYTES":
+        t = bytes_text(raw)
+    else:
+        t = raw
+    if src_type in QUOTED_TYPES:
+        return quote(t, escape_backslash)
+    if src_type in TIME_TYPES:
+        return time_value(t, tz, dialect, escape_backslash)
+    return hex_literal(t, escape_backslash) if src_type in BINARY_TYPES else t

@@ -52,6 +52,23 @@ def _table_specs(table_map: DataFrame, column_map: DataFrame) -> DataFrame:
                     F.coalesce("col_specs", F.array()).alias("col_specs")))
 
 
+_COLLECTED: dict = {}
+
+
+def collected_specs(specs: DataFrame, columns: int) -> list | None:
+    """The rows of ``table_specs`` on the driver, for a mapping of at most ``columns`` columns that has a table once; None for
+    any other. Rows are counted first, so that only a mapping within the bound is read whole."""
+    hit = _COLLECTED.get(id(specs)) if specs.is_cached else None
+    if hit is None:
+        n = specs.agg(F.count("sp_table").alias("n"), F.count_distinct("sp_table").alias("d"),
+                      F.sum(F.size("pk_specs") + F.size("col_specs") + 1).alias("c")).first()
+        rows = specs.where(F.col("sp_table").isNotNull()).collect() if n["n"] == n["d"] and (n["c"] or 0) <= columns else None
+        hit = (specs, n["c"] or 0, rows)
+        if specs.is_cached and rows is not None:
+            _COLLECTED[id(specs)] = hit   # holds its frame: the id can't go to another one meanwhile
+    return hit[2] if hit[1] <= columns else None
+
+
 def map_tables(changes: DataFrame, specs_or_table_map: DataFrame) -> DataFrame:
     """Attach the mapping of each change's table (left join, broadcast config side).
     Changes of tables the session does not know keep NULL mapping columns."""

@@ -161,3 +161,36 @@ def test_urls_carry_no_password(spark):
         assert "hush" not in str(r) and "db1:5432/stock" in r["jdbc_url"]
     with pytest.raises(ValueError):
         connection_urls(shards, "sybase")
+
+
+@pytest.mark.parametrize("dialect", ["mysql", "postgresql"])
+@pytest.mark.parametrize("absent", [False, True])
+def test_both_forms_give_the_same_rows(spark, dialect, absent):
+    """A mapping within the bound on columns becomes plain expressions, a larger one is broadcast: same statements, reasons and keys."""
+    doc = depot()
+    names = [t["Name"] for t in doc["SpSchema"].values()] + ["unknown", None]
+    payloads = ["{}", None, "broken", '{"x":1}']
+    for t in doc["SpSchema"].values():
+        cols = [c["Name"] for c in t["ColDefs"].values()]
+        for v in ("null", '"it\'s"', "1.50", '"2024-01-01T00:00:00Z"', "true", '"!"', '["a","b"]', '"6162"'):
+            payloads.append("{" + ",".join(f'"{c}":{v}' for c in cols) + "}")
+        payloads.append("{" + f'"{cols[0]}":7' + "}")
+    rows = [(i, n, k, v, m) for i, (n, k, v, m) in enumerate((n, k, v, m) for n in names for k in payloads for v in payloads[::3] + payloads[:1]
+                                                              for m in ("INSERT", "DELETE", "OTHER", None))]
+    ch = spark.createDataFrame(rows, "i int, " + ROW)
+    tm, cm = session_from_dict(spark, doc)
+    one, other = (render_dml(ch, tm, cm, dialect, TZ, insert_if_absent=absent, compiled_columns=n) for n in (400, 0))
+    assert one.schema.simpleString() == other.schema.simpleString()
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+    assert one.where("dml <> ''").count() > 20 and one.select("drop_reason").distinct().count() > 3
+
+
+def test_the_bound_on_compiled_columns(spark):
+    """A table counts as its columns and one: at the bound the mapping is read, beyond it is not, and neither is one that names a table twice."""
+    from riverbed.operators.mapping import collected_specs, table_specs
+    tm, cm = session_from_dict(spark, depot())
+    specs = table_specs(tm, cm)
+    n = sum(len(r["pk_specs"]) + len(r["col_specs"]) + 1 for r in specs.where("sp_table IS NOT NULL").collect())
+    assert collected_specs(specs, n) is not None and collected_specs(specs, n - 1) is None
+    assert collected_specs(specs.unionByName(specs), 10 * n) is None
+    assert collected_specs(specs.where("false"), n) == []
