@@ -93,35 +93,45 @@ def windowed_export_batch(records: DataFrame, table_map: DataFrame, size: str,
     return windowed_content(ch.where(F.col("shard_error").isNull()).drop("shard_error"), size), dead
 
 
+def mapped_tables(table_map: DataFrame, column_map: DataFrame) -> dict[str, tuple]:
+    """Source table -> (stream table, key columns, other columns) of the mapping, a configuration frame."""
+    columns: dict[str, list] = {}
+    for c in column_map.where("src_col IS NOT NULL").collect():
+        columns.setdefault(c["table_id"], []).append(c)
+    out = {}
+    for t in table_map.collect():
+        cols = sorted(columns.get(t["table_id"], []), key=lambda c: (c["src_pk_ord"] is None, c["src_pk_ord"], c["src_col_pos"]))
+        out[t["src_table"]] = (t["sp_table"], [c for c in cols if c["src_pk_ord"] is not None], [c for c in cols if c["src_pk_ord"] is None])
+    return out
+
+
+def typed_changes(ch: DataFrame, keys, rest, types: dict) -> DataFrame:
+    """A table's changes (with payloads parsed) as ``apply_changes`` takes them: the target's columns by ``types``, and ``__present``."""
+    from riverbed.functions import values as V
+    k, n = F.col("_k"), F.col("_n")
+
+    def value(c):
+        kind = types[c["src_col"]]
+        if c["sp_col"] is None:
+            return F.lit(None).cast(kind)
+        m = F.when(V.has(k, c["sp_col"]), k).otherwise(n)
+        return V.extract(m, c["sp_col"], c["sp_type"]).cast(kind)
+
+    return ch.select("mod_type", *model.order_columns(ch), *[value(c).alias(c["src_col"]) for c in (*keys, *rest)],
+                     *[(V.row_image_has(k, n, c["sp_col"]) if c["sp_col"] else F.lit(False)).alias(f"{c['src_col']}__present") for c in rest])
+
+
 def table_apply_batch(records: DataFrame, table_map: DataFrame, column_map: DataFrame, targets: dict[str, DataFrame],
                       fold: str = "row", filtration: str = "forward_migration") -> dict[str, DataFrame]:
     """Q6 (batch): every source table of the session after the changes of the stream tables that map to it.
     ``targets``: source table -> its present rows. The mapping (a configuration frame) decides the columns and
     their types; a table's changes are one filter on the stream."""
-    from riverbed.functions import values as V
     from riverbed.operators.latest import apply_changes
     ch = T.with_payloads(T.explode_mods(T.filter_changes(records, filtration)))
-    k, n = F.col("_k"), F.col("_n")
-    tables = {r["src_table"]: r for r in table_map.collect()}
-    columns: dict[str, list] = {}
-    for c in column_map.where("src_col IS NOT NULL").collect():
-        columns.setdefault(c["table_id"], []).append(c)
+    tables = mapped_tables(table_map, column_map)
     out = {}
     for name, target in targets.items():
-        t = tables[name]
-        cols = sorted(columns[t["table_id"]], key=lambda c: (c["src_pk_ord"] is None, c["src_pk_ord"], c["src_col_pos"]))
-        keys = [c for c in cols if c["src_pk_ord"] is not None]
-        rest = [c for c in cols if c["src_pk_ord"] is None]
-        types = dict(target.dtypes)
-
-        def value(c, kind):
-            if c["sp_col"] is None:
-                return F.lit(None).cast(kind)
-            m = F.when(V.has(k, c["sp_col"]), k).otherwise(n)
-            return V.extract(m, c["sp_col"], c["sp_type"]).cast(kind)
-
-        mine = ch.where(F.col("table_name") == t["sp_table"])
-        typed = mine.select("mod_type", *model.order_columns(ch), *[value(c, types[c["src_col"]]).alias(c["src_col"]) for c in cols],
-                            *[(V.row_image_has(k, n, c["sp_col"]) if c["sp_col"] else F.lit(False)).alias(f"{c['src_col']}__present") for c in rest])
+        stream_table, keys, rest = tables[name]
+        typed = typed_changes(ch.where(F.col("table_name") == stream_table), keys, rest, dict(target.dtypes))
         out[name] = apply_changes(target, typed, [c["src_col"] for c in keys], [c["src_col"] for c in rest], fold=fold)
     return out

@@ -498,6 +498,8 @@ FROM tgt t FULL OUTER JOIN lat l ON t.user_id = l.user_id LEFT JOIN dels d ON d.
 WHERE l.user_id IS NULL OR l.mod_type <> 'DELETE'
 """)
 
+ORACLE["f18_stored_target"] = ORACLE["f18_apply_column"]
+
 ORACLE["q6_table_apply"] = with_chg(APPLY + """,
 act AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id
           ORDER BY commit_seconds DESC, commit_nanos DESC, server_txn_id DESC, record_sequence DESC) AS rn

@@ -501,6 +501,26 @@ def f18_apply_column(spark, sf):
     return _apply(spark, sf, "column")
 
 
+APPLY_BATCHES = 4
+
+
+def f18_stored_target(spark, sf):
+    """F18 on a stored table: the accounts' changes in APPLY_BATCHES batches by commit time, each of which rewrites
+    the buckets of its keys. The columns' latest values don't depend on the batches (SQL: all changes at once)."""
+    from riverbed.session import scratch_path
+    from riverbed.streaming.target import StoredTarget
+    rows = TB.accounts_target(TB.load(spark, sf, "customer"))
+    target = StoredTarget(spark, scratch_path(spark, "accounts"), "user_id bigint, balance double, attrs string, note string", ["user_id"], buckets=16)
+    target.start(rows)
+    changes = _account_typed(spark, sf)
+    ends = changes.agg(F.min("commit_seconds").alias("a"), F.max("commit_seconds").alias("b")).first()
+    if ends["a"] is not None:
+        width = (ends["b"] - ends["a"]) // APPLY_BATCHES + 1
+        for i in range(APPLY_BATCHES):
+            target.apply(changes.where(F.floor((F.col("commit_seconds") - ends["a"]) / width) == i), i)
+    return target.read()
+
+
 # ----------------------------------------------------------------------------- W*
 def w8_window_start(spark, sf):
     ev = TB.load(spark, sf, "events").withColumn("t", F.col("ts").cast("timestamp"))
@@ -740,7 +760,7 @@ j1_map_tables j3_shadow_filter j4_asof_lookup j5_tables_without_shadow j6_seen_i
 g1_latest_per_key g1_latest_reference_mode g1_repeated_keys g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution
 g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_partition_numbers o4_first_pull
 f_dml_mysql_typed f_dml_postgres_typed f1_exact_numbers f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
-f17_connection_urls f18_apply_row f18_apply_column
+f17_connection_urls f18_apply_row f18_apply_column f18_stored_target
 w1_release_all w2_release_latest w8_window_start w9_guard_twin w10_redistribute w11_dedup_ids
 k1_kafka_frame k2_ordered_topic k2_topic_messages s3_capped_pull k5_shadow_upsert k7_metadata k8_progress_init k9_seen_insert k10_skip_rows
 k11_dead_letters k12_windowed_export

@@ -390,3 +390,48 @@ def windowed_export_stream(spark: SparkSession, source: DataFrame | ChangeSource
             ch.unpersist()
 
     return start(_opened(source, spark, name, folder), handle, name, interval, available_now, folder)
+
+
+def table_apply_stream(spark: SparkSession, source: DataFrame | ChangeSource, table_map: DataFrame, column_map: DataFrame,
+                       targets: dict[str, DataFrame], path: str, buckets: int = 64, fold: str = "column", interval: str = "1 second",
+                       name: str = "table-apply", available_now: bool = False, dead_letter_path: str | None = None,
+                       checkpoint: str | None = None, filtration: str = "forward_migration"):
+    """Q6: filter -> explode -> apply to stored tables (F18), one below ``path`` per source table; ``targets`` are their rows before
+    the job's first batch. A batch rewrites the buckets that its keys fall into. Changes of other tables, without a key or of an
+    unknown kind are dead letters. ``stored_targets`` reads the tables."""
+    from riverbed.plans.jobs import mapped_tables, typed_changes
+    folder = stream_checkpoint(spark, name, checkpoint)
+    tables = {t: mapped_tables(table_map, column_map)[t] for t in targets}
+    stored = stored_targets(spark, targets, table_map, column_map, path, buckets, fold)
+    for t, rows in targets.items():
+        stored[t].start(rows)
+    dead = DeadLetters(dead_letter_path)
+
+    def handle(records: DataFrame, batch_id: int) -> None:
+        ch = T.with_payloads(T.explode_mods(T.filter_changes(records, filtration))).persist()
+        try:
+            known = F.coalesce(F.col("table_name").isin([sp for sp, _, _ in tables.values()]), F.lit(False))
+            dead.put(ch.where(~known).drop("_k", "_n").withColumn("error", F.lit(D.DROP_TABLE_NOT_MAPPED)), "table_apply")
+            for t, (sp, keys, rest) in tables.items():
+                mine = ch.where(F.col("table_name") == sp)
+                typed = typed_changes(mine, keys, rest, dict(targets[t].dtypes))
+                bad = (F.when(~F.coalesce(F.col("mod_type").isin("INSERT", "UPDATE", "DELETE"), F.lit(False)), F.lit(D.DROP_UNSUPPORTED_MOD))
+                       .when(F.coalesce(*[F.when(F.col(c["src_col"]).isNull(), F.lit(1)) for c in keys]).isNotNull(), F.lit(D.DROP_PK_ABSENT)))
+                lost = typed.withColumn("error", bad).where(F.col("error").isNotNull())
+                dead.put(lost.withColumn("table_name", F.lit(sp)), f"table_apply_{t}")
+                stored[t].apply(typed.where(bad.isNull()), batch_id)
+            dead.flush(batch_id)
+        finally:
+            ch.unpersist()
+
+    return start(_opened(source, spark, name, folder), handle, name, interval, available_now, folder)
+
+
+def stored_targets(spark: SparkSession, targets: dict[str, DataFrame], table_map: DataFrame, column_map: DataFrame, path: str,
+                   buckets: int = 64, fold: str = "column") -> dict:
+    """The stored tables of ``table_apply_stream``, by source table."""
+    from riverbed.plans.jobs import mapped_tables
+    from riverbed.streaming.target import StoredTarget
+    tables = mapped_tables(table_map, column_map)
+    schema = lambda rows: ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes)
+    return {t: StoredTarget(spark, f"{path.rstrip('/')}/{t}", schema(rows), [c["src_col"] for c in tables[t][1]], buckets, fold) for t, rows in targets.items()}
