@@ -352,6 +352,8 @@ UNION ALL
 SELECT NULL, count(lag_ms), CAST(sum(lag_ms) AS BIGINT), min(lag_ms), max(lag_ms), 'all' FROM lags
 """)
 
+ORACLE["g5_lag_meter"] = f"SELECT *, true AS p50_holds, true AS p99_holds FROM ({ORACLE['g5_lag_distribution']})"
+
 ORACLE["g7_min_file_start"] = with_chg(IMAGE_SHARD + f"""
 SELECT {ts_text("min(time_bucket(INTERVAL 6 hour, commit_ts))")} AS min_start FROM img
 """)
@@ -697,6 +699,11 @@ SELECT server_txn_id, record_sequence, table_name || '-' || CAST(user_id % 3 AS
 FROM fwd
 """)
 
+ORACLE["g6_latency_meter"] = f"""
+SELECT 'latency_ms' AS measure, shard, CASE WHEN grouping(shard) = 1 THEN 'all' ELSE 'shard' END AS scope, count(*) AS n, true AS in_order
+FROM ({ORACLE['a7_shard_udf']}) GROUP BY ROLLUP (shard)
+"""
+
 ORACLE["o4_first_pull"] = with_chg(IMAGE_SHARD + """,
 pos AS (SELECT shard, server_txn_id, record_sequence,
           row_number() OVER (PARTITION BY shard ORDER BY commit_seconds, commit_nanos, server_txn_id,

@@ -26,7 +26,7 @@ from riverbed.sources.config import cached_session
 from riverbed.sinks import messages as MSG
 from riverbed.sinks import state as ST
 from riverbed.sinks.topic import buffer_rows, read_topic, write_topic
-from riverbed.session import scratch_path, spread
+from riverbed.session import broadcast_checked, cut_lineage, scratch_path, spread
 from riverbed.streaming.windows import dedup_ids, window_start
 
 PROCESSING_TS = "2024-02-01 00:00:00"   # fixed "now" for lag metrics, so results are stable
@@ -366,6 +366,35 @@ def g5_lag_distribution(spark, sf):
                                          F.col("max").alias("max_ms"), "scope")
 
 
+def g5_lag_meter(spark, sf):
+    """G5 live: the lags go into the meter in four batches by the day of the commit; its report over all of them, and whether the quantiles'
+    ranks among the rows themselves are where they should be."""
+    from riverbed.streaming.meters import Meter
+    ch = cut_lineage(_image_sharded(spark, sf).select("shard", "commit_ts", "commit_seconds"), "lags")
+    meter = Meter(spark, scratch_path(spark, "meter"))
+    for i in range(4):
+        meter.put_lag(ch.where(F.pmod(F.floor(F.col("commit_seconds") / 86400), F.lit(4)) == i), i, PROCESSING_TS)
+    rep = meter.report((0.5, 0.99))
+    lags = ch.withColumn("lag", F.floor((F.unix_micros(F.lit(PROCESSING_TS).cast("timestamp")) - F.unix_micros("commit_ts")) / 1000))
+    ranks = (lags.join(broadcast_checked(rep.where("scope = 'shard'").select("shard", "p50", "p99")), "shard").groupBy("shard")
+             .agg(*[F.avg((F.col("lag") < F.col(p)).cast("double")).alias(f"{p}_below") for p in ("p50", "p99")],
+                  *[F.avg((F.col("lag") <= F.col(p)).cast("double")).alias(f"{p}_upto") for p in ("p50", "p99")]))
+    within = lambda p, q: F.coalesce((F.col(f"{p}_below") <= q + 2 * Meter.error) & (F.col(f"{p}_upto") >= q - 2 * Meter.error), F.col("scope") == "all")
+    return (rep.join(ranks, "shard", "left")
+            .select("shard", "n", F.col("sum").cast("bigint").alias("sum_ms"), F.col("min").cast("bigint").alias("min_ms"), F.col("max").cast("bigint").alias("max_ms"),
+                    "scope", within("p50", 0.5).alias("p50_holds"), within("p99", 0.99).alias("p99_holds")))
+
+
+def g6_latency_meter(spark, sf):
+    """The user shard function's latency per shard; times differ from run to run, so only their order is told."""
+    from riverbed.streaming.meters import Meter
+    meter = Meter(spark, scratch_path(spark, "meter"))
+    meter.put(S.shard_by_udf(_changes(spark, sf), TableBucketShard, "3", with_latency=True), 0, latency_ms=F.col("shard_latency_ms"))
+    r = meter.report((0.5, 0.99))
+    inside = (F.col("min") >= 0) & (F.col("min") <= F.col("p50")) & (F.col("p50") <= F.col("p99")) & (F.col("p99") <= F.col("max")) & (F.col("sum") >= F.col("max") - 0.001)
+    return r.select("measure", "shard", "scope", "n", inside.alias("in_order"))
+
+
 def _file_progress(spark, sf):
     ch = _image_sharded(spark, sf)
     return ch.select(F.lit(SHADOW_RUN).alias("run_id"), "shard",
@@ -507,7 +536,6 @@ APPLY_BATCHES = 4
 def f18_stored_target(spark, sf):
     """F18 on a stored table: the accounts' changes in APPLY_BATCHES batches by commit time, each of which rewrites
     the buckets of its keys. The columns' latest values don't depend on the batches (SQL: all changes at once)."""
-    from riverbed.session import scratch_path
     from riverbed.streaming.target import StoredTarget
     rows = TB.accounts_target(TB.load(spark, sf, "customer"))
     target = StoredTarget(spark, scratch_path(spark, "accounts"), "user_id bigint, balance double, attrs string, note string", ["user_id"], buckets=16)
@@ -757,7 +785,7 @@ p7_change_key p8_validate_shard p9_replicable
 x1_to_boolean x2_to_long x3_to_double x4_to_string x5_to_bytes x6_to_timestamp x7_to_date x8_to_numeric x8_wide_numeric x9_presence
 a1_shard_mod a2_shard_column a3_shard_image a4_shard_constant a6_image_deletes a6_stored_versions a7_shard_udf
 j1_map_tables j3_shadow_filter j4_asof_lookup j5_tables_without_shadow j6_seen_ids j8_kafka_partition
-g1_latest_per_key g1_latest_reference_mode g1_repeated_keys g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution
+g1_latest_per_key g1_latest_reference_mode g1_repeated_keys g2_release_lag g3_batch_lag g4_record_counts g5_lag_distribution g5_lag_meter g6_latency_meter
 g7_min_file_start g8_advance_progress g9_statement_batches o1_shard_order o3_partition_numbers o4_first_pull
 f_dml_mysql_typed f_dml_postgres_typed f1_exact_numbers f7_escape_backslash f12_mysql_events f13_postgres_events f14_pk_only
 f17_connection_urls f18_apply_row f18_apply_column f18_stored_target

@@ -29,6 +29,7 @@ from riverbed.session import stream_checkpoint
 from riverbed.sinks.database import write_and_report
 from riverbed.sinks.files import DeadLetters, read_dead_letters
 from riverbed.sources.changes import launch_instant, read_changes
+from riverbed.streaming.meters import Meter
 from riverbed.streaming.ordered import ReleaseBuffer, in_order
 from riverbed.streaming.versions import KeyedLog, PartitionedLog, VersionedTable
 from riverbed.streaming.windows import size_micros
@@ -222,9 +223,10 @@ def direct_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
                               tz_offset: str = "+00:00", dead_letter_path: str | None = None,
                               name: str = "direct-replication", available_now: bool = False,
                               checkpoint: str | None = None, filtration: str = "forward_migration",
-                              idle: str | None = None, resume=()):
+                              idle: str | None = None, resume=(), meter: Meter | None = None):
     """Q1: filter -> explode -> modulo shard -> ordered release (latest per key) -> DML ->
-    per-shard writes, with fail-stop per shard (``ShardWriter``)."""
+    per-shard writes, with fail-stop per shard (``ShardWriter``). ``meter`` gets the lags of the changes of a batch that
+    have a statement, also of those that a stopped shard didn't take."""
     folder = stream_checkpoint(spark, name, checkpoint)
     buffer = ReleaseBuffer(spark, folder + "-buffer", interval, "latest", watermark_delay, _idle(idle, available_now))
     dead = DeadLetters(dead_letter_path)
@@ -236,6 +238,8 @@ def direct_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
         r = D.render_dml(released.drop("released_at_ms"), table_map, column_map, dialect, tz_offset, insert_if_absent=True).persist()
         try:
             writer.write(r, batch_id)
+            if meter is not None:
+                meter.put_lag(r.where(F.col("drop_reason").isNull()), batch_id)
             dead.flush(batch_id)
         finally:
             r.unpersist()
@@ -249,13 +253,14 @@ def shadow_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
                               interval: str = "1 second", name: str = "shadow-replication",
                               available_now: bool = False, checkpoint: str | None = None,
                               shadow: DataFrame | None = None, stored: DataFrame | None = None,
-                              filtration: str = "forward_migration", retain: str | None = None):
+                              filtration: str = "forward_migration", retain: str | None = None, meter: Meter | None = None):
     """Q2: filter -> explode -> image shard (skip shard for unknown tables; deletes from row versions; dead
     letters for records without a shard) -> shadow test -> DML -> per-shard writes -> the written keys' shadow rows.
 
     Changes of a micro-batch are written in commit order per key; across batches, what is older than the
     last applied commit of its key goes to the dead letters. Only what was written advances the shadow, which is a
-    ``KeyedLog``: a batch reads the buckets of its own keys and writes a row for each of them."""
+    ``KeyedLog``: a batch reads the buckets of its own keys and writes a row for each of them. ``meter`` gets the lags of what
+    was written."""
     folder = stream_checkpoint(spark, name, checkpoint)
     last = KeyedLog(spark, folder + "-shadow", "table_name string, pk_value string", "processed_commit_ts timestamp")
     versions = RowVersions(spark, folder + "-versions", stored, retain=retain)
@@ -282,6 +287,8 @@ def shadow_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
             same = [F.col(f"w.{c}").eqNullSafe(F.col(f"u.{c}")) for c in _ROW_IDS]
             written = to_apply.where(F.col("drop_reason").isNull()).alias("w").join(unwritten.select(*_ROW_IDS).distinct().alias("u"), same, "left_anti")
             last.append(written.select(*key, F.col("commit_ts").alias("processed_commit_ts")), batch_id)
+            if meter is not None:
+                meter.put_lag(written, batch_id)
             dead.flush(batch_id)
         finally:
             for frame in held:
@@ -306,9 +313,9 @@ def buffer_to_database_stream(spark: SparkSession, buffer: DataFrame, table_map:
                               connect, dialect: str = "mysql", tz_offset: str = "+00:00",
                               dead_letter_path: str | None = None, interval: str = "1 second",
                               name: str = "buffer-to-database", available_now: bool = False,
-                              checkpoint: str | None = None, resume=()):
+                              checkpoint: str | None = None, resume=(), meter: Meter | None = None):
     """Q4: ordered buffer (S2/S3 rows with ``shard`` + ``value``) -> parse (dead letters for
-    malformed messages) -> DML -> per-shard ordered writes, with fail-stop per shard as in Q1."""
+    malformed messages) -> DML -> per-shard ordered writes, with fail-stop per shard and ``meter`` as in Q1."""
     folder = stream_checkpoint(spark, name, checkpoint)
     dead = DeadLetters(dead_letter_path)
     writer = ShardWriter(spark, folder, name, connect, dead, resume)
@@ -319,6 +326,8 @@ def buffer_to_database_stream(spark: SparkSession, buffer: DataFrame, table_map:
         r = D.render_dml(good, table_map, column_map, dialect, tz_offset, insert_if_absent=True).persist()
         try:
             writer.write(r, batch_id)
+            if meter is not None:
+                meter.put_lag(r.where(F.col("drop_reason").isNull()), batch_id)
             dead.flush(batch_id)
         finally:
             r.unpersist()
