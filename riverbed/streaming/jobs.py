@@ -25,6 +25,7 @@ from riverbed.operators import lookup as L
 from riverbed.operators import sharding as S
 from riverbed.operators import transforms as T
 from riverbed.operators.latest import latest_per_key
+from riverbed.operators.mapping import table_specs
 from riverbed.session import stream_checkpoint
 from riverbed.sinks.database import write_and_report
 from riverbed.sinks.files import DeadLetters, read_dead_letters
@@ -227,6 +228,7 @@ def direct_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
     """Q1: filter -> explode -> modulo shard -> ordered release (latest per key) -> DML ->
     per-shard writes, with fail-stop per shard (``ShardWriter``). ``meter`` gets the lags of the changes of a batch that
     have a statement, also of those that a stopped shard didn't take."""
+    specs = table_specs(table_map, column_map).cache()   # read once, not by every batch
     folder = stream_checkpoint(spark, name, checkpoint)
     buffer = ReleaseBuffer(spark, folder + "-buffer", interval, "latest", watermark_delay, _idle(idle, available_now))
     dead = DeadLetters(dead_letter_path)
@@ -235,7 +237,7 @@ def direct_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
     def handle(records: DataFrame, batch_id: int) -> None:
         ch = S.shard_by_mod(T.explode_mods(T.filter_changes(records, filtration)), "UserId", shard_count)
         released = buffer.step(ch, batch_id, records)
-        r = D.render_dml(released.drop("released_at_ms"), table_map, column_map, dialect, tz_offset, insert_if_absent=True).persist()
+        r = D.render_dml(released.drop("released_at_ms"), table_map, column_map, dialect, tz_offset, specs=specs, insert_if_absent=True).persist()
         try:
             writer.write(r, batch_id)
             if meter is not None:
@@ -261,6 +263,7 @@ def shadow_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
     last applied commit of its key goes to the dead letters. Only what was written advances the shadow, which is a
     ``KeyedLog``: a batch reads the buckets of its own keys and writes a row for each of them. ``meter`` gets the lags of what
     was written."""
+    specs = table_specs(table_map, column_map).cache()   # read once, not by every batch
     folder = stream_checkpoint(spark, name, checkpoint)
     last = KeyedLog(spark, folder + "-shadow", "table_name string, pk_value string", "processed_commit_ts timestamp")
     versions = RowVersions(spark, folder + "-versions", stored, retain=retain)
@@ -277,7 +280,7 @@ def shadow_replication_stream(spark: SparkSession, source: DataFrame | ChangeSou
                 last.start(shadow, batch_id)
             dead.put(batch.where(F.col("shard_error").isNotNull()), "assign_shard", "shard_error")
             good = batch.where(F.col("shard_error").isNull() & (F.col("shard") != skip)).drop("shard_error")
-            r = D.render_dml(good, table_map, column_map, dialect, tz_offset, insert_if_absent=True).withColumn("pk_value", F.col("pk_text")).persist()
+            r = D.render_dml(good, table_map, column_map, dialect, tz_offset, specs=specs, insert_if_absent=True).withColumn("pk_value", F.col("pk_text")).persist()
             held.append(r)
             to_apply, older = L.shadow_filter(r, last.lookup(r.where("pk_value IS NOT NULL"), batch_id), key)
             dead.put(older.withColumn("error", F.lit("older than the last applied commit of its key")), "shadow_check")
@@ -316,6 +319,7 @@ def buffer_to_database_stream(spark: SparkSession, buffer: DataFrame, table_map:
                               checkpoint: str | None = None, resume=(), meter: Meter | None = None):
     """Q4: ordered buffer (S2/S3 rows with ``shard`` + ``value``) -> parse (dead letters for
     malformed messages) -> DML -> per-shard ordered writes, with fail-stop per shard and ``meter`` as in Q1."""
+    specs = table_specs(table_map, column_map).cache()   # read once, not by every batch
     folder = stream_checkpoint(spark, name, checkpoint)
     dead = DeadLetters(dead_letter_path)
     writer = ShardWriter(spark, folder, name, connect, dead, resume)
@@ -323,7 +327,7 @@ def buffer_to_database_stream(spark: SparkSession, buffer: DataFrame, table_map:
     def handle(batch: DataFrame, batch_id: int) -> None:
         good, bad = T.parse_buffer(batch, on_error="dlq")
         dead.put(bad.drop("stage", "failed_at"), "parse_buffer")
-        r = D.render_dml(good, table_map, column_map, dialect, tz_offset, insert_if_absent=True).persist()
+        r = D.render_dml(good, table_map, column_map, dialect, tz_offset, specs=specs, insert_if_absent=True).persist()
         try:
             writer.write(r, batch_id)
             if meter is not None:
