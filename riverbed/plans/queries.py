@@ -26,7 +26,7 @@ from riverbed.sources.config import cached_session
 from riverbed.sinks import messages as MSG
 from riverbed.sinks import state as ST
 from riverbed.sinks.topic import buffer_rows, read_topic, write_topic
-from riverbed.session import broadcast_checked, cut_lineage, scratch_path, spread
+from riverbed.session import broadcast_checked, cut_lineage, scratch_path, spread, tasks_for
 from riverbed.streaming.windows import dedup_ids, window_start
 
 PROCESSING_TS = "2024-02-01 00:00:00"   # fixed "now" for lag metrics, so results are stable
@@ -325,11 +325,17 @@ def g1_latest_per_key(spark, sf):
     return lat.select("table_name", "keys_json", *_ids(lat), "mod_type")
 
 
-def g1_repeated_keys(spark, sf):
-    """G1 where a record changes a row several times: the last of its mods counts."""
-    recs = TB.order_records(TB.load(spark, sf, "orders"), TB.load(spark, sf, "lineitem"))
+def _dealt_mods(spark, sf):
+    lines = TB.load(spark, sf, "lineitem")
+    recs = TB.order_records(TB.load(spark, sf, "orders"), lines)
     ch = T.explode_mods(recs).withColumn("keys_json", F.concat(F.lit('{"l_orderkey":"'), F.get_json_object("keys_json", "$.l_orderkey"), F.lit('"}')))
-    lat = latest_per_key(ch.repartition(7, "new_values_json"))
+    return T.redistribute(ch, tasks_for(lines, least=7), ("server_txn_id", model.MOD_POSITION))
+
+
+def g1_repeated_keys(spark, sf):
+    """G1 where a record changes a row several times: the last of its mods counts. A record's mods are
+    dealt over tasks first, as many as the line items need: each task sorts its share."""
+    lat = latest_per_key(_dealt_mods(spark, sf))
     return lat.select("keys_json", "server_txn_id", "mod_position", "new_values_json")
 
 

@@ -166,6 +166,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(sc.defaultParallelism)
 
 
+#: Rows that a task is to hold at most where it sorts them.
+TASK_ROWS = 500_000
+
+
+def tasks_for(df: DataFrame, least: int = 1) -> int:
+    """How many tasks ``df``'s rows need at ``TASK_ROWS`` each. They are counted: for a stored table
+    that reads the files' footers only."""
+    return max(least, -(-df.count() // TASK_ROWS))
+
+
 BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 

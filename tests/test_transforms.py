@@ -2,14 +2,16 @@
 per record, commit times with nanoseconds, nulls in every place where a record may have one."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from riverbed import model
+from riverbed import model, session
 from riverbed.operators import transforms as T
 from riverbed.operators.latest import latest_per_key
 from riverbed.operators.ordering import positions
+from riverbed.plans import queries as Q
 from riverbed.sinks.messages import buffer_messages
 
 
@@ -44,6 +46,20 @@ def test_mods_keep_their_place_whatever_the_order_of_rows(spark):
         assert [json.loads(r["new_values_json"])["qty"] for r in numbered] == [10 * n + i for n in (1, 2, 3) for i in range(6)]
 
 
+def test_dealt_mods_fill_tasks_evenly_however_alike_they_are(spark, tmpdir_path, monkeypatch):
+    """``g1_repeated_keys``: 600 orders of four line items, all of one quantity and flag save the first of each."""
+    spark.sql("SELECT id AS o_orderkey, 'F' AS o_orderstatus, TIMESTAMP_NTZ'1995-03-01' AS o_orderdate FROM range(600)").write.parquet(f"{tmpdir_path}/orders.parquet")
+    spark.sql("SELECT id DIV 4 AS l_orderkey, CAST(id % 4 + 1 AS INT) AS l_linenumber, CAST(if(id % 4 = 0, 9, 5) AS DOUBLE) AS l_quantity, 'N' AS l_returnflag FROM range(2400)").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    dealt = Q._dealt_mods(spark, tmpdir_path)
+    placed = dealt.select("server_txn_id", F.spark_partition_id().alias("task")).collect()
+    shares = Counter(r["task"] for r in placed)
+    assert sum(shares.values()) == 2400 and max(shares.values()) < 200
+    assert len({(r["server_txn_id"], r["task"]) for r in placed}) > 2 * 600  # a record's mods are apart
+    got = {(r["keys_json"], r["server_txn_id"], r["mod_position"], r["new_values_json"]) for r in Q.g1_repeated_keys(spark, tmpdir_path).collect()}
+    assert got == {(f'{{"l_orderkey":"{i}"}}', f"{i:012d}", 3, '{"l_quantity":5.0,"l_returnflag":"N"}') for i in range(600)}
+
+
 def test_messages_come_back_as_they_went(spark):
     ch = T.explode_mods(frame(spark, record(1, "nightly", [('{"sku":"7"}', '{"nick":"naïve \\"x\\"","qty":null}')]), record(2, None, [("{}", "{}")], nanos=1)))
     for pretty in (True, False):
