@@ -5,7 +5,7 @@ rank. A text is cut into the matches of the tokenizer's pattern; the distinct on
 documents become token-position rows in a DuckDB table of the Python worker, and one recursive
 query joins them to the merge table and contracts each match's leftmost pair of least rank until
 no pair is left. A second query decodes: the ids join the vocabulary and an ordered aggregation
-puts their bytes together. Spark deals out the documents; nothing is shuffled.
+puts their bytes together. Arrow puts the texts together from their distinct chunks. Spark deals out the documents; nothing is shuffled.
 
 Matches longer than LONG bytes would take a step for each of their merges. For them a step
 contracts all occurrences of the pair that don't overlap, from the left, wherever that must give the
@@ -27,7 +27,9 @@ import hashlib
 import re
 
 import duckdb
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -51,11 +53,13 @@ _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A space at most and letters: one match by most patterns.
 _PLAIN = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
+#: One sort by match and position a step: a window a match costs more.
 CONTRACT = """
 WITH RECURSIVE contracted(step, word, pos, token) AS (
   SELECT 0, word, pos, token FROM start_rows
   UNION ALL
-  (WITH p AS MATERIALIZED (SELECT *, lead(token) OVER w AS following, lag(pos) OVER w AS before FROM contracted WINDOW w AS (PARTITION BY word ORDER BY pos)),
+  (WITH p AS MATERIALIZED (SELECT *, CASE WHEN lead(word) OVER w = word THEN lead(token) OVER w END AS following, CASE WHEN lag(word) OVER w = word THEN lag(pos) OVER w END AS before
+                           FROM contracted WINDOW w AS (ORDER BY (word::BIGINT << 32) | pos)),
         least_pair AS (SELECT p.word, min((m.merged::BIGINT << 32) | p.pos) AS key
                        FROM p JOIN merges m ON m.lefthand = p.token AND m.righthand = p.following GROUP BY p.word)
    SELECT p.step + 1, p.word, p.pos, CASE WHEN p.pos = (key & 4294967295) THEN (key >> 32)::INTEGER ELSE p.token END
@@ -87,8 +91,8 @@ SELECT c.word, c.pos, c.token, f.last
 FROM contracted c JOIN (SELECT word, max(step) AS last FROM contracted GROUP BY word) f
   ON c.word = f.word AND c.step = f.last
 """
-ENCODED = "SELECT word, string_agg(token::VARCHAR, ',' ORDER BY pos) AS ids, count(*) AS n FROM fixpoint GROUP BY word ORDER BY word"
-DECODED = "SELECT f.word, string_agg(v.hexed, '' ORDER BY f.pos) AS hexed FROM fixpoint f JOIN vocabulary v USING (token) GROUP BY f.word ORDER BY f.word"
+ENCODED = "SELECT word, array_to_string(list(token ORDER BY pos), ',') AS ids, count(*) AS n FROM fixpoint GROUP BY word ORDER BY word"
+DECODED = "SELECT f.word, array_to_string(list(v.hexed ORDER BY f.pos), '') AS hexed FROM fixpoint f JOIN vocabulary v USING (token) GROUP BY f.word ORDER BY f.word"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -117,7 +121,7 @@ class Codec:
 
     def __init__(self, path: str, pattern: str) -> None:
         ranks = read_ranks(path)
-        self.bytes_ids = [ranks[bytes([b])] for b in range(256)]
+        self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         spaces = pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]")
         self.match = regex.compile(spaces)
         # a space before a character that isn't white space always begins a match
@@ -142,22 +146,39 @@ class Codec:
     def chunks(self, text: str) -> list[str]:
         """The text cut where a match begins anyway: before each space that a character other
         than white space follows."""
-        if self.plain.search(text):
-            starts = [0, *(m.start() for m in self.cut.finditer(text) if m.start()), len(text)]
-            return [text[a:b] for a, b in zip(starts, starts[1:])] if text else []
-        first, *rest = text.split(" ")
-        return [first] * bool(first) + [" " + w for w in rest[:-1]] + [" " + w for w in rest[-1:]]
+        starts = [0, *(m.start() for m in self.cut.finditer(text) if m.start()), len(text)]
+        return [text[a:b] for a, b in zip(starts, starts[1:])] if text else []
+
+    def distinct_chunks(self, texts: list[str], plain: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct chunks of the texts, the number of each chunk among them in the texts' order, and
+        where each text's chunks begin there (and the last one's end). ``plain``: some space stands before white space."""
+        if plain:
+            cut = [self.chunks(t) for t in texts]
+            bounds = np.cumsum([0, *map(len, cut)])
+            flat = pa.array([c for chunks in cut for c in chunks], pa.large_string()).dictionary_encode()
+            return flat.dictionary.to_pylist(), flat.indices.to_numpy(), bounds
+        # every space begins a chunk: Arrow cuts there, and the chunk gets its space back
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        flat = cut.flatten().dictionary_encode()
+        parts = flat.dictionary.to_pylist()
+        at = flat.indices.to_numpy().astype(np.int64) + len(parts)
+        first = bounds[:-1]
+        empty = np.zeros(len(at), bool)
+        at[first] -= len(parts)
+        empty[first] = [not t or t[0] == " " for t in texts]
+        gone = np.concatenate([[0], np.cumsum(empty)])
+        used, numbers = np.unique(at[~empty], return_inverse=True)
+        return [parts[i] if i < len(parts) else " " + parts[i - len(parts)] for i in used.tolist()], numbers, bounds - gone[bounds]
 
     def contract(self, words: list[str]) -> list[tuple[str, int, bytes]]:
         """Per match: ids joined by commas, their number, the decoded bytes."""
-        word, pos, token = [], [], []
-        for i, w in enumerate(words):
-            data = w.encode("utf-8", "surrogatepass")
-            word += [i] * len(data)
-            pos += range(len(data))
-            token += [self.bytes_ids[b] for b in data]
-        kind = pa.int32()
-        self.db.register("start_rows", pa.table({"word": pa.array(word, kind), "pos": pa.array(pos, kind), "token": pa.array(token, kind)}))
+        coded = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, coded), np.int32, len(coded))
+        word = np.repeat(np.arange(len(coded), dtype=np.int32), sizes)
+        pos = np.arange(len(word), dtype=np.int32) - np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
+        token = self.bytes_ids[np.frombuffer(b"".join(coded), np.uint8)]
+        self.db.register("start_rows", pa.table({"word": word, "pos": pos, "token": token}))
         if max(map(len, words)) > LONG:
             self.contract_long(max(1, LONG_ROWS // len(token)))
         else:
@@ -178,9 +199,8 @@ class Codec:
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE fixpoint AS {query}")
         self.db.execute("DROP VIEW IF EXISTS start_rows")
 
-    def learn(self, chunks: list[list[str]]) -> None:
+    def learn(self, here: set[str]) -> None:
         """Make every chunk known: encode the distinct matches of those that aren't yet."""
-        here = set().union(*chunks)
         missing = sorted(here.difference(self.known))
         plain = _PLAIN.fullmatch
         matches = {c: [c] if self.one and plain(c) else self.match.findall(c) for c in missing}
@@ -190,12 +210,11 @@ class Codec:
         if len(self.coded) + len(distinct) > CACHE_ENTRIES:
             self.coded = {m: v for m, v in self.coded.items() if m in distinct}
         new = sorted(distinct.difference(self.coded), key=len)
-        at = 0
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        ends, short, at = np.cumsum(sizes), int(np.searchsorted(sizes, LONG, side="right")), 0
         while at < len(new):  # few matches together when they are long, and long ones by themselves
-            stop, size = at, 0
-            while stop < len(new) and stop - at < QUERY_WORDS and (stop == at or size + len(new[stop]) <= 300_000 and (len(new[at]) > LONG) == (len(new[stop]) > LONG)):
-                size += len(new[stop])
-                stop += 1
+            fit = int(np.searchsorted(ends, ends[at] - sizes[at] + 300_000, side="right"))
+            stop = max(at + 1, min(at + QUERY_WORDS, fit, short if at < short else len(new)))
             self.coded.update(zip(new[at:stop], self.contract(new[at:stop]), strict=True))
             at = stop
         for c, ms in matches.items():
@@ -204,12 +223,19 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[tuple[int, str, bytes]]:
         """Per text: number of ids, ids joined by commas, decoded bytes."""
-        cut = [self.chunks(t or "") for t in texts]
-        self.learn(cut)
-        out = []
-        for chunks in cut:
-            got = [self.known[c] for c in chunks]
-            out.append((sum(g[1] for g in got), ",".join([g[0] for g in got]), b"".join([g[2] for g in got])))
+        out = [(0, "", b"")] * len(texts)
+        groups: tuple[list[int], list[int]] = ([], [])
+        for i, t in enumerate(texts):
+            groups[self.plain.search(t or "") is not None].append(i)
+        for plain, rows in enumerate(groups):
+            distinct, numbers, bounds = self.distinct_chunks([texts[i] or "" for i in rows], bool(plain))
+            self.learn(set(distinct))
+            ids, counts, decoded = zip(*map(self.known.__getitem__, distinct)) if distinct else ((), (), ())
+            total = np.concatenate([[0], np.cumsum(np.array(counts, np.int64)[numbers])])[bounds]
+            joined = [pc.binary_join(pa.LargeListArray.from_arrays(bounds, pa.array(x, t).take(pa.array(numbers))), pa.scalar(by, t)).to_pylist()
+                      for x, t, by in ((ids, pa.large_string(), ","), (decoded, pa.large_binary(), b""))]
+            for i, *got in zip(rows, np.diff(total).tolist(), *joined):
+                out[i] = tuple(got)
         return out
 
 

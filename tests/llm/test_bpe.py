@@ -36,6 +36,22 @@ def test_random_strings():
         assert ids == ",".join(map(str, want)) and n == len(want) and decoded == t.encode()
 
 
+def test_texts_are_put_together_from_distinct_chunks():
+    """A run's chunks are told apart once for all its texts, cut by Arrow or, where a space stands before white space, by the pattern."""
+    own = bpe.codec(PATH, public_tokenizers.PATTERN)
+    r = random.Random(6)
+    plain = ["", " ", "a", " a", "a ", "a b a", "x\ny z", *("".join(r.choice(["ab", " é", "c", "\n", " 7"]) for _ in range(r.randrange(40))) for _ in range(300))]
+    assert not any(map(own.plain.search, plain))
+    for texts, spaces in ((plain, False), ([t.replace("c", "  ") + " \n" for t in plain], True), ([], False), ([], True)):
+        distinct, numbers, bounds = own.distinct_chunks(texts, spaces)
+        assert len(set(distinct)) == len(distinct) and len(bounds) == len(texts) + 1
+        cut = [[distinct[n] for n in numbers[a:b]] for a, b in zip(bounds, bounds[1:])]
+        assert [[m for c in chunks for m in own.match.findall(c)] for chunks in cut] == [own.match.findall(t) for t in texts]
+    lib = library()
+    mixed = [None, *plain, "a  b", *plain[:9]]
+    assert [ids for _, ids, _ in own.encode(mixed)] == [",".join(map(str, lib.encode_ordinary(t or ""))) for t in mixed]
+
+
 def test_long_matches():
     """One match, on both sides of the length from which a step contracts more; and more letters than one query's steps settle."""
     lib, own = library(), bpe.Codec(PATH, public_tokenizers.PATTERN)
