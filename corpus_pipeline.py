@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` writes it as Parquet and reads
 it again as the next stage's documents. All stages but the last return the columns of
-``documents``: the first three drop rows, the fourth changes texts."""
+``documents``: the first three drop rows, the fourth changes texts. The stages share executors, so each
+reads in small batches."""
 
 from __future__ import annotations
 
@@ -10,32 +11,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riverbed.llm import langid, neardup, packing, quality, secretscan
-from riverbed.llm.common import table
+from riverbed.llm.common import lean_batches, table
 from riverbed.session import cut_lineage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the label model takes for good."""
+    lean_batches(spark)
     return quality.keep_good(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told clearly."""
+    lean_batches(spark)
     return langid.keep_known(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    lean_batches(spark)
     return neardup.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their secrets replaced."""
+    lean_batches(spark)
     return secretscan.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences."""
+    lean_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

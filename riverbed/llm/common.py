@@ -19,6 +19,9 @@ from riverbed.session import broadcast_checked, ship_package
 RUN_BYTES = 8 << 20
 #: Bytes of an Arrow batch between Spark and Python: without it a batch is 10,000 rows, however long.
 BATCH_BYTES = 8 << 20
+#: Bytes of an Arrow batch and rows of a Parquet reader's batch where a job has many passes one after another: the JVM's
+#: heap and idle Python workers keep what the largest batch took, and the passes' shares add up.
+LEAN_BYTES, LEAN_ROWS = 1 << 20, 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +34,22 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Batches by bytes for the passes of this session, unless it has a smaller bound already."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _at_most(spark: SparkSession, key: str, most: int) -> None:
     have = spark.conf.get(key)
-    if have.rstrip("b").isdigit() and int(have.rstrip("b")) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if have.rstrip("b").isdigit() and int(have.rstrip("b")) > most:
+        spark.conf.set(key, str(most))
+
+
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Batches by bytes for the passes of this session, unless it has a smaller bound already."""
+    _at_most(spark, "spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Small batches for the scans and passes of this session, unless it has smaller bounds already. A reader's
+    batch is 4,096 rows otherwise, however long: its texts are one array that grows by doubling."""
+    bounded_batches(spark, LEAN_BYTES)
+    _at_most(spark, "spark.sql.parquet.columnarReaderBatchSize", LEAN_ROWS)
 
 
 def runs(batch: pa.RecordBatch, column: str, most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:

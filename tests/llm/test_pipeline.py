@@ -8,7 +8,9 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 from riverbed.llm import langid, quality
+from riverbed.llm.common import LEAN_BYTES, LEAN_ROWS
 from tests.llm.fixtures import DOCS, empty, frame, prose, rows
 from tests.llm.test_neardup import brute as classes
 from tests.llm.test_neardup import edited
@@ -84,3 +86,41 @@ def test_stages_keep_the_columns(spark):
     none = empty(spark)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, "").count() == 0
+
+
+BATCHES = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+
+
+@pytest.fixture
+def batches(spark):
+    """The session's batches as they are at first, and put back afterwards."""
+    had = {k: spark.conf.get(k) for k in BATCHES}
+    for k in BATCHES:
+        spark.conf.unset(k)
+    yield BATCHES
+    for k, v in had.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_every_stage_reads_in_small_batches(spark, tmpdir_path, batches, name, stage):
+    path = os.path.join(tmpdir_path, "texts.parquet")
+    spark.range(0, 2000, 1, 1).selectExpr("id", "repeat(sha2(string(id), 256), 64) AS text").write.parquet(path)
+    stage(spark, empty(spark), "")
+
+    def sizes(got):
+        import pyarrow as pa
+        for b in got:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    got = spark.read.parquet(path).mapInArrow(sizes, "rows long, size long").collect()
+    assert sum(g.rows for g in got) == 2000 and max(g.size for g in got) <= 1.1 * LEAN_BYTES
+    assert spark.conf.get(batches[1]) == str(LEAN_ROWS)
+
+
+def test_smaller_batches_stay(spark, batches):
+    for k in batches:
+        spark.conf.set(k, "100")
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, empty(spark), "")
+    assert [spark.conf.get(k) for k in batches] == ["100", "100"]
